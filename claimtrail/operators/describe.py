@@ -133,9 +133,10 @@ def desc_stat_d(df: DataFrame, columns: Sequence[str], group_col: str = "group")
 
 def summary_rollup(df: DataFrame, column: str, group_col: str = "group") -> DataFrame:
     """N, MIN, MAX, MEAN and STD per group and over all grouped rows, in long form."""
-    grouped = df.where(F.col(group_col).isNotNull()).rollup(F.col(group_col).alias("group")).agg(
-        F.count(column).alias("N"), F.min(column).alias("MIN"), F.max(column).alias("MAX"),
-        F.avg(column).alias("MEAN"), F.stddev_samp(column).alias("STD"), F.grouping("group").alias("_all"),
+    rows = df.where(F.col(group_col).isNotNull()).select(F.col(group_col).alias("group"), F.col(column).alias("v"))
+    grouped = rows.rollup("group").agg(
+        F.count("v").alias("N"), F.min("v").alias("MIN"), F.max("v").alias("MAX"),
+        F.avg("v").alias("MEAN"), F.stddev_samp("v").alias("STD"), F.grouping("group").alias("_all"),
     )
     named = grouped.withColumn("group", F.when(F.col("_all") == 1, OVERALL).otherwise(F.col("group")))
     stats = {name: F.col(name) for name in ("N", "MIN", "MAX", "MEAN", "STD")}
@@ -145,8 +146,9 @@ def summary_rollup(df: DataFrame, column: str, group_col: str = "group") -> Data
 
 def freq_sparse(df: DataFrame, group_col: str, level_col: str) -> DataFrame:
     """Crosstab counts in long form, including the combinations that do not occur."""
-    wide = df.groupBy(group_col).pivot(level_col).count().na.fill(0)
-    return wide.unpivot(group_col, [c for c in wide.columns if c != group_col], level_col, "count")
+    wide = df.groupBy(group_col).pivot(level_col).count()
+    levels = [c for c in wide.columns if c != group_col]
+    return wide.na.fill(0, levels).unpivot(group_col, levels, level_col, "count")
 
 
 def descriptive_stats(

@@ -6,6 +6,7 @@ from claimtrail.plans import (  # noqa: F401
     queries_predicates,
     queries_scalar,
     queries_sources,
+    queries_study,
 )
 from claimtrail.plans.registry import QUERIES, SQL
 
