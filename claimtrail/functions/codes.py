@@ -54,9 +54,31 @@ def by_length(codes: Iterable[str]) -> dict[int, list[str]]:
     return dict(sorted(groups.items()))
 
 
-def starts_with_any(text: Column, codes: Iterable[str]) -> Column:
-    """True when ``text`` begins with one of ``codes``; never NULL. One hashed IN-set per code length."""
+def _listed(codes: Iterable[str]) -> str:
+    return ", ".join("'" + c.replace("\\", "\\\\").replace("'", "\\'") + "'" for c in codes)
+
+
+def _name(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def is_listed(column: str, codes: Iterable[str]) -> Column:
+    """The column is one of ``codes``. The list goes in as text, so a long one costs one call and one hashed set."""
+    return F.expr(f"{_name(column)} IN ({_listed(codes)})")
+
+
+def prefix_of(column: str, length: int) -> Column:
+    return F.substring(F.col(column), 1, length)
+
+
+def has_prefix(column: str, length: int, codes: Iterable[str]) -> Column:
+    """The first ``length`` characters of the column are one of ``codes``."""
+    return F.expr(f"substring({_name(column)}, 1, {length}) IN ({_listed(codes)})")
+
+
+def starts_with_any(column: str, codes: Iterable[str]) -> Column:
+    """True when the column begins with one of ``codes``; never NULL. One hashed set per code length."""
     hit = F.lit(False)
     for length, group in by_length(codes).items():
-        hit = hit | F.substring(text, 1, length).isin(group)
+        hit = hit | has_prefix(column, length, group)
     return F.coalesce(hit, F.lit(False))

@@ -136,14 +136,21 @@ def visit_type(c: Mapping[str, Column]) -> Column:
     )
 
 
-def disease_flag(c: Mapping[str, Column], codes: Iterable[str]) -> Column:
-    """A non-rule-out claim with a disease code: principal diagnosis inpatient, either diagnosis outpatient."""
+def disease_columns() -> dict[str, Column]:
+    """Where each diagnosis column counts for the disease: principal inpatient, first two outpatient, no rule-outs."""
+    counts = ~is_ruleout(F.col("proc1"))
+    inpatient = counts & _sure(_scope_is(F.col("scope"), "S"))
+    outpatient = counts & _sure(_scope_is(F.col("scope"), "O"))
+    return {"pdx": inpatient, "dx1": outpatient, "dx2": outpatient}
+
+
+def disease_flag(codes: Iterable[str]) -> Column:
+    """A claim with a disease code where it counts."""
     codes = list(codes)
-    inpatient = _sure(_scope_is(c["scope"], "S")) & starts_with_any(c["pdx"], codes)
-    outpatient = _sure(_scope_is(c["scope"], "O")) & (
-        starts_with_any(c["dx1"], codes) | starts_with_any(c["dx2"], codes)
-    )
-    return ~is_ruleout(c["proc1"]) & (inpatient | outpatient)
+    hit = F.lit(False)
+    for column, condition in disease_columns().items():
+        hit = hit | (condition & starts_with_any(column, codes))
+    return hit
 
 
 def claim_columns(*names: str) -> dict[str, Column]:

@@ -14,7 +14,8 @@ from claimtrail.operators.reshape import outer_union, with_pseudo_group
 from claimtrail.sources.tables import classify_variables
 
 OVERALL = "Overall"
-CELLS = 65_536  # cells per narrowing step of the quantile search
+PER_OCTAVE = 2_048  # cells per doubling of the magnitude, first step of the quantile search
+FINE_CELLS = 65_535  # equal cells one of those is cut into, second step
 LONG = ("varname", "group", "varlvl", "stat", "value")
 
 
@@ -34,61 +35,68 @@ def _stats_long(df: DataFrame, varlvl: Column, stats: dict[str, Column]) -> Data
     return df.select("varname", "group", varlvl.alias("varlvl"), F.inline(rows))
 
 
-def _narrow(counts: DataFrame, wanted: DataFrame, keys: list[str], step: int) -> tuple[DataFrame, DataFrame]:
-    """Split each key's value range into equal cells and keep the cells that hold a wanted rank.
+def _cell_of(value: Column) -> Column:
+    """Order-preserving cell of a number: its sign and its magnitude to about one part in 3,000."""
+    size = F.floor((F.log2(F.abs(value)) + 1100) * PER_OCTAVE)
+    return F.when(value == 0, F.lit(0).cast("long")).otherwise((F.signum(value) * size).cast("long"))
 
-    ``counts`` has the keys, ``v`` and ``n``; ``wanted`` has the keys and a ``rank`` counted within the key. Both come
-    back one key finer.
-    """
-    cell = f"_cell{step}"
-    bounds = counts.groupBy(*keys).agg(F.min("v").alias("_lo"), F.max("v").alias("_hi"))
-    share = F.try_divide(F.col("v") - F.col("_lo"), F.col("_hi") - F.col("_lo"))
-    celled = counts.join(bounds, keys).withColumn(
-        cell, F.coalesce(F.floor(share * (CELLS - 1)), F.lit(0)).cast("long")
-    )
-    to_here = Window.partitionBy(*keys).orderBy(cell).rowsBetween(Window.unboundedPreceding, 0)
-    filled = (
-        celled.groupBy(*keys, cell).agg(F.sum("n").alias("_in"))
-        .withColumn("_upto", F.sum("_in").over(to_here))
-    )
-    inside = (F.col("rank") > F.col("_upto") - F.col("_in")) & (F.col("rank") <= F.col("_upto"))
-    finer = (
-        wanted.join(filled, keys)
-        .where(inside)
-        .withColumn("rank", F.col("rank") - (F.col("_upto") - F.col("_in")))
-        .select(*wanted.columns, cell)
-    )
-    kept = celled.drop("_lo", "_hi").join(finer.select(*keys, cell).distinct(), [*keys, cell], "left_semi")
-    return kept, finer
+
+def _holding(wanted: Column, upto: Column, held: Column) -> Column:
+    """The wanted ranks that fall in a cell of ``held`` values ending at rank ``upto``, counted from the cell's start."""
+    before = upto - held
+    inside = F.filter(wanted, lambda w: (w["rank"] > before) & (w["rank"] <= upto))
+    return F.transform(inside, lambda w: F.struct(w["stat"].alias("stat"), (w["rank"] - before).alias("rank")))
 
 
 def quantiles(long: DataFrame, fractions: dict[str, float], keys: Sequence[str] = ("group", "varname")) -> DataFrame:
     """Exact quantiles of ``v`` per key by averaging at a step: with n·p = j + g, the mean of the j-th and next value
     when g is 0, else the next value. One column per fraction.
 
-    Values are counted first, then the wanted ranks are found by narrowing the value range twice. No task sorts a whole
-    group: each orders the cells of a range or the few distinct values of one cell.
+    Values are counted first; a histogram of magnitudes then finds the cells that hold the wanted ranks, and only their
+    values are cut finer and ordered. No task orders a whole group: each holds the cells of a group or the distinct
+    values of one fine cell.
     """
     keys = list(keys)
     present = long.where(F.col("v").isNotNull() & ~F.isnan("v"))
-    counts = present.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("n"))
-    sizes = counts.groupBy(*keys).agg(F.sum("n").alias("_size"))
+    counts = present.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("n")).withColumn("_c1", _cell_of(F.col("v")))
+
+    group = Window.partitionBy(*keys)
+    coarse = (
+        counts.groupBy(*keys, "_c1")
+        .agg(F.sum("n").alias("_in"), F.min("v").alias("_lo"), F.max("v").alias("_hi"))
+        .withColumn("_size", F.sum("_in").over(group))
+        .withColumn("_upto", F.sum("_in").over(group.orderBy("_c1").rowsBetween(Window.unboundedPreceding, 0)))
+    )
     ranks = []
     for name, p in fractions.items():
         place = F.col("_size") * p
-        whole = F.floor(place)
-        ranks.append(F.struct(F.lit(name).alias("stat"), F.ceil(place).alias("rank")))
-        ranks.append(F.struct(F.lit(name).alias("stat"), (whole + 1).alias("rank")))
-    wanted = sizes.select(*keys, F.inline(F.array(*ranks)))
-    kept, finer = _narrow(counts, wanted, keys, 1)
-    kept, finer = _narrow(kept, finer, [*keys, "_cell1"], 2)
-    cells = [*keys, "_cell1", "_cell2"]
-    to_here = Window.partitionBy(*cells).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    placed = kept.withColumn("_upto", F.sum("n").over(to_here))
-    hit = (F.col("rank") > F.col("_upto") - F.col("n")) & (F.col("rank") <= F.col("_upto"))
-    values = finer.join(placed, cells).where(hit)
-    per_stat = [F.avg(F.when(F.col("stat") == name, F.col("v"))).alias(name) for name in fractions]
-    return values.groupBy(*keys).agg(*per_stat)
+        for rank in (F.ceil(place), F.floor(place) + 1):
+            ranks.append(F.struct(F.lit(name).alias("stat"), rank.alias("rank")))
+    cells = coarse.select(
+        *keys, "_c1", "_lo", "_hi", _holding(F.array(*ranks), F.col("_upto"), F.col("_in")).alias("wanted")
+    ).where(F.size("wanted") > 0)
+
+    share = F.try_divide(F.col("v") - F.col("_lo"), F.col("_hi") - F.col("_lo"))
+    kept = counts.join(cells, [*keys, "_c1"]).withColumn(
+        "_c2", F.coalesce(F.floor(share * FINE_CELLS), F.lit(0)).cast("long")
+    )
+    within = Window.partitionBy(*keys, "_c1").orderBy("_c2").rowsBetween(Window.unboundedPreceding, 0)
+    fine = (
+        kept.groupBy(*keys, "_c1", "_c2")
+        .agg(F.sum("n").alias("_in"), F.first("wanted").alias("wanted"))
+        .withColumn("_upto", F.sum("_in").over(within))
+        .select(*keys, "_c1", "_c2", _holding(F.col("wanted"), F.col("_upto"), F.col("_in")).alias("wanted"))
+        .where(F.size("wanted") > 0)
+    )
+    finest = [*keys, "_c1", "_c2"]
+    in_cell = Window.partitionBy(*finest).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    placed = (
+        kept.drop("wanted").join(fine, finest)
+        .withColumn("_upto", F.sum("n").over(in_cell))
+        .select(*keys, "v", F.explode(_holding(F.col("wanted"), F.col("_upto"), F.col("n"))).alias("hit"))
+    )
+    per_stat = [F.avg(F.when(F.col("hit.stat") == name, F.col("v"))).alias(name) for name in fractions]
+    return placed.groupBy(*keys).agg(*per_stat)
 
 
 def desc_stat_n(df: DataFrame, columns: Sequence[str], group_col: str = "group") -> DataFrame:

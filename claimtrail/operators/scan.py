@@ -7,7 +7,9 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from claimtrail.functions.codes import MAX_INLINE_CODES, by_length, distinct_codes, inline_codes, starts_with_any
+from claimtrail.functions.codes import (
+    MAX_INLINE_CODES, by_length, distinct_codes, has_prefix, inline_codes, is_listed, prefix_of, starts_with_any,
+)
 from claimtrail.functions.dates import date_filter, interval_overlap
 from claimtrail.sources.shards import select_shards
 
@@ -50,9 +52,9 @@ def prefix_join(
     if known is not None:
         hit = F.lit(False)
         for name in columns:
-            hit = hit | starts_with_any(F.col(name), known)
+            hit = hit | starts_with_any(name, known)
         candidates = [
-            F.when(F.substring(name, 1, length).isin(group), F.substring(name, 1, length))
+            F.when(has_prefix(name, length, group), prefix_of(name, length))
             for name in columns
             for length, group in by_length(known).items()
         ]
@@ -63,7 +65,7 @@ def prefix_join(
     listed = _code_frame(df, codes, code_col)
     lengths = [r[0] for r in listed.select(F.length(code_col)).distinct().collect()]
     candidates = [
-        F.when(F.length(name) >= length, F.substring(name, 1, length)) for name in columns for length in sorted(lengths)
+        F.when(F.length(name) >= length, prefix_of(name, length)) for name in columns for length in sorted(lengths)
     ]
     return _explode_matches(df, candidates, code_col).join(listed, code_col).select(*df.columns, code_col)
 
@@ -81,13 +83,15 @@ def equal_join(
     if known is None:
         exploded = _explode_matches(df, [F.col(name) for name in columns], code_col)
         return exploded.join(_code_frame(df, codes, code_col), code_col).select(*df.columns, code_col)
+    if not known:
+        return df.withColumn(code_col, F.lit(None).cast("string")).where(F.lit(False))
     hit = F.lit(False)
     for name in columns:
-        hit = hit | F.col(name).isin(known)
+        hit = hit | is_listed(name, known)
     kept = df.where(hit)
     if len(columns) == 1:
         return kept.withColumn(code_col, F.col(columns[0]))
-    return _explode_matches(kept, [F.when(F.col(c).isin(known), F.col(c)) for c in columns], code_col)
+    return _explode_matches(kept, [F.when(is_listed(c, known), F.col(c)) for c in columns], code_col)
 
 
 def _code_frame(df: DataFrame, codes: Codes, name: str) -> DataFrame:
@@ -175,7 +179,7 @@ def flag_prefix(
     hit = F.lit(False)
     if known is not None:
         for name, condition in conditions.items():
-            hit = hit | (condition & starts_with_any(F.col(name), known))
+            hit = hit | (condition & starts_with_any(name, known))
         return df.withColumn(flag_col, hit)
 
     listed = _code_frame(df, codes, "_listed")
@@ -185,7 +189,7 @@ def flag_prefix(
         for length in lengths:
             mark = f"_mark_{name}_{length}"
             of_length = listed.where(F.length("_listed") == length).select(F.col("_listed").alias(mark))
-            key = F.when(condition, F.substring(F.col(name), 1, length))
+            key = F.when(condition, prefix_of(name, length))
             out = out.join(of_length, key == F.col(mark), "left")
             marks.append(mark)
     for mark in marks:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from claimtrail.config import StudyConfig
 from claimtrail.functions.dates import is_in_outcome
-from claimtrail.functions.predicates import claim_columns, is_ruleout, visit_type
+from claimtrail.functions.predicates import claim_columns, disease_columns, is_ruleout, visit_type
 from claimtrail.operators.scan import flag_prefix
 
 VISIT_TYPES = ("ER", "Office", "Others")
@@ -41,24 +41,16 @@ def hospitalization(
 def visits(claims: DataFrame, disease_codes: DataFrame | Iterable[str], cfg: StudyConfig = StudyConfig()) -> DataFrame:
     """Claims of the outcome window with ``visit_type`` and ``disease_flag``."""
     in_window = claims.where(is_in_outcome(F.col("svcdate"), F.col("idxdate"), cfg.outcome_days))
-    columns = claim_columns()
-    counts = ~is_ruleout(F.col("proc1"))
-    scope = F.coalesce(F.upper("scope"), F.lit(""))
-    conditions = {
-        "pdx": counts & (scope == "S"),
-        "dx1": counts & (scope == "O"),
-        "dx2": counts & (scope == "O"),
-    }
-    return flag_prefix(
-        in_window.withColumn("visit_type", visit_type(columns)), conditions, disease_codes, "disease_flag"
-    )
+    typed = in_window.withColumn("visit_type", visit_type(claim_columns()))
+    return flag_prefix(typed, disease_columns(), disease_codes, "disease_flag")
 
 
 def visit_counts(typed: DataFrame, id_col: str = "enrolid", date_col: str = "svcdate") -> DataFrame:
     """Days with each visit type per patient, over all visits and over disease visits; NULL where there is none.
 
     Claims are first merged to one row per (patient, day), so the six distinct-day counts share one pass and the
-    second shuffle carries days, not claims.
+    second shuffle carries days, not claims. Patients without any visit are dropped after counting: a filter on the
+    visit type would be pushed below the joins and evaluate the whole classification twice.
     """
     marks = {}
     for kind in VISIT_TYPES:
@@ -66,12 +58,13 @@ def visit_counts(typed: DataFrame, id_col: str = "enrolid", date_col: str = "svc
         marks[f"all_{kind.lower()}"] = is_kind
         marks[f"dis_{kind.lower()}"] = is_kind & F.col("disease_flag")
     days = (
-        typed.where(F.col("visit_type").isNotNull() & F.col(date_col).isNotNull())
+        typed.where(F.col(date_col).isNotNull())
         .groupBy(id_col, date_col)
         .agg(*[F.max(mark.cast("int")).alias(name) for name, mark in marks.items()])
     )
     ordered = [f"{prefix}_{kind.lower()}" for prefix in ("all", "dis") for kind in VISIT_TYPES]
-    return days.groupBy(id_col).agg(*[F.nullif(F.sum(name), F.lit(0)).alias(name) for name in ordered])
+    counts = days.groupBy(id_col).agg(*[F.nullif(F.sum(name), F.lit(0)).alias(name) for name in ordered])
+    return counts.where(F.coalesce(*ordered).isNotNull())
 
 
 def outcomes_ru(cohort: DataFrame, hospital: DataFrame, visit: DataFrame, cfg: StudyConfig = StudyConfig()) -> DataFrame:

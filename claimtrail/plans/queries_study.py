@@ -23,7 +23,8 @@ from claimtrail.plans.queries_ordered import charlson_sql
 from claimtrail.plans.queries_predicates import DISEASE_SQL, RULEOUT_SQL, VISIT_SQL
 from claimtrail.plans.registry import query
 from claimtrail.plans.study import (
-    StudyInputs, analyse_study, pull_admissions, pull_dx, pull_enrollment, pull_study, study_claims, study_exposure, variables,
+    StudyInputs, folder_saver, pull_admissions, pull_dx, pull_enrollment, pull_study, study_claims, study_exposure, study_run,
+    variables,
 )
 from claimtrail.plans.views import Views, with_views
 
@@ -434,3 +435,28 @@ def study_pull(v: Views):
         for name, df in tables.items()
     ]
     return reduce(lambda a, b: a.unionByName(b), counted)
+
+
+STUDY_INPUTS_SQL = f"""cohort AS (SELECT * FROM allpt),
+alldx AS (SELECT c.* FROM claims c JOIN (SELECT DISTINCT icd9 FROM icd9) i
+ ON starts_with(c.pdx, i.icd9) OR starts_with(c.dx1, i.icd9) OR starts_with(c.dx2, i.icd9)
+ WHERE svcdate {STUDY_DAYS} AND enrolid IN (SELECT enrolid FROM allpt)),
+idx AS (SELECT DISTINCT enrolid, idxdate FROM allpt),
+sddx AS (SELECT c.*, i.idxdate FROM alldx c JOIN idx i USING (enrolid)),
+sdadm AS (SELECT a.*, i.idxdate FROM adm a JOIN idx i USING (enrolid)
+ WHERE disdate >= DATE '1997-01-01' AND admdate <= DATE '1999-12-31'),
+disease AS (SELECT DISTINCT icd9 FROM icd9 WHERE ta = 'ASIA')"""
+STUDY_FILLS_SQL = FILLS_SQL.replace("FROM rx r", "FROM interest_tx r").replace("r.daysupp, r.l_linenumber", "r.daysupp")
+STUDY_PERSIST_SQL = PERSIST_SQL.replace("svcdate, l_linenumber, daysupp", "svcdate, daysupp")
+
+
+@query("study_run", study_sql(
+    EXPOSURE_SQL, ALLPT_SQL, STUDY_INPUTS_SQL, STUDY_FILLS_SQL, ADHERENCE_SQL, STUDY_PERSIST_SQL, BASE_DX_SQL, PAIRS_SQL,
+    BASELINE_SQL, HOSPITAL_SQL, VISITS_SQL, RU_SQL, views=("rx", "claims", "ndc", "hcpcs", "adm", "icd9"),
+) + """SELECT enrolid, idxdate, idxtreatment, charlson_index, all_hospitalization, dis_hospitalization, all_er, all_office, all_others,
+ dis_er, dis_office, dis_others, round(pdc_df2, 9) AS pdc_df2, time
+FROM cohort JOIN cci USING (enrolid) JOIN common USING (enrolid) JOIN ru USING (enrolid) JOIN adhere USING (enrolid) JOIN persist USING (enrolid)""")
+def study_run_query(v: Views):
+    tables = study_run(v.spark, inputs(v), v.cfg, folder_saver(v.spark))
+    columns = ["enrolid", "idxdate", "idxtreatment", "charlson_index", *ALL_COUNTS, "pdc_df2", "time"]
+    return rounded(tables["ads.variables"].select(*columns), "pdc_df2")

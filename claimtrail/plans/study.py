@@ -17,7 +17,8 @@ from claimtrail.operators.survival import km_survival
 from claimtrail.operators.treatment import adherence, cohort_treatment, outcomes_tp, persistence
 from claimtrail.operators.utilization import hospitalization, outcomes_ru, visit_counts, visits
 from claimtrail.sources.code_lists import codes_of
-from claimtrail.sources.tables import materialize
+from claimtrail.sources.scratch import scratch_path
+from claimtrail.sources.tables import materialize, write_folder
 
 Save = Callable[[str, DataFrame], DataFrame]
 
@@ -49,6 +50,18 @@ def table_saver(spark: SparkSession) -> Save:
     return save
 
 
+def folder_saver(spark: SparkSession, folder: str | None = None) -> Save:
+    """Write each reused result as a Parquet folder, by default in the shared scratch folder, and go on from it."""
+    folder = folder or scratch_path(spark, "study")
+
+    def save(name: str, df: DataFrame) -> DataFrame:
+        path = f"{folder}/{name}"
+        write_folder(df, path)
+        return spark.read.parquet(path)
+
+    return save
+
+
 def study_exposure(inputs: StudyInputs, cfg: StudyConfig) -> DataFrame:
     """Exposures of the study period: coded procedures, and coded drug fills with cleaned supply."""
     window = {"start": cfg.study_start, "end": cfg.study_end}
