@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from claimtrail.config import StudyConfig
+from claimtrail.operators.scan import restrict_to
 
 
 def age_filter(df: DataFrame, cfg: StudyConfig = StudyConfig(), age_col: str = "age") -> DataFrame:
@@ -34,7 +35,7 @@ def enrolled_spells(
 
 def continuous_enrollment(cohort: DataFrame, enrollment: DataFrame, cfg: StudyConfig = StudyConfig()) -> DataFrame:
     """Cohort rows whose patient is enrolled, small gaps aside, over the baseline and outcome windows."""
-    own = enrollment.join(cohort.select(cfg.id_col), cfg.id_col, "left_semi")
+    own = restrict_to(enrollment, cohort, cfg.id_col)
     spells = enrolled_spells(own, cfg.enrollment_gap, cfg.id_col)
     days = cohort.select(cfg.id_col, "idxdate").distinct()
     covered = spells.join(days, cfg.id_col).where(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from claimtrail.config import StudyConfig
 from claimtrail.functions.dates import date_filter
+from claimtrail.operators.joins import salted_join
 from claimtrail.operators.scan import attach_generic
 
 
@@ -66,4 +67,4 @@ def index_cohort(
 def index_join(df: DataFrame, id_col: str, date_col: str) -> DataFrame:
     """All rows of each patient's earliest day."""
     first = df.groupBy(id_col).agg(F.min(date_col).alias(date_col))
-    return df.join(first, [id_col, date_col], "left_semi")
+    return salted_join(df, first, [id_col, date_col], "left_semi")

@@ -11,6 +11,7 @@ from claimtrail.functions.codes import (
     MAX_INLINE_CODES, by_length, distinct_codes, has_prefix, inline_codes, is_listed, prefix_of, starts_with_any,
 )
 from claimtrail.functions.dates import date_filter, interval_overlap
+from claimtrail.operators.joins import lookup_join
 from claimtrail.sources.shards import select_shards
 
 Codes = Iterable[str] | DataFrame
@@ -67,7 +68,7 @@ def prefix_join(
     candidates = [
         F.when(F.length(name) >= length, prefix_of(name, length)) for name in columns for length in sorted(lengths)
     ]
-    return _explode_matches(df, candidates, code_col).join(listed, code_col).select(*df.columns, code_col)
+    return lookup_join(_explode_matches(df, candidates, code_col), listed, [code_col]).select(*df.columns, code_col)
 
 
 def equal_join(
@@ -82,7 +83,7 @@ def equal_join(
     known = inline_codes(codes, max_inline)
     if known is None:
         exploded = _explode_matches(df, [F.col(name) for name in columns], code_col)
-        return exploded.join(_code_frame(df, codes, code_col), code_col).select(*df.columns, code_col)
+        return lookup_join(exploded, _code_frame(df, codes, code_col), [code_col]).select(*df.columns, code_col)
     if not known:
         return df.withColumn(code_col, F.lit(None).cast("string")).where(F.lit(False))
     hit = F.lit(False)
@@ -184,32 +185,32 @@ def flag_prefix(
 
     listed = _code_frame(df, codes, "_listed")
     lengths = sorted(r[0] for r in listed.select(F.length("_listed")).distinct().collect())
-    out, marks = df.withColumn(flag_col, F.lit(False)), []
+    out, marks = df, []
     for name, condition in conditions.items():
         for length in lengths:
-            mark = f"_mark_{name}_{length}"
-            of_length = listed.where(F.length("_listed") == length).select(F.col("_listed").alias(mark))
-            key = F.when(condition, prefix_of(name, length))
-            out = out.join(of_length, key == F.col(mark), "left")
+            key, mark = f"_key_{name}_{length}", f"_mark_{name}_{length}"
+            of_length = listed.where(F.length("_listed") == length)
+            found = of_length.select(F.col("_listed").alias(key), F.lit(True).alias(mark))
+            out = lookup_join(out.withColumn(key, F.when(condition, prefix_of(name, length))), found, [key], "left").drop(key)
             marks.append(mark)
     for mark in marks:
         hit = hit | F.col(mark).isNotNull()
-    return out.withColumn(flag_col, hit).drop(*marks)
+    return out.withColumn(flag_col, hit).select(*df.columns, flag_col)
 
 
 def restrict_to(df: DataFrame, cohort: DataFrame, id_col: str = "enrolid") -> DataFrame:
     """Rows of the patients in the cohort."""
-    return df.join(cohort.select(id_col), id_col, "left_semi")
+    return lookup_join(df, cohort.select(id_col), [id_col], "left_semi")
 
 
 def exclude(df: DataFrame, others: DataFrame, id_col: str = "enrolid") -> DataFrame:
     """Rows of the patients not in ``others``."""
-    return df.join(others.select(id_col), id_col, "left_anti")
+    return lookup_join(df, others.select(id_col), [id_col], "left_anti")
 
 
 def attach_generic(
     claims: DataFrame, code_list: DataFrame, claim_col: str, list_col: str, extra: Sequence[str] = ()
 ) -> DataFrame:
     """Inner join to a code list for its generic name; a code listed twice yields two rows."""
-    named = code_list.select(F.col(list_col).alias("_code"), "generic_name", *extra)
-    return claims.join(named, F.col(claim_col) == F.col("_code")).drop("_code")
+    named = code_list.select(F.col(list_col).alias(claim_col), "generic_name", *extra)
+    return lookup_join(claims, named, [claim_col])

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from claimtrail.config import StudyConfig
 from claimtrail.functions.dates import is_in_outcome
+from claimtrail.operators.joins import lookup_join
 
 
 def multi_treatment_patients(
@@ -39,7 +40,7 @@ def cohort_treatment(
         .join(multiple.select(cfg.id_col), cfg.id_col, "left_anti")
     )
     return (
-        exposures.join(indexed, [cfg.id_col, treatment_col])
+        lookup_join(exposures, indexed, [cfg.id_col, treatment_col])
         .where(is_in_outcome(F.col(date_col), F.col("idxdate"), cfg.outcome_days))
         .withColumnRenamed(treatment_col, "idxtreatment")
     )

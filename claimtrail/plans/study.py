@@ -11,6 +11,7 @@ from claimtrail.config import StudyConfig
 from claimtrail.operators.conditions import baseline
 from claimtrail.operators.describe import descriptive_stats
 from claimtrail.operators.exposure import exposure, index_cohort
+from claimtrail.operators.joins import lookup_join
 from claimtrail.operators.scan import restrict_to, scan_dx, scan_enrollment, scan_rx
 from claimtrail.operators.supply import clean_supply_days
 from claimtrail.operators.survival import km_survival
@@ -88,8 +89,7 @@ def pull_enrollment(inputs: StudyInputs, cohort: DataFrame, cfg: StudyConfig) ->
 
 def study_claims(claims: DataFrame, cohort: DataFrame, id_col: str = "enrolid") -> DataFrame:
     """Claims of cohort patients with their index date."""
-    days = cohort.select(id_col, "idxdate").distinct()
-    return claims.join(days, id_col)
+    return lookup_join(claims, cohort.select(id_col, "idxdate").distinct(), [id_col])
 
 
 def pull_study(inputs: StudyInputs, cfg: StudyConfig = StudyConfig(), save: Save = keep_lazy) -> dict[str, DataFrame]:

@@ -13,6 +13,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from claimtrail.config import StudyConfig
+from claimtrail.operators.exposure import index_cohort
+from claimtrail.operators.joins import lookup_join
+from claimtrail.sources.scratch import settle
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -185,22 +188,20 @@ class Views:
 
     @cached_property
     def cohort(self) -> DataFrame:
-        from claimtrail.operators.exposure import index_cohort
-
-        return index_cohort(self.rx, self.cfg)
+        return settle(index_cohort(self.rx, self.cfg))
 
     @cached_property
     def idx(self) -> DataFrame:
         in_year = self.rx.where(F.col("svcdate").between(self.cfg.index_start, self.cfg.index_end))
-        return in_year.groupBy("enrolid").agg(F.min("svcdate").alias("idxdate"))
+        return settle(in_year.groupBy("enrolid").agg(F.min("svcdate").alias("idxdate")))
 
     @cached_property
     def sddx(self) -> DataFrame:
-        return self.claims.join(self.idx, "enrolid")
+        return lookup_join(self.claims, self.idx, ["enrolid"])
 
     @cached_property
     def sdadm(self) -> DataFrame:
-        return self.adm.join(self.idx, "enrolid")
+        return lookup_join(self.adm, self.idx, ["enrolid"])
 
     @cached_property
     def visits_days(self) -> DataFrame:
