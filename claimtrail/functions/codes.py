@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 # A code list up to this size is inlined into the plan as hashed IN-sets (no join at all);
 # longer lists go through an equi-join whose strategy Spark picks from measured sizes.
-MAX_INLINE_CODES = 10_000
+MAX_INLINE_CODES = 5_000
 
 
 def clean_icd9(code: Column) -> Column:

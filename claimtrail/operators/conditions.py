@@ -19,10 +19,15 @@ def baseline_claims(claims: DataFrame, cfg: StudyConfig = StudyConfig(), date_co
     return claims.where(in_window & ~is_ruleout(F.col("proc1")))
 
 
-def patient_conditions(dx: DataFrame, id_col: str = "enrolid", dx_cols: Sequence[str] = ("dx1", "dx2")) -> DataFrame:
-    """Distinct (patient, three-character diagnosis); a missing diagnosis is a blank one."""
+def condition_heads(dx: DataFrame, id_col: str = "enrolid", dx_cols: Sequence[str] = ("dx1", "dx2")) -> DataFrame:
+    """(patient, three-character diagnosis) for every diagnosis field; a missing diagnosis is a blank one."""
     heads = [F.coalesce(F.substring(F.trim(c), 1, 3), F.lit("")) for c in dx_cols]
-    return dx.select(id_col, F.explode(F.array(*heads)).alias("icd9_3")).distinct()
+    return dx.select(id_col, F.explode(F.array(*heads)).alias("icd9_3"))
+
+
+def patient_conditions(dx: DataFrame, id_col: str = "enrolid", dx_cols: Sequence[str] = ("dx1", "dx2")) -> DataFrame:
+    """Distinct (patient, three-character diagnosis)."""
+    return condition_heads(dx, id_col, dx_cols).distinct()
 
 
 def condition_frequency(conditions: DataFrame, excluded: DataFrame | Iterable[str] = ()) -> DataFrame:
@@ -51,7 +56,10 @@ def rank_labels_top_n(frequency: DataFrame, n: int = 10) -> DataFrame:
 
 
 def common_conditions(conditions: DataFrame, top: DataFrame, id_col: str = "enrolid") -> DataFrame:
-    """A ``'0'``/``'1'`` flag per top condition for every patient with a baseline claim, in rank order."""
+    """A ``'0'``/``'1'`` flag per top condition for every patient with a baseline claim, in rank order.
+
+    ``conditions`` may repeat its rows: the flags combine before the shuffle.
+    """
     dictionary = flag_dictionary(top, "icd9_3", "icd9_3_rank")
     ordered = dict(sorted(dictionary.items(), key=lambda kv: int(kv[1].rsplit("_", 1)[1])))
     return vec2mat(conditions, id_col, "icd9_3", ordered, numeric=False)
@@ -65,6 +73,6 @@ def baseline(
 ) -> DataFrame:
     """Comorbidity flags, the Charlson index and the common-condition flags per patient."""
     dx = baseline_claims(claims, cfg)
-    conditions = patient_conditions(dx, cfg.id_col, dx_cols)
-    top = rank_labels_top_n(condition_frequency(conditions, disease_codes), cfg.top_conditions)
-    return charlson(dx, cfg.id_col, dx_cols).join(common_conditions(conditions, top, cfg.id_col), cfg.id_col)
+    heads = condition_heads(dx, cfg.id_col, dx_cols)
+    top = rank_labels_top_n(condition_frequency(heads.distinct(), disease_codes), cfg.top_conditions)
+    return charlson(dx, cfg.id_col, dx_cols).join(common_conditions(heads, top, cfg.id_col), cfg.id_col)

@@ -429,7 +429,7 @@ UNION ALL SELECT 'rds.alladm', enrolid, count(*) FROM adm WHERE disdate >= DATE
 UNION ALL SELECT 'rds.allce', enrolid, count(*) FROM spells WHERE dtend >= DATE '1997-01-01' AND dtstart <= DATE '1999-12-31'
  AND enrolid IN (SELECT enrolid FROM allpt) GROUP BY ALL""")
 def study_pull(v: Views):
-    tables = pull_study(inputs(v), v.cfg)
+    tables = pull_study(inputs(v), v.cfg, folder_saver(v.spark))
     counted = [
         df.groupBy("enrolid").agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "enrolid", "n")
         for name, df in tables.items()

@@ -58,7 +58,7 @@ def folder_saver(spark: SparkSession, folder: str | None = None) -> Save:
     def save(name: str, df: DataFrame) -> DataFrame:
         path = f"{folder}/{name}"
         write_folder(df, path)
-        return spark.read.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
 
     return save
 
@@ -125,7 +125,7 @@ def analyse_study(
     hospital = hospitalization(admissions, disease, cfg, proc_cols)
     counts = visit_counts(visits(claims, disease, cfg), cfg.id_col)
     out["ads.outcomes_ru"] = save("ads.outcomes_ru", outcomes_ru(cohort, hospital, counts, cfg))
-    fills = cohort_treatment(exposures, cohort, cfg)
+    out["sds.cohort_treatment"] = fills = save("sds.cohort_treatment", cohort_treatment(exposures, cohort, cfg))
     adhere = adherence(fills, cfg.outcome_days, cfg.id_col)
     persist = persistence(fills, cfg.refill_gap, cfg.drug_followup_days, True, cfg.id_col)
     out["ads.km"] = km_survival(persist)

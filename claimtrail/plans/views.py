@@ -136,12 +136,15 @@ class Views:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.cfg = CONFIG
+        self._read: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return f"{self.sf_dir}/{name}.parquet"
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(self.path(name))
+        return self._read[name]
 
     @cached_property
     def lines(self) -> DataFrame:

@@ -29,10 +29,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: later plans read fixed rows, so a lost executor cannot make two readers disagree."""
-    context = df.sparkSession.sparkContext
-    folder = shared_folder(df.sparkSession)
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+def settle(df: DataFrame, name: str = "settled") -> DataFrame:
+    """Write a table into the shared folder and go on from it: its readers see fixed rows, computed once."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
