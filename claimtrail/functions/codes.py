@@ -28,7 +28,12 @@ def ndc_11(ndc: Column) -> Column:
     return F.when(F.size(parts) == 3, padded).otherwise(zfill(F.translate(ndc, "-", ""), 11))
 
 
-def inline_codes(codes: Iterable[str] | DataFrame, limit: int = MAX_INLINE_CODES) -> list[str] | None:
+def as_list(names: str | Iterable[str]) -> list[str]:
+    """A list, also from text with commas or blanks between the names: ``"pdx, dx1 dx2"``."""
+    return names.replace(",", " ").split() if isinstance(names, str) else list(names)
+
+
+def inline_codes(codes: str | Iterable[str] | DataFrame, limit: int = MAX_INLINE_CODES) -> list[str] | None:
     """The distinct non-empty codes as a Python list, or ``None`` when there are more than ``limit``.
 
     A DataFrame is read with a limit of one row past the bound, so the driver never holds more than that.
@@ -37,7 +42,7 @@ def inline_codes(codes: Iterable[str] | DataFrame, limit: int = MAX_INLINE_CODES
         rows = distinct_codes(codes).limit(limit + 1).collect()
         found = [r[0] for r in rows]
     else:
-        found = list(dict.fromkeys(c for c in codes if c))
+        found = list(dict.fromkeys(c for c in as_list(codes) if c))
     return sorted(found) if len(found) <= limit else None
 
 

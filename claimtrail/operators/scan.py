@@ -8,25 +8,26 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from claimtrail.functions.codes import (
-    MAX_INLINE_CODES, by_length, distinct_codes, has_prefix, inline_codes, is_listed, prefix_of, starts_with_any,
+    MAX_INLINE_CODES, as_list, by_length, distinct_codes, has_prefix, inline_codes, is_listed, prefix_of, starts_with_any,
 )
 from claimtrail.functions.dates import date_filter, interval_overlap
 from claimtrail.operators.joins import lookup_join
 from claimtrail.sources.shards import select_shards
 
-Codes = Iterable[str] | DataFrame
+Codes = str | Iterable[str] | DataFrame
+Names = str | Sequence[str]
 
 
-def _present(columns: Sequence[str], df: DataFrame) -> list[str]:
+def _present(columns: Names, df: DataFrame) -> list[str]:
     have = {c.lower() for c in df.columns}
-    found = [c.lower() for c in columns if c.lower() in have]
+    found = [c.lower() for c in as_list(columns) if c.lower() in have]
     if not found:
-        raise ValueError(f"none of {list(columns)} is a column of the table")
+        raise ValueError(f"none of {as_list(columns)} is a column of the table")
     return found
 
 
 def _given(codes: Codes | None) -> bool:
-    return codes is not None and (isinstance(codes, DataFrame) or bool(list(codes)))
+    return codes is not None and (isinstance(codes, DataFrame) or bool(as_list(codes)))
 
 
 def _explode_matches(df: DataFrame, candidates: list[Column], code_col: str) -> DataFrame:
@@ -38,7 +39,7 @@ def _explode_matches(df: DataFrame, candidates: list[Column], code_col: str) ->
 def prefix_join(
     df: DataFrame,
     codes: Codes,
-    columns: Sequence[str],
+    columns: Names,
     code_col: str = "matched_code",
     max_inline: int = MAX_INLINE_CODES,
 ) -> DataFrame:
@@ -74,7 +75,7 @@ def prefix_join(
 def equal_join(
     df: DataFrame,
     codes: Codes,
-    columns: Sequence[str],
+    columns: Names,
     code_col: str = "matched_code",
     max_inline: int = MAX_INLINE_CODES,
 ) -> DataFrame:
@@ -97,25 +98,25 @@ def equal_join(
 
 def _code_frame(df: DataFrame, codes: Codes, name: str) -> DataFrame:
     if not isinstance(codes, DataFrame):
-        codes = df.sparkSession.createDataFrame([(c,) for c in codes], f"{name} string")
+        codes = df.sparkSession.createDataFrame([(c,) for c in as_list(codes)], f"{name} string")
     return distinct_codes(codes, name)
 
 
-def code_list_df(spark, codes: Iterable[str], name: str) -> DataFrame:
+def code_list_df(spark, codes: str | Iterable[str], name: str) -> DataFrame:
     """A Python code list as a one-column table, without repeats."""
-    return distinct_codes(spark.createDataFrame([(c,) for c in codes], f"{name} string"))
+    return distinct_codes(spark.createDataFrame([(c,) for c in as_list(codes)], f"{name} string"))
 
 
 def scan_dx(
     claims: DataFrame,
     codes: Codes | None = None,
-    dx_cols: Sequence[str] | None = None,
+    dx_cols: Names | None = None,
     start: date | None = None,
     end: date | None = None,
     date_col: str = "svcdate",
     end_col: str | None = None,
-    sources: Sequence[str] | None = None,
-    scopes: Sequence[str] | None = None,
+    sources: Names | None = None,
+    scopes: Names | None = None,
     coalesce_end: bool = False,
     code_col: str | None = None,
 ) -> DataFrame:
@@ -135,12 +136,12 @@ def scan_dx(
 def scan_rx(
     claims: DataFrame,
     codes: Codes | None = None,
-    rx_cols: Sequence[str] | None = None,
+    rx_cols: Names | None = None,
     start: date | None = None,
     end: date | None = None,
     date_col: str = "svcdate",
-    sources: Sequence[str] | None = None,
-    scopes: Sequence[str] | None = None,
+    sources: Names | None = None,
+    scopes: Names | None = None,
     code_col: str | None = None,
 ) -> DataFrame:
     """Claims in the window that carry a listed drug or procedure code exactly; without codes, just the window."""
@@ -159,8 +160,8 @@ def scan_enrollment(
     end: date | None = None,
     begin_col: str = "dtstart",
     end_col: str = "dtend",
-    sources: Sequence[str] | None = None,
-    scopes: Sequence[str] | None = None,
+    sources: Names | None = None,
+    scopes: Names | None = None,
 ) -> DataFrame:
     """Enrolment spells that touch the window."""
     return select_shards(enrollment, sources, scopes).where(

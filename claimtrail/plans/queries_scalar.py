@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from claimtrail.functions.codes import clean_icd9, ndc_11
-from claimtrail.functions.dates import days_since_1960
 from claimtrail.plans.queries_sources import ICD9_SHEET, NDC_SHEET, _sheet
 from claimtrail.plans.registry import query
 from claimtrail.plans.views import Views, with_views
-from claimtrail.sources.tables import normalize
+from claimtrail.sources.tables import classify_variables, dates_to_day_numbers, list_columns, normalize
 
 
 @query("clean_icd9", f"WITH i AS ({ICD9_SHEET}) SELECT row_no, icd9, regexp_replace(icd9, '[x.]', '', 'g') AS cleaned FROM i")
@@ -94,7 +93,8 @@ def date_arithmetic(v: Views):
 
 @query("days_since_1960", "SELECT event_id, date_diff('day', DATE '1960-01-01', CAST(ts AS DATE)) AS days FROM events")
 def days_since_1960_query(v: Views):
-    return v.table("events").select("event_id", days_since_1960(F.col("ts")).cast("long").alias("days"))
+    numbered = dates_to_day_numbers(v.table("events").select("event_id", "ts"))
+    return numbered.select("event_id", F.col("ts").cast("long").alias("days"))
 
 
 @query("row_min_max_sum", with_views("claims") + """
@@ -122,3 +122,29 @@ SELECT left(dx1, 4) AS icd4, count(*) AS n FROM claims WHERE left(dx1, 4) >= '42
 def string_range(v: Views):
     heads = v.claims.select(F.substring("dx1", 1, 4).alias("icd4"))
     return heads.where(F.col("icd4").between("4254", "4399")).groupBy("icd4").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("classify_variables", """SELECT 'continuous' AS kind, 'c_acctbal' AS varname, count(c_acctbal) AS n FROM customer
+UNION ALL SELECT 'categorical', 'c_nationkey', count(c_nationkey) FROM customer
+UNION ALL SELECT 'categorical', 'c_mktsegment', count(c_mktsegment) FROM customer
+UNION ALL SELECT 'dichotomous', 'c_name', count(c_name) FROM customer""")
+def classify_variables_query(v: Views):
+    customers = v.table("customer")
+    kinds = classify_variables(customers, ["C_NATIONKEY", "C_MKTSEGMENT"], ["c_custkey"])
+    pairs = [(kind, name) for kind, names in kinds.items() for name in names]
+    counted = customers.agg(*[F.count(name).alias(name) for _, name in pairs])
+    rows = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(n).alias("varname"), F.col(n).alias("n")) for k, n in pairs])
+    return counted.select(F.inline(rows))
+
+
+@query("list_columns", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, {i} AS place, count({c}) AS filled FROM orders"
+    for i, c in enumerate(["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"])))
+def list_columns_query(v: Views):
+    orders = v.table("orders")
+    names = list_columns(orders)
+    counted = orders.agg(*[F.count(name).alias(name) for name in names])
+    rows = F.array(*[
+        F.struct(F.lit(n).alias("column_name"), F.lit(i).alias("place"), F.col(n).alias("filled")) for i, n in enumerate(names)
+    ])
+    return counted.select(F.inline(rows))

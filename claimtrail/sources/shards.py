@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from claimtrail.functions.codes import as_list
+
 SHARD_COLUMNS = ("source", "scope", "year")
 
 
@@ -33,12 +35,12 @@ def union_columns(shards: dict[str, DataFrame]) -> DataFrame:
 
 def select_shards(
     claims: DataFrame,
-    sources: Sequence[str] | None = None,
-    scopes: Sequence[str] | None = None,
+    sources: str | Sequence[str] | None = None,
+    scopes: str | Sequence[str] | None = None,
     years: Sequence[int] | None = None,
 ) -> DataFrame:
     """Keep the named sources, scopes and years. On a partitioned table this prunes partitions."""
     for column, wanted in zip(SHARD_COLUMNS, (sources, scopes, years)):
         if wanted is not None:
-            claims = claims.where(F.col(column).isin(list(wanted)))
+            claims = claims.where(F.col(column).isin(as_list(wanted)))
     return claims

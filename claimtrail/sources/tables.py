@@ -8,6 +8,9 @@ from pathlib import PurePosixPath
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from claimtrail.functions.codes import as_list
+from claimtrail.functions.dates import days_since_1960
+
 
 def normalize(df: DataFrame, date_cols: Sequence[str] = (), string_cols: Sequence[str] = ()) -> DataFrame:
     """Lower-case column names, named date columns as DATE, named code columns as text."""
@@ -17,6 +20,12 @@ def normalize(df: DataFrame, date_cols: Sequence[str] = (), string_cols: Sequenc
     return out.withColumns(casts) if casts else out
 
 
+def dates_to_day_numbers(df: DataFrame) -> DataFrame:
+    """Every date and timestamp column as whole days from 1960-01-01."""
+    dated = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))]
+    return df.withColumns({name: days_since_1960(F.col(name)) for name in dated}) if dated else df
+
+
 def create_libraries(spark: SparkSession, names: Iterable[str]) -> None:
     for name in names:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
@@ -106,7 +115,7 @@ def column_dtypes(df: DataFrame) -> list[tuple[str, str]]:
 
 def expand_var_range(df: DataFrame, names: str | Sequence[str]) -> list[str]:
     """``"age, dx1-dx4"`` -> column names in the list's order. ``dx1-dx4`` is a numbered range."""
-    parts = names.replace(",", " ").split() if isinstance(names, str) else list(names)
+    parts = as_list(names)
     have = list_columns(df)
     found: list[str] = []
     for part in (p.lower() for p in parts):

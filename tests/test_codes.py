@@ -135,3 +135,10 @@ def test_generic_fans_out_and_id_filters(spark):
 
 def test_code_list_df(spark):
     assert rows(code_list_df(spark, ["b", "a", "b", ""], "rx")) == [("a",), ("b",)]
+
+
+def test_lists_as_text(spark):
+    df = spark.createDataFrame([("4101", "9", "ccae", "o"), ("5", "69", "mdcr", "s")], "pdx string, dx1 string, source string, scope string")
+    assert rows(prefix_join(df, "410, 69", "pdx dx1", "code"), "code") == [("410",), ("69",)]
+    assert rows(equal_join(df, "5 9", "pdx,dx1", "code", 1), "code") == [("5",), ("9",)]
+    assert scan_dx(df, "410,69", "pdx, dx1", sources="ccae,mdcr", scopes="s").count() == 1
