@@ -41,8 +41,8 @@ def rules() -> list[tuple[int, int, str, str]]:
     return out
 
 
-def group_condition(number: int, code: Column) -> Column:
-    """The (trimmed, upper-case) code belongs to the comorbidity group."""
+def group_condition(number: int, prefixes: dict[int, Column]) -> Column:
+    """The code belongs to the comorbidity group; ``prefixes`` holds its first 3, 4 and 5 characters."""
     hit = F.lit(False)
     singles: dict[int, list[str]] = {}
     for group, length, low, high in rules():
@@ -51,20 +51,29 @@ def group_condition(number: int, code: Column) -> Column:
         if low == high:
             singles.setdefault(length, []).append(low)
         else:
-            hit = hit | F.substring(code, 1, length).between(low, high)
+            hit = hit | prefixes[length].between(low, high)
     for length, values in singles.items():
-        hit = hit | F.substring(code, 1, length).isin(values)
+        hit = hit | prefixes[length].isin(values)
     return hit
 
 
-def group_mask(dx: Column) -> Column:
+def _may_count(icd3: Column) -> Column:
+    """The first three characters occur in some rule. Most codes end here, without a look at the rules."""
+    heads = {(low[:3], high[:3]) for _, _, low, high in rules()}
+    hit = icd3.isin(sorted(low for low, high in heads if low == high))
+    for low, high in sorted(heads):
+        if low != high:
+            hit = hit | icd3.between(low, high)
+    return hit
+
+
+def group_mask(prefixes: dict[int, Column]) -> Column:
     """The comorbidity groups of one diagnosis as bits: group 1 is bit 0."""
-    code = F.upper(F.ltrim(dx))
-    mask = F.lit(0).cast("long")
+    mask = F.lit(0)
     for number, *_ in GROUPS:
-        bit = F.when(group_condition(number, code), F.lit(1 << (number - 1))).otherwise(F.lit(0))
-        mask = mask.bitwiseOR(bit.cast("long"))
-    return F.coalesce(mask, F.lit(0).cast("long"))
+        bit = F.when(group_condition(number, prefixes), F.lit(1 << (number - 1))).otherwise(F.lit(0))
+        mask = mask.bitwiseOR(bit)
+    return F.when(_may_count(prefixes[3]), mask).otherwise(F.lit(0))
 
 
 def charlson(dx: DataFrame, id_col: str = "enrolid", dx_cols: Sequence[str] = ("dx1", "dx2"), char_flags: bool = True) -> DataFrame:
@@ -73,8 +82,10 @@ def charlson(dx: DataFrame, id_col: str = "enrolid", dx_cols: Sequence[str] = ("
     What a patient's claims have in common is one number, or-ed before and after the shuffle, so a patient with many
     claims costs no more to bring together than any other.
     """
-    codes = dx.select(id_col, F.explode(F.array(*dx_cols)).alias("_dx"))
-    masks = codes.select(id_col, group_mask(F.col("_dx")).alias("_mask"))
+    heads = [F.coalesce(F.upper(F.substring(F.ltrim(F.col(c)), 1, 5)), F.lit("")) for c in dx_cols]
+    codes = dx.select(id_col, F.explode(F.array(*heads)).alias("_5"))
+    cut = codes.withColumn("_4", F.substring("_5", 1, 4)).withColumn("_3", F.substring("_5", 1, 3))
+    masks = cut.select(id_col, group_mask({n: F.col(f"_{n}") for n in (3, 4, 5)}).alias("_mask"))
     found = masks.groupBy(id_col).agg(F.bit_or("_mask").alias("_mask"))
     kind = "string" if char_flags else "int"
     flags, index = [], F.lit(0)

@@ -13,8 +13,10 @@ def dedupe_keep_max_supply(
     """One row per key: the largest supply, missing last. Ties are settled by the kept columns.
 
     The first-row filter on the row number is applied by each map task before the shuffle as well, so copies of one
-    claim do not travel.
+    claim do not travel. Without kept columns it is a plain maximum.
     """
+    if not keep:
+        return df.groupBy(*keys).agg(F.max(supply_col).alias(supply_col))
     order = [F.col(supply_col).desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in keep]]
     numbered = df.select(*keys, supply_col, *keep).withColumn(
         "_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))

@@ -16,7 +16,7 @@ def icd9_list(sheet: DataFrame, order_col: str = "row_no") -> DataFrame:
 
 
 def ndc_list(sheet: DataFrame) -> DataFrame:
-    return sheet.withColumn("ndc", ndc_11(F.col("ndc"))).where(F.col("ndc").isNotNull())
+    return sheet.where(F.col("ndc").isNotNull()).withColumn("ndc", ndc_11(F.col("ndc")))
 
 
 def hcpcs_list(sheet: DataFrame) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
+import re
 from pathlib import Path
 
 import duckdb
@@ -51,3 +54,17 @@ def test_plans_stay_in_spark(spark, plan, name):
         text = plan(entry.queries()[query](spark, DATA))
         for word in ("BroadcastNestedLoopJoin", "CartesianProduct", "Python"):
             assert word not in text, query
+
+
+@pytest.mark.parametrize("name", ["charlson", "baseline", "visit_counts", "hospitalization", "dx_prefix_join"])
+def test_generated_methods_can_be_compiled(spark, name):
+    """HotSpot leaves methods above 8,000 bytes to the interpreter, several times slower."""
+    shown = io.StringIO()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        with contextlib.redirect_stdout(shown):
+            entry.queries()[name](spark, DATA).explain("codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", shown.getvalue())]
+    assert sizes and max(sizes) < 8_000

@@ -23,7 +23,7 @@ def test_clean_supply(spark, plan):
         (1, D1, "a", 60, "F"), (2, D1, "a", 30, "M"), (2, D2, "a", 30, "M"), (3, D1, "a", 30, "M"), (4, D1, "a", 30, "M"),
     ]
     assert rows(clean_supply_days(df)) == [r[:4] for r in rows(cleaned)]
-    assert "WindowGroupLimit" in plan(dedupe_keep_max_supply(df, ["enrolid", "svcdate", "ndcnum"]))
+    assert "WindowGroupLimit" in plan(dedupe_keep_max_supply(df, ["enrolid", "svcdate", "ndcnum"], keep=["sex"]))
 
 
 def test_supply_mode_counts_only_positive(spark):
