@@ -181,7 +181,7 @@ def flag_prefix(
     hit = F.lit(False)
     if known is not None:
         for name, condition in conditions.items():
-            hit = hit | (condition & starts_with_any(name, known))
+            hit = hit | (starts_with_any(name, known) & condition)
         return df.withColumn(flag_col, hit)
 
     listed = _code_frame(df, codes, "_listed")

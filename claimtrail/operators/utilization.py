@@ -26,10 +26,9 @@ def hospitalization(
     Rows of one admission day are merged first, before and after the shuffle, so the count per patient runs over days.
     """
     stays = admissions.where(is_in_outcome(F.col("admdate"), F.col("idxdate"), cfg.outcome_days, F.col("disdate")))
-    real_procedure = F.lit(False)
-    for name in proc_cols:
-        written = F.coalesce(F.trim(name), F.lit("")) != ""
-        real_procedure = real_procedure | (written & ~is_ruleout(F.col(name)))
+    # over an array, not fifteen times in a row: that would outgrow what the JVM compiles
+    procs = F.array(*[F.coalesce(F.rtrim(F.col(c)), F.lit("")) for c in proc_cols])
+    real_procedure = F.exists(procs, lambda p: (p != "") & ~is_ruleout(p))
     flagged = flag_prefix(stays, {"pdx": real_procedure}, disease_codes, "_disease")
     days = flagged.groupBy(cfg.id_col, "admdate").agg(F.max("_disease").alias("_disease"))
     return days.groupBy(cfg.id_col).agg(
