@@ -5,24 +5,29 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql import types as T
 
-DATES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 MAX_BROADCAST_ROWS = 500_000
 SALTS = 16
 
 
-def salted_join(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner", salts: int = SALTS) -> DataFrame:
+def salted_join(
+    df: DataFrame,
+    small: DataFrame,
+    keys: Sequence[str],
+    how: str = "inner",
+    salts: int = SALTS,
+    salt_on: Sequence[str] | None = None,
+) -> DataFrame:
     """Shuffle join in which the rows of one key go to ``salts`` tasks instead of one.
 
-    The salt is a hash of the row's dates (of the whole row if it has none), so a recomputed task sends its rows to the
-    same places and no other column has to be read for it. ``small`` is repeated once per salt. ``how`` may be any join
-    that keeps or drops rows of ``df`` one by one.
+    The salt is a hash of the row (or of ``salt_on``), so a recomputed task sends its rows to the same places; select the
+    needed columns first. Exact copies of one row share a salt; since nothing downstream can reuse the salted
+    partitioning, adaptive execution is free to split their partition. ``small`` is repeated once per salt. ``how`` may be
+    any join that keeps or drops rows of ``df`` one by one.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot salt a {how} join")
-    dated = [f.name for f in df.schema.fields if isinstance(f.dataType, DATES) and f.name not in keys]
-    salt = F.pmod(F.xxhash64(*(dated or df.columns)), F.lit(salts)).cast("int")
+    salt = F.pmod(F.xxhash64(*(salt_on or df.columns)), F.lit(salts)).cast("int")
     left = df.withColumn("_salt", salt)
     right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [*keys, "_salt"], how).drop("_salt")

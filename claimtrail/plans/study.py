@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from claimtrail.config import StudyConfig
+from claimtrail.functions.codes import inline_codes
 from claimtrail.operators.conditions import baseline
 from claimtrail.operators.describe import descriptive_stats
 from claimtrail.operators.exposure import exposure, index_cohort
@@ -119,7 +120,9 @@ def analyse_study(
     save: Save = keep_lazy,
 ) -> dict[str, DataFrame]:
     """Analysis tables from the study cohort and its claims (which carry ``idxdate``)."""
-    disease = codes_of(icd9, "icd9", cfg.disease)
+    listed = codes_of(icd9, "icd9", cfg.disease)
+    inlined = inline_codes(listed)
+    disease = listed if inlined is None else inlined
     proc_cols = proc_cols or [c for c in admissions.columns if c.startswith("proc")]
     out = {"ads.baseline": save("ads.baseline", baseline(claims, disease, cfg))}
     hospital = hospitalization(admissions, disease, cfg, proc_cols)
