@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimtrail.llm import decontaminate
+from claimtrail.llm import decontaminate, line_dedup, simhash_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -29,3 +29,13 @@ def query(name: str, sql: str | None = None):
 @query("op10_benchmark_decontamination", decontaminate.SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op7_line_dedup", line_dedup.SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(table(spark, sf_dir, "documents"))
+
+
+@query("op8_simhash_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.digest(table(spark, sf_dir, "documents"))
