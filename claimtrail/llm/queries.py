@@ -6,12 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimtrail.llm import decontaminate, line_dedup, simhash_dedup
+from claimtrail.llm import decontaminate, line_dedup, sentencepiece_bpe, simhash_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+def tokenizer(name: str = "piece_bpe_32k.model") -> str:
+    """Path of one of the installed public tokenizers' files."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -39,3 +46,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_simhash_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.digest(table(spark, sf_dir, "documents"))
+
+
+@query("op4_sentencepiece")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_bpe.digest(table(spark, sf_dir, "documents"), tokenizer())
