@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimtrail.llm import decontaminate, line_dedup, sentencepiece_bpe, simhash_dedup
+from claimtrail.llm import decontaminate, line_dedup, quality_gbt, quality_knn, sentencepiece_bpe, simhash_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -51,3 +51,13 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_sentencepiece")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.digest(table(spark, sf_dir, "documents"), tokenizer())
+
+
+@query("op2_quality_rules")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_gbt.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op1_quality_classifier")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_knn.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

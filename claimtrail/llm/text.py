@@ -53,11 +53,12 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about ``limit`` bytes together; a longer text stands alone, whole."""
+def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES, texts: int = 1 << 62) -> Iterator[tuple[int, int]]:
+    """Ranges of at most ``texts`` texts and about ``limit`` bytes together; a longer text stands alone, whole."""
     first, n = 0, len(offsets) - 1
     while first < n:
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1)
+        last = min(last, first + texts)
         yield first, last
         first = last
 
@@ -69,7 +70,7 @@ class Words:
     """
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, separators: np.ndarray):
-        self.data = data
+        self.data, self.offsets = data, offsets
         word = ~separators[data]
         begins, stops = word.copy(), word.copy()
         begins[1:] &= ~word[:-1]
@@ -102,10 +103,10 @@ class Words:
         return h
 
 
-def each_chunk(column: pa.Array, separators: np.ndarray, lower: bool = False) -> Iterator[tuple[int, int, Words]]:
+def each_chunk(column: pa.Array, separators: np.ndarray, lower: bool = False, texts: int = 1 << 62) -> Iterator[tuple[int, int, Words]]:
     """The words of a column's texts by chunks: first text, last text (exclusive), words."""
     data, offsets = text_bytes(column)
-    for first, last in chunks(offsets):
+    for first, last in chunks(offsets, texts=texts):
         part = data[offsets[first] : offsets[last]]
         yield first, last, Words(lower_ascii(part) if lower else part, offsets[first : last + 1] - offsets[first], separators)
 
