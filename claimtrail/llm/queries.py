@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimtrail.llm import chat_format, decontaminate, line_dedup, quality_gbt, quality_knn, sentencepiece_bpe, simhash_dedup
+from claimtrail.llm import chat_format, decontaminate, line_dedup, quality_gbt, quality_knn, sentencepiece_bpe, sharding, simhash_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -66,3 +66,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_chat_format", chat_format.SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digest(chat_format.format_records(chat_format.with_tricky(table(spark, sf_dir, "conversations"))))
+
+
+@query("op5_sharding", sharding.SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents"))
