@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimtrail.llm import chat_format, decontaminate, line_dedup, quality_gbt, quality_knn, sentencepiece_bpe, sharding, simhash_dedup
+from claimtrail.llm import chat_format, decontaminate, line_dedup, pii_feistel, quality_gbt, quality_knn, sentencepiece_bpe, sharding, simhash_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -71,3 +71,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_sharding", sharding.SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"))
+
+
+@query("op9_pii_pseudonyms")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_feistel.digest(table(spark, sf_dir, "documents"))
