@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimtrail.llm import chat_format, decontaminate, line_dedup, pii_feistel, quality_gbt, quality_knn, sentencepiece_bpe, sharding, simhash_dedup
+from claimtrail.llm import chat_format, decontaminate, line_dedup, pii_feistel, quality_gbt, quality_knn, sentencepiece_bpe, sharding, simhash_dedup, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -76,3 +76,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_pii_pseudonyms")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_feistel.digest(table(spark, sf_dir, "documents"))
+
+
+@query("op3_substring_dedup", substring_dedup.SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(table(spark, sf_dir, "documents"))
