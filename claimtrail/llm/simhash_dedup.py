@@ -1,16 +1,22 @@
 """SimHash near-dedup with bit-sliced distances.
 
-A fingerprint has a bit for each of the 64 hash bits that is set in over half of the hashes of a text's word shingles. Equal
-fingerprints are one node, so copies cost nothing after the first grouping. Nodes that differ in at most ``radius`` bits agree in
-all but ``radius`` of the blocks their bits are cut into, so nodes are compared only inside buckets of equal blocks:
+A fingerprint has a bit for each hash bit that is set in over half of the hashes of a text's word shingles; beyond 64 bits, the
+further ones come from the same hashes mixed anew. Equal fingerprints are one node, so copies cost nothing after the first grouping.
+Nodes are compared only inside buckets:
 
-* the number of blocks follows the number of nodes, so that a bucket of unrelated nodes stays small;
-* a bucket of over ``TILE`` nodes is dealt in tiles, every two of which are compared in one group;
-* a bucket of over ``TILE * MAX_TILES`` nodes is cut again by finer blocks, which leave at most 4,096 different nodes in a bucket.
+* *Exact* (``keys`` 0, 64 bits): nodes that differ in at most ``radius`` bits agree in all but ``radius`` of the blocks their bits are
+  cut into, so a bucket is a choice of equal blocks. The number of blocks follows the number of nodes, so that a bucket of unrelated
+  nodes stays small. For a radius of a few bits.
+* *By shingles* (``keys`` K): a bucket is one of K minimum hashes of a text's shingles. Texts whose shingle sets have similarity s share no
+  bucket with probability (1 - s) ** K. For wide fingerprints and radii that no choice of blocks serves.
+
+A bucket of over ``TILE`` nodes is dealt in tiles, every two of which are compared in one group; an exact bucket of over
+``TILE * MAX_TILES`` nodes is cut again by finer blocks, which leave at most 4,096 different nodes in a bucket.
 
 Inside a bucket the nodes' bits stand in vertical planes, 64 nodes to a machine word; a probe's distances to a whole word are counted
-by carry-save steps of bitwise operations, plane by plane, and words whose 64 distances all exceed the radius are abandoned. Links of
-a bucket shrink to a star before they leave the task.
+by carry-save steps of bitwise operations, plane by plane, and words whose 64 distances all exceed the radius are abandoned. Nodes near
+a bucket's first nodes are united beforehand, and nodes already united are not compared. Links of a bucket shrink to a star before
+they leave the task.
 
 Defined cases: a text of fewer words than a shingle is one shingle; a null, empty or blank text has fingerprint zero and is linked
 like any other. Repeated rows share fingerprint and component. A null doc_id names no component; a component of such rows only
@@ -27,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from claimtrail.llm.components import components
-from claimtrail.llm.text import U64, chunks
+from claimtrail.llm.text import U64, chunks, mix
 from claimtrail.sources.scratch import settle
 
 SHINGLE = 3
@@ -35,6 +41,7 @@ RADIUS = 3
 SEED = 42
 TILE = 4096
 MAX_TILES = 64
+LEADERS = 3
 BUCKET = 256  # nodes of a bucket wanted on average
 _SLICE = 1 << 16
 _PAIRS = 1 << 14
@@ -52,11 +59,10 @@ def shingle_hashes(text: bytes, size: int = SHINGLE) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, runs, repeat(SEED)), U64, len(words) - size + 1)
 
 
-def majority(hashes: list[np.ndarray]) -> np.ndarray:
-    """For each array of hashes, the bits set in over half of them."""
-    sizes = np.array([len(h) for h in hashes])
-    counts = np.zeros((len(hashes), 64), np.int64)
-    flat, owner = np.concatenate([*hashes, np.zeros(0, U64)]), np.repeat(np.arange(len(hashes)), sizes)
+def majority(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """For each run of hashes of these sizes, the bits set in over half of them."""
+    counts = np.zeros((len(sizes), 64), np.int64)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
     for at in range(0, len(flat), _SLICE):
         bits = np.unpackbits(flat[at : at + _SLICE].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         mine = owner[at : at + _SLICE]
@@ -65,21 +71,36 @@ def majority(hashes: list[np.ndarray]) -> np.ndarray:
     return np.packbits(2 * counts > sizes[:, None], axis=1, bitorder="little").view("<u8")[:, 0]
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id`` and ``fp``, the fingerprint as a signed number."""
+def _remixed(flat: np.ndarray, n: int) -> np.ndarray:
+    """The hashes themselves for n = 0, else another hash of each."""
+    return mix(flat ^ U64(n * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) if n else flat
+
+
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, words: int = 1, keys: int = 0) -> DataFrame:
+    """``doc_id``, the fingerprint as ``words`` signed numbers ``fp0``, ``fp1``..., and ``keys`` minimum hashes of the shingles."""
+    names = ["doc_id", *(f"fp{i}" for i in range(words)), "keys"]
 
     def compute(batches):
         for batch in batches:
-            column, found = batch.column("text"), []
-            texts = column.cast(pa.large_binary()).fill_null(b"").to_pylist()
+            texts = batch.column("text").cast(pa.large_binary()).fill_null(b"").to_pylist()
             offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
+            prints, least = np.zeros((words, len(texts)), U64), np.zeros((len(texts), keys), U64)
             for first, last in chunks(offsets):
-                found.append(majority([shingle_hashes(t, shingle) for t in texts[first:last]]))
-            fp = np.concatenate([*found, np.zeros(0, U64)]).astype(U64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp)], ["doc_id", "fp"])
+                hashes = [shingle_hashes(t, shingle) for t in texts[first:last]]
+                sizes = np.array([len(h) for h in hashes])
+                flat = np.concatenate([*hashes, np.zeros(0, U64)])
+                for i in range(words):
+                    prints[i, first:last] = majority(_remixed(flat, i), sizes)
+                full = np.flatnonzero(sizes)
+                for k in range(keys if len(full) else 0):
+                    begin = (np.cumsum(sizes) - sizes)[full]
+                    least[first + full, k] = np.minimum.reduceat(_remixed(flat, words + 1 + k), begin)
+            keyed = pa.ListArray.from_arrays(np.arange(len(texts) + 1, dtype=np.int32) * keys, pa.array(least.reshape(-1).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(p.view(np.int64)) for p in prints), keyed], names)
 
     ids = docs.select("doc_id", "text")
-    return ids.mapInArrow(compute, f"doc_id {ids.schema['doc_id'].dataType.simpleString()}, fp bigint")
+    kind = ids.schema["doc_id"].dataType.simpleString()
+    return ids.mapInArrow(compute, f"doc_id {kind}, " + "".join(f"fp{i} bigint, " for i in range(words)) + "keys array<bigint>")
 
 
 def block_masks(blocks: int, radius: int = RADIUS, free: int = -1) -> list[int]:
@@ -106,49 +127,53 @@ def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
-def sliced_links(fp: np.ndarray, group: np.ndarray, radius: int = RADIUS):
-    """Yield arrays (i, j), i < j, of the rows of one group within ``radius`` bits of each other. ``group`` is sorted."""
-    n = len(fp)
-    words = -(-n // 64)
+def _planes(fp: np.ndarray) -> np.ndarray:
+    """Bits of one fingerprint word as planes: plane, word of 64 rows."""
+    words = -(-len(fp) // 64)
     lanes = np.zeros(words * 64, U64)
-    lanes[:n] = fp
-    bits = np.unpackbits(lanes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")  # row, plane
-    planes = np.packbits(bits.T.reshape(64, words, 64), axis=2, bitorder="little").view("<u8")[..., 0]  # plane, word of 64 rows
-    stop = np.searchsorted(group, group, "right")
-    begin = np.searchsorted(group, group, "left")
+    lanes[: len(fp)] = fp
+    bits = np.unpackbits(lanes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return np.packbits(bits.T.reshape(64, words, 64), axis=2, bitorder="little").view("<u8")[..., 0]
+
+
+def sliced_links(fps: list[np.ndarray], group: np.ndarray, label: np.ndarray, radius: int = RADIUS):
+    """Yield arrays (i, j), i < j, of the rows of one group, not of one label, within ``radius`` bits of each other.
+
+    Rows are in order of group and label. Pairs of one label may be left out or not.
+    """
+    n = len(group)
+    words = -(-n // 64)
+    planes = np.concatenate([_planes(fp) for fp in fps])
+    stop, begin = np.searchsorted(group, group, "right"), np.searchsorted(group, group, "left")
     first = np.arange(words) * 64
-    until = stop[np.minimum(first + 63, n - 1)]
-    counts = until - first
+    last = np.minimum(first + 63, n - 1)
+    one_label = (label[first] == label[last]) & (group[first] == group[last])
+    counts = stop[last] - first
     ends = np.cumsum(counts)
     levels = max(1, radius.bit_length())
+    spare = (1 << levels) - 1 - radius  # counters start here, so that they run over beyond the radius
     for low in range(0, int(ends[-1]), _PAIRS):
         pair = np.arange(low, min(low + _PAIRS, int(ends[-1])))
         word = np.searchsorted(ends, pair, "right")
         probe = first[word] + pair - (ends[word] - counts[word])
         head = np.maximum(begin[probe] - first[word], 0)  # lanes of the probe's group, before the probe
         size = np.minimum(probe - first[word], 64) - head
-        keep = size > 0
+        keep = (size > 0) & ~(one_label[word] & (label[first[word]] == label[probe]) & (group[first[word]] == group[probe]))
         word, probe, head, size = word[keep], probe[keep], head[keep].astype(U64), size[keep].astype(U64)
         over = ~((_ONES >> (U64(64) - size)) << head)
-        ones = [np.zeros(len(word), U64) for _ in range(levels)]
-        value = fp[probe]
-        for plane in range(64):
-            carry = planes[plane][word] ^ (U64(0) - (value >> U64(plane) & U64(1)))
+        ones = [np.full(len(word), _ONES if spare >> k & 1 else U64(0)) for k in range(levels)]
+        for plane in range(len(planes)):
+            value = fps[plane // 64][probe] >> U64(plane % 64) & U64(1)
+            carry = planes[plane][word] ^ (U64(0) - value)
             for k in range(levels):
                 ones[k], carry = ones[k] ^ carry, ones[k] & carry
             over |= carry
             if plane % 8 == 7:
                 alive = over != _ONES
                 if alive.sum() < 0.7 * len(alive):
-                    word, probe, value, over, ones = word[alive], probe[alive], value[alive], over[alive], [c[alive] for c in ones]
+                    word, probe, over, ones = word[alive], probe[alive], over[alive], [c[alive] for c in ones]
                 if not len(word):
                     break
-        if radius != (1 << levels) - 1:  # counts between the radius and the counters' limit
-            for r in range(radius + 1, 1 << levels):
-                same = np.full(len(word), _ONES)
-                for k in range(levels):
-                    same &= ones[k] if r >> k & 1 else ~ones[k]
-                over |= same
         near = np.unpackbits((~over).astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         row, lane = np.nonzero(near)
         if len(row):
@@ -168,70 +193,106 @@ def unite(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
             label = next_
 
 
-def _bucket_stars(radius: int):
+def _bucket_stars(words: int, radius: int):
     def stars(batches):
         table = pa.Table.from_batches(list(batches))
-        if not table.num_rows:
+        n = table.num_rows
+        if not n:
             return
-        node, fp, g1, g2 = (table.column(c).to_numpy() for c in ("node", "fp", "bucket", "part"))
+        node, g1, g2 = (table.column(c).to_numpy() for c in ("node", "bucket", "part"))
         order = np.lexsort((node, g2, g1))
-        node, fp, g1, g2 = node[order], fp[order].view(U64), g1[order], g2[order]
+        node, g1, g2 = node[order], g1[order], g2[order]
+        fps = [table.column(f"fp{i}").to_numpy()[order].view(U64) for i in range(words)]
         group = np.cumsum(np.r_[False, (g1[1:] != g1[:-1]) | (g2[1:] != g2[:-1])])
-        label = np.arange(len(node))
-        for i, j in sliced_links(fp, group, radius):
+        begin = np.searchsorted(group, np.arange(group[-1] + 1))
+        label = np.arange(n)
+        for _ in range(LEADERS):  # the first row of each group, then the first that none before is near to
+            leader = begin[group]
+            near = sum(np.bitwise_count(fp ^ fp[leader]).astype(np.int64) for fp in fps) <= radius
+            label = unite(label, leader[near], np.flatnonzero(near))
+            apart = np.flatnonzero(label != label[leader])
+            begin[group[apart[::-1]]] = apart[::-1]
+        order = np.lexsort((label, group))
+        where = np.empty(n, np.int64)
+        where[order] = np.arange(n)
+        fps, node, group, label = [fp[order] for fp in fps], node[order], group[order], where[label[order]]
+        smallest = np.full(n, n)
+        np.minimum.at(smallest, label, np.arange(n))  # labels are the first row of their component
+        label = smallest[label]
+        for i, j in sliced_links(fps, group, label.copy(), radius):
             label = unite(label, i, j)
-        linked = np.flatnonzero(label != np.arange(len(node)))
-        yield pa.RecordBatch.from_arrays([pa.array(node[linked]), pa.array(node[label[linked]])], ["u", "v"])
+        root = np.full(n, np.iinfo(np.int64).max)
+        np.minimum.at(root, label, node)
+        linked = np.flatnonzero(node != root[label])
+        yield pa.RecordBatch.from_arrays([pa.array(node[linked]), pa.array(root[label[linked]])], ["u", "v"])
 
     return stars
 
 
+def _prints(words: int) -> list[str]:
+    return [f"fp{i}" for i in range(words)]
+
+
 def _keyed(nodes: DataFrame, masks: list[int], level: int) -> DataFrame:
     """A row for each node and mask. ``bucket`` stands for (mask, masked bits); a clash only adds comparisons."""
     listed = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(_signed(m)).alias("m")) for i, m in enumerate(masks)])
-    rows = nodes.select("node", "fp", F.explode(listed).alias("_mask"))
-    return rows.select("node", "fp", F.xxhash64(F.lit(level), "_mask.i", F.col("fp").bitwiseAND(F.col("_mask.m"))).alias("bucket"), F.col("_mask.i").alias("mask"))
-
-
-def links(nodes: DataFrame, radius: int = RADIUS, tile: int = TILE, max_tiles: int = MAX_TILES) -> DataFrame:
-    """Edges ``u, v`` between nodes (``node``, ``fp``) that connect all nodes within ``radius`` bits and no others."""
-    masks = block_masks(blocks_for(nodes.count(), radius), radius)
-    keyed = _keyed(nodes, masks, 0)
+    rows = nodes.select("node", "fp0", F.explode(listed).alias("_mask"))
+    bucket = F.xxhash64(F.lit(level), "_mask.i", F.col("fp0").bitwiseAND(F.col("_mask.m")))
+    return rows.select("node", "fp0", bucket.alias("bucket"), F.col("_mask.i").alias("mask"))
+
+
+def links(nodes: DataFrame, radius: int = RADIUS, words: int = 1, keys: int = 0, tile: int = TILE, max_tiles: int = MAX_TILES) -> DataFrame:
+    """Edges ``u, v`` between nodes (``node``, their fingerprint, their ``keys``) that connect the same nodes as all links do."""
+    prints = _prints(words)
+    if keys:
+        masks = []
+        keyed = nodes.select("node", *prints, F.posexplode("keys").alias("mask", "bucket"))
+    else:
+        if words > 1:
+            raise ValueError("fingerprints of over 64 bits are compared by shingles: give keys")
+        masks = block_masks(blocks_for(nodes.count(), radius), radius)
+        keyed = _keyed(nodes, masks, 0)
     sizes = settle(keyed.groupBy("bucket", "mask").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
     largest = sizes.agg(F.max("n")).first()[0] or 0
     sized = keyed.join(sizes, ["bucket", "mask"])
     tiles = F.ceil(F.col("n") / tile)
-    own = F.pmod(F.xxhash64("node", "fp"), tiles)
+    own = F.pmod(F.xxhash64("node", *prints), tiles)
     pairs = F.transform(F.sequence(F.lit(0).cast("bigint"), tiles - 1), lambda other: F.least(own, other) * tiles + F.greatest(own, other))
-    dealt = sized.where(tiles <= max_tiles).select("node", "fp", "bucket", F.explode(pairs).alias("part"))
-    if largest > tile * max_tiles:
+    tiled = sized.where(tiles <= max_tiles) if masks else sized
+    dealt = tiled.select("node", *prints, "bucket", F.explode(pairs).alias("part"))
+    if masks and largest > tile * max_tiles:
         huge = sized.where(tiles > max_tiles)
         for i, mask in enumerate(masks):
             free = ~mask & ((1 << 64) - 1)
             # blocks of 4 bits: what a finer mask leaves out are 3 * 4 bits, 4,096 values
             finer = block_masks(max(radius, -(-free.bit_count() // 4)), radius, free)
-            rows = _keyed(huge.where(F.col("mask") == i).select("node", "fp"), finer, i + 1)
-            dealt = dealt.unionByName(rows.select("node", "fp", "bucket", F.lit(-1).cast("bigint").alias("part")))
-    return dealt.repartition("bucket", "part").mapInArrow(_bucket_stars(radius), "u bigint, v bigint")
+            rows = _keyed(huge.where(F.col("mask") == i).select("node", "fp0"), finer, i + 1)
+            dealt = dealt.unionByName(rows.select("node", "fp0", "bucket", F.lit(-1).cast("bigint").alias("part")))
+    return dealt.repartition("bucket", "part").mapInArrow(_bucket_stars(words, radius), "u bigint, v bigint")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """``doc_id, fp, component_id``: the smallest doc_id that links of at most ``radius`` differing bits reach."""
-    prints = settle(fingerprints(docs, shingle), "fingerprints")
-    nodes = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
-    named = nodes.where(F.col("node").isNotNull())
-    joined = components(links(named, radius)) if named.limit(2).count() > 1 else named.select("node", F.col("node").alias("component")).where(F.lit(False))
-    labels = nodes.join(joined, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return prints.join(labels, "fp").select("doc_id", "fp", "component_id")
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, words: int = 1, keys: int = 0) -> DataFrame:
+    """``doc_id``, the fingerprint, and ``component_id``: the smallest doc_id that links of at most ``radius`` differing bits reach."""
+    prints = _prints(words)
+    found = settle(fingerprints(docs, shingle, words, keys), "fingerprints")
+    nodes = settle(found.groupBy(*prints).agg(F.min("doc_id").alias("node"), F.min("keys").alias("keys")), "nodes")
+    labels = components(links(nodes.where(F.col("node").isNotNull()), radius, words, keys))
+    labels = nodes.join(labels, "node", "left").select(*prints, F.coalesce("component", "node").alias("component_id"))
+    return found.join(labels, prints).select("doc_id", *prints, "component_id")
 
 
-def keep_first(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The document of the smallest doc_id of each component, unchanged; rows without a doc_id stay."""
-    found = near_duplicates(docs, shingle, radius)
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
+def keep_first(docs: DataFrame, **options) -> DataFrame:
+    """The document of the smallest doc_id of each component, unchanged, once; rows without a doc_id stay."""
+    kept = near_duplicates(docs, **options).where("doc_id = component_id").select("doc_id").distinct()
+    first = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return first.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+
+
+#: Near duplicates by five-word shingles of a similarity of 0.8 or more, as 256-bit fingerprints tell it: shingle sets of similarity
+#: 0.8 differ in 39 bits on average (share acos(2 * 0.8 / 1.8) / pi), give or take 6.
+WIDE = {"shingle": 5, "radius": 45, "words": 4, "keys": 8}
 
 
 def digest(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     found = near_duplicates(docs, shingle, radius)
-    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp0")), 16, "0").alias("fingerprint"), "component_id")
