@@ -27,6 +27,8 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from claimtrail.llm.columns import named
+
 ASSISTANT = "assistant"
 
 
@@ -152,7 +154,7 @@ def read_turns(formatted: str) -> list[tuple[str, str]]:
 
 def format_records(records: DataFrame, id_col: str = "conv_id") -> DataFrame:
     """``conv_id, turn, role, segment, loss_start, loss_end``: a row for each turn of each record, whatever the records' layouts."""
-    rows = records.select(F.col(id_col).alias("conv_id"), F.to_json(F.struct(*[c for c in records.columns if c != id_col])).alias("record"))
+    rows = records.select(F.col(id_col).alias("conv_id"), F.to_json(F.struct(*[named(c) for c in records.columns if c != id_col]), {"ignoreNullFields": "false"}).alias("record"))
     return format_json(rows)
 
 

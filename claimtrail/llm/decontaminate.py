@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
+from claimtrail.llm.columns import pack, unpack
 from claimtrail.llm.text import NOT_ALNUM, U64, Words, chunks, each_chunk, gram_hashes, lower_ascii, text_bytes, union_length
 
 WINDOW = 13
@@ -207,7 +208,7 @@ def judged(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: i
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents that are not contaminated, unchanged."""
-    return judged(docs, benchmark, **options).where(~F.col("_contaminated")).select(*docs.columns)
+    return unpack(judged(pack(docs), benchmark, **options).where(~F.col("_contaminated")), docs.columns)
 
 
 def digest(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

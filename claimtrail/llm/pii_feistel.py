@@ -27,6 +27,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from claimtrail.llm.columns import pack, unpack
+
 KEY = "change-me"  # a deployment passes its own
 ROUNDS = 8
 KINDS = ("card", "iban", "ssn", "phone", "ip", "date", "email")
@@ -188,6 +190,11 @@ def pseudonymised(docs: DataFrame, key: str = KEY) -> DataFrame:
     return out.select(*[text.alias("text") if c == "text" else F.col(c) for c in docs.columns], F.coalesce(kinds, F.array().cast("array<string>")).alias("_pii"))
 
 
+def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
+    """``docs`` with pseudonyms in ``text``."""
+    return unpack(pseudonymised(pack(docs), key), docs.columns)
+
+
 def digest(docs: DataFrame, key: str = KEY) -> DataFrame:
     """One row per document: how many values of each kind were replaced, and the new text."""
     out = pseudonymised(docs.select("doc_id", "text"), key)

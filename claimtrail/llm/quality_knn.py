@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from claimtrail.llm.columns import pack, unpack
 from claimtrail.llm.quality_gbt import _per_text, _repeat_words
 from claimtrail.llm.text import BLANKS, byte_set, each_chunk
 
@@ -164,7 +165,7 @@ def scored(docs: DataFrame, space: Space) -> DataFrame:
 
 def accepted(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> DataFrame:
     """The documents that score one half or more, unchanged."""
-    return scored(docs, fit(docs, labels, per_label)).where("_score >= 0.5").drop("_score")
+    return unpack(scored(pack(docs), fit(docs, labels, per_label)).where("_score >= 0.5"), docs.columns)
 
 
 def digest(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> DataFrame:

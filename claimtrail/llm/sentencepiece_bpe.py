@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
+from claimtrail.llm.columns import pack, unpack
+
 SPACE = "▁"
 CACHED_WORDS = 250_000  # of each of two generations
 CACHED_PAIRS = 400_000
@@ -281,9 +283,11 @@ def _loaded(digest: str, source) -> PieceModel:
 
 
 def encode_texts(docs: DataFrame, path: str, decode: bool = False) -> DataFrame:
-    """``docs`` with ``piece_ids`` (and, on demand, ``decoded``)."""
+    """``docs`` with ``piece_ids`` (and, on demand, ``decoded``) in place of any columns of these names."""
     kind = StructType.fromDDL("piece_ids array<int>" + ", decoded string" * decode)
-    names = docs.columns
+    docs = docs.drop(*kind.names)
+    packed = pack(docs)
+    names = packed.columns
 
     def rows(model: PieceModel, batch: pa.RecordBatch):
         texts = batch.column("text").to_pylist()
@@ -291,7 +295,7 @@ def encode_texts(docs: DataFrame, path: str, decode: bool = False) -> DataFrame:
         more = [pa.array(ids, pa.list_(pa.int32()))] + [pa.array([model.decode(i) for i in ids], pa.string())] * decode
         return pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *more], [*names, *kind.names])
 
-    return _mapped(docs, path, rows, StructType([*docs.schema.fields, *kind.fields]))
+    return unpack(_mapped(packed, path, rows, StructType([*packed.schema.fields, *kind.fields])), docs.columns, *kind.names)
 
 
 def _mapped(docs: DataFrame, path: str, rows, schema) -> DataFrame:

@@ -20,7 +20,7 @@ they leave the task.
 
 Defined cases: a text of fewer words than a shingle is one shingle; a null, empty or blank text has fingerprint zero and is linked
 like any other. Repeated rows share fingerprint and component. A null doc_id names no component; a component of such rows only
-has a null id. Other columns don't matter.
+has a null id. A doc_id is below 2 ** 62. Other columns don't matter.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from claimtrail.llm.columns import named
 from claimtrail.llm.components import components
 from claimtrail.llm.text import U64, chunks, mix
 from claimtrail.sources.scratch import settle
@@ -42,6 +43,7 @@ SEED = 42
 TILE = 4096
 MAX_TILES = 64
 LEADERS = 3
+NAMELESS = 1 << 62
 BUCKET = 256  # nodes of a bucket wanted on average
 _SLICE = 1 << 16
 _PAIRS = 1 << 14
@@ -133,7 +135,7 @@ def _planes(fp: np.ndarray) -> np.ndarray:
     lanes = np.zeros(words * 64, U64)
     lanes[: len(fp)] = fp
     bits = np.unpackbits(lanes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    return np.packbits(bits.T.reshape(64, words, 64), axis=2, bitorder="little").view("<u8")[..., 0]
+    return np.ascontiguousarray(np.packbits(bits.T.reshape(64, words, 64), axis=2, bitorder="little")).view("<u8")[..., 0]
 
 
 def sliced_links(fps: list[np.ndarray], group: np.ndarray, label: np.ndarray, radius: int = RADIUS):
@@ -275,9 +277,12 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     """``doc_id``, the fingerprint, and ``component_id``: the smallest doc_id that links of at most ``radius`` differing bits reach."""
     prints = _prints(words)
     found = settle(fingerprints(docs, shingle, words, keys), "fingerprints")
-    nodes = settle(found.groupBy(*prints).agg(F.min("doc_id").alias("node"), F.min("keys").alias("keys")), "nodes")
-    labels = components(links(nodes.where(F.col("node").isNotNull()), radius, words, keys))
-    labels = nodes.join(labels, "node", "left").select(*prints, F.coalesce("component", "node").alias("component_id"))
+    nodes = found.groupBy(*prints).agg(F.min("doc_id").alias("node"), F.min("keys").alias("keys"))
+    nameless = F.xxhash64(*prints).bitwiseAND(NAMELESS - 1).bitwiseOR(NAMELESS)  # of a fingerprint that only rows without a doc_id have
+    nodes = settle(nodes.withColumn("node", F.coalesce("node", nameless)), "nodes")
+    labels = components(links(nodes, radius, words, keys))
+    labels = nodes.join(labels, "node", "left").withColumn("component_id", F.coalesce("component", "node"))
+    labels = labels.select(*prints, F.when(F.col("component_id") < NAMELESS, F.col("component_id")).alias("component_id"))
     return found.join(labels, prints).select("doc_id", *prints, "component_id")
 
 
@@ -285,7 +290,7 @@ def keep_first(docs: DataFrame, **options) -> DataFrame:
     """The document of the smallest doc_id of each component, unchanged, once; rows without a doc_id stay."""
     kept = near_duplicates(docs, **options).where("doc_id = component_id").select("doc_id").distinct()
     first = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return first.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    return first.select(*map(named, docs.columns)).unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 #: Near duplicates by five-word shingles of a similarity of 0.8 or more, as 256-bit fingerprints tell it: shingle sets of similarity

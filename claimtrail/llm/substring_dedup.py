@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from claimtrail.llm.columns import pack, unpack
 from claimtrail.llm.text import BLANKS, U64, Words, chunks, gram_hashes, text_bytes
 
 WINDOW = 13
@@ -284,14 +285,15 @@ def _joined(docs: DataFrame, window: int, group: int) -> DataFrame:
 
 def dedup_substrings(docs: DataFrame, window: int = WINDOW, group: int = GROUP) -> DataFrame:
     """``docs`` with the repeated words gone from ``text``, and one space between the others."""
-    names = docs.columns
+    packed = pack(docs)
+    names = packed.columns
 
     def rows(batches):
         for batch in batches:
             text = [_kept(t, s, window)[2].decode() for t, s in zip(batch.column("text").to_pylist(), batch.column("starts").to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array(text, pa.string()) if c == "text" else batch.column(c) for c in names], names)
 
-    return _joined(docs, window, group).mapInArrow(rows, docs.schema)
+    return unpack(_joined(packed, window, group).mapInArrow(rows, packed.schema), docs.columns)
 
 
 def digest(docs: DataFrame, window: int = WINDOW, group: int = GROUP) -> DataFrame:
