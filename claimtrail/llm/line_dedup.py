@@ -15,6 +15,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from claimtrail.llm.columns import pack, unpack
+from claimtrail.sources.scratch import settle
+
 MIN_DOCS = 3
 MIN_CHARS = 20
 BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -42,7 +45,8 @@ def repeated_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = M
     """Positions of the lines to drop, one row per document that has any."""
     lines = hashed_lines(docs, min_chars)
     counted = lines.groupBy("_h1", "_h2").agg(F.countDistinct(_ID).alias("_docs"), F.max(_ID).alias("_keeper"))
-    common = counted.where(F.col("_docs") >= min_docs).drop("_docs")
+    # written, so that the join below is an exchange on both sides, whose hot keys adaptive execution splits
+    common = settle(counted.where(F.col("_docs") >= min_docs).drop("_docs"), "common-lines")
     dropped = lines.join(common, ["_h1", "_h2"]).where(F.col(_ID) != F.col("_keeper"))
     return dropped.groupBy(_ID, _TEXT).agg(F.collect_set(_POS).alias("_dropped"))
 
@@ -59,10 +63,10 @@ def split_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_
 
 def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> DataFrame:
     """``docs`` with the repeated lines gone from ``text`` and, where there is such a column, ``n_chars`` counted anew."""
-    out = split_lines(docs, min_docs, min_chars).withColumn("text", F.col("_kept"))
+    out = unpack(split_lines(pack(docs), min_docs, min_chars).withColumn("text", F.col("_kept")), docs.columns)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    return out
 
 
 def digest(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> DataFrame:
