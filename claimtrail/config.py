@@ -26,6 +26,9 @@ class StudyConfig:
     sources: tuple[str, ...] = ("ccae", "mdcr")
     libraries: tuple[str, ...] = ("raw", "rds", "scd", "sds", "ads")
 
+    at_risk_step: int = 50
+    year_col: str = "year"
+
     id_col: str = "enrolid"
     demographics: tuple[str, ...] = ("sex", "dobyr", "age", "plantyp", "region")
     top_conditions: int = 10

@@ -6,9 +6,10 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# A code list up to this size is inlined into the plan as hashed IN-sets (no join at all);
-# longer lists go through an equi-join whose strategy Spark picks from measured sizes.
-MAX_INLINE_CODES = 5_000
+# A code list of up to so many bytes is put into the plan as hashed IN-sets (no join at all); a larger one is joined.
+# Both give the same rows.
+MAX_INLINE_BYTES = 16 << 10
+_CODE_OVERHEAD = 8
 
 
 def clean_icd9(code: Column) -> Column:
@@ -33,23 +34,23 @@ def as_list(names: str | Iterable[str]) -> list[str]:
     return names.replace(",", " ").split() if isinstance(names, str) else list(names)
 
 
-def inline_codes(codes: str | Iterable[str] | DataFrame, limit: int = MAX_INLINE_CODES) -> list[str] | None:
-    """The distinct non-empty codes as a Python list, or ``None`` when there are more than ``limit``.
+def inline_codes(codes: str | Iterable[str] | DataFrame, max_bytes: int = MAX_INLINE_BYTES) -> list[str] | None:
+    """The distinct non-empty codes as a Python list, or ``None`` when they take more than ``max_bytes``.
 
-    A DataFrame is read with a limit of one row past the bound, so the driver never holds more than that.
+    Each code counts its bytes and 8 more, so a DataFrame is read with a limit and the driver never holds much over the bound.
     """
     if isinstance(codes, DataFrame):
-        rows = distinct_codes(codes).limit(limit + 1).collect()
-        found = [r[0] for r in rows]
+        found = [r[0] for r in distinct_codes(codes).limit(max_bytes // (_CODE_OVERHEAD + 1) + 1).collect()]
     else:
         found = list(dict.fromkeys(c for c in as_list(codes) if c))
-    return sorted(found) if len(found) <= limit else None
+    size = sum(len(c.encode()) + _CODE_OVERHEAD for c in found)
+    return sorted(found) if size <= max_bytes else None
 
 
 def distinct_codes(codes: DataFrame, name: str | None = None) -> DataFrame:
     """One-column code list without NULL, empty or repeated codes."""
     first = codes.columns[0]
-    return codes.select(F.col(first).alias(name or first)).where(F.col(name or first) != "").distinct()
+    return codes.select(F.col(first).cast("string").alias(name or first)).where(F.col(name or first) != "").distinct()
 
 
 def by_length(codes: Iterable[str]) -> dict[int, list[str]]:
@@ -69,16 +70,16 @@ def _name(column: str) -> str:
 
 def is_listed(column: str, codes: Iterable[str]) -> Column:
     """The column is one of ``codes``. The list goes in as text, so a long one costs one call and one hashed set."""
-    return F.expr(f"{_name(column)} IN ({_listed(codes)})")
+    return F.expr(f"CAST({_name(column)} AS STRING) IN ({_listed(codes)})")
 
 
 def prefix_of(column: str, length: int) -> Column:
-    return F.substring(F.col(column), 1, length)
+    return F.substring(F.col(column).cast("string"), 1, length)
 
 
 def has_prefix(column: str, length: int, codes: Iterable[str]) -> Column:
     """The first ``length`` characters of the column are one of ``codes``."""
-    return F.expr(f"substring({_name(column)}, 1, {length}) IN ({_listed(codes)})")
+    return F.expr(f"substring(CAST({_name(column)} AS STRING), 1, {length}) IN ({_listed(codes)})")
 
 
 def starts_with_any(column: str, codes: Iterable[str]) -> Column:

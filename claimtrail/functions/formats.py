@@ -42,7 +42,8 @@ def _labelled(value: Column, labels: dict, text: Column) -> Column:
 
 
 def plantyp_label(plantyp: Column) -> Column:
-    shown = _labelled(plantyp, PLAN_TYPE, plantyp.cast("string"))
+    whole = plantyp.cast("long")
+    shown = _labelled(plantyp, PLAN_TYPE, F.when(plantyp == whole, whole.cast("string")).otherwise(plantyp.cast("string")))
     return F.when(plantyp.isNull(), PLAN_TYPE_MISSING).otherwise(shown)
 
 

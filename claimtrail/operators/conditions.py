@@ -10,6 +10,7 @@ from claimtrail.config import StudyConfig
 from claimtrail.functions.dates import is_in_baseline
 from claimtrail.functions.predicates import is_ruleout
 from claimtrail.operators.charlson import charlson
+from claimtrail.operators.joins import saved
 from claimtrail.operators.reshape import flag_dictionary, vec2mat
 
 
@@ -72,7 +73,10 @@ def baseline(
     dx_cols: Sequence[str] = ("dx1", "dx2"),
 ) -> DataFrame:
     """Comorbidity flags, the Charlson index and the common-condition flags per patient."""
-    dx = baseline_claims(claims, cfg)
-    heads = condition_heads(dx, cfg.id_col, dx_cols)
+    dx = baseline_claims(claims, cfg).select(cfg.id_col, *dx_cols)
+    # the claims are read once, for the distinct diagnoses of each patient; all that follows reads these
+    fields = [F.coalesce(F.col(c), F.lit("")) for c in dx_cols]
+    own = saved(dx.select(cfg.id_col, F.explode(F.array(*fields)).alias("dx")).distinct(), "diagnoses")
+    heads = condition_heads(own, cfg.id_col, ["dx"])
     top = rank_labels_top_n(condition_frequency(heads.distinct(), disease_codes), cfg.top_conditions)
-    return charlson(dx, cfg.id_col, dx_cols).join(common_conditions(heads, top, cfg.id_col), cfg.id_col)
+    return charlson(own, cfg.id_col, ["dx"]).join(common_conditions(heads, top, cfg.id_col), cfg.id_col)

@@ -9,8 +9,10 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import types as T
 
 from claimtrail.operators.reshape import outer_union, with_pseudo_group
+from claimtrail.sources.scratch import settle
 from claimtrail.sources.tables import classify_variables
 
 OVERALL = "Overall"
@@ -23,10 +25,16 @@ def label_of(df: DataFrame, column: str) -> str:
     return df.schema[column].metadata.get("label", column)
 
 
+def _value(df: DataFrame, column: str) -> Column:
+    """The column as statistics read it: a date as days from 1970-01-01, a boolean as 1 or 0."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column)
+    return F.col(column).cast("int") if isinstance(kind, T.BooleanType) else F.col(column)
+
+
 def _unpivoted(df: DataFrame, columns: Sequence[str], group_col: str, kind: str) -> DataFrame:
-    rows = F.array(
-        *[F.struct(F.lit(label_of(df, c)).alias("varname"), F.col(c).cast(kind).alias("v")) for c in columns]
-    )
+    rows = F.array(*[F.struct(F.lit(label_of(df, c)).alias("varname"), _value(df, c).cast(kind).alias("v")) for c in columns])
     return df.select(F.col(group_col).alias("group"), F.inline(rows))
 
 
@@ -100,8 +108,12 @@ def quantiles(long: DataFrame, fractions: dict[str, float], keys: Sequence[str]
 
 
 def desc_stat_n(df: DataFrame, columns: Sequence[str], group_col: str = "group") -> DataFrame:
-    """Mean, median, standard deviation and quartiles of continuous variables by group; rows without a group are left out."""
+    """Mean, median, standard deviation and quartiles of continuous variables by group.
+
+    Rows without a group are left out; NaN counts as missing.
+    """
     long = _unpivoted(df.where(F.col(group_col).isNotNull()), columns, group_col, "double")
+    long = long.withColumn("v", F.when(~F.isnan("v"), F.col("v")))
     moments = long.groupBy("group", "varname").agg(F.avg("v").alias("Mean"), F.stddev_samp("v").alias("Std"))
     points = quantiles(long, {"Q1": 0.25, "Median": 0.5, "Q3": 0.75})
     joined = moments.join(points, ["group", "varname"], "left")
@@ -109,18 +121,21 @@ def desc_stat_n(df: DataFrame, columns: Sequence[str], group_col: str = "group")
     return _stats_long(joined, F.lit(OVERALL), stats).select(*LONG)
 
 
-def desc_stat_c(df: DataFrame, columns: Sequence[str], group_col: str = "group") -> DataFrame:
+def desc_stat_c(df: DataFrame, columns: Sequence[str], group_col: str = "group", pseudo_group: str | None = None) -> DataFrame:
     """Count and row percent of each level of categorical variables by group, and counts overall.
 
-    Blank levels and rows without a group are left out, also of the percent's base. Overall rows have no percent.
+    Every group has every level of a variable, if with count 0. Blank levels and rows without a group are left out, also of the
+    percent's base. Overall rows have no percent and leave out the rows of ``pseudo_group``, which repeat the others.
     """
     grouped = df.where(F.col(group_col).isNotNull())
     long = _unpivoted(grouped, columns, group_col, "string").where(F.trim("v") != "")
     cells = long.groupBy("varname", "group", "v").agg(F.count(F.lit(1)).alias("N"))
     bases = cells.groupBy("varname", "group").agg(F.sum("N").alias("_base"))
-    by_group = cells.join(bases, ["varname", "group"]).select("varname", "group", "v", "N", (F.col("N") * 100 / F.col("_base")).alias("Perc")
-    )
-    overall = cells.groupBy("varname", "v").agg(F.sum("N").alias("N")).select(
+    grid = bases.join(cells.select("varname", "v").distinct(), "varname")  # groups by levels of one variable
+    by_group = grid.join(cells, ["varname", "group", "v"], "left").withColumn("N", F.coalesce("N", F.lit(0)))
+    by_group = by_group.select("varname", "group", "v", "N", (F.col("N") * 100 / F.col("_base")).alias("Perc"))
+    own = cells if pseudo_group is None else cells.where(F.col("group") != pseudo_group)
+    overall = own.groupBy("varname", "v").agg(F.sum("N").alias("N")).select(
         "varname", F.lit(OVERALL).alias("group"), "v", "N", F.lit(None).cast("double").alias("Perc")
     )
     return _stats_long(
@@ -128,14 +143,18 @@ def desc_stat_c(df: DataFrame, columns: Sequence[str], group_col: str = "group")
     ).select(*LONG)
 
 
-def desc_stat_d(df: DataFrame, columns: Sequence[str], group_col: str = "group") -> DataFrame:
-    """Count of ``'1'`` and its share of all rows (a fraction) for dichotomous variables, overall and by group."""
+def desc_stat_d(df: DataFrame, columns: Sequence[str], group_col: str = "group", pseudo_group: str | None = None) -> DataFrame:
+    """Count of ``'1'`` and its share of all rows (a fraction) for dichotomous variables, overall and by group.
+
+    Rows without a group count overall only. Overall leaves out the rows of ``pseudo_group``, which repeat the others.
+    """
     long = _unpivoted(df, columns, group_col, "string")
     by_group = long.groupBy("varname", "group").agg(
         F.count_if(F.col("v") == "1").alias("N"), F.count(F.lit(1)).alias("_rows")
     )
-    overall = by_group.groupBy("varname").agg(F.sum("N").alias("N"), F.sum("_rows").alias("_rows"))
-    both = by_group.unionByName(overall.withColumn("group", F.lit(OVERALL)))
+    own = by_group if pseudo_group is None else by_group.where(~F.col("group").eqNullSafe(F.lit(pseudo_group)))
+    overall = own.groupBy("varname").agg(F.sum("N").alias("N"), F.sum("_rows").alias("_rows"))
+    both = by_group.where(F.col("group").isNotNull()).unionByName(overall.withColumn("group", F.lit(OVERALL)))
     return _stats_long(both, F.lit(OVERALL), {"N": F.col("N"), "Perc": F.col("N") / F.col("_rows")}).select(*LONG)
 
 
@@ -153,10 +172,19 @@ def summary_rollup(df: DataFrame, column: str, group_col: str = "group") -> Data
 
 
 def freq_sparse(df: DataFrame, group_col: str, level_col: str) -> DataFrame:
-    """Crosstab counts in long form, including the combinations that do not occur."""
-    wide = df.groupBy(group_col).pivot(level_col).count()
-    levels = [c for c in wide.columns if c != group_col]
-    return wide.na.fill(0, levels).unpivot(group_col, levels, level_col, "count")
+    """Crosstab counts in long form, including the combinations that do not occur. Blank levels are left out.
+
+    Rows are counted once; the groups and the levels that occur are two short lists, every level meets every group in an equi-join
+    on one constant, and the counts are looked up. A missing group is a group.
+    """
+    kind = df.schema[level_col].dataType
+    counts = df.select(F.col(group_col).alias("_g"), F.col(level_col).alias("_l")).groupBy("_g", "_l").agg(F.count(F.lit(1)).alias("_n"))
+    counts = settle(counts, "crosstab")
+    levels = counts.where(F.trim(F.col("_l").cast("string")) != "").select("_l").distinct().withColumn("_all", F.lit(1))
+    grid = counts.select("_g").distinct().withColumn("_all", F.lit(1)).join(levels, "_all").drop("_all")
+    held = counts.select(F.col("_g").alias("_g2"), F.col("_l").alias("_l2"), "_n")
+    found = grid.join(held, F.col("_g").eqNullSafe(F.col("_g2")) & (F.col("_l") == F.col("_l2")), "left")
+    return found.select(F.col("_g").alias(group_col), F.col("_l").cast(kind).alias(level_col), F.coalesce("_n", F.lit(0)).cast("long").alias("count"))
 
 
 def descriptive_stats(
@@ -166,16 +194,19 @@ def descriptive_stats(
     group_col: str = "group",
     pseudo_group: str | None = None,
 ) -> DataFrame:
-    """Statistics of all variables by group, each by its kind; ``pseudo_group`` adds a group of all rows."""
+    """Statistics of all variables by group, each by its kind; ``pseudo_group`` adds a group of all rows.
+
+    "Overall" is taken from the rows in their own groups only.
+    """
     table = with_pseudo_group(variables, group_col, pseudo_group) if pseudo_group else variables
     kinds = classify_variables(table, categorical, [*exclude, group_col])
     parts = []
     if kinds["continuous"]:
         parts.append(desc_stat_n(table, kinds["continuous"], group_col))
     if kinds["categorical"]:
-        parts.append(desc_stat_c(table, kinds["categorical"], group_col))
+        parts.append(desc_stat_c(table, kinds["categorical"], group_col, pseudo_group))
     if kinds["dichotomous"]:
-        parts.append(desc_stat_d(table, kinds["dichotomous"], group_col))
+        parts.append(desc_stat_d(table, kinds["dichotomous"], group_col, pseudo_group))
     if not parts:
         raise ValueError("no variables to describe")
     return reduce(outer_union, parts)

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from claimtrail.config import StudyConfig
 from claimtrail.functions.dates import date_filter
-from claimtrail.operators.joins import salted_join
 from claimtrail.operators.scan import attach_generic
 
 
@@ -65,6 +64,7 @@ def index_cohort(
 
 
 def index_join(df: DataFrame, id_col: str, date_col: str) -> DataFrame:
-    """All rows of each patient's earliest day."""
-    first = df.groupBy(id_col).agg(F.min(date_col).alias(date_col))
-    return salted_join(df, first, [id_col, date_col], "left_semi")
+    """All rows of each patient's earliest day. Map tasks drop the rows of later days before the shuffle."""
+    by_day = Window.partitionBy(id_col).orderBy(date_col)
+    ranked = df.where(F.col(id_col).isNotNull() & F.col(date_col).isNotNull()).withColumn("_r", F.rank().over(by_day))
+    return ranked.where(F.col("_r") == 1).drop("_r")

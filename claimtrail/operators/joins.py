@@ -1,4 +1,4 @@
-"""Joins of a large table to a small one that stay even when one key holds much of the large table."""
+"""Joins of a large table to a smaller one that stay even when one key holds much of the large table."""
 
 from __future__ import annotations
 
@@ -6,40 +6,70 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-MAX_BROADCAST_ROWS = 500_000
-SALTS = 16
+from claimtrail.sources.scratch import settle
 
+MAX_BROADCAST_BYTES = 8 << 20  # of files; some times that in memory
+ROWS_PER_TASK = 1_000_000
+MAX_HOT_KEYS = 10_000  # broadcast with their salts: 10,000 short rows
+_THROUGH = ("Project", "Filter", "SubqueryAlias")
 
-def salted_join(
-    df: DataFrame,
-    small: DataFrame,
-    keys: Sequence[str],
-    how: str = "inner",
-    salts: int = SALTS,
-    salt_on: Sequence[str] | None = None,
+
+def saved_bytes(df: DataFrame) -> int | None:
+    """Size of the stored files that a table is read from, or ``None`` if it is more than a selection from one of them."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    node = plan
+    while node.nodeName() in _THROUGH:
+        node = node.children().apply(0)
+    return int(str(node.stats().sizeInBytes())) if node.nodeName().startswith("LogicalRelation") else None
+
+
+def saved(df: DataFrame, name: str = "small") -> DataFrame:
+    """The table itself if it is stored, else a written copy of it, so that its size is known and it is computed once."""
+    return df if saved_bytes(df) is not None else settle(df, name)
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """The keys with more rows than a task should hold, and the number of salts that brings each under that."""
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > rows_per_task)
+    most = counted.orderBy(F.desc("_rows"), *keys).limit(MAX_HOT_KEYS)
+    return most.select(*keys, F.ceil(F.col("_rows") / rows_per_task).cast("int").alias("_salts"))
+
+
+def split_join(
+    df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner", rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
-    """Shuffle join in which the rows of one key go to ``salts`` tasks instead of one.
+    """Shuffle join in which the rows of a hot key go to as many tasks as they need.
 
-    The salt is a hash of the row (or of ``salt_on``), so a recomputed task sends its rows to the same places; select the
-    needed columns first. Exact copies of one row share a salt; since nothing downstream can reuse the salted
-    partitioning, adaptive execution is free to split their partition. ``small`` is repeated once per salt. ``how`` may be
-    any join that keeps or drops rows of ``df`` one by one.
+    Hot keys are counted first (one pass over the key columns, combined before the shuffle). Only their rows of ``small`` are
+    repeated, once per salt; all other keys have the one salt 0. The salt is a hash of the row, so a recomputed task sends its rows to
+    the same places. ``how`` may be any join that keeps or drops rows of ``df`` one by one.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"cannot salt a {how} join")
-    salt = F.pmod(F.xxhash64(*(salt_on or df.columns)), F.lit(salts)).cast("int")
-    left = df.withColumn("_salt", salt)
-    right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*keys, "_salt"], how).drop("_salt")
+        raise ValueError(f"cannot split a {how} join")
+    keys = list(keys)
+    hot = saved(hot_keys(df, keys, rows_per_task), "hot-keys")
+    salts = F.coalesce("_salts", F.lit(1))
+    left = df.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.pmod(F.xxhash64(*df.columns), salts).cast("int")).drop("_salts")
+    right = small.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+    joined = left.join(right, [*keys, "_salt"], how).drop("_salt")
+    return joined.select(*keys, *[c for c in joined.columns if c not in keys])
 
 
 def lookup_join(
-    df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner", max_rows: int = MAX_BROADCAST_ROWS
+    df: DataFrame,
+    small: DataFrame,
+    keys: Sequence[str],
+    how: str = "inner",
+    max_bytes: int = MAX_BROADCAST_BYTES,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Join to a patient or code table: broadcast when its counted rows fit the bound, otherwise salted.
+    """Join to a patient or code table: broadcast when its stored size fits the bound, otherwise with hot keys split.
 
-    ``small`` is counted first, so it should be a stored table or cheap to compute.
+    A ``small`` that is not stored yet is written once, for semi and anti joins without repeats.
     """
-    if small.count() <= max_rows:
+    if how in ("left_semi", "left_anti") and saved_bytes(small) is None:
+        small = small.select(*keys).distinct()
+    small = saved(small)
+    if saved_bytes(small) <= max_bytes:
         return df.join(F.broadcast(small), list(keys), how)
-    return salted_join(df, small, keys, how)
+    return split_join(df, small, keys, how, rows_per_task)

@@ -6,15 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-MAX_FLAGS = 2_000
-
-
-def flag_dictionary(codes: DataFrame, value_col: str, name_col: str, limit: int = MAX_FLAGS) -> dict[str, str]:
-    """Value -> flag name from a small table, read with a limit of one row past the bound."""
-    rows = codes.select(value_col, name_col).limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} values cannot become columns; keep them as rows instead")
-    return {r[0]: r[1] for r in rows}
+def flag_dictionary(codes: DataFrame, value_col: str, name_col: str) -> dict[str, str]:
+    """Value -> flag name from the table of the values that become columns."""
+    return {r[0]: r[1] for r in codes.select(value_col, name_col).collect()}
 
 
 def vec2mat(
@@ -24,12 +18,16 @@ def vec2mat(
 
     With ``numeric=False`` the flags are the characters ``'0'`` and ``'1'``. Each flag is labelled with its value.
     """
+    if not dictionary:
+        return df.select(id_col).distinct()
     kind = "int" if numeric else "string"
-    hits = [
-        F.max(F.when(F.col(value_col) == value, 1).otherwise(0)).cast(kind).alias(name, metadata={"label": f"{name} ({value})"})
+    # distinct pairs meet in one array per id, so neither the plan nor the generated code grows with rows or flags
+    values = F.collect_set(F.when(F.col(value_col).isin(list(dictionary)), F.col(value_col))).alias("_values")
+    has = [
+        F.array_contains("_values", value).cast("int").cast(kind).alias(name, metadata={"label": f"{name} ({value})"})
         for value, name in dictionary.items()
     ]
-    return df.groupBy(id_col).agg(*hits) if hits else df.select(id_col).distinct()
+    return df.groupBy(id_col).agg(values).select(id_col, *has)
 
 
 def distinct_values(df: DataFrame, id_col: str, columns: Sequence[str], name: str) -> DataFrame:

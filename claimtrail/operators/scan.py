@@ -8,10 +8,10 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from claimtrail.functions.codes import (
-    MAX_INLINE_CODES, as_list, by_length, distinct_codes, has_prefix, inline_codes, is_listed, prefix_of, starts_with_any,
+    MAX_INLINE_BYTES, as_list, by_length, distinct_codes, has_prefix, inline_codes, is_listed, prefix_of, starts_with_any,
 )
 from claimtrail.functions.dates import date_filter, interval_overlap
-from claimtrail.operators.joins import lookup_join
+from claimtrail.operators.joins import lookup_join, saved
 from claimtrail.sources.shards import select_shards
 
 Codes = str | Iterable[str] | DataFrame
@@ -36,20 +36,26 @@ def _explode_matches(df: DataFrame, candidates: list[Column], code_col: str) ->
     return exploded.where(F.col(code_col).isNotNull())
 
 
+def _free(df: DataFrame, code_col: str) -> None:
+    if code_col.lower() in {c.lower() for c in df.columns}:
+        raise ValueError(f"the table already has a column {code_col}; name another code_col")
+
+
 def prefix_join(
     df: DataFrame,
     codes: Codes,
     columns: Names,
     code_col: str = "matched_code",
-    max_inline: int = MAX_INLINE_CODES,
+    max_inline: int = MAX_INLINE_BYTES,
 ) -> DataFrame:
-    """Inner join on "one of ``columns`` starts with the code": one row per (claim, matching code).
+    """Inner join on "one of ``columns``, as text, starts with the code": one row per (claim, matching code).
 
-    A short code list becomes hashed IN-sets on the column prefixes: no join and no shuffle, and claims without a
-    match are gone before anything is exploded. A longer one is an equi-join on the exploded distinct prefixes.
-    Repeated codes in the list count once.
+    The rows are the same however long the list is. A list of up to ``max_inline`` bytes becomes hashed IN-sets on the column
+    prefixes: no join and no shuffle, and claims without a match are gone before anything is exploded. A larger one is an
+    equi-join on the exploded distinct prefixes. Repeated codes in the list count once. ``code_col`` must be a new column.
     """
     columns = _present(columns, df)
+    _free(df, code_col)
     known = inline_codes(codes, max_inline)
     if known is not None:
         hit = F.lit(False)
@@ -64,12 +70,18 @@ def prefix_join(
             return df.withColumn(code_col, F.lit(None).cast("string")).where(F.lit(False))
         return _explode_matches(df.where(hit), candidates, code_col)
 
-    listed = _code_frame(df, codes, code_col)
-    lengths = [r[0] for r in listed.select(F.length(code_col)).distinct().collect()]
-    candidates = [
-        F.when(F.length(name) >= length, prefix_of(name, length)) for name in columns for length in sorted(lengths)
-    ]
-    return lookup_join(_explode_matches(df, candidates, code_col), listed, [code_col]).select(*df.columns, code_col)
+    listed = saved(_code_frame(df, codes, code_col), "codes")
+    lengths = _code_lengths(listed, code_col)
+    return lookup_join(_explode_matches(df, _prefixes(columns, lengths), code_col), listed, [code_col]).select(*df.columns, code_col)
+
+
+def _code_lengths(listed: DataFrame, name: str) -> list[int]:
+    """The code lengths of a list: a handful of numbers."""
+    return sorted(r[0] for r in listed.select(F.length(name)).distinct().collect())
+
+
+def _prefixes(columns: Iterable[str], lengths: list[int]) -> list[Column]:
+    return [F.when(F.length(F.col(c).cast("string")) >= n, prefix_of(c, n)) for c in columns for n in lengths]
 
 
 def equal_join(
@@ -77,13 +89,17 @@ def equal_join(
     codes: Codes,
     columns: Names,
     code_col: str = "matched_code",
-    max_inline: int = MAX_INLINE_CODES,
+    max_inline: int = MAX_INLINE_BYTES,
 ) -> DataFrame:
-    """Inner join on "one of ``columns`` equals the code": one row per (claim, matching code)."""
+    """Inner join on "one of ``columns``, as text, equals the code": one row per (claim, matching code).
+
+    The rows are the same however long the list is; see ``prefix_join``.
+    """
     columns = _present(columns, df)
+    _free(df, code_col)
     known = inline_codes(codes, max_inline)
     if known is None:
-        exploded = _explode_matches(df, [F.col(name) for name in columns], code_col)
+        exploded = _explode_matches(df, [F.col(name).cast("string") for name in columns], code_col)
         return lookup_join(exploded, _code_frame(df, codes, code_col), [code_col]).select(*df.columns, code_col)
     if not known:
         return df.withColumn(code_col, F.lit(None).cast("string")).where(F.lit(False))
@@ -92,8 +108,8 @@ def equal_join(
         hit = hit | is_listed(name, known)
     kept = df.where(hit)
     if len(columns) == 1:
-        return kept.withColumn(code_col, F.col(columns[0]))
-    return _explode_matches(kept, [F.when(is_listed(c, known), F.col(c)) for c in columns], code_col)
+        return kept.withColumn(code_col, F.col(columns[0]).cast("string"))
+    return _explode_matches(kept, [F.when(is_listed(c, known), F.col(c).cast("string")) for c in columns], code_col)
 
 
 def _code_frame(df: DataFrame, codes: Codes, name: str) -> DataFrame:
@@ -117,6 +133,8 @@ def scan_dx(
     end_col: str | None = None,
     sources: Names | None = None,
     scopes: Names | None = None,
+    years: Sequence[int] | None = None,
+    year_col: str = "year",
     coalesce_end: bool = False,
     code_col: str | None = None,
 ) -> DataFrame:
@@ -124,7 +142,7 @@ def scan_dx(
     if _given(codes) != bool(dx_cols):
         raise ValueError("give both codes and dx_cols, or neither")
     finish = F.col(end_col) if end_col else None
-    found = select_shards(claims, sources, scopes).where(
+    found = select_shards(claims, sources, scopes, years, year_col).where(
         interval_overlap(F.col(date_col), finish, start, end, coalesce_end)
     )
     if not dx_cols:
@@ -142,12 +160,14 @@ def scan_rx(
     date_col: str = "svcdate",
     sources: Names | None = None,
     scopes: Names | None = None,
+    years: Sequence[int] | None = None,
+    year_col: str = "year",
     code_col: str | None = None,
 ) -> DataFrame:
     """Claims in the window that carry a listed drug or procedure code exactly; without codes, just the window."""
     if _given(codes) != bool(rx_cols):
         raise ValueError("give both codes and rx_cols, or neither")
-    found = select_shards(claims, sources, scopes).where(date_filter(F.col(date_col), start, end))
+    found = select_shards(claims, sources, scopes, years, year_col).where(date_filter(F.col(date_col), start, end))
     if not rx_cols:
         return found
     matched = equal_join(found, codes, rx_cols, code_col or "matched_code")
@@ -162,41 +182,45 @@ def scan_enrollment(
     end_col: str = "dtend",
     sources: Names | None = None,
     scopes: Names | None = None,
+    years: Sequence[int] | None = None,
+    year_col: str = "year",
 ) -> DataFrame:
     """Enrolment spells that touch the window."""
-    return select_shards(enrollment, sources, scopes).where(
+    return select_shards(enrollment, sources, scopes, years, year_col).where(
         interval_overlap(F.col(begin_col), F.col(end_col), start, end)
     )
 
 
 def flag_prefix(
-    df: DataFrame, conditions: dict[str, Column], codes: Codes, flag_col: str, max_inline: int = MAX_INLINE_CODES
+    df: DataFrame, conditions: dict[str, Column], codes: Codes, flag_col: str, max_inline: int = MAX_INLINE_BYTES
 ) -> DataFrame:
-    """Add a boolean: some column of ``conditions`` starts with a code where its condition holds.
+    """Add a boolean: some column of ``conditions``, as text, starts with a code where its condition holds.
 
-    Row count never changes. A code list too long to inline is looked up with one left equi-join per
-    (column, code length) against distinct codes.
+    Row count never changes. For a list too large to inline the distinct prefixes of all columns are exploded for one left
+    equi-join with the codes; a row comes together again by two hashes of its columns, copies of a row as often as they were.
     """
     known = inline_codes(codes, max_inline)
-    hit = F.lit(False)
     if known is not None:
+        hit = F.lit(False)
         for name, condition in conditions.items():
             hit = hit | (starts_with_any(name, known) & condition)
-        return df.withColumn(flag_col, hit)
-
-    listed = _code_frame(df, codes, "_listed")
-    lengths = sorted(r[0] for r in listed.select(F.length("_listed")).distinct().collect())
-    out, marks = df, []
-    for name, condition in conditions.items():
-        for length in lengths:
-            key, mark = f"_key_{name}_{length}", f"_mark_{name}_{length}"
-            of_length = listed.where(F.length("_listed") == length)
-            found = of_length.select(F.col("_listed").alias(key), F.lit(True).alias(mark))
-            out = lookup_join(out.withColumn(key, F.when(condition, prefix_of(name, length))), found, [key], "left").drop(key)
-            marks.append(mark)
-    for mark in marks:
-        hit = hit | F.col(mark).isNotNull()
-    return out.withColumn(flag_col, hit).select(*df.columns, flag_col)
+        return df.withColumn(flag_col, F.coalesce(hit, F.lit(False)))
+
+    listed = saved(_code_frame(df, codes, "_listed"), "codes")
+    lengths = _code_lengths(listed, "_listed")
+    found = [F.when(conditions[c], p) for c in conditions for p in _prefixes([c], lengths)]
+    rows = df.select(
+        F.struct(*df.columns).alias("_row"), F.xxhash64(*df.columns).alias("_h1"), F.xxhash64(F.lit(1), *df.columns).alias("_h2"),
+        F.array_compact(F.array_distinct(F.array(*found))).alias("_found"),
+    )
+    # the first element stands for the row itself; it is no code, and differs from row to row so that it makes no hot key
+    marker = F.concat(F.lit("\u0000"), F.col("_h1").cast("string"))
+    parts = rows.select("_row", "_h1", "_h2", F.posexplode(F.concat(F.array(marker), "_found")).alias("_pos", "_listed"))
+    matched = lookup_join(parts, listed.withColumn("_mark", F.lit(True)), ["_listed"], "left")
+    back = matched.groupBy("_h1", "_h2").agg(
+        F.first("_row").alias("_row"), F.count_if(F.col("_pos") == 0).alias("_copies"), F.max(F.col("_mark").isNotNull()).alias(flag_col)
+    )
+    return back.select("_row.*", flag_col, F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies")).alias("_n")).drop("_n")
 
 
 def restrict_to(df: DataFrame, cohort: DataFrame, id_col: str = "enrolid") -> DataFrame:

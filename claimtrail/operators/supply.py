@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from claimtrail.operators.joins import lookup_join
+
 
 def dedupe_keep_max_supply(
     df: DataFrame, keys: Sequence[str], supply_col: str = "daysupp", keep: Sequence[str] = ()
@@ -47,4 +49,4 @@ def clean_supply_days(
     fills = dedupe_keep_max_supply(df, [id_col, date_col, ndc_col], supply_col, keep)
     usual = supply_mode(fills, ndc_col, supply_col)
     supply = F.when(F.col(supply_col) > 0, F.col(supply_col)).otherwise(F.col("mode_supply"))
-    return fills.join(usual, ndc_col).select(id_col, date_col, ndc_col, supply.alias(supply_col), *keep)
+    return lookup_join(fills, usual, [ndc_col]).select(id_col, date_col, ndc_col, supply.alias(supply_col), *keep)

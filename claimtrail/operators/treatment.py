@@ -17,6 +17,12 @@ from claimtrail.functions.dates import is_in_outcome
 from claimtrail.operators.joins import lookup_join
 
 
+ADHERENCE_LABELS = {
+    **{f"mpr_df{i}": f"Medication Possession Ratio, Definition {i}" for i in (1, 2, 3)},
+    **{f"pdc_df{i}": f"Proportion of Days Covered, Definition {i}" for i in (1, 2, 3)},
+}
+
+
 def multi_treatment_patients(
     cohort: DataFrame, id_col: str = "enrolid", treatment_col: str = "idxtreatment"
 ) -> DataFrame:
@@ -115,7 +121,7 @@ def adherence(
     refilled = F.col("_n") > 1
     zero, one = F.lit(0), F.lit(1.0)
     overrun = F.greatest(zero, est + last_days - F.unix_date(end_day))
-    return per_patient.select(
+    measures = per_patient.select(
         id_col,
         refilled.cast("int").alias("mpr_flag"),
         F.when(refilled, F.least(total / (span + last_days), one)).alias("mpr_df1"),
@@ -125,6 +131,7 @@ def adherence(
         ((total - overrun) / follow_up_days).alias("pdc_df2"),
         F.least(total / follow_up_days, one).alias("pdc_df3"),
     )
+    return measures.select(*[F.col(c).alias(c, metadata={"label": ADHERENCE_LABELS[c]}) if c in ADHERENCE_LABELS else F.col(c) for c in measures.columns])
 
 
 def persistence_chain(
@@ -181,7 +188,7 @@ def outcomes_tp(adhere: DataFrame, persist: DataFrame, id_col: str = "enrolid")
     flag = (1 - F.col("disc_flag")).cast("string")
     return adhere.join(persist, id_col).select(
         id_col,
-        "pdc_df2",
+        F.col("pdc_df2").alias("pdc_df2", metadata={"label": ADHERENCE_LABELS["pdc_df2"]}),
         flag.alias("persistence_flag", metadata={"label": "Persistence Flag"}),
         F.col("time").alias("time", metadata={"label": "Time to discontinuation"}),
     )

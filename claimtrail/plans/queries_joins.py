@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from claimtrail.operators.conditions import baseline_claims
 from claimtrail.operators.exposure import index_join
+from claimtrail.operators.joins import lookup_join
 from claimtrail.operators.reshape import distinct_values, outer_union, to_long, vec2mat, with_pseudo_group
 from claimtrail.operators.scan import (
     attach_generic, equal_join, exclude, prefix_join, restrict_to, scan_dx, scan_enrollment, scan_rx,
@@ -43,11 +44,14 @@ def dx_prefix_join_nested_codes(v: Views):
     return prefix_join(v.table("part").select("p_partkey", "p_brand"), codes, ["p_brand"], "code")
 
 
-@query("dx_prefix_join_long_list", with_views("claims", "hcpcs") + """
-SELECT c.enrolid, h.hcpcs AS code, count(*) AS n FROM claims c
-JOIN hcpcs h ON starts_with(c.pdx, h.hcpcs) OR starts_with(c.dx1, h.hcpcs) OR starts_with(c.dx2, h.hcpcs) GROUP BY ALL""")
+HEADS_SQL = ", ".join(f"substr({c}, 1, {n})" for c in ("pdx", "dx1", "dx2") for n in range(1, 6))
+
+
+@query("dx_prefix_join_long_list", with_views("claims", "hcpcs") + f"""
+SELECT enrolid, code, count(*) AS n FROM (SELECT enrolid, unnest(list_distinct([{HEADS_SQL}])) AS code FROM claims)
+WHERE code IN (SELECT hcpcs FROM hcpcs) GROUP BY ALL""")
 def dx_prefix_join_long_list(v: Views):
-    found = prefix_join(v.claims, v.hcpcs.select("hcpcs"), ["pdx", "dx1", "dx2"], "code", max_inline=10)
+    found = prefix_join(v.claims, v.hcpcs.select("hcpcs"), ["pdx", "dx1", "dx2"], "code")
     return _count(found, "enrolid", "code")
 
 
@@ -60,17 +64,17 @@ def rx_code_join(v: Views):
 
 
 @query("rx_code_join_columns", with_views("claims", "hcpcs") + """
-SELECT c.enrolid, h.hcpcs AS code, count(*) AS n FROM claims c
-JOIN hcpcs h ON c.proc1 = h.hcpcs OR c.pdx = h.hcpcs OR c.dx1 = h.hcpcs GROUP BY ALL""")
+SELECT enrolid, code, count(*) AS n FROM (SELECT enrolid, unnest(list_distinct([proc1, pdx, dx1])) AS code FROM claims)
+WHERE code IN (SELECT hcpcs FROM hcpcs) GROUP BY ALL""")
 def rx_code_join_columns(v: Views):
     return _count(equal_join(v.claims, v.hcpcs.select("hcpcs"), ["proc1", "pdx", "dx1"], "code"), "enrolid", "code")
 
 
 @query("rx_code_join_long_list", with_views("claims", "hcpcs") + """
-SELECT c.enrolid, h.hcpcs AS code, count(*) AS n FROM claims c
-JOIN hcpcs h ON c.proc1 = h.hcpcs OR c.pdx = h.hcpcs OR c.dx1 = h.hcpcs GROUP BY ALL""")
+SELECT enrolid, code, count(*) AS n FROM (SELECT enrolid, unnest(list_distinct([proc1, pdx, dx1])) AS code FROM claims)
+WHERE code IN (SELECT hcpcs FROM hcpcs) GROUP BY ALL""")
 def rx_code_join_long_list(v: Views):
-    found = equal_join(v.claims, v.hcpcs.select("hcpcs"), ["proc1", "pdx", "dx1"], "code", max_inline=10)
+    found = equal_join(v.claims, v.hcpcs.select("hcpcs"), ["proc1", "pdx", "dx1"], "code")
     return _count(found, "enrolid", "code")
 
 
@@ -120,7 +124,7 @@ JOIN (SELECT DISTINCT enrolid, idxdate, idxtreatment FROM cohort) c ON r.enrolid
  AND r.svcdate BETWEEN c.idxdate AND c.idxdate + 364 GROUP BY ALL""")
 def window_equi_join(v: Views):
     indexed = v.cohort.select("enrolid", "idxdate", F.col("idxtreatment").alias("generic_name")).distinct()
-    joined = v.rx.join(indexed, ["enrolid", "generic_name"])
+    joined = lookup_join(v.rx, indexed, ["enrolid", "generic_name"])
     kept = joined.where((F.col("idxdate") <= F.col("svcdate")) & (F.col("svcdate") <= F.date_add("idxdate", 364)))
     return _count(kept, "enrolid", "svcdate", "generic_name", "idxdate")
 
@@ -174,7 +178,7 @@ def full_merge(v: Views):
 SELECT enrolid, svcdate, r.ndcnum, coalesce((SELECT usual FROM best b WHERE b.ndcnum = r.ndcnum), 0) AS usual FROM rx r""")
 def keyed_lookup(v: Views):
     usual = supply_mode(v.rx.where("daysupp > 35"))
-    looked_up = v.rx.join(usual, "ndcnum", "left")
+    looked_up = lookup_join(v.rx, usual, ["ndcnum"], "left")
     return looked_up.select("enrolid", "svcdate", "ndcnum", F.coalesce("mode_supply", F.lit(0)).alias("usual"))
 
 

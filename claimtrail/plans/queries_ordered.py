@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from claimtrail.operators.charlson import GROUPS, charlson
 from claimtrail.operators.conditions import condition_frequency, patient_conditions, rank_labels_top_n
+from claimtrail.operators.joins import lookup_join
 from claimtrail.operators.ordered import first_last, row_number_global, top_n_with_ties
 from claimtrail.operators.supply import dedupe_keep_max_supply, supply_mode
 from claimtrail.operators.treatment import covered_days, est_refill_chain, persistence_chain, sum_same_day_supply
@@ -71,7 +72,7 @@ def unique_date_visits(v: Views):
 SELECT r.enrolid, i.idxdate, r.svcdate, CAST(sum(r.daysupp) AS BIGINT) AS daysupp FROM rx r JOIN idx i ON r.enrolid = i.enrolid
 WHERE r.daysupp > 0 GROUP BY ALL""")
 def sum_same_day(v: Views):
-    return sum_same_day_supply(v.rx.where("daysupp > 0").join(v.idx, "enrolid"), ["enrolid", "idxdate"])
+    return sum_same_day_supply(lookup_join(v.rx.where("daysupp > 0"), v.idx, ["enrolid"]), ["enrolid", "idxdate"])
 
 
 @query("conditional_counts", with_views("claims") + """

@@ -184,7 +184,7 @@ def point_lookup(v: Views):
   CAST(c_custkey % 7 AS STRING) AS region, CASE WHEN c_custkey % 4 = 3 THEN ' ' ELSE CAST(c_custkey % 4 AS STRING) END AS sex FROM customer)
 SELECT c_custkey, CASE WHEN plantyp IS NULL THEN '.-Missing/Unknown' WHEN plantyp BETWEEN 1 AND 9 THEN
   ['1-Basic/Major Medical','2-Comprehensive','3-EPO','4-HMO','5-POS','6-PPO','7-POS with Capitation','8-CDHP','9-HDHP'][CAST(plantyp AS INT)]
-  ELSE CAST(plantyp AS VARCHAR) END AS plantyp_label,
+  ELSE CAST(CAST(plantyp AS BIGINT) AS VARCHAR) END AS plantyp_label,
  CASE WHEN plantyp IN (4, 7) THEN '3-HMO and POS capitation' WHEN plantyp BETWEEN 1 AND 9 THEN '1-Fee for service' ELSE '2-Unknown' END AS plan_label,
  CASE WHEN region BETWEEN '1' AND '5' THEN ['1-Northeast Region','2-North Central Region','3-South Region','4-West Region','5-Unknown Region'][CAST(region AS INT)]
   ELSE region END AS region_label,

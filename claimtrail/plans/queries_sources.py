@@ -6,62 +6,80 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from claimtrail.functions.codes import distinct_codes
 from claimtrail.operators.ordered import forward_fill
 from claimtrail.operators.reshape import outer_union
+from claimtrail.operators.scan import code_list_df
 from claimtrail.plans.registry import query
 from claimtrail.plans.views import TABLES, Views, with_views
-from claimtrail.sources.code_lists import codes_of, hcpcs_list, icd9_list, ndc_list
+from claimtrail.sources.code_lists import codes_of, load_code_lists
 from claimtrail.sources.scratch import scratch_path
 from claimtrail.sources.shards import select_shards, union_columns
-from claimtrail.sources.tables import normalize, write_folder
-
-
-@query("ingest_table", "SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS o_orderdate, o_orderstatus FROM orders")
-def ingest_table(v: Views):
-    file = v.table("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
-    raw = file.toDF(*[c.upper() for c in file.columns])
-    path = scratch_path(v.spark, "orders")
-    write_folder(normalize(raw, date_cols=["o_orderdate"]), path)
-    return v.spark.read.parquet(path)
-
-
-@query(
-    "ingest_library",
-    " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in TABLES),
-)
-def ingest_library(v: Views):
-    home = scratch_path(v.spark, "library")
-    counts = []
-    for name in TABLES:
-        write_folder(normalize(v.table(name)), f"{home}/{name}")
-        loaded = v.spark.read.parquet(f"{home}/{name}")
-        counts.append(loaded.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows")))
+from claimtrail.sources.tables import create_libraries, drop_libraries, ingest_library, ingest_table, list_tables, materialize, write_folder
+
+
+def library(v: Views, name: str) -> str:
+    """An empty library of a query's own name; what the query wrote before is removed."""
+    drop_libraries(v.spark, [name])
+    create_libraries(v.spark, [name], scratch_path(v.spark, "library"))
+    return name
+
+
+def row_counts(v: Views, home: str, names):
+    counts = [v.spark.table(f"{home}.{t}").agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n_rows")) for t in names]
     return reduce(outer_union, counts)
 
 
-@query(
-    "chunked_append",
-    "SELECT l_linestatus, count(*) AS n_rows, CAST(sum(l_linenumber) AS BIGINT) AS lines FROM lineitem GROUP BY 1",
-)
+@query("ingest_table", "SELECT * REPLACE (CAST(o_orderdate AS DATE) AS o_orderdate) FROM orders")
+def ingest_table_query(v: Views):
+    home = library(v, "q_ingest_table")
+    ingest_table(v.spark, v.path("orders"), f"{home}.orders", date_cols=["o_orderdate"])
+    return v.spark.table(f"{home}.orders")
+
+
+@query("ingest_library", " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in TABLES))
+def ingest_library_query(v: Views):
+    home = library(v, "q_ingest_library")
+    return row_counts(v, home, ingest_library(v.spark, {t: v.path(t) for t in TABLES}, home))
+
+
+@query("list_tables", " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in ("nation", "orders", "region")))
+def list_tables_query(v: Views):
+    home = library(v, "q_list_tables")
+    ingest_library(v.spark, {t: v.path(t) for t in ("orders", "nation", "region")}, home)
+    return row_counts(v, home, list_tables(v.spark, home))
+
+
+@query("libraries", "SELECT 'q_raw' AS library, 'events' AS table_name, count(*) AS n_rows FROM events UNION ALL SELECT 'q_scd', 'part', count(*) FROM part")
+def libraries_query(v: Views):
+    parts = []
+    for home, table in (("q_raw", "events"), ("q_scd", "part")):
+        create_libraries(v.spark, [library(v, home)])  # an existing library stays
+        ingest_library(v.spark, {table: v.path(table)}, home)
+        parts.append(row_counts(v, home, list_tables(v.spark, home)).withColumn("library", F.lit(home)))
+    return reduce(outer_union, parts)
+
+
+CHUNKS = 4
+
+
+@query("chunked_append", "SELECT * REPLACE (CAST(l_shipdate AS DATE) AS l_shipdate) FROM lineitem")
 def chunked_append(v: Views):
-    path = scratch_path(v.spark, "append")
-    lines = v.table("lineitem").select("l_linestatus", "l_linenumber")
-    for status in ("F", "O"):
-        write_folder(lines.where(F.col("l_linestatus") == status), path, "append")
-    return (
-        v.spark.read.parquet(path)
-        .groupBy("l_linestatus")
-        .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("l_linenumber").alias("lines"))
-    )
+    """Chunks by a hash of the row, so that every row is in one of them, appended one after another."""
+    lines = v.table("lineitem")
+    home = library(v, "q_chunked_append")
+    for chunk in range(CHUNKS):
+        path = scratch_path(v.spark, "chunk")
+        write_folder(lines.where(F.pmod(F.xxhash64(*lines.columns), F.lit(CHUNKS)) == chunk), path)
+        ingest_table(v.spark, path, f"{home}.lines", if_exists="append", date_cols=["l_shipdate"])
+    return v.spark.table(f"{home}.lines")
 
 
 @query("materialize", with_views("rx") + """
 SELECT enrolid, svcdate, count(*) AS n FROM rx GROUP BY ALL""")
-def materialize(v: Views):
-    path = scratch_path(v.spark, "days")
-    write_folder(v.rx.groupBy("enrolid", "svcdate").agg(F.count(F.lit(1)).alias("n")), path)
-    return v.spark.read.parquet(path)
+def materialize_query(v: Views):
+    home = library(v, "q_materialize")
+    materialize(v.rx.groupBy("enrolid", "svcdate").agg(F.count(F.lit(1)).alias("n")), f"{home}.days", "fail")
+    return v.spark.table(f"{home}.days")
 
 
 @query("select_shards", with_views("claims") + """
@@ -76,16 +94,13 @@ def select_shards_query(v: Views):
 
 
 @query("union_columns", with_views("claims") + """
-SELECT tb_name, count(*) AS n, count(pdx) AS n_pdx, count(procgrp) AS n_procgrp FROM (
-  SELECT 'ccaeo101' AS tb_name, NULL AS pdx, procgrp FROM claims WHERE scope = 'o'
-  UNION ALL SELECT 'ccaes101', pdx, NULL FROM claims WHERE scope = 's') GROUP BY ALL""")
+SELECT 'ccaeo101' AS tb_name, enrolid, svcdate, dx1, NULL AS pdx, procgrp, count(*) AS n FROM claims WHERE scope = 'o' GROUP BY ALL
+UNION ALL SELECT 'ccaes101', enrolid, svcdate, dx1, pdx, NULL, count(*) FROM claims WHERE scope = 's' GROUP BY ALL""")
 def union_columns_query(v: Views):
-    outpatient = v.claims.where("scope = 'o'").select("enrolid", F.col("procgrp").alias("PROCGRP"))
-    inpatient = v.claims.where("scope = 's'").select(F.col("enrolid").alias("ENROLID"), "pdx")
+    outpatient = v.claims.where("scope = 'o'").select("enrolid", "svcdate", "dx1", F.col("procgrp").alias("PROCGRP"))
+    inpatient = v.claims.where("scope = 's'").select(F.col("enrolid").alias("ENROLID"), "pdx", "dx1", F.col("svcdate").alias("SvcDate"))
     both = union_columns({"ccaeo101": outpatient, "ccaes101": inpatient})
-    return both.groupBy("tb_name").agg(
-        F.count(F.lit(1)).alias("n"), F.count("pdx").alias("n_pdx"), F.count("procgrp").alias("n_procgrp")
-    )
+    return both.groupBy("tb_name", "enrolid", "svcdate", "dx1", "pdx", "procgrp").agg(F.count(F.lit(1)).alias("n"))
 
 
 NDC_SHEET = """SELECT p_partkey AS row_no, p_type AS generic_name, CASE p_partkey % 3
@@ -111,15 +126,27 @@ UNION ALL SELECT 'ndc', row_no, CASE WHEN len(string_split(ndc, '-')) = 3 THEN
   ELSE right('00000000000' || replace(ndc, '-', ''), greatest(11, length(replace(ndc, '-', '')))) END, generic_name FROM n
 UNION ALL SELECT 'hcpcs', row_no, hcpcs, generic_name FROM h WHERE hcpcs <> ''""")
 def import_code_lists(v: Views):
-    icd9 = icd9_list(_sheet(v, ICD9_SHEET)).select(F.lit("icd9").alias("list"), "row_no", F.col("icd9").alias("code"), F.col("ta").alias("label"))
-    ndc = ndc_list(_sheet(v, NDC_SHEET)).select(F.lit("ndc").alias("list"), "row_no", F.col("ndc").alias("code"), F.col("generic_name").alias("label"))
-    hcpcs = hcpcs_list(_sheet(v, HCPCS_SHEET)).select(F.lit("hcpcs").alias("list"), "row_no", F.col("hcpcs").alias("code"), F.col("generic_name").alias("label"))
-    return icd9.unionByName(ndc).unionByName(hcpcs)
+    sheets = {"icd9": ICD9_SHEET, "ndc": NDC_SHEET, "hcpcs": HCPCS_SHEET}
+    labels = {"icd9": "ta", "ndc": "generic_name", "hcpcs": "generic_name"}
+    paths = {}
+    for name, sql in sheets.items():
+        paths[name] = scratch_path(v.spark, name)
+        _sheet(v, sql).write.option("header", True).csv(paths[name])
+    home = library(v, "q_code_lists")
+    load_code_lists(v.spark, paths, home)
+    lists = [
+        v.spark.table(f"{home}.{name}").select(
+            F.lit(name).alias("list"), F.col("row_no").cast("long").alias("row_no"), F.col(name).alias("code"), F.col(label).alias("label")
+        )
+        for name, label in labels.items()
+    ]
+    return reduce(outer_union, lists)
 
 
 @query("code_list_df", "SELECT DISTINCT p_brand AS rx FROM part WHERE p_brand <> ''")
 def code_list(v: Views):
-    return distinct_codes(v.table("part").select("p_brand"), "rx")
+    brands = sorted(r[0] for r in v.table("part").select("p_brand").distinct().collect())  # a Python list is what it takes
+    return code_list_df(v.spark, [*brands, *brands, ""], "rx")
 
 
 @query("read_codes", with_views("icd9") + "SELECT icd9 FROM icd9 WHERE upper(ta) = 'ASIA'")

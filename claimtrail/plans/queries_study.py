@@ -58,13 +58,14 @@ CLEANED_SQL = """usual AS (SELECT ndcnum, daysupp AS u FROM (SELECT ndcnum, days
   row_number() OVER (PARTITION BY ndcnum ORDER BY count(*) DESC, daysupp) AS k FROM deduped WHERE daysupp > 0 GROUP BY ndcnum, daysupp)
  WHERE k = 1),
 cleaned AS (SELECT d.* REPLACE (CASE WHEN daysupp > 0 THEN daysupp ELSE u END AS daysupp) FROM deduped d JOIN usual USING (ndcnum))"""
+OWN_SQL = "source <> 'mcdd' AND scope IN ('s', 'o')"
 STUDY_DAYS = "BETWEEN DATE '1997-01-01' AND DATE '1999-12-31'"
 EXPOSURE_SQL = f"""rx_all AS (SELECT * FROM rx WHERE svcdate {STUDY_DAYS}),
 {DEDUPED_SQL.replace('FROM rx', 'FROM rx_all')},
 {CLEANED_SQL},
 interest_tx AS (SELECT enrolid, svcdate, sex, dobyr, age, plantyp, region, n.generic_name, daysupp FROM cleaned c JOIN ndc n ON c.ndcnum = n.ndc
  UNION ALL SELECT enrolid, svcdate, sex, dobyr, age, plantyp, region, h.generic_name, h.daysupp FROM claims c JOIN hcpcs h ON c.proc1 = h.hcpcs
- WHERE svcdate {STUDY_DAYS})"""
+ WHERE svcdate {STUDY_DAYS} AND {OWN_SQL})"""
 ALLPT_SQL = """first_day AS (SELECT enrolid, min(svcdate) AS idxdate FROM interest_tx
   WHERE svcdate BETWEEN DATE '1998-01-01' AND DATE '1998-12-31' GROUP BY 1),
 allpt AS (SELECT DISTINCT t.enrolid, f.idxdate, sex, dobyr, age, plantyp, region, generic_name AS idxtreatment
@@ -143,7 +144,7 @@ def index_cohort_query(v: Views):
 @query("pull_dx", with_views("claims", "icd9", "cohort") + f"""
 SELECT c.enrolid, c.svcdate, c.pdx, c.dx1, c.dx2, count(*) AS n FROM claims c JOIN (SELECT DISTINCT icd9 FROM icd9) i
  ON starts_with(c.pdx, i.icd9) OR starts_with(c.dx1, i.icd9) OR starts_with(c.dx2, i.icd9)
-WHERE svcdate {STUDY_DAYS} AND c.enrolid IN (SELECT enrolid FROM cohort) GROUP BY ALL""")
+WHERE svcdate {STUDY_DAYS} AND {OWN_SQL} AND c.enrolid IN (SELECT enrolid FROM cohort) GROUP BY ALL""")
 def pull_dx_query(v: Views):
     found = pull_dx(inputs(v), v.cohort, v.cfg)
     return found.groupBy("enrolid", "svcdate", "pdx", "dx1", "dx2").agg(F.count(F.lit(1)).alias("n"))
@@ -187,7 +188,11 @@ common AS (SELECT enrolid, coalesce(string_agg(CAST(t.k AS VARCHAR), ' ' ORDER B
 
 @query("baseline", study_sql(BASE_DX_SQL, PAIRS_SQL, BASELINE_SQL, views=("sddx", "disease")) + "SELECT * FROM cci JOIN common USING (enrolid)")
 def baseline_query(v: Views):
-    wide = baseline(v.sddx, v.disease, v.cfg)
+    return with_top_list(baseline(v.sddx, v.disease, v.cfg))
+
+
+def with_top_list(wide):
+    """The top-condition flags as one list of the numbers that are set."""
     flags = [c for c in wide.columns if c.startswith("ICD93d_Top_")]
     listed = F.concat_ws(" ", *[F.when(F.col(c) == "1", c.rsplit("_", 1)[1]) for c in flags])
     return wide.withColumn("top_conditions", listed).drop(*flags)
@@ -288,29 +293,32 @@ def outcomes_tp_query(v: Views):
 
 # ---- analysis table ----
 VARIABLE_COLUMNS = [
-    "enrolid", "idxdate", "sex", "age", "plantyp", "region", "idxtreatment", "charlson_index", "cc_grp_6", "cc_grp_14",
-    *ALL_COUNTS, *[f"with_{c}" for c in ALL_COUNTS], "pdc_df2", "persistence_flag", "time",
+    "enrolid", "idxdate", "sex", "age", "plantyp", "region", "idxtreatment", "charlson_index",
+    *[f"cc_grp_{i}" for i in range(1, 18)], "top_conditions", *ALL_COUNTS, *[f"with_{c}" for c in ALL_COUNTS], "pdc_df2", "persistence_flag", "time",
 ]
 
+SHOWN = {"pdc_df2": "round(pdc_df2, 9) AS pdc_df2", "persistence_flag": "CAST(1 - disc_flag AS VARCHAR) AS persistence_flag"}
+VARIABLES_SELECT = ", ".join(SHOWN.get(c, c) for c in VARIABLE_COLUMNS)
+
 
 @query("variables", study_sql(
     FILLS_SQL, ADHERENCE_SQL, PERSIST_SQL, BASE_DX_SQL, PAIRS_SQL, BASELINE_SQL, HOSPITAL_SQL, VISITS_SQL, RU_SQL,
     views=("rx", "cohort", "sddx", "sdadm", "disease"),
-) + f"""SELECT {', '.join('round(pdc_df2, 9) AS pdc_df2' if c == 'pdc_df2' else 'CAST(1 - disc_flag AS VARCHAR) AS persistence_flag'
- if c == 'persistence_flag' else c for c in VARIABLE_COLUMNS)}
+) + f"""SELECT {VARIABLES_SELECT}
 FROM cohort JOIN cci USING (enrolid) JOIN common USING (enrolid) JOIN ru USING (enrolid) JOIN adhere USING (enrolid) JOIN persist USING (enrolid)""")
 def variables_query(v: Views):
     pattern = outcomes_tp(adherence(fills(v), v.cfg.outcome_days), persisted(v))
     use = outcomes_ru(v.idx, hospital(v), visit(v), v.cfg)
     table = variables(v.cohort, baseline(v.sddx, v.disease, v.cfg), use, pattern)
-    return rounded(table.select(*VARIABLE_COLUMNS), "pdc_df2")
+    return rounded(with_top_list(table).select(*VARIABLE_COLUMNS), "pdc_df2")
 
 
 # ---- descriptive statistics ----
 ANALYSIS = (
-    "c_mktsegment AS grp", "o_totalprice AS cost", "CAST(o_custkey % 60 AS INT) AS age", "o_orderpriority AS priority",
+    "CASE WHEN o_orderkey % 13 > 0 THEN c_mktsegment END AS grp", "o_totalprice AS cost", "CAST(o_custkey % 60 AS INT) AS age", "o_orderpriority AS priority",
     "CASE WHEN o_custkey % 11 = 0 THEN ' ' ELSE CAST(o_custkey % 5 AS STRING) END AS region",
     "CASE WHEN o_orderstatus = 'F' THEN '1' ELSE '0' END AS filled", "CASE WHEN c_acctbal < 0 THEN '1' ELSE '0' END AS debt",
+    "CASE WHEN c_mktsegment = 'BUILDING' THEN 'own' ELSE 'other' END AS kind", "o_totalprice > 150000 AS large", "CAST(o_orderdate AS DATE) AS day",
 )
 ANALYSIS_SQL = f"WITH a AS (SELECT {', '.join(ANALYSIS)} FROM orders JOIN customer ON o_custkey = c_custkey)"
 BOTH_SQL = ANALYSIS_SQL + ",\nb AS (SELECT * FROM a UNION ALL SELECT * REPLACE ('All' AS grp) FROM a)"
@@ -322,7 +330,8 @@ def analysis(v: Views):
 
 
 def stat_n_sql(source: str, columns: list[str]) -> str:
-    long = " UNION ALL ".join(f"SELECT grp, '{c}' AS varname, CAST({c} AS DOUBLE) AS x FROM {source}" for c in columns)
+    value = {"day": "day - DATE '1970-01-01'"}
+    long = " UNION ALL ".join(f"SELECT grp, '{c}' AS varname, CAST({value.get(c, c)} AS DOUBLE) AS x FROM {source} WHERE grp IS NOT NULL" for c in columns)
     at = "CASE WHEN n % {d} = 0 AND (n * {m}) % {d} = 0 THEN (s[CAST(n * {m} // {d} AS INT)] + s[CAST(n * {m} // {d} + 1 AS INT)]) / 2 ELSE s[CAST(n * {m} // {d} + 1 AS INT)] END"
     at = at.replace("n % {d} = 0 AND ", "")
     q1, md, q3 = at.format(m=1, d=4), at.format(m=1, d=2), at.format(m=3, d=4)
@@ -332,17 +341,23 @@ def stat_n_sql(source: str, columns: list[str]) -> str:
 
 
 def stat_c_sql(source: str, columns: list[str]) -> str:
-    long = " UNION ALL ".join(f"SELECT grp, '{c}' AS varname, CAST({c} AS VARCHAR) AS lvl FROM {source} WHERE trim({c}) <> ''" for c in columns)
-    return f"""SELECT varname, coalesce(grp, 'Overall') AS "group", lvl AS varlvl, stat, round(CAST(value AS DOUBLE), 6) AS value FROM (
- SELECT grp, varname, lvl, unnest(['N', 'Perc']) AS stat, unnest([n, CASE WHEN grp IS NOT NULL THEN 100.0 * n / (sum(n) OVER (PARTITION BY grp, varname)) END]) AS value FROM (
-  SELECT grp, varname, lvl, CAST(count(*) AS DOUBLE) AS n FROM ({long}) GROUP BY GROUPING SETS ((grp, varname, lvl), (varname, lvl))))"""
+    long = " UNION ALL ".join(
+        f"SELECT grp, '{c}' AS varname, CAST({c} AS VARCHAR) AS lvl FROM {source} WHERE trim({c}) <> '' AND grp IS NOT NULL" for c in columns
+    )
+    return f"""SELECT varname, grp AS "group", lvl AS varlvl, unnest(['N', 'Perc']) AS stat, unnest([n, round(perc, 6)]) AS value FROM (
+ WITH l AS ({long}), g AS (SELECT DISTINCT varname, grp FROM l), k AS (SELECT DISTINCT varname, lvl FROM l)
+ SELECT varname, grp, lvl, CAST(n AS DOUBLE) AS n, 100.0 * n / b AS perc FROM (SELECT g.varname, g.grp, k.lvl,
+   (SELECT count(*) FROM l WHERE l.varname = g.varname AND l.grp = g.grp AND l.lvl = k.lvl) AS n,
+   (SELECT count(*) FROM l WHERE l.varname = g.varname AND l.grp = g.grp) AS b FROM g JOIN k USING (varname))
+ UNION ALL SELECT varname, 'Overall', lvl, CAST(count(*) AS DOUBLE), NULL FROM l WHERE grp <> 'All' GROUP BY ALL)"""
 
 
 def stat_d_sql(source: str, columns: list[str]) -> str:
-    long = " UNION ALL ".join(f"SELECT grp, '{c}' AS varname, {c} AS f FROM {source}" for c in columns)
-    return f"""SELECT varname, coalesce(grp, 'Overall') AS "group", 'Overall' AS varlvl, stat, round(value, 6) AS value FROM (
- SELECT grp, varname, unnest(['N', 'Perc']) AS stat, unnest([CAST(n1 AS DOUBLE), n1 / n]) AS value FROM (
-  SELECT grp, varname, count(*) FILTER (WHERE f = '1') AS n1, count(*) AS n FROM ({long}) GROUP BY GROUPING SETS ((grp, varname), (varname))))"""
+    long = " UNION ALL ".join(f"SELECT grp, '{c}' AS varname, CAST({c} AS VARCHAR) AS f FROM {source}" for c in columns)
+    counts = "count(*) FILTER (WHERE f IN ('1', 'true')) AS n1, count(*) AS n"
+    return f"""SELECT varname, grp AS "group", 'Overall' AS varlvl, unnest(['N', 'Perc']) AS stat, unnest([CAST(n1 AS DOUBLE), round(n1 / n, 6)]) AS value FROM (
+ SELECT varname, grp, {counts} FROM ({long}) WHERE grp IS NOT NULL GROUP BY ALL
+ UNION ALL SELECT varname, 'Overall', {counts} FROM ({long}) WHERE grp IS DISTINCT FROM 'All' GROUP BY ALL)"""
 
 
 @query("desc_stat_n", ANALYSIS_SQL + stat_n_sql("a", ["cost", "age"]))
@@ -350,28 +365,28 @@ def desc_stat_n_query(v: Views):
     return rounded(desc_stat_n(analysis(v), ["cost", "age"], "grp"), "value", places=6)
 
 
-@query("desc_stat_c", ANALYSIS_SQL + stat_c_sql("a", ["priority", "region"]))
+@query("desc_stat_c", ANALYSIS_SQL + stat_c_sql("a", ["priority", "region", "kind"]))
 def desc_stat_c_query(v: Views):
-    return rounded(desc_stat_c(analysis(v), ["priority", "region"], "grp"), "value", places=6)
+    return rounded(desc_stat_c(analysis(v), ["priority", "region", "kind"], "grp"), "value", places=6)
 
 
-@query("desc_stat_d", ANALYSIS_SQL + stat_d_sql("a", ["filled", "debt"]))
+@query("desc_stat_d", ANALYSIS_SQL + stat_d_sql("a", ["filled", "debt", "large"]))
 def desc_stat_d_query(v: Views):
-    return rounded(desc_stat_d(analysis(v), ["filled", "debt"], "grp"), "value", places=6)
+    return rounded(desc_stat_d(analysis(v), ["filled", "debt", "large"], "grp"), "value", places=6)
 
 
-@query("descriptive_stats", BOTH_SQL + f"""SELECT * FROM ({stat_n_sql('b', ['cost', 'age'])})
-UNION ALL SELECT * FROM ({stat_c_sql('b', ['priority', 'region'])})
-UNION ALL SELECT * FROM ({stat_d_sql('b', ['filled', 'debt'])})""")
+@query("descriptive_stats", BOTH_SQL + f"""SELECT * FROM ({stat_n_sql('b', ['cost', 'age', 'day'])})
+UNION ALL SELECT * FROM ({stat_c_sql('b', ['priority', 'region', 'kind'])})
+UNION ALL SELECT * FROM ({stat_d_sql('b', ['filled', 'debt', 'large'])})""")
 def descriptive_stats_query(v: Views):
-    stats = descriptive_stats(analysis(v), ["priority", "region"], [], "grp", "All")
+    stats = descriptive_stats(analysis(v), ["priority", "region", "kind"], [], "grp", "All")
     return rounded(stats, "value", places=6)
 
 
 @query("summary_rollup", ANALYSIS_SQL + """
 SELECT 'cost' AS varname, coalesce(grp, 'Overall') AS "group", 'Overall' AS varlvl, unnest(['N', 'MIN', 'MAX', 'MEAN', 'STD']) AS stat,
  unnest([round(n, 6), round(lo, 6), round(hi, 6), round(m, 6), round(sd, 6)]) AS value
-FROM (SELECT grp, CAST(count(cost) AS DOUBLE) AS n, min(cost) AS lo, max(cost) AS hi, avg(cost) AS m, stddev_samp(cost) AS sd FROM a GROUP BY ROLLUP (grp))""")
+FROM (SELECT grp, CAST(count(cost) AS DOUBLE) AS n, min(cost) AS lo, max(cost) AS hi, avg(cost) AS m, stddev_samp(cost) AS sd FROM a WHERE grp IS NOT NULL GROUP BY ROLLUP (grp))""")
 def summary_rollup_query(v: Views):
     return rounded(summary_rollup(analysis(v), "cost", "grp"), "value", places=6)
 
@@ -423,7 +438,7 @@ SELECT 'rds.interest_tx' AS name, enrolid, count(*) AS n FROM interest_tx GROUP
 UNION ALL SELECT 'rds.allpt', enrolid, count(*) FROM allpt GROUP BY ALL
 UNION ALL SELECT 'rds.alldx', enrolid, count(*) FROM claims c JOIN (SELECT DISTINCT icd9 FROM icd9) i
  ON starts_with(c.pdx, i.icd9) OR starts_with(c.dx1, i.icd9) OR starts_with(c.dx2, i.icd9)
- WHERE svcdate {STUDY_DAYS} AND enrolid IN (SELECT enrolid FROM allpt) GROUP BY ALL
+ WHERE svcdate {STUDY_DAYS} AND {OWN_SQL} AND enrolid IN (SELECT enrolid FROM allpt) GROUP BY ALL
 UNION ALL SELECT 'rds.alladm', enrolid, count(*) FROM adm WHERE disdate >= DATE '1997-01-01' AND admdate <= DATE '1999-12-31'
  AND enrolid IN (SELECT enrolid FROM allpt) GROUP BY ALL
 UNION ALL SELECT 'rds.allce', enrolid, count(*) FROM spells WHERE dtend >= DATE '1997-01-01' AND dtstart <= DATE '1999-12-31'
@@ -440,7 +455,7 @@ def study_pull(v: Views):
 STUDY_INPUTS_SQL = f"""cohort AS (SELECT * FROM allpt),
 alldx AS (SELECT c.* FROM claims c JOIN (SELECT DISTINCT icd9 FROM icd9) i
  ON starts_with(c.pdx, i.icd9) OR starts_with(c.dx1, i.icd9) OR starts_with(c.dx2, i.icd9)
- WHERE svcdate {STUDY_DAYS} AND enrolid IN (SELECT enrolid FROM allpt)),
+ WHERE svcdate {STUDY_DAYS} AND {OWN_SQL} AND enrolid IN (SELECT enrolid FROM allpt)),
 idx AS (SELECT DISTINCT enrolid, idxdate FROM allpt),
 sddx AS (SELECT c.*, i.idxdate FROM alldx c JOIN idx i USING (enrolid)),
 sdadm AS (SELECT a.*, i.idxdate FROM adm a JOIN idx i USING (enrolid)
@@ -453,10 +468,25 @@ STUDY_PERSIST_SQL = PERSIST_SQL.replace("svcdate, l_linenumber, daysupp", "svcda
 @query("study_run", study_sql(
     EXPOSURE_SQL, ALLPT_SQL, STUDY_INPUTS_SQL, STUDY_FILLS_SQL, ADHERENCE_SQL, STUDY_PERSIST_SQL, BASE_DX_SQL, PAIRS_SQL,
     BASELINE_SQL, HOSPITAL_SQL, VISITS_SQL, RU_SQL, views=("rx", "claims", "ndc", "hcpcs", "adm", "icd9"),
-) + """SELECT enrolid, idxdate, idxtreatment, charlson_index, all_hospitalization, dis_hospitalization, all_er, all_office, all_others,
- dis_er, dis_office, dis_others, round(pdc_df2, 9) AS pdc_df2, time
+) + f"""SELECT {VARIABLES_SELECT}
 FROM cohort JOIN cci USING (enrolid) JOIN common USING (enrolid) JOIN ru USING (enrolid) JOIN adhere USING (enrolid) JOIN persist USING (enrolid)""")
 def study_run_query(v: Views):
     tables = study_run(v.spark, inputs(v), v.cfg, folder_saver(v.spark))
-    columns = ["enrolid", "idxdate", "idxtreatment", "charlson_index", *ALL_COUNTS, "pdc_df2", "time"]
-    return rounded(tables["ads.variables"].select(*columns), "pdc_df2")
+    return rounded(with_top_list(tables["ads.variables"]).select(*VARIABLE_COLUMNS), "pdc_df2")
+
+
+@query("study_run_tables", study_sql(
+    EXPOSURE_SQL, ALLPT_SQL, STUDY_INPUTS_SQL, STUDY_FILLS_SQL, ADHERENCE_SQL, STUDY_PERSIST_SQL, BASE_DX_SQL, PAIRS_SQL,
+    BASELINE_SQL, HOSPITAL_SQL, VISITS_SQL, RU_SQL, views=("rx", "claims", "ndc", "hcpcs", "adm", "icd9", "spells"),
+) + """SELECT 'rds.interest_tx' AS name, count(*) AS n FROM interest_tx UNION ALL SELECT 'rds.allpt', count(*) FROM allpt
+UNION ALL SELECT 'sds.sddm', count(*) FROM allpt UNION ALL SELECT 'rds.alldx', count(*) FROM alldx UNION ALL SELECT 'sds.sddx', count(*) FROM sddx
+UNION ALL SELECT 'sds.sdadm', count(*) FROM sdadm UNION ALL SELECT 'sds.cohort_treatment', count(*) FROM fills
+UNION ALL SELECT 'ads.baseline', count(*) FROM cci UNION ALL SELECT 'ads.outcomes_ru', count(*) FROM ru
+UNION ALL SELECT 'ads.outcomes_tp', count(*) FROM adhere JOIN persist USING (enrolid)
+UNION ALL SELECT 'ads.km', count(DISTINCT time) FROM persist UNION ALL SELECT 'ads.km_quartiles', 3 UNION ALL SELECT 'ads.km_at_risk', 7""")
+def study_run_tables(v: Views):
+    tables = study_run(v.spark, inputs(v), v.cfg, folder_saver(v.spark))
+    listed = ["rds.interest_tx", "rds.allpt", "rds.alldx", "sds.sddm", "sds.sddx", "sds.sdadm", "sds.cohort_treatment", "ads.baseline",
+              "ads.outcomes_ru", "ads.outcomes_tp", "ads.km", "ads.km_quartiles", "ads.km_at_risk"]
+    counted = [tables[n].agg(F.lit(n).alias("name"), F.count(F.lit(1)).alias("n")) for n in listed]
+    return reduce(lambda a, b: a.unionByName(b), counted)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -12,15 +13,16 @@ from claimtrail.functions.codes import inline_codes
 from claimtrail.operators.conditions import baseline
 from claimtrail.operators.describe import descriptive_stats
 from claimtrail.operators.exposure import exposure, index_cohort
-from claimtrail.operators.joins import lookup_join
+from claimtrail.operators.joins import lookup_join, saved
 from claimtrail.operators.scan import restrict_to, scan_dx, scan_enrollment, scan_rx
 from claimtrail.operators.supply import clean_supply_days
-from claimtrail.operators.survival import km_survival
+from claimtrail.operators.survival import km_at_risk, km_quartiles, km_survival
 from claimtrail.operators.treatment import adherence, cohort_treatment, outcomes_tp, persistence
 from claimtrail.operators.utilization import hospitalization, outcomes_ru, visit_counts, visits
-from claimtrail.sources.code_lists import codes_of
+from claimtrail.sources.code_lists import codes_of, load_code_lists
 from claimtrail.sources.scratch import scratch_path
-from claimtrail.sources.tables import materialize, write_folder
+from claimtrail.sources.shards import shard_columns, union_columns
+from claimtrail.sources.tables import create_libraries, ingest_library, list_tables, materialize, write_folder
 
 Save = Callable[[str, DataFrame], DataFrame]
 
@@ -64,28 +66,51 @@ def folder_saver(spark: SparkSession, folder: str | None = None) -> Save:
     return save
 
 
+#: Scopes of a shard: outpatient and inpatient services, drugs, admissions, enrolment.
+SERVICES, DRUGS, ADMISSIONS, ENROLLMENT = ("o", "s"), ("d",), ("i",), ("t",)
+
+
+def shards_of(table: DataFrame, cfg: StudyConfig, scopes: Sequence[str], years_before: int | None = 0) -> dict:
+    """Scan arguments that select the study's sources, the scopes, and the years of the study period, by the shard columns there are.
+
+    ``years_before`` is how many earlier years may hold rows that reach into the period; ``None``: any.
+    """
+    have = set(table.columns)
+    chosen: dict = {}
+    if "source" in have:
+        chosen["sources"] = list(cfg.sources)
+    if "scope" in have:
+        chosen["scopes"] = list(scopes)
+    if cfg.year_col in have and years_before is not None:
+        chosen |= {"years": list(range(cfg.study_start.year - years_before, cfg.study_end.year + 1)), "year_col": cfg.year_col}
+    return chosen
+
+
 def study_exposure(inputs: StudyInputs, cfg: StudyConfig) -> DataFrame:
     """Exposures of the study period: coded procedures, and coded drug fills with cleaned supply."""
     window = {"start": cfg.study_start, "end": cfg.study_end}
-    procs = scan_rx(inputs.services, codes_of(inputs.hcpcs, "hcpcs"), ["proc1"], **window)
-    fills = scan_rx(inputs.drugs, codes_of(inputs.ndc, "ndc"), ["ndcnum"], **window)
+    procs = scan_rx(inputs.services, codes_of(inputs.hcpcs, "hcpcs"), ["proc1"], **window, **shards_of(inputs.services, cfg, SERVICES))
+    fills = scan_rx(inputs.drugs, codes_of(inputs.ndc, "ndc"), ["ndcnum"], **window, **shards_of(inputs.drugs, cfg, DRUGS))
     cleaned = clean_supply_days(fills, cfg.id_col, keep=cfg.demographics)
     return exposure(cleaned, procs, inputs.ndc, inputs.hcpcs, cfg)
 
 
 def pull_dx(inputs: StudyInputs, cohort: DataFrame, cfg: StudyConfig, dx_cols: Sequence[str] = ("pdx", "dx1", "dx2")) -> DataFrame:
     """Service claims of cohort patients with a study diagnosis in the study period."""
-    mine = restrict_to(inputs.services, cohort, cfg.id_col)
-    return scan_dx(mine, codes_of(inputs.icd9, "icd9"), dx_cols, cfg.study_start, cfg.study_end)
+    shards = shards_of(inputs.services, cfg, SERVICES)
+    found = scan_dx(inputs.services, codes_of(inputs.icd9, "icd9"), dx_cols, cfg.study_start, cfg.study_end, **shards)
+    return restrict_to(found, cohort, cfg.id_col)
 
 
 def pull_admissions(inputs: StudyInputs, cohort: DataFrame, cfg: StudyConfig) -> DataFrame:
-    stays = scan_dx(inputs.admissions, start=cfg.study_start, end=cfg.study_end, date_col="admdate", end_col="disdate")
+    shards = shards_of(inputs.admissions, cfg, ADMISSIONS, years_before=1)  # a stay may begin in the year before
+    stays = scan_dx(inputs.admissions, start=cfg.study_start, end=cfg.study_end, date_col="admdate", end_col="disdate", **shards)
     return restrict_to(stays, cohort, cfg.id_col)
 
 
 def pull_enrollment(inputs: StudyInputs, cohort: DataFrame, cfg: StudyConfig) -> DataFrame:
-    return restrict_to(scan_enrollment(inputs.enrollment, cfg.study_start, cfg.study_end), cohort, cfg.id_col)
+    shards = shards_of(inputs.enrollment, cfg, ENROLLMENT, years_before=None)  # a spell may begin in any earlier year
+    return restrict_to(scan_enrollment(inputs.enrollment, cfg.study_start, cfg.study_end, **shards), cohort, cfg.id_col)
 
 
 def study_claims(claims: DataFrame, cohort: DataFrame, id_col: str = "enrolid") -> DataFrame:
@@ -97,9 +122,10 @@ def pull_study(inputs: StudyInputs, cfg: StudyConfig = StudyConfig(), save: Save
     """Exposure, cohort and the cohort's claims."""
     out = {"rds.interest_tx": save("rds.interest_tx", study_exposure(inputs, cfg))}
     out["rds.allpt"] = cohort = save("rds.allpt", index_cohort(out["rds.interest_tx"], cfg))
-    out["rds.alldx"] = save("rds.alldx", pull_dx(inputs, cohort, cfg))
-    out["rds.alladm"] = save("rds.alladm", pull_admissions(inputs, cohort, cfg))
-    out["rds.allce"] = save("rds.allce", pull_enrollment(inputs, cohort, cfg))
+    patients = saved(cohort.select(cfg.id_col).distinct(), "patients")  # written once for the three pulls
+    out["rds.alldx"] = save("rds.alldx", pull_dx(inputs, patients, cfg))
+    out["rds.alladm"] = save("rds.alladm", pull_admissions(inputs, patients, cfg))
+    out["rds.allce"] = save("rds.allce", pull_enrollment(inputs, patients, cfg))
     return out
 
 
@@ -123,7 +149,7 @@ def analyse_study(
     listed = codes_of(icd9, "icd9", cfg.disease)
     inlined = inline_codes(listed)
     disease = listed if inlined is None else inlined
-    proc_cols = proc_cols or [c for c in admissions.columns if c.startswith("proc")]
+    proc_cols = proc_cols or [c for c in admissions.columns if re.fullmatch(r"proc[0-9]+", c)]
     out = {"ads.baseline": save("ads.baseline", baseline(claims, disease, cfg))}
     hospital = hospitalization(admissions, disease, cfg, proc_cols)
     counts = visit_counts(visits(claims, disease, cfg), cfg.id_col)
@@ -131,15 +157,16 @@ def analyse_study(
     out["sds.cohort_treatment"] = fills = save("sds.cohort_treatment", cohort_treatment(exposures, cohort, cfg))
     adhere = adherence(fills, cfg.outcome_days, cfg.id_col)
     persist = persistence(fills, cfg.refill_gap, cfg.drug_followup_days, True, cfg.id_col)
-    out["ads.km"] = km_survival(persist)
+    out["ads.km"] = curve = save("ads.km", km_survival(persist))
+    out["ads.km_quartiles"] = save("ads.km_quartiles", km_quartiles(curve))
+    out["ads.km_at_risk"] = save("ads.km_at_risk", km_at_risk(persist, range(0, cfg.drug_followup_days + 1, cfg.at_risk_step)))
     out["ads.outcomes_tp"] = save("ads.outcomes_tp", outcomes_tp(adhere, persist, cfg.id_col))
     table = variables(cohort, out["ads.baseline"], out["ads.outcomes_ru"], out["ads.outcomes_tp"], cfg.id_col)
     out["ads.variables"] = save("ads.variables", table)
     group_col = group_col or "idxtreatment"
     categorical = [c for c in ("sex", "plantyp", "region", "idxtreatment") if c != group_col]
-    out["ads.statistics"] = descriptive_stats(
-        out["ads.variables"], categorical, [cfg.id_col, "dobyr", "idxdate"], group_col, "All"
-    )
+    stats = descriptive_stats(out["ads.variables"], categorical, [cfg.id_col, "dobyr", "idxdate"], group_col, "All")
+    out["ads.statistics"] = save("ads.statistics", stats)
     return out
 
 
@@ -152,5 +179,31 @@ def study_run(
     cohort, exposures = out["rds.allpt"], out["rds.interest_tx"]
     claims = save("sds.sddx", study_claims(out["rds.alldx"], cohort, cfg.id_col))
     stays = save("sds.sdadm", study_claims(out["rds.alladm"], cohort, cfg.id_col))
-    out |= {"sds.sddm": cohort, "sds.sddx": claims, "sds.sdadm": stays}
+    out |= {"sds.sddm": save("sds.sddm", cohort), "sds.sddx": claims, "sds.sdadm": stays}
     return out | analyse_study(cohort, claims, stays, exposures, inputs.icd9, cfg, save=save)
+
+
+def library_inputs(spark: SparkSession, raw: str = "raw", codes: str = "scd") -> StudyInputs:
+    """The study's inputs from its libraries: the shards of each scope as one table, and the code lists."""
+    names = list_tables(spark, raw)
+
+    def scope(letters: str) -> DataFrame:
+        shards = {n: shard_columns(spark.table(f"{raw}.{n}"), n) for n in names if n[4:5] in letters}
+        if not shards:
+            raise ValueError(f"library {raw} has no table of scope {' or '.join(letters)}")
+        return union_columns(shards)
+
+    lists = [spark.table(f"{codes}.{name}") for name in ("icd9", "ndc", "hcpcs")]
+    return StudyInputs(scope("os"), scope("d"), scope("i"), scope("t"), *lists)
+
+
+def study_from_files(
+    spark: SparkSession, shards: dict[str, str], sheets: dict[str, str], cfg: StudyConfig = StudyConfig(),
+    shard_fmt: str = "parquet", sheet_fmt: str = "csv", folder: str | None = None, **ingest,
+) -> dict[str, DataFrame]:
+    """The whole study from claims files (shard name -> path) and code sheets: libraries, ingest, code lists, all study tables."""
+    create_libraries(spark, cfg.libraries, folder)
+    raw, _, codes, *_ = cfg.libraries
+    ingest_library(spark, shards, raw, shard_fmt, **ingest)
+    load_code_lists(spark, sheets, codes, sheet_fmt)
+    return study_run(spark, library_inputs(spark, raw, codes), cfg)

@@ -29,6 +29,7 @@ CONFIG = replace(
     study_start=date(1997, 1, 1),
     study_end=date(1999, 12, 31),
     disease="ASIA",
+    year_col="shardyear",
 )
 
 PATIENT = (
@@ -41,7 +42,7 @@ PATIENT = (
 )
 SERVICE_DAY = "CAST(o_orderdate AS DATE) AS svcdate"
 SHARD = (
-    "CASE WHEN l_suppkey % 2 = 0 THEN 'ccae' ELSE 'mdcr' END AS source",
+    "CASE WHEN l_suppkey % 7 = 3 THEN 'mcdd' WHEN l_suppkey % 2 = 0 THEN 'ccae' ELSE 'mdcr' END AS source",
     "CASE WHEN l_returnflag = 'R' THEN 's' ELSE 'o' END AS scope",
 )
 
@@ -62,6 +63,7 @@ CLAIMS = (
     *PATIENT,
     SERVICE_DAY,
     *SHARD,
+    "CAST(EXTRACT(YEAR FROM o_orderdate) AS INT) AS shardyear",
     "CAST(EXTRACT(YEAR FROM o_orderdate) AS INT) + 12 AS year",
     f"{_five('l_partkey * 487 + l_linenumber * 131 + l_suppkey * 17')} AS dx1",
     f"CASE WHEN l_linenumber % 4 = 0 THEN NULL ELSE {_five('l_partkey * 311 + l_suppkey * 53 + l_linenumber')} END AS dx2",
@@ -108,7 +110,7 @@ VIEW_SQL = {
     "icd9_sheet": f"SELECT {', '.join(ICD9)} FROM nation JOIN region ON n_regionkey = r_regionkey",
     "ndc": "SELECT p_brand AS ndc, min(p_type) AS generic_name FROM part GROUP BY p_brand",
     "hcpcs": f"SELECT {_five('p_partkey * 37')} AS hcpcs, min(p_type) AS generic_name, 30 AS daysupp FROM part"
-    " WHERE p_size <= 5 GROUP BY 1",
+    " GROUP BY 1",
     "disease": "SELECT DISTINCT replace(replace(icd9, 'x', ''), '.', '') AS icd9 FROM icd9_sheet WHERE ta = 'ASIA'",
     "icd9": "SELECT row_no, ta, replace(replace(icd9, 'x', ''), '.', '') AS icd9 FROM icd9_sheet",
     "idx": "SELECT enrolid, min(svcdate) AS idxdate FROM rx"
@@ -186,8 +188,7 @@ class Views:
     @cached_property
     def hcpcs(self) -> DataFrame:
         code = F.expr(_five("p_partkey * 37")).alias("hcpcs")
-        small = self.table("part").where("p_size <= 5")
-        return small.groupBy(code).agg(F.min("p_type").alias("generic_name"), F.lit(30).alias("daysupp"))
+        return self.table("part").groupBy(code).agg(F.min("p_type").alias("generic_name"), F.lit(30).alias("daysupp"))
 
     @cached_property
     def cohort(self) -> DataFrame:

@@ -23,6 +23,12 @@ def shard_parts(name: Column) -> dict[str, Column]:
     }
 
 
+def shard_columns(df: DataFrame, name: str) -> DataFrame:
+    """A shard's table with the columns ``source``, ``scope`` and ``year`` of its name."""
+    parts = shard_parts(F.lit(name))
+    return df.withColumns({c: parts[c] for c in SHARD_COLUMNS})
+
+
 def union_columns(shards: dict[str, DataFrame]) -> DataFrame:
     """All shards as one table: lower-case names, column union with NULL fill, the shard's name in ``tb_name``."""
     if not shards:
@@ -38,9 +44,10 @@ def select_shards(
     sources: str | Sequence[str] | None = None,
     scopes: str | Sequence[str] | None = None,
     years: Sequence[int] | None = None,
+    year_col: str = "year",
 ) -> DataFrame:
     """Keep the named sources, scopes and years. On a partitioned table this prunes partitions."""
-    for column, wanted in zip(SHARD_COLUMNS, (sources, scopes, years)):
+    for column, wanted in zip((*SHARD_COLUMNS[:2], year_col), (sources, scopes, years)):
         if wanted is not None:
             claims = claims.where(F.col(column).isin(as_list(wanted)))
     return claims

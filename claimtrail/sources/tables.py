@@ -26,9 +26,17 @@ def dates_to_day_numbers(df: DataFrame) -> DataFrame:
     return df.withColumns({name: days_since_1960(F.col(name)) for name in dated}) if dated else df
 
 
-def create_libraries(spark: SparkSession, names: Iterable[str]) -> None:
+def create_libraries(spark: SparkSession, names: Iterable[str], folder: str | None = None) -> None:
+    """Databases of the given names, under ``folder`` if given, else in the warehouse."""
     for name in names:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+        place = f" LOCATION '{folder}/{name}'" if folder else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{place}")
+
+
+def drop_libraries(spark: SparkSession, names: Iterable[str]) -> None:
+    """Drop databases with all their tables and files."""
+    for name in names:
+        spark.sql(f"DROP DATABASE IF EXISTS `{name}` CASCADE")
 
 
 def ingest_table(
@@ -138,7 +146,10 @@ def _numbered_range(part: str) -> list[str]:
 def classify_variables(
     df: DataFrame, categorical: Sequence[str] = (), exclude: Sequence[str] = ()
 ) -> dict[str, list[str]]:
-    """Sort columns by the statistics they get: named ones categorical, other text dichotomous, numbers continuous."""
+    """Sort columns by the statistics they get: named ones categorical, other text and booleans dichotomous, numbers and dates continuous.
+
+    A column of any other type (a timestamp, an array) has no statistics and must be excluded by name.
+    """
     named = {c.lower() for c in categorical}
     skipped = {c.lower() for c in exclude}
     kinds: dict[str, list[str]] = {"continuous": [], "dichotomous": [], "categorical": []}
@@ -150,6 +161,8 @@ def classify_variables(
             kinds["categorical"].append(field.name)
         elif isinstance(field.dataType, (T.NumericType, T.DateType)):
             kinds["continuous"].append(field.name)
-        elif isinstance(field.dataType, T.StringType):
+        elif isinstance(field.dataType, (T.StringType, T.BooleanType)):
             kinds["dichotomous"].append(field.name)
+        else:
+            raise ValueError(f"no statistics for {field.name} of type {field.dataType.simpleString()}; exclude it")
     return kinds

@@ -36,7 +36,7 @@ def test_ndc_11(spark, given, wanted):
 def test_inline_codes_is_bounded(spark):
     codes = spark.createDataFrame([("a",), ("b",), ("b",), ("",), (None,)], "c string")
     assert inline_codes(codes) == ["a", "b"]
-    assert inline_codes(codes, limit=1) is None
+    assert inline_codes(codes, max_bytes=9) is None
     assert inline_codes(["b", "", "a", "a"]) == ["a", "b"]
 
 
@@ -57,7 +57,7 @@ def brute_force(claims, codes):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("max_inline", [100, 2])
+@pytest.mark.parametrize("max_inline", [1000, 2])
 def test_prefix_join_equals_theta_join(spark, max_inline, plan):
     rng = random.Random(3)
     pool = [None, "", "4", "41", "410", "41011", "4102", "V42", "v42", "9", "98", "1410"]
@@ -70,7 +70,7 @@ def test_prefix_join_equals_theta_join(spark, max_inline, plan):
         assert "NestedLoop" not in plan(found) and "Cartesian" not in plan(found)
 
 
-@pytest.mark.parametrize("max_inline", [100, 1])
+@pytest.mark.parametrize("max_inline", [1000, 1])
 def test_equal_join(spark, max_inline, plan):
     data = [(1, "a", "a"), (2, "a", "b"), (3, None, "b"), (4, "c", ""), (4, "c", "")]
     df = spark.createDataFrame(data, "id int, p1 string, p2 string")
@@ -80,7 +80,7 @@ def test_equal_join(spark, max_inline, plan):
     assert found.columns == ["id", "p1", "p2", "code"]
 
 
-@pytest.mark.parametrize("max_inline", [100, 1])
+@pytest.mark.parametrize("max_inline", [1000, 1])
 def test_flag_prefix_keeps_rows(spark, max_inline):
     data = [(1, "410", None, True), (2, "999", "41", True), (3, "410", "41", False), (4, None, None, True), (1, "410", None, True)]
     df = spark.createDataFrame(data, "id int, a string, b string, ok boolean")
@@ -142,3 +142,32 @@ def test_lists_as_text(spark):
     assert rows(prefix_join(df, "410, 69", "pdx dx1", "code"), "code") == [("410",), ("69",)]
     assert rows(equal_join(df, "5 9", "pdx,dx1", "code", 1), "code") == [("5",), ("9",)]
     assert scan_dx(df, "410,69", "pdx, dx1", sources="ccae,mdcr", scopes="s").count() == 1
+
+
+@pytest.mark.parametrize("size", [0, 1, 30, 31, 32, 200])
+def test_both_code_paths_agree_around_the_bound(spark, size):
+    """Integer and text columns, copies of rows, NULL, and lists just under and over what is inlined."""
+    df = spark.createDataFrame([(i % 9, i, str(i % 40) if i % 5 else None) for i in range(120)] + [(1, 10, "10")] * 2, "k int, a int, b string")
+    codes = [str(i) for i in range(size)] + ["007", "7"]
+    bound = sum(len(c) + 8 for c in dict.fromkeys(codes[:31]))
+    for join in (prefix_join, equal_join):
+        found = [rows(join(df, codes, ["a", "b"], "code", limit)) for limit in (1 << 20, bound, 0)]
+        assert found[0] == found[1] == found[2]
+        assert join(df, codes, ["a", "b"], "code", 0).dtypes == join(df, codes, ["a", "b"], "code", 1 << 20).dtypes
+    flagged = [rows(flag_prefix(df, {"a": F.col("k") > 2, "b": F.col("k") < 5}, codes, "hit", limit)) for limit in (1 << 20, bound, 0)]
+    assert flagged[0] == flagged[1] == flagged[2] and len(flagged[0]) == 122
+
+
+def test_long_list_plan_has_one_join(spark, plan):
+    df = spark.createDataFrame([(1, "41", "4")], "k int, a string, b string")
+    listed = spark.createDataFrame([("41",), ("4",), ("412",)], "c string")
+    for found in (flag_prefix(df, {"a": F.lit(True), "b": F.lit(True)}, listed, "hit", 0), prefix_join(df, listed, ["a", "b"], "code", 0)):
+        assert plan(found).count("Join ") == 1
+
+
+def test_a_clashing_code_column_is_refused(spark):
+    df = spark.createDataFrame([("41", "x")], "a string, code string")
+    for join in (prefix_join, equal_join):
+        for limit in (1 << 20, 0):
+            with pytest.raises(ValueError):
+                join(df, ["4"], ["a"], "code", limit)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from claimtrail.operators.describe import (
     desc_stat_c, desc_stat_d, desc_stat_n, descriptive_stats, freq_sparse, quantiles, summary_rollup,
 )
-from claimtrail.operators.reshape import outer_union, to_long, with_pseudo_group
+from claimtrail.operators.reshape import outer_union, to_long, vec2mat, with_pseudo_group
 from tests.conftest import rows
 
 
@@ -60,14 +60,14 @@ def test_desc_stat_c_and_d(spark):
     labelled = df.withColumn("c", F.col("c").alias("c", metadata={"label": "Category"}))
     got = {(r["group"], r["varlvl"], r["stat"]): r["value"] for r in desc_stat_c(labelled, ["c"], "grp").collect()}
     assert got == {
-        ("g", "a", "N"): 1, ("g", "a", "Perc"): 50, ("g", "b", "N"): 1, ("g", "b", "Perc"): 50, ("h", "a", "N"): 1,
+        ("g", "a", "N"): 1, ("g", "a", "Perc"): 50, ("g", "b", "N"): 1, ("g", "b", "Perc"): 50, ("h", "b", "N"): 0, ("h", "b", "Perc"): 0, ("h", "a", "N"): 1,
         ("h", "a", "Perc"): 100, ("Overall", "a", "N"): 2, ("Overall", "a", "Perc"): None, ("Overall", "b", "N"): 1,
         ("Overall", "b", "Perc"): None,
     }
     assert {r["varname"] for r in desc_stat_c(labelled, ["c"], "grp").collect()} == {"Category"}
     got = {(r["group"], r["stat"]): r["value"] for r in desc_stat_d(df, ["d"], "grp").collect()}
     assert got == {
-        ("g", "N"): 2, ("g", "Perc"): pytest.approx(2 / 3), ("h", "N"): 0, ("h", "Perc"): 0, (None, "N"): 1, (None, "Perc"): 1,
+        ("g", "N"): 2, ("g", "Perc"): pytest.approx(2 / 3), ("h", "N"): 0, ("h", "Perc"): 0,
         ("Overall", "N"): 3, ("Overall", "Perc"): 0.6,
     }
 
@@ -94,3 +94,38 @@ def test_reshape(spark):
     assert rows(outer_union(a, b)) == [(1, 2, None), (3, None, "y")]
     assert rows(to_long(a, ["id"], ["x"])) == [(1, "x", 2)]
     assert rows(with_pseudo_group(a, "grp", "All"), "id", "grp") == [(1, "All"), (1, None)]
+
+
+def test_nan_is_missing(spark):
+    df = spark.createDataFrame([("g", 1.0), ("g", 3.0), ("g", float("nan")), ("h", float("nan"))], "grp string, v double")
+    got = {(r["group"], r["stat"]): r["value"] for r in desc_stat_n(df, ["v"], "grp").collect()}
+    assert (got["g", "Mean"], got["g", "Median"], got["h", "Mean"], got["h", "Q1"]) == (2, 2, None, None)
+
+
+def test_overall_counts_everyone_once(spark):
+    df = spark.createDataFrame([("g", "a", "1"), ("h", "b", "0"), ("h", "b", "1")], "grp string, c string, d string")
+    got = {(r["varname"], r["group"], r["varlvl"], r["stat"]): r["value"] for r in descriptive_stats(df, ["c"], [], "grp", "All").collect()}
+    assert got["c", "Overall", "b", "N"] == 2 and got["c", "All", "b", "N"] == 2 and got["c", "g", "b", "N"] == 0
+    assert got["d", "Overall", "Overall", "N"] == 2 and got["d", "Overall", "Overall", "Perc"] == pytest.approx(2 / 3)
+
+
+def test_dates_and_booleans_have_statistics(spark):
+    df = spark.sql("SELECT * FROM VALUES ('g', date'1970-01-03', true), ('g', date'1970-01-05', false) AS t(grp, day, yes)")
+    got = {(r["varname"], r["stat"]): r["value"] for r in descriptive_stats(df, [], [], "grp").where("group = 'g'").collect()}
+    assert got["day", "Mean"] == 3 and got["yes", "N"] == 1 and got["yes", "Perc"] == 0.5
+    with pytest.raises(ValueError):
+        descriptive_stats(df.withColumn("at", F.current_timestamp()), [], [], "grp")
+
+
+def test_sparse_crosstab_of_awkward_levels(spark):
+    df = spark.createDataFrame([("g", "1.5"), ("g", None), ("h", "null"), (None, " "), (None, "1.5")], "grp string, lvl string")
+    assert rows(freq_sparse(df, "grp", "lvl")) == sorted(
+        [("g", "1.5", 1), ("g", "null", 0), ("h", "1.5", 0), ("h", "null", 1), (None, "1.5", 1), (None, "null", 0)], key=repr)
+    many = spark.range(20_000).select(F.lit("g").alias("grp"), F.col("id").cast("string").alias("lvl"))
+    assert freq_sparse(many, "grp", "lvl").count() == 20_000
+
+
+def test_flags_of_a_long_dictionary(spark):
+    df = spark.createDataFrame([(1, "v.5"), (1, None), (2, "other")], "id int, v string")
+    wide = vec2mat(df, "id", "v", {f"v.{i}": f"f{i}" for i in range(2_500)})
+    assert rows(wide, "id", "f5", "f6") == [(1, 1, 0), (2, 0, 0)] and len(wide.columns) == 2_501

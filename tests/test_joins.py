@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from claimtrail.operators.joins import lookup_join, salted_join
+from claimtrail.operators.joins import hot_keys, lookup_join, saved, saved_bytes, split_join
 from tests.conftest import rows
 
 
@@ -14,12 +14,26 @@ def test_paths_agree(spark, how, plan):
     small = spark.createDataFrame([(7, "a"), (7, "b"), (3, "c"), (99, "d"), (None, "e")], "enrolid int, w string")
     small = small.select(*[c.split()[0] for c in columns.split(", ")])
     wanted = rows(df.join(small, "enrolid", how))
-    broadcast, salted = lookup_join(df, small, ["enrolid"], how), lookup_join(df, small, ["enrolid"], how, max_rows=1)
+    broadcast = lookup_join(df, small, ["enrolid"], how)
+    salted = lookup_join(df, small, ["enrolid"], how, max_bytes=1, rows_per_task=50)
     assert rows(broadcast) == wanted and rows(salted) == wanted
     assert "BroadcastHashJoin" in plan(broadcast) and "_salt" in plan(salted)
 
 
-def test_salted_join_refuses_right_side_joins(spark):
+def test_split_join_refuses_right_side_joins(spark):
     df = spark.range(1)
     with pytest.raises(ValueError):
-        salted_join(df, df, ["id"], "full")
+        split_join(df, df, ["id"], "full")
+
+
+def test_only_hot_keys_are_salted(spark):
+    df = spark.createDataFrame([(7,)] * 95 + [(8,)] * 10 + [(9,)], "enrolid int")
+    assert rows(hot_keys(df, ["enrolid"], 10)) == [(7, 10)]
+
+
+def test_stored_tables_know_their_size(spark, tmp_path):
+    df = spark.createDataFrame([(i, "a") for i in range(50)], "enrolid int, w string")
+    assert saved_bytes(df) is None
+    stored = saved(df)
+    assert 0 < saved_bytes(stored) < 10_000 and saved_bytes(stored.select("enrolid")) is not None
+    assert saved(stored) is stored and saved_bytes(stored.distinct()) is None

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from dataclasses import replace
 from datetime import date, timedelta
 
@@ -7,7 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimtrail.config import StudyConfig
-from claimtrail.plans.study import StudyInputs, analyse_study, folder_saver, keep_lazy, pull_study, study_run, table_saver
+from claimtrail.operators.conditions import baseline
+from claimtrail.plans.study import (
+    StudyInputs, analyse_study, folder_saver, keep_lazy, pull_admissions, pull_dx, pull_enrollment, pull_study, study_exposure, study_from_files,
+    study_run, table_saver,
+)
 from claimtrail.sources.tables import create_libraries, list_tables
 from tests.conftest import rows
 
@@ -91,5 +96,78 @@ def test_run_into_libraries(spark):
     for _ in range(2):
         study_run(spark, inputs, cfg)
     assert list_tables(spark, "rds") == ["alladm", "allce", "alldx", "allpt", "interest_tx"]
-    assert list_tables(spark, "ads") == ["baseline", "outcomes_ru", "outcomes_tp", "variables"]
+    assert list_tables(spark, "ads") == ["baseline", "km", "km_at_risk", "km_quartiles", "outcomes_ru", "outcomes_tp", "statistics", "variables"]
+    assert "sddm" in list_tables(spark, "sds")
     assert table_saver(spark)("sds.copy", inputs.icd9).count() == 2
+
+
+def test_only_numbered_procedures_count(spark, tables):
+    inputs = make_inputs(spark)
+    stays = tables["sds.sdadm"].withColumns({"proc1": F.lit(" "), "proc2": F.lit(None).cast("string"), "procgrp": F.lit(225)})
+    out = analyse_study(tables["rds.allpt"], tables["sds.sddx"], stays, tables["rds.interest_tx"], inputs.icd9, StudyConfig())
+    assert {r[0] for r in out["ads.outcomes_ru"].select("dis_hospitalization").collect()} == {0}
+
+
+def test_measures_are_labelled(tables):
+    names = {r[0] for r in tables["ads.statistics"].select("varname").distinct().collect()}
+    assert "Proportion of Days Covered, Definition 2" in names and "pdc_df2" not in names
+
+
+def partitioned(spark, df, tmp_path, name, scopes):
+    rows_ = None
+    for source in ("ccae", "mdcr", "mdcd"):
+        for scope in scopes:
+            for year in (2005, 2007, 2009):
+                part = df.drop("source", "scope", "year").withColumns({"source": F.lit(source), "scope": F.lit(scope), "year": F.lit(year)})
+                rows_ = part if rows_ is None else rows_.unionByName(part)
+    path = str(tmp_path / name)
+    rows_.write.partitionBy("source", "scope", "year").parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_pulls_prune_source_scope_and_year(spark, tmp_path, plan):
+    inputs = make_inputs(spark)
+    inputs = replace(
+        inputs, services=partitioned(spark, inputs.services, tmp_path, "services", "os"), drugs=partitioned(spark, inputs.drugs, tmp_path, "drugs", "d"),
+        admissions=partitioned(spark, inputs.admissions, tmp_path, "admissions", "i"), enrollment=partitioned(spark, inputs.enrollment, tmp_path, "enrollment", "t"),
+    )
+    cfg = StudyConfig()
+    cohort = spark.createDataFrame([(1,)], "enrolid int")
+    spark.conf.set("spark.sql.maxMetadataStringLength", 10_000)
+    for df, names in (
+        (pull_dx(inputs, cohort, cfg), ("source", "scope", "year")), (pull_admissions(inputs, cohort, cfg), ("source", "scope", "year")),
+        (pull_enrollment(inputs, cohort, cfg), ("source", "scope")),
+    ):
+        filters = "".join(re.findall(r"PartitionFilters: \[(.*?)\]", plan(df)))
+        assert all(n in filters for n in names), filters
+    exposed = study_exposure(inputs, cfg)
+    assert len(re.findall(r"PartitionFilters: \[[^\]]*source[^\]]*scope[^\]]*year", plan(exposed))) >= 2
+    assert pull_dx(inputs, cohort, cfg).select("source", "scope", "year").distinct().count() == 2 * 2 * 1
+
+
+def test_study_from_files(spark, tmp_path):
+    inputs = make_inputs(spark)
+    files = {}
+    for name, df in {
+        "ccaeo071": inputs.services.where("scope = 'o'"), "ccaes071": inputs.services.where("scope = 's'"), "ccaed071": inputs.drugs,
+        "ccaei071": inputs.admissions, "ccaet071": inputs.enrollment,
+    }.items():
+        files[name] = str(tmp_path / name)
+        df.drop("source", "scope").write.parquet(files[name])
+    sheets = {}
+    for name, df in {"icd9": inputs.icd9.withColumn("row_no", F.monotonically_increasing_id()), "ndc": inputs.ndc, "hcpcs": inputs.hcpcs}.items():
+        sheets[name] = str(tmp_path / name)
+        df.coalesce(1).write.option("header", True).csv(sheets[name])
+    cfg = replace(StudyConfig(), libraries=("raw2", "rds", "scd2", "sds", "ads"))
+    out = study_from_files(spark, files, sheets, cfg)
+    assert out["ads.variables"].count() == 6
+    wanted = study_run(spark, inputs, StudyConfig(), folder_saver(spark, str(tmp_path / "wanted")))
+    assert rows(out["ads.outcomes_tp"]) == rows(wanted["ads.outcomes_tp"]) and rows(out["ads.outcomes_ru"]) == rows(wanted["ads.outcomes_ru"])
+
+
+def test_baseline_reads_claims_once(spark, tables, tmp_path, plan):
+    claims = tables["sds.sddx"]
+    path = claims.inputFiles()[0].rsplit("/", 1)[0]
+    out = baseline(claims, ["6961"], StudyConfig())
+    assert path not in plan(out)  # what is left reads the written diagnoses
+    assert out.count() == tables["ads.baseline"].count()
