@@ -27,6 +27,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from claimtrail.llm.arrow import map_batches
 from claimtrail.llm.columns import named
 
 ASSISTANT = "assistant"
@@ -175,7 +176,7 @@ def format_json(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([ids.take(pa.array(take, pa.int64())), *(pa.array(c, k) for c, k in zip(out, kinds))], names)
 
     kind = rows.schema["conv_id"].dataType.simpleString()
-    return rows.mapInArrow(convert, f"conv_id {kind}, turn bigint, role string, segment string, loss_start bigint, loss_end bigint")
+    return map_batches(rows, convert, f"conv_id {kind}, turn bigint, role string, segment string, loss_start bigint, loss_end bigint")
 
 
 def unmapped(rows: DataFrame) -> DataFrame:
@@ -190,7 +191,7 @@ def unmapped(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(prints, pa.string())], [*batch.schema.names, "fingerprint"])
 
     schema = rows.withColumn("fingerprint", F.lit(None).cast("string")).schema
-    return rows.mapInArrow(look, schema).where(F.col("fingerprint").isNotNull())
+    return map_batches(rows, look, schema).where(F.col("fingerprint").isNotNull())
 
 
 def assemble(segments: DataFrame) -> DataFrame:
@@ -243,7 +244,7 @@ def digest(segments: DataFrame) -> DataFrame:
 
     kind = segments.schema["conv_id"].dataType.simpleString()
     ordered = segments.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "segment").select("conv_id", "segment", "loss_start", "loss_end")
-    return ordered.mapInArrow(read, f"conv_id {kind}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint")
+    return map_batches(ordered, read, f"conv_id {kind}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint")
 
 
 #: A conversation whose texts look like the template's own marks.

@@ -23,8 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
+from claimtrail.llm.arrow import map_batches
 from claimtrail.llm.columns import pack, unpack
 from claimtrail.llm.text import NOT_ALNUM, U64, Words, chunks, each_chunk, gram_hashes, lower_ascii, text_bytes, union_length
+from claimtrail.sources.scratch import settle
 
 WINDOW = 13
 ANCHOR = 4
@@ -154,12 +156,20 @@ def test_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterato
 test_blocks.__test__ = False
 
 
-def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` with ``_matches``: the longest verbatim matches of ``window`` words or more (or of a whole shorter item), with places."""
+def find_matches(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, then=None, then_schema=None
+) -> DataFrame:
+    """``docs`` with ``_matches``: the longest verbatim matches of ``window`` words or more (or of a whole shorter item), with places.
+
+    Rows are written between the passes of several blocks, so a task holds one block. ``then`` is a function of the batches with
+    all matches, applied within the last pass, and ``then_schema`` what it makes.
+    """
     spark, names = docs.sparkSession, docs.columns
     out = docs.withColumn("_matches", F.lit(None).cast(MATCHES.split(" ", 1)[1]))
     schema = StructType([*docs.schema.fields, *out.select("_matches").schema.fields])
-    for items in test_blocks(benchmark, block_bytes):
+    blocks = test_blocks(benchmark, block_bytes)
+    items, following = next(blocks, []), next(blocks, None)
+    while items is not None:
         shared = spark.sparkContext.broadcast(TestSet(items, window))
 
         def search(batches, shared=shared):
@@ -175,13 +185,18 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, bl
                     found = pa.array([(a or []) + b for a, b in pairs], found.type)
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), found], [*names, "_matches"])
 
-        out = out.mapInArrow(search, schema)
+        last = following is None
+        work = (lambda batches, search=search: then(search(batches))) if last and then else search
+        out = map_batches(out, work, then_schema if last and then else schema)
+        if not last:
+            out = settle(out, "matches")
+        items, following = following, next(blocks, None)
     return out
 
 
 def judged(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = SHARE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` with ``_n_words``, ``_n_hit``, ``_items`` (sorted ids of the items met) and ``_contaminated``."""
-    found, names = find_matches(docs, benchmark, window, block_bytes), docs.columns
+    names = docs.columns
     extra = "_n_words bigint, _n_hit bigint, _items array<string>"
     schema = StructType([*docs.schema.fields, *StructType.fromDDL(extra).fields])
 
@@ -202,7 +217,7 @@ def judged(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: i
             columns = [*(batch.column(c) for c in names), pa.array(n_words), pa.array(n_hit), pa.array(items, pa.list_(pa.string()))]
             yield pa.RecordBatch.from_arrays(columns, [*names, "_n_words", "_n_hit", "_items"])
 
-    out = found.mapInArrow(count, schema)
+    out = find_matches(docs, benchmark, window, block_bytes, count, schema)
     return out.withColumn("_contaminated", (F.col("_n_hit") > 0) & (share * F.col("_n_hit") >= F.col("_n_words")))
 
 

@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from claimtrail.llm.arrow import map_batches
 from claimtrail.llm.text import BLANKS, byte_set, each_chunk, mix, text_bytes
 
 SAMPLE = 20_000
@@ -217,7 +218,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Trees | None
 
     sample = labelled_sample(docs, labels, limit)
     kinds = f"doc_id {sample.schema['doc_id'].dataType.simpleString()}, quality {sample.schema['quality'].dataType.simpleString()}"
-    rows = sample.mapInArrow(measure, f"{kinds}, " + ", ".join(f"{c} double" for c in names)).toPandas().sort_values(["doc_id", *names])
+    rows = map_batches(sample, measure, f"{kinds}, " + ", ".join(f"{c} double" for c in names)).toPandas().sort_values(["doc_id", *names])
     y = rows["quality"].to_numpy(float)
     if not len(y) or y.min() == y.max():
         return None
@@ -240,7 +241,7 @@ def judged(docs: DataFrame, trees: Trees | None) -> DataFrame:
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", *BASE, "base_failed", "score", "kept"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(judge, f"doc_id {kind}, " + ", ".join(f"{c} bigint" for c in BASE) + ", base_failed boolean, score double, kept boolean")
+    return map_batches(docs, judge, f"doc_id {kind}, " + ", ".join(f"{c} bigint" for c in BASE) + ", base_failed boolean, score double, kept boolean")
 
 
 def digest(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> DataFrame:

@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from claimtrail.llm.arrow import map_batches
 from claimtrail.llm.columns import pack, unpack
 from claimtrail.llm.quality_gbt import _per_text, _repeat_words
 from claimtrail.llm.text import BLANKS, byte_set, each_chunk
@@ -29,7 +30,7 @@ TRIGRAMS, RANK, ROUNDS = 4096, 64, 4
 PER_LABEL = 2000
 NEIGHBOURS, POWER = 15, 8
 FOLDS, HELD_OUT = 3, 1
-TEXTS = 512  # of a block
+TEXTS = 256  # of a block
 STYLE = 1.0
 _LAGS = 8
 _UPPER, _LETTER, _DIGIT = byte_set((65, 90)), byte_set((97, 122), (128, 255)), byte_set((48, 57))
@@ -138,7 +139,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Space
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "quality", "places", "counts", "style"])
 
     kinds = ", ".join(f"{c} {sample.schema[c].dataType.simpleString()}" for c in ("doc_id", "quality"))
-    rows = sample.mapInArrow(sparse, f"{kinds}, places binary, counts binary, style binary").toPandas()
+    rows = map_batches(sample, sparse, f"{kinds}, places binary, counts binary, style binary").toPandas()
     rows = rows.sort_values(["doc_id", "places", "counts"], ignore_index=True)  # the order of rows must not matter
     counts = np.zeros((len(rows), TRIGRAMS), np.uint32)
     for i, (places, values) in enumerate(zip(rows["places"], rows["counts"])):
@@ -160,7 +161,7 @@ def scored(docs: DataFrame, space: Space) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(out)], [*names, "_score"])
 
     schema = docs.withColumn("_score", F.lit(0.0)).schema
-    return docs.mapInArrow(score, schema)
+    return map_batches(docs, score, schema)
 
 
 def accepted(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> DataFrame:

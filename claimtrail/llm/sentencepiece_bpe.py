@@ -28,11 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
+from claimtrail.llm.arrow import map_batches
 from claimtrail.llm.columns import pack, unpack
 
 SPACE = "▁"
-CACHED_WORDS = 250_000  # of each of two generations
-CACHED_PAIRS = 400_000
+CACHED_WORDS = 120_000  # of each of two generations
+CACHED_PAIRS = 200_000
 CACHED_CHARS = 48
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 MERGE_TYPE = 2
@@ -310,7 +311,7 @@ def _mapped(docs: DataFrame, path: str, rows, schema) -> DataFrame:
         for batch in batches:
             yield rows(model, batch)
 
-    return docs.mapInArrow(run, schema)
+    return map_batches(docs, run, schema)
 
 
 def digest(docs: DataFrame, path: str) -> DataFrame:

@@ -32,6 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from claimtrail.llm.arrow import map_batches
 from claimtrail.llm.columns import named
 from claimtrail.llm.components import components
 from claimtrail.llm.text import U64, chunks, mix
@@ -102,7 +103,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, words: int = 1, keys:
 
     ids = docs.select("doc_id", "text")
     kind = ids.schema["doc_id"].dataType.simpleString()
-    return ids.mapInArrow(compute, f"doc_id {kind}, " + "".join(f"fp{i} bigint, " for i in range(words)) + "keys array<bigint>")
+    return map_batches(ids, compute, f"doc_id {kind}, " + "".join(f"fp{i} bigint, " for i in range(words)) + "keys array<bigint>")
 
 
 def block_masks(blocks: int, radius: int = RADIUS, free: int = -1) -> list[int]:
@@ -270,7 +271,7 @@ def links(nodes: DataFrame, radius: int = RADIUS, words: int = 1, keys: int = 0,
             finer = block_masks(max(radius, -(-free.bit_count() // 4)), radius, free)
             rows = _keyed(huge.where(F.col("mask") == i).select("node", "fp0"), finer, i + 1)
             dealt = dealt.unionByName(rows.select("node", "fp0", "bucket", F.lit(-1).cast("bigint").alias("part")))
-    return dealt.repartition("bucket", "part").mapInArrow(_bucket_stars(words, radius), "u bigint, v bigint")
+    return map_batches(dealt.repartition("bucket", "part"), _bucket_stars(words, radius), "u bigint, v bigint")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, words: int = 1, keys: int = 0) -> DataFrame:
