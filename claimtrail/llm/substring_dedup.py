@@ -28,15 +28,18 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
+from claimtrail.llm.arrow import map_batches
 from claimtrail.llm.columns import pack, unpack
 from claimtrail.llm.text import BLANKS, U64, Words, chunks, gram_hashes, text_bytes
 
 WINDOW = 13
 SEED_WORDS = 5
-GROUP = 100_000
-UNIT_BYTES = 4 << 20
+GROUP = 50_000
+UNIT_BYTES = 2 << 20
+NAMELESS = -(1 << 63)  # key of rows without a doc_id
 _CODE = U64(0xFFFFFFFFFFFF)
 _CODE_BYTES = 6
 _FOUND = ["bucket", "doc", "found", "data"]
@@ -44,22 +47,19 @@ _FOUND_DDL = "bucket int, doc bigint, found boolean, data binary"
 
 
 class Runs:
-    """Neighbouring windows of a unit with one anchor: first word, number of windows, seed, and number of the text."""
+    """Neighbouring windows of a unit with one seed: first word, number of windows, seed, and number of the text."""
 
     def __init__(self, words: Words, window: int):
         self.codes = words.hashes()
         count = max(0, len(self.codes) - window + 1)
         grams = gram_hashes(self.codes, SEED_WORDS)
         owner = np.repeat(np.arange(len(words.of) - 1), np.diff(words.of))
-        least, at = grams[:count].copy(), np.arange(count)
+        least = grams[:count].copy()
         for j in range(1, window - SEED_WORDS + 1):
-            other = grams[j : j + count]
-            lower = other < least
-            least[lower] = other[lower]
-            at[lower] = np.flatnonzero(lower) + j
+            np.minimum(least, grams[j : j + count], out=least)
         valid = np.flatnonzero(owner[:count] == owner[window - 1 : window - 1 + count])
         new = np.ones(len(valid), bool)
-        new[1:] = (np.diff(valid) != 1) | (np.diff(at[valid]) != 0) | (np.diff(owner[valid]) != 0)
+        new[1:] = (np.diff(valid) != 1) | (np.diff(least[valid]) != 0) | (np.diff(owner[valid]) != 0)
         self.first = valid[new]
         self.size = np.diff(np.append(np.flatnonzero(new), len(valid)))
         self.seed, self.text = least[self.first], owner[self.first]
@@ -113,12 +113,18 @@ def _subtree(codes, starts, docs, window, members, hit) -> None:
     hit[members] = docs[members] > smallest[node]
 
 
-def _by_doc(docs: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    order = np.lexsort((values, docs))
-    docs, values = docs[order], values[order]
+def _found(docs: np.ndarray, values: np.ndarray, buckets: int = 1) -> pa.RecordBatch:
+    """Found rows: one for each run of equal documents, with the run's values. Rows are spread over the buckets by document."""
     first = np.flatnonzero(np.diff(docs, prepend=~docs[:1]))
-    for a, b in zip(first, np.append(first[1:], len(docs))):
-        yield int(docs[a]), values[a:b].tobytes()
+    ends = (np.append(first, len(docs)) * values.itemsize).astype(np.int32)
+    data = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(values.tobytes())])
+    doc = docs[first]
+    return pa.RecordBatch.from_arrays([pa.array((doc % buckets).astype(np.int32)), pa.array(doc), pa.array(np.ones(len(doc), bool)), data], _FOUND)
+
+
+def _in_order(docs: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.lexsort((values, docs))
+    return docs[order], values[order]
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -142,7 +148,8 @@ def _seed_rows(buckets: int, window: int):
 
     def rows(batches):
         for batch in batches:
-            ids = batch.column("doc_id").to_numpy()
+            batch = batch.filter(pc.not_equal(batch.column("_key"), NAMELESS))
+            ids = batch.column("_key").to_numpy()
             for first, last, runs in _units(batch, window):
                 doc = ids[first:last][runs.text]
                 order = np.lexsort((doc, runs.seed))
@@ -153,7 +160,8 @@ def _seed_rows(buckets: int, window: int):
                 head = np.flatnonzero(np.diff(seed, prepend=~seed[:1]))
                 several = np.diff(np.append(head, len(seed))) > 1
                 shared = np.repeat(several, np.diff(np.append(head, len(seed))))
-                out = [(d % buckets, d, True, data) for d, data in _by_doc(doc[shared], seed[shared])]
+                yield _found(*_in_order(doc[shared], seed[shared]), buckets)
+                out = []
                 one, who = seed[head], doc[head]
                 cut = np.searchsorted(_bucket(one, buckets), np.arange(buckets + 1))
                 for b in np.flatnonzero(np.diff(cut)):
@@ -185,7 +193,7 @@ def _repeated_seeds(batches):
     size = np.diff(np.append(head, len(seed)))
     repeated = (np.minimum.reduceat(doc, head) != np.maximum.reduceat(doc, head)) | np.logical_or.reduceat(many, head)
     reply = np.repeat(repeated, size) & ~many
-    yield _batch([(0, d, True, data) for d, data in _by_doc(doc[reply], seed[reply])])
+    yield _found(*_in_order(doc[reply], seed[reply]))
 
 
 def _suffix_rows(buckets: int, window: int, group: int):
@@ -193,7 +201,7 @@ def _suffix_rows(buckets: int, window: int, group: int):
 
     def rows(batches):
         for batch in batches:
-            ids = batch.column("doc_id").to_numpy()
+            ids = batch.column("_key").to_numpy()
             seeds = batch.column("seeds")
             for first, last, runs in _units(batch, window):
                 asked = np.frombuffer(b"".join(d for part in seeds[first:last].to_pylist() for d in part or ()), U64)
@@ -202,7 +210,8 @@ def _suffix_rows(buckets: int, window: int, group: int):
                 doc, start, pos = ids[first:last][runs.text][run], runs.first[run] + step, runs.pos[run] + step
                 codes = runs.codes & _CODE
                 hit = deep_nodes(codes, start, doc, window, group)
-                out = [(d % buckets, d, True, data) for d, data in _by_doc(doc[hit], pos[hit].astype(np.int32))]
+                yield _found(*_in_order(doc[hit], pos[hit].astype(np.int32)), buckets)
+                out = []
                 left = np.flatnonzero(~hit)
                 if len(left):
                     new = np.ones(len(left), bool)
@@ -249,19 +258,24 @@ def _suffix_hits(window: int, group: int):
         run, step = _expand(size)
         doc, start, pos = doc[run], begin[run] + step, pos[run] + step
         hit = deep_nodes(words, start, doc, window, group)
-        yield _batch([(0, d, True, data) for d, data in _by_doc(doc[hit], pos[hit].astype(np.int32))])
+        yield _found(doc[hit], pos[hit].astype(np.int32))
 
     return rows
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with the document's number in ``_key``, which is never null, so that all joins by it share one exchange of the texts."""
+    return docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NAMELESS)))
+
+
 def repeats(docs: DataFrame, window: int = WINDOW, group: int = GROUP) -> DataFrame:
-    """``doc, starts``: for each document with hits, arrays of 32-bit numbers of the words at which its hit windows start."""
-    known = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull()).withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    seeds = known.mapInArrow(_seed_rows(buckets, window), _FOUND_DDL).repartition("bucket").mapInArrow(_repeated_seeds, _FOUND_DDL)
+    """``doc, starts``: for each keyed document with hits, arrays of 32-bit numbers of the words at which its hit windows start."""
+    buckets = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    seeds = map_batches(docs.select("_key", "text"), _seed_rows(buckets, window), _FOUND_DDL)
+    seeds = map_batches(seeds.repartition("bucket"), _repeated_seeds, _FOUND_DDL)
     asked = seeds.groupBy("doc").agg(F.collect_list("data").alias("seeds"))
-    having = known.join(asked, F.col("doc_id") == F.col("doc")).select("doc_id", "text", "seeds")
-    hits = having.mapInArrow(_suffix_rows(buckets, window, group), _FOUND_DDL).repartition("bucket").mapInArrow(_suffix_hits(window, group), _FOUND_DDL)
+    records = map_batches(docs.join(asked, F.col("_key") == F.col("doc")), _suffix_rows(buckets, window, group), _FOUND_DDL)
+    hits = map_batches(records.repartition("bucket"), _suffix_hits(window, group), _FOUND_DDL)
     return hits.groupBy("doc").agg(F.collect_list("data").alias("starts"))
 
 
@@ -279,8 +293,9 @@ def _kept(text: str | None, starts: list[bytes] | None, window: int) -> tuple[in
 
 
 def _joined(docs: DataFrame, window: int, group: int) -> DataFrame:
+    docs = keyed(docs)
     found = repeats(docs, window, group)
-    return docs.join(found, docs["doc_id"].cast("bigint") == found["doc"], "left").drop("doc")
+    return docs.join(found, docs["_key"] == found["doc"], "left").drop("doc", "_key")
 
 
 def dedup_substrings(docs: DataFrame, window: int = WINDOW, group: int = GROUP) -> DataFrame:
@@ -293,7 +308,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, group: int = GROUP)
             text = [_kept(t, s, window)[2].decode() for t, s in zip(batch.column("text").to_pylist(), batch.column("starts").to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array(text, pa.string()) if c == "text" else batch.column(c) for c in names], names)
 
-    return unpack(_joined(packed, window, group).mapInArrow(rows, packed.schema), docs.columns)
+    return unpack(map_batches(_joined(packed, window, group), rows, packed.schema), docs.columns)
 
 
 def digest(docs: DataFrame, window: int = WINDOW, group: int = GROUP) -> DataFrame:
@@ -309,7 +324,7 @@ def digest(docs: DataFrame, window: int = WINDOW, group: int = GROUP) -> DataFra
 
     docs = docs.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return _joined(docs, window, group).mapInArrow(rows, f"doc_id {kind}, n_words bigint, n_removed bigint, kept_sha256 string")
+    return map_batches(_joined(docs, window, group), rows, f"doc_id {kind}, n_words bigint, n_removed bigint, kept_sha256 string")
 
 
 SQL = r"""
