@@ -79,4 +79,7 @@ def baseline(
     own = saved(dx.select(cfg.id_col, F.explode(F.array(*fields)).alias("dx")).distinct(), "diagnoses")
     heads = condition_heads(own, cfg.id_col, ["dx"])
     top = rank_labels_top_n(condition_frequency(heads.distinct(), disease_codes), cfg.top_conditions)
-    return charlson(own, cfg.id_col, ["dx"]).join(common_conditions(heads, top, cfg.id_col), cfg.id_col)
+    # written, else the flags of both parts make one method too large to compile
+    index = saved(charlson(own, cfg.id_col, ["dx"]), "charlson")
+    common = saved(common_conditions(heads, top, cfg.id_col), "common-conditions")
+    return index.join(common, cfg.id_col)

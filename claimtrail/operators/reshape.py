@@ -21,13 +21,11 @@ def vec2mat(
     if not dictionary:
         return df.select(id_col).distinct()
     kind = "int" if numeric else "string"
-    # distinct pairs meet in one array per id, so neither the plan nor the generated code grows with rows or flags
-    values = F.collect_set(F.when(F.col(value_col).isin(list(dictionary)), F.col(value_col))).alias("_values")
-    has = [
-        F.array_contains("_values", value).cast("int").cast(kind).alias(name, metadata={"label": f"{name} ({value})"})
+    hits = [
+        F.max(F.when(F.col(value_col) == value, 1).otherwise(0)).cast(kind).alias(name, metadata={"label": f"{name} ({value})"})
         for value, name in dictionary.items()
     ]
-    return df.groupBy(id_col).agg(values).select(id_col, *has)
+    return df.groupBy(id_col).agg(*hits)
 
 
 def distinct_values(df: DataFrame, id_col: str, columns: Sequence[str], name: str) -> DataFrame:
