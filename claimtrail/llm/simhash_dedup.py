@@ -18,6 +18,11 @@ by carry-save steps of bitwise operations, plane by plane, and words whose 64 di
 a bucket's first nodes are united beforehand, and nodes already united are not compared. Links of a bucket shrink to a star before
 they leave the task.
 
+*Decided by similarity* (``similarity`` s, with ``keys``): the distances only gather texts that may be near, and links are pairs whose sets of
+distinct shingles have a Jaccard similarity of s or more, counted on the sets themselves. Equal sets are one node. Nodes that distances connect
+make a group; a group's sets are dealt in tiles and every set of a tile is compared with the others, by two deals that put each set in one
+tile. What is still apart from the group's largest component then meets all others, tile by tile.
+
 Defined cases: a text of fewer words than a shingle is one shingle; a null, empty or blank text has fingerprint zero and is linked
 like any other. Repeated rows share fingerprint and component. A null doc_id names no component; a component of such rows only
 has a null id. A doc_id is below 2 ** 62. Other columns don't matter.
@@ -30,7 +35,7 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from claimtrail.llm.arrow import map_batches
 from claimtrail.llm.columns import named
@@ -45,6 +50,8 @@ TILE = 4096
 MAX_TILES = 64
 LEADERS = 3
 NAMELESS = 1 << 62
+SET_TILE = 256  # sets of a tile
+SET_TILE_HASHES = 1 << 19  # shingles of a tile
 BUCKET = 256  # nodes of a bucket wanted on average
 _SLICE = 1 << 16
 _PAIRS = 1 << 14
@@ -79,17 +86,28 @@ def _remixed(flat: np.ndarray, n: int) -> np.ndarray:
     return mix(flat ^ U64(n * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) if n else flat
 
 
+def set_hash(distinct: np.ndarray) -> np.uint64:
+    """A hash of a set of hashes; zero of the empty set."""
+    return mix(np.array([mix(distinct).sum(dtype=U64) + U64(len(distinct))], U64))[0]
+
+
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, words: int = 1, keys: int = 0) -> DataFrame:
-    """``doc_id``, the fingerprint as ``words`` signed numbers ``fp0``, ``fp1``..., and ``keys`` minimum hashes of the shingles."""
-    names = ["doc_id", *(f"fp{i}" for i in range(words)), "keys"]
+    """``doc_id``, the fingerprint as ``words`` signed numbers ``fp0``, ``fp1``..., and ``keys`` minimum hashes of the shingles.
+
+    With ``keys``, repeats of a shingle count once, and ``node`` is a hash of the set of shingles.
+    """
+    names = ["doc_id", *(f"fp{i}" for i in range(words)), "keys", *(["node"] if keys else [])]
 
     def compute(batches):
         for batch in batches:
             texts = batch.column("text").cast(pa.large_binary()).fill_null(b"").to_pylist()
             offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
-            prints, least = np.zeros((words, len(texts)), U64), np.zeros((len(texts), keys), U64)
+            prints, least, node = np.zeros((words, len(texts)), U64), np.zeros((len(texts), keys), U64), np.zeros(len(texts), U64)
             for first, last in chunks(offsets):
                 hashes = [shingle_hashes(t, shingle) for t in texts[first:last]]
+                if keys:
+                    hashes = [np.unique(h) for h in hashes]
+                    node[first:last] = [set_hash(h) for h in hashes]
                 sizes = np.array([len(h) for h in hashes])
                 flat = np.concatenate([*hashes, np.zeros(0, U64)])
                 for i in range(words):
@@ -99,11 +117,11 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, words: int = 1, keys:
                     begin = (np.cumsum(sizes) - sizes)[full]
                     least[first + full, k] = np.minimum.reduceat(_remixed(flat, words + 1 + k), begin)
             keyed = pa.ListArray.from_arrays(np.arange(len(texts) + 1, dtype=np.int32) * keys, pa.array(least.reshape(-1).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(p.view(np.int64)) for p in prints), keyed], names)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(p.view(np.int64)) for p in prints), keyed, *([pa.array(node.view(np.int64))] if keys else [])], names)
 
     ids = docs.select("doc_id", "text")
     kind = ids.schema["doc_id"].dataType.simpleString()
-    return map_batches(ids, compute, f"doc_id {kind}, " + "".join(f"fp{i} bigint, " for i in range(words)) + "keys array<bigint>")
+    return map_batches(ids, compute, f"doc_id {kind}, " + "".join(f"fp{i} bigint, " for i in range(words)) + "keys array<bigint>" + ", node bigint" * (keys > 0))
 
 
 def block_masks(blocks: int, radius: int = RADIUS, free: int = -1) -> list[int]:
@@ -274,10 +292,143 @@ def links(nodes: DataFrame, radius: int = RADIUS, words: int = 1, keys: int = 0,
     return map_batches(dealt.repartition("bucket", "part"), _bucket_stars(words, radius), "u bigint, v bigint")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, words: int = 1, keys: int = 0) -> DataFrame:
-    """``doc_id``, the fingerprint, and ``component_id``: the smallest doc_id that links of at most ``radius`` differing bits reach."""
+def shingle_sets(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """``node``, the hash of a text's set of shingles, and the set: its size ``n`` and its 64-bit ``hashes``. Texts without words have none."""
+
+    def compute(batches):
+        for batch in batches:
+            texts = batch.column("text").cast(pa.large_binary()).fill_null(b"").to_pylist()
+            found = [h for t in texts if len(h := np.unique(shingle_hashes(t, shingle)))]
+            node = pa.array(np.array([set_hash(h) for h in found], U64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([node, pa.array([len(h) for h in found], pa.int64()), pa.array([h.tobytes() for h in found], pa.binary())], ["node", "n", "hashes"])
+
+    return map_batches(docs.select("text"), compute, "node bigint, n bigint, hashes binary")
+
+
+def similar_sets(hashes: list[np.ndarray], similarity: float) -> np.ndarray:
+    """For each set of hashes, the first set of its component by links of Jaccard similarity ``similarity`` or more."""
+    size = np.array([len(h) for h in hashes], np.int64)
+    values, token = np.unique(np.concatenate(hashes), return_inverse=True)
+    begin = np.cumsum(size) - size
+    root = np.full(len(size), -1)
+    left, held, starts = np.arange(len(size)), token, begin  # sets that no component has yet, and their shingles
+    mark = np.zeros(len(values), bool)
+    for first in range(len(size)):
+        if root[first] >= 0:
+            continue
+        root[first] = first
+        queue = [first]
+        while queue:
+            own = queue.pop()
+            if not len(left):
+                continue
+            mine = token[begin[own] : begin[own] + size[own]]
+            mark[mine] = True
+            common = np.add.reduceat(mark[held], starts, dtype=np.int64)
+            mark[mine] = False
+            near = common >= similarity * (size[own] + size[left] - common) - 1e-9
+            new = left[near & (root[left] < 0)]
+            root[new] = first
+            queue.extend(new.tolist())
+            free = root[left] < 0
+            if 2 * free.sum() < len(free):
+                held, left = held[np.repeat(free, size[left])], left[free]
+                starts = np.cumsum(size[left]) - size[left]
+    return root
+
+
+def _set_stars(similarity: float):
+    """Edges of the components of each run of rows of one ``group`` and ``part``."""
+
+    def star(node, hashes):
+        node = np.array(node)
+        order = np.argsort(node, kind="stable")
+        root = similar_sets([np.frombuffer(hashes[i], U64) for i in order], similarity)
+        linked = np.flatnonzero(node[order] != node[order][root])
+        return pa.RecordBatch.from_arrays([pa.array(node[order][linked]), pa.array(node[order][root[linked]])], ["u", "v"])
+
+    def stars(batches):
+        current, node, hashes = None, [], []
+        for batch in batches:
+            for group, part, one, data in zip(*(batch.column(c).to_pylist() for c in ("group", "part", "node", "hashes"))):
+                if (group, part) != current:
+                    if len(node) > 1:
+                        yield star(node, hashes)
+                    current, node, hashes = (group, part), [], []
+                node.append(one)
+                hashes.append(data)
+        if len(node) > 1:
+            yield star(node, hashes)
+
+    return stars
+
+
+def _tiles(nodes: str = "count(*)", hashes: str = "sum(n)", tile: int = SET_TILE) -> Column:
+    return F.expr(f"greatest(1, ceil({nodes} / {tile}), ceil({hashes} / {SET_TILE_HASHES}))").cast("bigint")
+
+
+def _compared(dealt: DataFrame, similarity: float) -> DataFrame:
+    dealt = dealt.select("group", "part", "node", "hashes").repartition("group", "part").sortWithinPartitions("group", "part")
+    return settle(map_batches(dealt, _set_stars(similarity), "u bigint, v bigint"), "similar")
+
+
+def _labelled(open_: DataFrame, edges: DataFrame) -> DataFrame:
+    """``open_`` with each node's ``label``, and only the groups that have several."""
+    labels = components(edges).withColumnRenamed("component", "label")
+    marked = open_.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    several = marked.groupBy("group").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a <> _b").select("group")
+    return marked.join(several, "group", "left_semi")
+
+
+def similar_links(sets: DataFrame, similarity: float, tile: int = SET_TILE) -> DataFrame:
+    """Edges ``u, v`` that connect the same nodes as all pairs of one ``group`` of that similarity do. ``sets``: group, node, n, hashes."""
+    sizes = sets.groupBy("group").agg(_tiles(tile=tile).alias("tiles"))
+    sized = settle(sets.join(sizes, "group"), "sets")
+    edges = _compared(sized.withColumn("part", F.pmod(F.xxhash64("node"), "tiles")), similarity)
+    open_ = sized.where("tiles > 1")
+    if not open_.limit(1).count():
+        return edges
+    open_ = settle(_labelled(open_, edges), "sets")
+    other = _compared(open_.withColumn("part", F.pmod(F.xxhash64("node", F.lit(1)), "tiles")), similarity)
+    edges = edges.unionByName(other)
+    open_ = settle(_labelled(open_, edges), "sets")
+    # sets outside a group's largest component meet each other and that component; its own sets are linked already
+    counts = open_.groupBy("group", "label").agg(F.count("*").alias("k"))
+    main = counts.groupBy("group").agg(F.max(F.struct("k", "label")).alias("_m")).select("group", F.col("_m.label").alias("_main"))
+    apart = open_.join(main, "group").withColumn("_in", F.col("label") == F.col("_main"))
+    deals = apart.groupBy("group").agg(
+        _tiles("count_if(not _in)", "sum(if(_in, 0, n))", tile).alias("_few"), _tiles("count_if(_in)", "sum(if(_in, n, 0))", tile).alias("_many")
+    )
+    apart = apart.join(deals, "group").withColumn("_own", F.pmod(F.xxhash64("node", F.lit(2)), F.when(F.col("_in"), F.col("_many")).otherwise(F.col("_few"))))
+    all_ = "(_few + _many)"
+    parts = f"""if(_in, transform(sequence(0L, _few - 1), i -> i * {all_} + _few + _own),
+        transform(sequence(0L, {all_} - 1), j -> least(_own, j) * {all_} + greatest(_own, j)))"""
+    return edges.unionByName(_compared(apart.withColumn("part", F.explode(F.expr(parts))), similarity))
+
+
+def _similar(docs: DataFrame, nodes: DataFrame, groups: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """``node, component`` by similarity of the shingle sets, of nodes in ``groups`` of nodes that may be near."""
+    members = nodes.join(groups.withColumnRenamed("component", "group"), "node").select("node", "doc_id", "group")
+    members = settle(members, "members")
+    texts = docs.select("doc_id", "text")
+    texts = texts.join(members.where("doc_id is not null").select("doc_id").distinct(), "doc_id", "left_semi").unionByName(texts.where("doc_id is null"))
+    sets = shingle_sets(texts, shingle).join(members, "node").dropDuplicates(["node"])
+    return components(similar_links(sets.select("group", "node", "n", "hashes"), similarity))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, words: int = 1, keys: int = 0, similarity: float = 0.0) -> DataFrame:
+    """``doc_id``, the fingerprint, and ``component_id``: the smallest doc_id that links reach.
+
+    Links are of at most ``radius`` differing bits; with ``similarity``, they are pairs of that similarity among those.
+    """
     prints = _prints(words)
     found = settle(fingerprints(docs, shingle, words, keys), "fingerprints")
+    if similarity:
+        nodes = settle(found.groupBy("node", *prints).agg(F.min("doc_id").alias("doc_id"), F.min("keys").alias("keys")), "nodes")
+        labels = _similar(docs, nodes, components(links(nodes, radius, words, keys)), shingle, similarity)
+        labels = settle(nodes.select("node", "doc_id").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")), "labels")
+        least = labels.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+        return found.join(labels.join(least, "component").select("node", "component_id"), "node").select("doc_id", *prints, "component_id")
     nodes = found.groupBy(*prints).agg(F.min("doc_id").alias("node"), F.min("keys").alias("keys"))
     nameless = F.xxhash64(*prints).bitwiseAND(NAMELESS - 1).bitwiseOR(NAMELESS)  # of a fingerprint that only rows without a doc_id have
     nodes = settle(nodes.withColumn("node", F.coalesce("node", nameless)), "nodes")
@@ -294,9 +445,9 @@ def keep_first(docs: DataFrame, **options) -> DataFrame:
     return first.select(*map(named, docs.columns)).unionByName(docs.where(F.col("doc_id").isNull()))
 
 
-#: Near duplicates by five-word shingles of a similarity of 0.8 or more, as 256-bit fingerprints tell it: shingle sets of similarity
-#: 0.8 differ in 39 bits on average (share acos(2 * 0.8 / 1.8) / pi), give or take 6.
-WIDE = {"shingle": 5, "radius": 45, "words": 4, "keys": 8}
+#: Near duplicates by sets of five-word shingles of a similarity of 0.8 or more. 256-bit fingerprints of such sets differ in 39 bits on
+#: average (share acos(2 * 0.8 / 1.8) / pi), give or take 6, and in 48 if they have 4 and 5 shingles: a distance of 72 only finds candidates.
+WIDE = {"shingle": 5, "radius": 72, "words": 4, "keys": 8, "similarity": 0.8}
 
 
 def digest(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
