@@ -34,7 +34,19 @@ ROUNDS = 8
 KINDS = ("card", "iban", "ssn", "phone", "ip", "date", "email")
 
 _CARD = "[0-9]{13,19}|[0-9]{4} [0-9]{4} [0-9]{4} [0-9]{4}|[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{4}|[0-9]{4} [0-9]{6} [0-9]{5}|[0-9]{4}-[0-9]{6}-[0-9]{5}"
-_IBAN = "[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
+#: Characters of an account number after its country and check digits, by country.
+_IBAN_SIZES = {
+    11: "NO", 12: "BE", 14: "DK FI FK FO GL NL SD", 15: "MK SI", 16: "AT BA EE KZ LT LU MN XK", 17: "CH HR LI LV",
+    18: "BG BH CR DE GB GE IE ME RS VA", 19: "AE GI IL IQ OM SO TL", 20: "AD CZ ES MD PK RO SA SE SK TN VG",
+    21: "AO CV GW LY MZ PT ST", 22: "DZ IR IS TR", 23: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    24: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 25: "BR EG PS QA UA", 26: "JO KW MU YE", 27: "MT SC", 28: "LC", 29: "RU",
+}
+#: A number ends where its country's length says, whatever word follows; one of no listed length goes on as far as it can.
+_IBAN = (
+    "(?=[A-Z]{2}[0-9]{2})(?:"
+    + "".join(f"(?:{c.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{n // 4}}}" + f" ?[A-Z0-9]{{{n % 4}}}" * (n % 4 > 0) + "(?![A-Z0-9])|" for n, c in _IBAN_SIZES.items())
+    + "[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)"
+)
 _SSN = "[0-9]{3}-[0-9]{2}-[0-9]{4}"
 _PHONE = "(?:[+]?1[ .-]?)?(?:[(][0-9]{3}[)] ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}|[+][2-9][0-9]{0,2}(?:[ .-]?[(]?[0-9]{2,4}[)]?){2,4}"
 _IP = "[0-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3}"
@@ -46,6 +58,8 @@ _FIND = (
     f"(?<![A-Za-z0-9._%+-]){_EMAIL}"
     f"|(?<![A-Za-z0-9_+.-])(?:{_ISO}|{_DATE}|{_IP}|{_SSN}|{_PHONE}|{_IBAN}|{_CARD})(?![A-Za-z0-9_]|[.-][0-9])"
 )
+#: What every candidate holds.
+_MAY = "[0-9]{2}|@|[0-9][.][0-9]"
 
 
 def _lit(text: str) -> str:
@@ -181,7 +195,7 @@ def pseudonymised(docs: DataFrame, key: str = KEY) -> DataFrame:
     """``docs`` with pseudonyms in ``text``, and ``_pii``: the kind of each value that was replaced, in order."""
     sql = _Sql(key)
     replaced = f"transform(_m, m -> {_let(sql.kind(), 'kind', f'named_struct({_lit("kind")}, if(kind = {_lit("iso")}, {_lit("date")}, kind), {_lit("old")}, m, {_lit("new")}, {sql.pseudonym()})')})"
-    out = docs.withColumn("_m", F.when(F.col("text").rlike("[0-9]{2}|@"), found_values("text")))
+    out = docs.withColumn("_m", F.when(F.col("text").rlike(_MAY), found_values("text")))
     out = out.withColumn("_r", F.when(F.size("_m") > 0, F.expr(replaced)))
     pieces = F.split("text", _FIND, -1)
     joined = F.array_join(F.zip_with(pieces, "_r", lambda piece, r: F.concat(piece, F.coalesce(r["new"], F.lit("")))), "")

@@ -108,6 +108,24 @@ def test_pseudonyms(docs_of):
     assert all(again[i] != out[i].text for i in range(len(CASES)))
 
 
+def test_addresses_of_one_digit_parts(docs_of):
+    out = pii_feistel.digest(docs_of([(1, "see 8.8.8.8"), (2, "see 8.8.8.8 since 2020"), (3, "dns=1.1.1.1")]))
+    found = {r.doc_id: r for r in out.collect()}
+    assert found[1].text == found[2].text.removesuffix(" since 2020") != "see 8.8.8.8" and "1.1.1.1" not in found[3].text
+    assert all(r.n_ip == 1 for r in found.values())
+
+
+def test_account_numbers_before_a_word(docs_of):
+    numbers = ["BE68 5390 0754 7034", "ES91 2100 0418 4502 0005 1332", "AT61 1904 3002 3457 3201", "BE68539007547034", "GB82 WEST 1234 5698 7654 32", "DE89 3704 0044 0532 0130 00"]
+    pairs = [(10 * i + k, f"pay {n}{tail}") for i, n in enumerate(numbers) for k, tail in enumerate(("", " EUR", " USD 5000", " A", "."))]
+    found = {r.doc_id: r for r in pii_feistel.digest(docs_of(pairs)).collect()}
+    for i, number in enumerate(numbers):
+        new = found[10 * i].text.removeprefix("pay ")
+        assert new != number and iban_ok(new)
+        assert [found[10 * i + k].text for k in (1, 2, 3, 4)] == [f"pay {new}{tail}" for tail in (" EUR", " USD 5000", " A", ".")]
+        assert all(found[10 * i + k].n_iban == 1 for k in range(5))
+
+
 def test_one_day_in_all_its_forms(docs_of):
     text = pii_feistel.digest(docs_of([(1, "1999-12-31 31.12.1999 12/31/1999 31-12-1999")])).first().text
     iso, a, b, c = text.split()
