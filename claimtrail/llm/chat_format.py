@@ -2,7 +2,8 @@ r"""Chat formatting of records in different layouts.
 
 The nested field paths of a record, sorted and hashed, are its layout's fingerprint; the fingerprint selects a declarative mapping
 (``LAYOUTS``) that turns the record into canonical turns. Paths that no layout names don't count, so extra fields do no harm; a
-record whose fields fit several layouts at once takes the one with the most fields, the first of equals. Records are read one by one, so
+record whose fields fit several layouts at once takes the one with the most fields, the first of equals. Fields without a value count only
+if those with one fit no layout, so a wide table's empty columns don't choose, and a null text stays an empty turn. Records are read one by one, so
 one table may hold all layouts.
 
 The template writes a turn as ``### role: text</turn>`` and a line break. A backslash before each ``\``, ``#`` and ``<`` of a text
@@ -70,13 +71,13 @@ LAYOUTS = (
 )
 
 
-def field_paths(value, prefix: str = "") -> set[str]:
-    """Paths of the leaf fields of a record."""
+def field_paths(value, prefix: str = "", nulls: bool = True) -> set[str]:
+    """Paths of the leaf fields of a record, or of those that have a value."""
     if isinstance(value, dict):
-        return set().union(*(field_paths(v, f"{prefix}.{k}" if prefix else k) for k, v in value.items())) if value else set()
+        return set().union(*(field_paths(v, f"{prefix}.{k}" if prefix else k, nulls) for k, v in value.items())) if value else set()
     if isinstance(value, list):
-        return set().union(*(field_paths(v, prefix + "[]") for v in value)) if value else {prefix + "[]"}
-    return {prefix}
+        return set().union(*(field_paths(v, prefix + "[]", nulls) for v in value)) if value else {prefix + "[]"}
+    return {prefix} if nulls or value is not None else set()
 
 
 def fingerprint(paths) -> str:
@@ -97,6 +98,18 @@ def layout_of(paths: frozenset[str]) -> Layout | None:
     return found
 
 
+def _layout(record: dict) -> Layout | None:
+    """The layout of the fields that have a value; if none fits, among those that all fields fit the one with the most
+    such fields, then the fewest others."""
+    filled = frozenset(field_paths(record, nulls=False))
+    found = layout_of(filled)
+    if found is None:
+        known = frozenset(p for p in field_paths(record) if p in _KNOWN)
+        fits = [layout for layout in LAYOUTS if known.issuperset(layout.paths())]
+        found = max(fits, key=lambda layout: (len(filled.intersection(layout.paths())), -len(layout.paths())), default=None)
+    return found
+
+
 def _get(record, path: str):
     for name in path.split("."):
         record = record.get(name) if isinstance(record, dict) else None
@@ -109,7 +122,7 @@ def _text(value) -> str:
 
 def turns_of(record: dict) -> list[tuple[int | None, str, str]] | None:
     """Number, role and text of the turns of a record; None if its layout is not known."""
-    layout = layout_of(frozenset(field_paths(record)))
+    layout = _layout(record)
     if layout is None:
         return None
     names, out = dict(layout.names), []

@@ -45,6 +45,20 @@ def test_one_table_of_all_layouts(spark):
     assert {r.conv_id for r in chat_format.unmapped(table).collect()} == {10, 11, 99}
 
 
+def test_one_wide_table_of_all_layouts(spark):
+    records = [r for r, t in LAYOUTS.values() if t is not None and r.get("completion", "") is not None]
+    table = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(records)], "conv_id bigint, record string")
+    turns = [(i + 100, r) for i, r in enumerate([{"question": "q", "answer": "a"}, {"prompt": "p", "completion": "c"}, {"turn": 3, "role": "user", "text": "t"}, {"question": "q"}])]
+    table = table.unionByName(spark.createDataFrame([(i, json.dumps(r)) for i, r in turns], table.schema))
+    lines = table.rdd.map(lambda r: json.dumps({"conv_id": r.conv_id, **json.loads(r.record)}))
+    wide = spark.read.json(lines)
+    assert {"prompt", "question", "messages", "conversation"} <= set(wide.columns)
+    found = {r.conv_id: chat_format.read_turns(r.formatted) for r in chat_format.assemble(chat_format.format_records(wide)).collect()}
+    want = {i: t for i, (r, t) in enumerate((r, t) for r, t in LAYOUTS.values() if r in records)}
+    want |= {100: [("user", "q"), ("assistant", "a")], 101: [("user", "p"), ("assistant", "c")], 102: [("user", "t")], 103: [("user", "q"), ("assistant", "")]}
+    assert found == want
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.tuples(st.text("#:<\\/ turnuser>\n", max_size=12), st.text("#<\\/turn>: Asistn\n☃", max_size=40)), max_size=5))
 def test_template_round_trip(turns):
