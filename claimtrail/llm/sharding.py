@@ -12,12 +12,14 @@ columns don't matter.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from claimtrail.llm.columns import named
 from claimtrail.sources.scratch import settle
 
 SHARD_BYTES = 1 << 20
 BITS = 60
+BLOCK = 10_000  # copies that are numbered together
 EXTRA_BITS = 4  # of a cell, beyond those that an average shard needs
 
 
@@ -67,7 +69,7 @@ def directory(sizes: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
             done = done.unionByName(rest.withColumn("pages_of", F.greatest(F.lit(1), F.floor(limit / F.col("n_bytes"))).cast("bigint")))
             break
     name = F.when(F.col("depth") == 0, "").otherwise(F.lpad(F.conv(F.col("bucket").cast("string"), 10, 2), F.col("depth"), F.lit("0")))
-    return done.withColumn("shard", name).drop("bucket", "place")
+    return done.withColumn("shard", name).drop("bucket")
 
 
 def assign(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
@@ -86,11 +88,29 @@ def assign(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES) -> None:
-    """Write the documents with a folder per shard; the copies of a row stay in the first page's folder."""
-    found = directory(settle(sizes_of(docs), "sizes"), limit).select(F.col("doc_id").alias("_id"), F.col("n_bytes").alias("_bytes"), "shard").distinct()
-    size = F.coalesce(F.octet_length(docs["text"]), F.lit(0)).cast("bigint")
-    rows = docs.join(found, docs["doc_id"].eqNullSafe(found["_id"]) & (size == found["_bytes"]))
-    rows.select(*docs.columns, F.concat(F.lit("b"), "shard").alias("shard")).repartition("shard").write.partitionBy("shard").parquet(path)
+    """Write the documents with a folder per shard, each row once; copies over the limit are dealt to a folder per page."""
+    found = directory(settle(sizes_of(docs), "sizes"), limit)
+    found = found.select(F.col("doc_id").alias("_id"), F.col("place").alias("_place"), F.col("n_bytes").alias("_bytes"), "shard", "pages_of")
+    rows = docs.select(F.struct(*map(named, docs.columns)).alias("_doc"))
+    size = F.coalesce(F.octet_length("_doc.text"), F.lit(0)).cast("bigint")
+    here = (place(F.col("_doc.doc_id"), F.col("_doc.text")) == F.col("_place")) & F.col("_doc.doc_id").eqNullSafe(F.col("_id")) & (size == F.col("_bytes"))
+    rows = rows.join(found, here)
+    out = rows.where("pages_of is null").select("_doc", "shard")
+    if found.where("pages_of is not null").limit(1).count():
+        # copies are numbered by blocks of their rows, so that no task holds all copies of a row
+        copies = rows.where("pages_of is not null").withColumn("_block", F.floor(F.monotonically_increasing_id() / BLOCK))
+        copies = settle(copies, "copies")
+        keys = ["_id", "_place", "_bytes"]
+        before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+        blocks = copies.groupBy(*keys, "_block").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        blocks = blocks.select(*[F.col(c).alias(c + "_b") for c in (*keys, "_block")], "_before")
+        number = F.row_number().over(Window.partitionBy(*keys, "_block").orderBy(F.lit(0))) - 1
+        copies = copies.withColumn("_number", number)
+        copies = copies.join(blocks, F.expr(" and ".join(f"{c} <=> {c}_b" for c in (*keys, "_block"))))
+        page = F.floor((F.col("_before") + F.col("_number")) / F.col("pages_of")).cast("string")
+        out = out.unionByName(copies.select("_doc", F.concat("shard", F.lit("."), page).alias("shard")))
+    columns = [F.col("_doc").getField(c).alias(c) for c in docs.columns]
+    out.select(*columns, F.concat(F.lit("b"), "shard").alias("shard")).repartition("shard").write.partitionBy("shard").parquet(path)
 
 
 SQL = f"""

@@ -259,6 +259,17 @@ def test_written_shards(docs_of, odd_pairs, spark, tmp_path):
     assert back.select("shard").distinct().count() > 1
 
 
+def test_written_shards_hold_each_row_once(docs_of, spark, tmp_path):
+    pairs = [(7, f"text {i:03d}") for i in range(40)] + [(None, f"null {i:03d}") for i in range(40)] + [(9, "z" * 400)] * 7 + [(None, "y" * 300)] * 8 + [(i, "x" * 90) for i in range(20, 40)]
+    docs = docs_of(pairs).drop("a.b")
+    sharding.write_shards(docs, str(tmp_path / "shards"), limit=1000)
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    assert rows(back, "doc_id", "text") == rows(docs, "doc_id", "text")
+    sizes = {r.shard: r.n for r in back.groupBy("shard").agg(F.sum(F.octet_length("text")).alias("n")).collect()}
+    assert max(sizes.values()) <= 1000
+    assert sizes == {"b" + r.shard: r.shard_bytes for r in sharding.assign(docs, limit=1000).collect()}
+
+
 def test_place_is_stable(spark):
     key = "5\n" + hashlib.md5("é".encode()).hexdigest()
     want = int(hashlib.md5(key.encode()).hexdigest()[:15], 16)
