@@ -7,16 +7,19 @@ a smaller doc_id. Only suffixes that may repeat are ever compared:
    neighbouring windows mostly share one. Seeds are gathered by hash; a seed met in one document only rules out its windows.
 2. *Suffixes.* Windows with other seeds are sent to the task of their seed, neighbours with one seed together, as the codes of their
    words. A unit of texts (``UNIT_BYTES``) first settles its own repeats, so a window leaves a unit for its smallest document only
-   and a passage that every document has costs one record per unit.
+   and a passage that every document has costs one record per unit. The windows of a seed that has over ``GROUP`` of them are sent one by
+   one to the task of all their words, so a phrase that stands in many different surroundings is no group of its own.
 3. *Subtrees.* A task cuts its suffixes into groups by prefix, lengthening the prefix word by word while a group exceeds ``GROUP``
    suffixes, sorts each group's suffixes and takes the longest common prefixes of neighbours: their intervals are the inner nodes of
    the group's suffix tree. A node of depth ``WINDOW`` is a repeat; all its suffixes but the smallest document's are hits.
-4. Hits go back to their documents by an equi-join; overlapping hits make up maximal repeats.
+4. Hits go back to their documents by an equi-join, and there to the text of their hash; overlapping hits make up maximal repeats.
+
+A task takes its records bucket by bucket, and there are ``BUCKETS`` times as many buckets as tasks.
 
 Words are compared by 48 bits of a hash each, 624 bits a window.
 
 Defined cases: a null, empty or blank text has no words. A text shorter than a window loses nothing. doc_id names a document: rows that
-repeat one are cleaned alike and don't count as repeats of each other. A row without a doc_id keeps its words and takes none from
+repeat one and its text are cleaned alike, and rows of one doc_id don't count as repeats of each other, whatever their texts. A row without a doc_id keeps its words and takes none from
 others. An empty table gives an empty result. Other columns pass through untouched.
 """
 
@@ -33,17 +36,19 @@ from pyspark.sql import DataFrame, functions as F
 
 from claimtrail.llm.arrow import map_batches
 from claimtrail.llm.columns import pack, unpack
-from claimtrail.llm.text import BLANKS, U64, Words, chunks, gram_hashes, text_bytes
+from claimtrail.llm.text import BLANKS, U64, Words, chunks, gram_hashes, mix, text_bytes
+from claimtrail.sources.scratch import settle
 
 WINDOW = 13
 SEED_WORDS = 5
 GROUP = 50_000
 UNIT_BYTES = 2 << 20
+BUCKETS = 8
 NAMELESS = -(1 << 63)  # key of rows without a doc_id
 _CODE = U64(0xFFFFFFFFFFFF)
 _CODE_BYTES = 6
-_FOUND = ["bucket", "doc", "found", "data"]
-_FOUND_DDL = "bucket int, doc bigint, found boolean, data binary"
+_FOUND = ["bucket", "doc", "found", "data", "hash"]
+_FOUND_DDL = "bucket int, doc bigint, found boolean, data binary, hash bigint"
 
 
 class Runs:
@@ -113,13 +118,14 @@ def _subtree(codes, starts, docs, window, members, hit) -> None:
     hit[members] = docs[members] > smallest[node]
 
 
-def _found(docs: np.ndarray, values: np.ndarray, buckets: int = 1) -> pa.RecordBatch:
-    """Found rows: one for each run of equal documents, with the run's values. Rows are spread over the buckets by document."""
-    first = np.flatnonzero(np.diff(docs, prepend=~docs[:1]))
+def _found(docs: np.ndarray, values: np.ndarray, buckets: int = 1, hashes: np.ndarray | None = None) -> pa.RecordBatch:
+    """Found rows: one for each run of equal documents (and hashes), with the run's values, spread over the buckets by document."""
+    hashes = np.zeros(len(docs), np.int64) if hashes is None else hashes
+    first = np.flatnonzero((np.diff(docs, prepend=~docs[:1]) != 0) | (np.diff(hashes, prepend=~hashes[:1]) != 0))
     ends = (np.append(first, len(docs)) * values.itemsize).astype(np.int32)
     data = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(values.tobytes())])
     doc = docs[first]
-    return pa.RecordBatch.from_arrays([pa.array((doc % buckets).astype(np.int32)), pa.array(doc), pa.array(np.ones(len(doc), bool)), data], _FOUND)
+    return pa.RecordBatch.from_arrays([pa.array((doc % buckets).astype(np.int32)), pa.array(doc), pa.array(np.ones(len(doc), bool)), data, pa.array(hashes[first])], _FOUND)
 
 
 def _in_order(docs: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -130,7 +136,24 @@ def _in_order(docs: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndar
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     kinds = (pa.int32(), pa.int64(), pa.bool_(), pa.binary())
     columns = zip(*rows) if rows else [()] * 4
-    return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], _FOUND)
+    return pa.RecordBatch.from_arrays([*(pa.array(list(c), k) for c, k in zip(columns, kinds)), pa.array([0] * len(rows), pa.int64())], _FOUND)
+
+
+def _by_bucket(batches, take) -> Iterator[pa.RecordBatch]:
+    """Found rows as they are; and what ``take`` makes of the records (doc, data) of each bucket, one bucket at a time."""
+    current, records = None, []
+    for batch in batches:
+        found = batch.column("found").to_numpy(zero_copy_only=False)
+        yield batch.filter(batch.column("found"))
+        rest = batch.filter(pa.array(~found))
+        for bucket, doc, data in zip(rest.column("bucket").to_pylist(), rest.column("doc").to_pylist(), rest.column("data").to_pylist()):
+            if bucket != current:
+                if records:
+                    yield from take(records)
+                current, records = bucket, []
+            records.append((doc, data))
+    if records:
+        yield from take(records)
 
 
 def _units(batch: pa.RecordBatch, window: int) -> Iterator[tuple[int, int, Runs]]:
@@ -140,11 +163,12 @@ def _units(batch: pa.RecordBatch, window: int) -> Iterator[tuple[int, int, Runs]
 
 
 def _bucket(seed: np.ndarray, buckets: int) -> np.ndarray:
-    return ((seed >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64)
+    """Buckets of seeds, mixed anew: least hashes are small numbers."""
+    return ((mix(seed) >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64)
 
 
 def _seed_rows(buckets: int, window: int):
-    """Per unit: its seeds with a document each, by bucket; and (found) those that two of its documents have, by document."""
+    """Per unit: its seeds with a document and number of windows each, by bucket; and (found) those that two of its documents have, by document."""
 
     def rows(batches):
         for batch in batches:
@@ -154,6 +178,8 @@ def _seed_rows(buckets: int, window: int):
                 doc = ids[first:last][runs.text]
                 order = np.lexsort((doc, runs.seed))
                 seed, doc = runs.seed[order], doc[order]
+                first_of = np.flatnonzero(np.diff(seed, prepend=~seed[:1]))
+                count = np.add.reduceat(runs.size[order], first_of).astype(np.int32) if len(seed) else np.zeros(0, np.int32)
                 fresh = np.ones(len(seed), bool)
                 fresh[1:] = (np.diff(seed) != 0) | (np.diff(doc) != 0)
                 seed, doc = seed[fresh], doc[fresh]
@@ -162,63 +188,72 @@ def _seed_rows(buckets: int, window: int):
                 shared = np.repeat(several, np.diff(np.append(head, len(seed))))
                 yield _found(*_in_order(doc[shared], seed[shared]), buckets)
                 out = []
-                one, who = seed[head], doc[head]
-                cut = np.searchsorted(_bucket(one, buckets), np.arange(buckets + 1))
+                bucket = _bucket(seed[head], buckets)
+                order = np.argsort(bucket, kind="stable")
+                one, who, several, count = seed[head][order], doc[head][order], several[order], count[order]
+                cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
                 for b in np.flatnonzero(np.diff(cut)):
                     part = slice(cut[b], cut[b + 1])
-                    out.append((b, None, False, one[part].tobytes() + who[part].tobytes() + several[part].tobytes()))
+                    out.append((b, None, False, one[part].tobytes() + who[part].tobytes() + several[part].tobytes() + count[part].tobytes()))
                 yield _batch(out)
 
     return rows
 
 
-def _repeated_seeds(batches):
-    """Rows (doc, seeds) of the seeds that several documents have."""
-    seeds, docs, several = [], [], []
-    for batch in batches:
-        found = batch.column("found").to_numpy(zero_copy_only=False)
-        yield batch.filter(batch.column("found"))
-        for data in batch.filter(pa.array(~found)).column("data"):
-            data = data.as_buffer()
-            n = data.size // 17
+def _repeated_seeds(group: int):
+    """Found rows (doc, seeds) of the seeds that several documents have; and a record of those that have over ``group`` windows."""
+
+    def repeated(records):
+        seeds, docs, several, counts = [], [], [], []
+        for _, data in records:
+            n = len(data) // 21
             seeds.append(np.frombuffer(data, U64, n))
             docs.append(np.frombuffer(data, np.int64, n, 8 * n))
             several.append(np.frombuffer(data, bool, n, 16 * n))
-    if not seeds:
-        return
-    seed, doc, many = (np.concatenate(c) for c in (seeds, docs, several))
-    order = np.argsort(seed, kind="stable")
-    seed, doc, many = seed[order], doc[order], many[order]
-    head = np.flatnonzero(np.diff(seed, prepend=~seed[:1]))
-    size = np.diff(np.append(head, len(seed)))
-    repeated = (np.minimum.reduceat(doc, head) != np.maximum.reduceat(doc, head)) | np.logical_or.reduceat(many, head)
-    reply = np.repeat(repeated, size) & ~many
-    yield _found(*_in_order(doc[reply], seed[reply]))
+            counts.append(np.frombuffer(data, np.int32, n, 17 * n))
+        seed, doc, many, count = (np.concatenate(c) for c in (seeds, docs, several, counts))
+        order = np.argsort(seed, kind="stable")
+        seed, doc, many, count = seed[order], doc[order], many[order], count[order]
+        head = np.flatnonzero(np.diff(seed, prepend=~seed[:1]))
+        size = np.diff(np.append(head, len(seed)))
+        repeated = (np.minimum.reduceat(doc, head) != np.maximum.reduceat(doc, head)) | np.logical_or.reduceat(many, head)
+        reply = np.repeat(repeated, size) & ~many
+        yield _found(*_in_order(doc[reply], seed[reply]))
+        hot = repeated & (np.add.reduceat(count, head, dtype=np.int64) > group)
+        if hot.any():
+            yield _batch([(0, None, False, seed[head[hot]].tobytes())])
 
+    return lambda batches: _by_bucket(batches, repeated)
 
-def _suffix_rows(buckets: int, window: int, group: int):
-    """Per unit: records of windows for its smallest documents, by bucket of their seed; and (found) its own hits by document."""
+
+def _suffix_rows(buckets: int, window: int, group: int, hot: np.ndarray):
+    """Per unit: records of windows for its smallest documents, by bucket of their seed (of their words, if it is hot); and (found) its own hits by document and text."""
 
     def rows(batches):
         for batch in batches:
-            ids = batch.column("_key").to_numpy()
+            ids, hashes = batch.column("_key").to_numpy(), batch.column("_hash").to_numpy()
             seeds = batch.column("seeds")
             for first, last, runs in _units(batch, window):
                 asked = np.frombuffer(b"".join(d for part in seeds[first:last].to_pylist() for d in part or ()), U64)
                 runs.keep(np.isin(runs.seed, asked))
                 run, step = _expand(runs.size)
                 doc, start, pos = ids[first:last][runs.text][run], runs.first[run] + step, runs.pos[run] + step
+                text = hashes[first:last][runs.text][run]
                 codes = runs.codes & _CODE
                 hit = deep_nodes(codes, start, doc, window, group)
-                yield _found(*_in_order(doc[hit], pos[hit].astype(np.int32)), buckets)
+                yield _hits(doc[hit], text[hit], pos[hit], buckets)
                 out = []
                 left = np.flatnonzero(~hit)
                 if len(left):
                     new = np.ones(len(left), bool)
-                    new[1:] = (np.diff(left) != 1) | (np.diff(run[left]) != 0)
-                    head = left[new]
+                    heat = np.isin(runs.seed, hot)[run[left]]
+                    new[1:] = (np.diff(left) != 1) | (np.diff(run[left]) != 0) | heat[1:]
+                    head, heat = left[new], heat[new]
                     size = np.diff(np.append(np.flatnonzero(new), len(left)))
-                    bucket = _bucket(runs.seed[run[head]], buckets)
+                    key = runs.seed[run[head]]
+                    if heat.any():
+                        key[heat] = gram_hashes(codes, window)[start[head[heat]]]
+                    bucket = _bucket(key, buckets)
                     order = np.argsort(bucket, kind="stable")
                     head, size, bucket = head[order], size[order], bucket[order]
                     cut = np.searchsorted(bucket, np.arange(buckets + 1))
@@ -226,57 +261,58 @@ def _suffix_rows(buckets: int, window: int, group: int):
                         h, n = head[cut[b] : cut[b + 1]], size[cut[b] : cut[b + 1]]
                         record, word = _expand(n + window - 1)
                         words = np.ascontiguousarray(codes[start[h][record] + word]).view(np.uint8).reshape(-1, 8)[:, :_CODE_BYTES]
-                        out.append((b, len(h), False, doc[h].tobytes() + pos[h].astype(np.int32).tobytes() + n.astype(np.int32).tobytes() + words.tobytes()))
+                        out.append((b, len(h), False, doc[h].tobytes() + text[h].tobytes() + pos[h].astype(np.int32).tobytes() + n.astype(np.int32).tobytes() + words.tobytes()))
                 yield _batch(out)
 
     return rows
 
 
+def _hits(doc: np.ndarray, text: np.ndarray, pos: np.ndarray, buckets: int = 1) -> pa.RecordBatch:
+    order = np.lexsort((pos, text, doc))
+    return _found(doc[order], pos[order].astype(np.int32), buckets, text[order])
+
+
 def _suffix_hits(window: int, group: int):
     """Rows (doc, first words of hit windows) from the records of some seeds."""
 
-    def rows(batches):
-        docs, poss, sizes, codes = [], [], [], []
-        for batch in batches:
-            found = batch.column("found").to_numpy(zero_copy_only=False)
-            yield batch.filter(batch.column("found"))
-            rest = batch.filter(pa.array(~found))
-            for n, data in zip(rest.column("doc").to_pylist(), rest.column("data")):
-                data = data.as_buffer()
-                docs.append(np.frombuffer(data, np.int64, n))
-                poss.append(np.frombuffer(data, np.int32, n, 8 * n))
-                sizes.append(np.frombuffer(data, np.int32, n, 12 * n))
-                codes.append(np.frombuffer(data, np.uint8, -1, 16 * n))
-        if not docs:
-            return
-        doc, pos, size, raw = (np.concatenate(c) for c in (docs, poss, sizes, codes))
+    def hits(records):
+        docs, texts, poss, sizes, codes = [], [], [], [], []
+        for n, data in records:
+            docs.append(np.frombuffer(data, np.int64, n))
+            texts.append(np.frombuffer(data, np.int64, n, 8 * n))
+            poss.append(np.frombuffer(data, np.int32, n, 16 * n))
+            sizes.append(np.frombuffer(data, np.int32, n, 20 * n))
+            codes.append(np.frombuffer(data, np.uint8, -1, 24 * n))
+        doc, text, pos, size, raw = (np.concatenate(c) for c in (docs, texts, poss, sizes, codes))
         words = np.zeros((len(raw) // _CODE_BYTES, 8), np.uint8)
         words[:, :_CODE_BYTES] = raw.reshape(-1, _CODE_BYTES)
         words = words.view("<u8")[:, 0]
         length = size + window - 1
         begin = np.cumsum(length) - length
         run, step = _expand(size)
-        doc, start, pos = doc[run], begin[run] + step, pos[run] + step
+        doc, text, start, pos = doc[run], text[run], begin[run] + step, pos[run] + step
         hit = deep_nodes(words, start, doc, window, group)
-        yield _found(doc[hit], pos[hit].astype(np.int32))
+        yield _hits(doc[hit], text[hit], pos[hit])
 
-    return rows
+    return lambda batches: _by_bucket(batches, hits)
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with the document's number in ``_key``, which is never null, so that all joins by it share one exchange of the texts."""
-    return docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NAMELESS)))
+    """``docs`` with the document's number in ``_key``, which is never null, so that all joins by it share one exchange of the texts; and the text's ``_hash``."""
+    return docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NAMELESS))).withColumn("_hash", F.xxhash64("text"))
 
 
 def repeats(docs: DataFrame, window: int = WINDOW, group: int = GROUP) -> DataFrame:
-    """``doc, starts``: for each keyed document with hits, arrays of 32-bit numbers of the words at which its hit windows start."""
-    buckets = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """``doc, starts``: for each keyed document with hits, its texts' hashes with 32-bit numbers of the words at which hit windows start."""
+    buckets = BUCKETS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = lambda rows: rows.repartition("bucket").sortWithinPartitions("bucket")
     seeds = map_batches(docs.select("_key", "text"), _seed_rows(buckets, window), _FOUND_DDL)
-    seeds = map_batches(seeds.repartition("bucket"), _repeated_seeds, _FOUND_DDL)
-    asked = seeds.groupBy("doc").agg(F.collect_list("data").alias("seeds"))
-    records = map_batches(docs.join(asked, F.col("_key") == F.col("doc")), _suffix_rows(buckets, window, group), _FOUND_DDL)
-    hits = map_batches(records.repartition("bucket"), _suffix_hits(window, group), _FOUND_DDL)
-    return hits.groupBy("doc").agg(F.collect_list("data").alias("starts"))
+    seeds = settle(map_batches(dealt(seeds), _repeated_seeds(group), _FOUND_DDL), "seeds")
+    hot = np.frombuffer(b"".join(r.data for r in seeds.where("not found").select("data").collect()), U64)
+    asked = seeds.where("found").groupBy("doc").agg(F.collect_list("data").alias("seeds"))
+    records = map_batches(docs.join(asked, F.col("_key") == F.col("doc")), _suffix_rows(buckets, window, group, hot), _FOUND_DDL)
+    hits = map_batches(dealt(records), _suffix_hits(window, group), _FOUND_DDL)
+    return hits.groupBy("doc").agg(F.collect_list(F.struct("hash", "data")).alias("starts"))
 
 
 def _kept(text: str | None, starts: list[bytes] | None, window: int) -> tuple[int, int, bytes]:
@@ -292,6 +328,11 @@ def _kept(text: str | None, starts: list[bytes] | None, window: int) -> tuple[in
     return len(words), int(len(words) - keep.sum()), b" ".join(compress(words, keep.tolist()))
 
 
+def _own(starts: list[dict] | None, text_hash: int) -> list[bytes]:
+    """The starts that belong to the text of this hash."""
+    return [s["data"] for s in starts or () if s["hash"] == text_hash]
+
+
 def _joined(docs: DataFrame, window: int, group: int) -> DataFrame:
     docs = keyed(docs)
     found = repeats(docs, window, group)
@@ -305,7 +346,8 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, group: int = GROUP)
 
     def rows(batches):
         for batch in batches:
-            text = [_kept(t, s, window)[2].decode() for t, s in zip(batch.column("text").to_pylist(), batch.column("starts").to_pylist())]
+            columns = (batch.column(c).to_pylist() for c in ("text", "starts", "_hash"))
+            text = [_kept(t, _own(s, h), window)[2].decode() for t, s, h in zip(*columns)]
             yield pa.RecordBatch.from_arrays([pa.array(text, pa.string()) if c == "text" else batch.column(c) for c in names], names)
 
     return unpack(map_batches(_joined(packed, window, group), rows, packed.schema), docs.columns)
@@ -315,8 +357,8 @@ def digest(docs: DataFrame, window: int = WINDOW, group: int = GROUP) -> DataFra
     def rows(batches):
         for batch in batches:
             n, removed, sha = [], [], []
-            for text, starts in zip(batch.column("text").to_pylist(), batch.column("starts").to_pylist()):
-                words, gone, kept = _kept(text, starts, window)
+            for text, starts, own in zip(*(batch.column(c).to_pylist() for c in ("text", "starts", "_hash"))):
+                words, gone, kept = _kept(text, _own(starts, own), window)
                 n.append(words)
                 removed.append(gone)
                 sha.append(hashlib.sha256(kept).hexdigest())

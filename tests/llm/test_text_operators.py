@@ -5,6 +5,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from claimtrail.llm import decontaminate, line_dedup, sentencepiece_bpe, substring_dedup, text
@@ -73,6 +74,34 @@ def test_substrings(docs_of, odd_pairs, group):
     assert rows(cleaned, "doc_id", "text") == sorted(((i, k) for i, _, _, k in want), key=repr)
 
 
+def test_substrings_of_one_id_over_two_texts(docs_of):
+    words = [f"w{i}" for i in range(200)]
+    shared, other = " ".join(words[100:130]), " ".join(f"v{i}" for i in range(20))
+    pairs = [(1, shared), (1, other), (5, " ".join(words)), (5, f"short text {other}"), (5, "no repeat at all " * 5)]
+    out = {(r.doc_id, r.n_words): r.n_removed for r in substring_dedup.digest(docs_of(pairs)).collect()}
+    assert out == {(1, 30): 0, (1, 20): 0, (5, 200): 30, (5, 22): 20, (5, 20): 0}
+
+
+def test_a_phrase_in_many_surroundings_is_parted(docs_of):
+    phrase = " ".join(f"p{i}" for i in range(9))
+    texts = [" ".join([f"a{i}x{k}" for k in range(9)] + [phrase] + [f"b{i}x{k}" for k in range(9)]) for i in range(300)]
+    batch = pa.RecordBatch.from_pydict({"_key": list(range(300)), "_hash": [0] * 300, "text": texts, "seeds": [None] * 300})
+    runs = next(substring_dedup._units(batch, 13))[2]
+    asked, times = np.unique(runs.seed, return_counts=True)
+    hot = asked[times > 50]
+    batch = batch.set_column(3, "seeds", pa.array([[asked.tobytes()]] * 300))
+    for heat in (hot[:0], hot):
+        sizes = defaultdict(int)
+        for part in substring_dedup._suffix_rows(64, 13, 50_000, heat)(iter([batch])):
+            for row in part.filter(pa.array([not f for f in part.column("found").to_pylist()], pa.bool_())).to_pylist():
+                n = row["doc"]
+                sizes[row["bucket"]] += int(np.frombuffer(row["data"], np.int32, n, 20 * n).sum())
+        assert (max(sizes.values()) > 200) == (not len(heat)) and sum(sizes.values()) > 3_000
+    pairs = list(enumerate(texts)) + [(i + 1000, t) for i, t in enumerate(texts[:40])]
+    got = rows(substring_dedup.digest(docs_of(pairs), group=100))
+    assert got == sorted(((i, n, g, sha(k)) for i, n, g, k in brute_substrings(pairs, 13)), key=repr)
+
+
 def test_substrings_of_a_small_alphabet(spark, docs_of):
     rng = np.random.default_rng(5)
     pairs = [(int(i), " ".join(rng.choice(list("abc"), rng.integers(0, 60)))) for i in rng.permutation(60)]
