@@ -200,11 +200,17 @@ def _matrix(stats: dict[str, np.ndarray]) -> np.ndarray:
     return np.stack([stats[c] for c in FEATURES], 1)
 
 
+def one_per_document(sample: DataFrame) -> DataFrame:
+    """``doc_id, quality, text`` with one row of each doc_id, that of the smallest hash of the text."""
+    first = sample.groupBy("doc_id", "quality").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("_first"))
+    return first.select("doc_id", "quality", F.col("_first.text").alias("text"))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, limit: int) -> DataFrame:
-    """``doc_id, text, quality`` of at most ``limit`` labelled documents, those of the smallest hash of the id."""
+    """``doc_id, text, quality`` of at most ``limit`` labelled documents, those of the smallest hash of the id, one row each."""
     marks = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     marks = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    return docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id")
+    return one_per_document(docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Trees | None:

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from claimtrail.llm.arrow import map_batches
 from claimtrail.llm.columns import pack, unpack
-from claimtrail.llm.quality_gbt import _per_text, _repeat_words
+from claimtrail.llm.quality_gbt import _per_text, _repeat_words, one_per_document
 from claimtrail.llm.text import BLANKS, byte_set, each_chunk
 
 TRIGRAMS, RANK, ROUNDS = 4096, 64, 4
@@ -125,6 +125,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Space
     share = teach.agg(F.avg("quality")).first()[0]
     sides = [teach.where(F.col("quality") == q).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_label) for q in (0, 1)]
     sample = docs.select("doc_id", "text").join(F.broadcast(sides[0].unionByName(sides[1])), "doc_id")
+    sample = one_per_document(sample)
 
     def sparse(batches):
         for batch in batches:

@@ -192,6 +192,14 @@ def _jaccard(a, b):
     return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
 
 
+def test_samples_hold_one_row_of_each_id(docs_of, labelled):
+    docs, labels = labelled
+    table = docs_of(docs + [(8, f"another text {k}") for k in range(200)])
+    sample = quality_gbt.labelled_sample(table, labels, 1_000)
+    assert sample.count() == sample.select("doc_id").distinct().count() == len(docs)
+    assert len(quality_knn.fit(table, labels, per_label=1_000).labels) == len(quality_knn.fit(docs_of(docs), labels, per_label=1_000).labels)
+
+
 def test_near_duplicates_are_decided_by_similarity(docs_of):
     rng = np.random.default_rng(11)
     pairs, near = [], set()
