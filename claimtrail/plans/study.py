@@ -103,7 +103,7 @@ def pull_dx(inputs: StudyInputs, cohort: DataFrame, cfg: StudyConfig, dx_cols: S
 
 
 def pull_admissions(inputs: StudyInputs, cohort: DataFrame, cfg: StudyConfig) -> DataFrame:
-    shards = shards_of(inputs.admissions, cfg, ADMISSIONS, years_before=1)  # a stay may begin in the year before
+    shards = shards_of(inputs.admissions, cfg, ADMISSIONS, years_before=None)  # a stay may begin in any earlier year
     stays = scan_dx(inputs.admissions, start=cfg.study_start, end=cfg.study_end, date_col="admdate", end_col="disdate", **shards)
     return restrict_to(stays, cohort, cfg.id_col)
 

@@ -171,3 +171,13 @@ def test_baseline_reads_claims_once(spark, tables, tmp_path, plan):
     out = baseline(claims, ["6961"], StudyConfig())
     assert path not in plan(out)  # what is left reads the written diagnoses
     assert out.count() == tables["ads.baseline"].count()
+
+
+def test_stays_that_began_years_before_are_pulled(spark):
+    cfg = StudyConfig()
+    begun = date(cfg.study_start.year - 3, 5, 1)
+    stays = [(1, begun, cfg.study_start + timedelta(5), begun.year), (2, cfg.study_start, cfg.study_start, None), (3, begun, begun, begun.year)]
+    table = spark.createDataFrame(stays, "enrolid int, admdate date, disdate date, year int")
+    cohort = spark.createDataFrame([(1,), (2,), (3,)], "enrolid int")
+    found = pull_admissions(replace(make_inputs(spark), admissions=table), cohort, cfg)
+    assert rows(found, "enrolid") == [(1,), (2,)]
