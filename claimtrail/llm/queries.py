@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimtrail.llm import chat_format, decontaminate, line_dedup, pii_feistel, quality_gbt, quality_knn, sentencepiece_bpe, sharding, simhash_dedup, substring_dedup
+from claimtrail.llm import chat_format, decontaminate, line_dedup, merkle, pii_feistel, quality_gbt, quality_knn, sentencepiece_bpe, sharding, simhash_dedup, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -81,3 +81,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_substring_dedup", substring_dedup.SQL)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(table(spark, sf_dir, "documents"))
+
+
+@query("op13_merkle_manifest", merkle.SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digest(table(spark, sf_dir, "documents"))
