@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimtrail.llm import chat_format, decontaminate, line_dedup, merkle, minhash_join, pii_feistel, quality_gbt, quality_knn, sentencepiece_bpe, sharding, simhash_dedup, substring_dedup
+from claimtrail.llm import chat_format, decontaminate, line_dedup, merkle, minhash_join, pii_feistel, quality_gbt, quality_knn, sentencepiece_bpe, sharding, simhash_dedup, substring_dedup, turn_repair
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -83,6 +83,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(table(spark, sf_dir, "documents"))
 
 
+@query("op11_turn_repair", turn_repair.SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.digest(table(spark, sf_dir, "conversations"))
+
+
 @query("op12_minhash_dedup", minhash_join.SQL)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_join.digest(table(spark, sf_dir, "documents"))
