@@ -74,8 +74,8 @@ class _Subtree:
 class _Block:
     """Streaming aligned append of the leaves of one block. ``alone``: the block is its whole group, so it ends at one node."""
 
-    def __init__(self, alone: bool):
-        self.alone = alone
+    def __init__(self, alone: bool, levels: int):
+        self.alone, self.levels = alone, levels
         self.open: list[list[_Subtree]] = [[]]
         self.counts = [0]
 
@@ -88,7 +88,7 @@ class _Block:
         tree.at, tree.left = len(run), "".join(t.node for t in run)
         run.append(tree)
         self.counts[level] += 1
-        if len(run) == RUN and level < LEVELS:
+        if len(run) == RUN and level < self.levels:
             self._close(level)
         return tree
 
@@ -103,7 +103,7 @@ class _Block:
     def root(self) -> str:
         """Close what is open. A block beside others rises the full number of levels, also with a single node."""
         level = 0
-        while level < LEVELS and not (self.alone and self.counts[level] == 1):
+        while level < self.levels and not (self.alone and self.counts[level] == 1):
             if self.open[level]:
                 self._close(level)
             level += 1
@@ -154,7 +154,7 @@ def _roots(nodes: DataFrame) -> DataFrame:
         out = []
         for held in _blocks(_rows(batches)):
             group, block, _, of, _ = held[0]
-            tree = _Block(of <= BLOCK)
+            tree = _Block(of <= BLOCK, LEVELS)
             for row in held:
                 tree.append(row[4])
             out.append((group, block, -(-of // BLOCK), tree.root()))
@@ -201,7 +201,7 @@ def _witnesses(nodes: DataFrame, tops: DataFrame) -> DataFrame:
                 yield from zip(*(c.to_pylist() for c in batch.columns))
 
         for head, *held in _blocks(rows_of()):
-            tree = _Block(held[0][3] <= BLOCK)
+            tree = _Block(held[0][3] <= BLOCK, LEVELS)
             trees = [tree.append(row[4]) for row in held]
             tree.root()
             rest, top = head[6], head[7]

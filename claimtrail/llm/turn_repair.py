@@ -216,9 +216,6 @@ class _Part:
         self.rows.extend([(turn, role, text)] * copies)
         self.size += len(text or "")
 
-    def full(self) -> bool:
-        return len(self.rows) >= BLOCK or self.size >= BLOCK_CHARS
-
 
 def _illegal(initials: str) -> int:
     return sum(initials[i : i + 2] not in ("su", "ua", "au") for i in range(len(initials) - 1))
@@ -279,7 +276,7 @@ def _blocks(rows: DataFrame) -> DataFrame:
                         done(part, number, opened)
                     opened, number = part is not None, 0
                     part = _Part(conv)
-                elif part.full():
+                elif len(part.rows) >= BLOCK or part.size >= BLOCK_CHARS:
                     done(part, number, False)
                     opened, number = False, number + 1
                     part = _Part(conv)
