@@ -1,7 +1,8 @@
 """SentencePiece encoding and decoding for merge-type models, exact, by backtracking.
 
 A sequence of pieces is the model's encoding of its text if, and only if, every two neighbours are compatible: merging the text of
-the two alone ends at these two pieces. So the encoder walks the text taking the longest piece at each position (all found by one pass of an
+the two alone ends at these two pieces. That is seen by undoing the last merges along their facing edges, from a table of each piece's two halves,
+until a merge of the edges would have come first or none can. So the encoder walks the text taking the longest piece at each position (all found by one pass of an
 Aho-Corasick automaton over the reversed text), steps to shorter prefixes while the piece before is not compatible, and goes one piece
 back where no prefix fits; a bitfield holds the positions from which the rest is known to fail, so none is tried twice.
 
@@ -22,6 +23,7 @@ import hashlib
 import re
 import struct
 from functools import lru_cache
+from itertools import chain, groupby
 
 import ahocorasick
 import pyarrow as pa
@@ -33,7 +35,7 @@ from claimtrail.llm.columns import pack, unpack
 
 SPACE = "▁"
 CACHED_WORDS = 120_000  # of each of two generations
-CACHED_PAIRS = 200_000
+CACHED_PAIRS = 400_000  # then others are computed each time
 CACHED_CHARS = 48
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 MERGE_TYPE = 2
@@ -94,8 +96,8 @@ class PieceModel:
         self.unknown_text = trainer.get(44, " ⁇ ".encode()).decode()
         self.byte_ids = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(self.pieces, self.kinds)) if k == BYTE}
         self.byte_of = {i: b for b, i in self.byte_ids.items()}
-        self.ids = {p: i for i, (p, k) in enumerate(zip(self.pieces, self.kinds)) if k == NORMAL}
-        self.rank = {p: -scores[i] for p, i in self.ids.items()}
+        ids = {p: i for i, (p, k) in enumerate(zip(self.pieces, self.kinds)) if k == NORMAL}
+        self._split(sorted(ids, key=lambda p: -scores[ids[p]]), ids)
         self.size = [len(p) for p in self.pieces]
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for piece, i in self.ids.items():
@@ -107,38 +109,69 @@ class PieceModel:
         self._shorter: dict[int, int] = {}
         self._compatible: dict[int, bool] = {}
         self._words = _Words(self)
+        self.bytes = [self._piece_bytes(i) for i in range(len(self.pieces))]
+        self.names = [str(i) for i in range(len(self.pieces))]
 
     # Numbers from len(pieces) on stand for single characters without a piece.
 
-    def _text(self, token: int) -> str:
-        return self.pieces[token] if token < len(self.pieces) else chr(token - len(self.pieces))
-
-    def merged(self, text: str) -> list[str]:
-        """Plain merging of a short text: the best-ranked pair first, the leftmost of equals."""
-        parts, rank = list(text), self.rank
+    def _split(self, ranked: list[str], ids: dict[str, int]) -> None:
+        """Take each piece's last merge apart, best-ranked pieces first.
+
+        A piece's two halves at its last merge are the one split whose halves are pieces themselves and compatible up to that merge. A
+        piece without one is never made by merging, so it is no piece of any encoding and is left out.
+        """
+        self.made = [0] * len(self.pieces)  # when a piece is merged: 0 for characters, then by rank
+        self.left, self.right = list(range(len(self.pieces))), list(range(len(self.pieces)))
+        self.merge: dict[int, int] = {}  # first << 32 | second -> when the two are merged
+        self.ids = {p: ids[p] for p in ranked if len(p) == 1}
+        known = len(self.pieces)
+        for made, piece in enumerate((p for p in ranked if len(p) > 1), 1):
+            halves = []
+            for at in range(1, len(piece)):
+                first, second = piece[:at], piece[at:]
+                a = self.ids.get(first, known + ord(first) if at == 1 else -1)
+                b = self.ids.get(second, known + ord(second) if at == len(piece) - 1 else -1)
+                if a >= 0 and b >= 0:
+                    halves.append((a, b))
+            own = ids[piece]
+            fit = next(((a, b) for a, b in halves if self._apart(a, b, made)), None)
+            if fit is None:
+                continue
+            self.ids[piece], self.made[own] = own, made
+            self.left[own], self.right[own] = fit
+            for a, b in halves:
+                self.merge[a << 32 | b] = made
+
+    def _apart(self, first: int, second: int, limit: int = 1 << 31) -> bool:
+        """No merge before ``limit`` joins the two: their facing edges are taken apart again, the last merge first."""
+        merge, made, known = self.merge, self.made, len(self.pieces)
         while True:
-            best = min(((rank[p], i) for i, p in enumerate(map(str.__add__, parts, parts[1:])) if p in rank), default=None)
-            if best is None:
-                return parts
-            i = best[1]
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            if merge.get(first << 32 | second, limit) < limit:
+                return False
+            a = made[first] if first < known else 0
+            b = made[second] if second < known else 0
+            if a > b:
+                limit, first = a, self.right[first]
+            elif b:
+                limit, second = b + 1, self.left[second]  # of equal merges the left one comes first
+            else:
+                return True
 
     def _fits(self, first: int, second: int) -> bool:
-        """The pieces are compatible neighbours. ``first`` -1: ``second`` is the whole text."""
-        key = (first + 1) << 32 | second
-        known = self._compatible.get(key)
-        if known is None:
-            if len(self._compatible) >= CACHED_PAIRS:
-                self._compatible.clear()
-            parts = [self._text(t) for t in (first, second) if t >= 0]
-            known = self._compatible[key] = self.merged("".join(parts)) == parts
-        return known
-
-    def _prefix(self, token: int, text: str, at: int) -> int:
-        """The next shorter piece that begins ``token``, which stands at ``text[at]``; -1: none."""
+        """The pieces are compatible neighbours: merging the text of both ends at these two."""
+        key = first << 32 | second
+        found = self._compatible.get(key)
+        if found is None:
+            found = self._apart(first, second)
+            if len(self._compatible) < CACHED_PAIRS:
+                self._compatible[key] = found
+        return found
+
+    def _prefix(self, token: int) -> int:
+        """The next shorter piece that begins ``token``; -1: none."""
         known = self._shorter.get(token)
         if known is None:
-            piece, known = self._text(token), -1
+            piece, known = self.pieces[token] if token < len(self.pieces) else "", -1
             for size in range(len(piece) - 1, 0, -1):
                 known = self.ids.get(piece[:size], -1)
                 if known >= 0:
@@ -151,7 +184,7 @@ class PieceModel:
 
     def tokens(self, text: str) -> list[int]:
         """The pieces of a text with its space marks; a character without a piece has its own number."""
-        n, known, fits, size = len(text), len(self.pieces), self._fits, self.size
+        n, known, size, compatible = len(text), len(self.pieces), self.size, self._compatible
         longest = [-1] * n
         last = -1
         for end, piece in self.automaton.iter(text[::-1]):
@@ -160,8 +193,6 @@ class PieceModel:
                 last = end
         if -1 in longest:
             longest = [known + ord(c) if p < 0 else p for p, c in zip(longest, text)]
-        if n and longest[0] < known and size[longest[0]] == n and fits(-1, longest[0]):
-            return [longest[0]]
         failed = bytearray(n // 8 + 1)
         tokens: list[int] = []
         at, token = 0, longest[0] if n else -1
@@ -169,13 +200,17 @@ class PieceModel:
             before = tokens[-1] if tokens else -1
             while True:
                 end = at + (size[token] if token < known else 1)
-                if not failed[end >> 3] >> (end & 7) & 1 and (fits(before, token) if before >= 0 else end < n or fits(-1, token)):
-                    tokens.append(token)
-                    at = end
-                    if at < n:
-                        token = longest[at]
-                    break
-                token = self._prefix(token, text, at)
+                if not failed[end >> 3] >> (end & 7) & 1:
+                    fits = before < 0 or compatible.get(before << 32 | token)
+                    if fits is None:
+                        fits = self._fits(before, token)
+                    if fits:
+                        tokens.append(token)
+                        at = end
+                        if at < n:
+                            token = longest[at]
+                        break
+                token = self._prefix(token)
                 if token < 0:
                     failed[at >> 3] |= 1 << (at & 7)
                     token = tokens.pop()
@@ -185,8 +220,10 @@ class PieceModel:
 
     def encode_marked(self, text: str) -> list[int]:
         """Ids of a text with its space marks."""
-        out = []
-        for token in self.tokens(text):
+        tokens, out = self.tokens(text), []
+        if not tokens or max(tokens) < len(self.pieces):
+            return tokens
+        for token in tokens:
             if token < len(self.pieces):
                 out.append(token)
             elif self.byte_ids:
@@ -207,37 +244,36 @@ class PieceModel:
         return (text.replace("\n", " \n") if self.by_line else text).split(" ")
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for word in self.words(text) for i in self._words[word].split(",")]
+        return list(chain.from_iterable(map(self._words.__getitem__, self.words(text))))
 
     def encoded(self, text: str) -> tuple[str, str]:
         """The ids as text with commas, and what they decode to."""
-        words, known = self.words(text), self._words
-        ids = ",".join(map(known.__getitem__, words))
-        if known.changed and not known.changed.keys().isdisjoint(words):
-            return ids, self.decode([int(i) for i in ids.split(",")])
-        return ids, text.replace(SPACE, " ")  # every word's ids decode to the word
-
-    def decoded(self, ids: list[int]) -> str:
-        """Text of the ids with spaces, the one in front included."""
-        out, raw = [], bytearray()
-        for i in ids:
-            if i in self.byte_of:
-                raw.append(self.byte_of[i])
-                continue
-            if raw:
-                out.append(_utf8(raw))
-                raw.clear()
-            kind = self.kinds[i]
-            out.append(self.pieces[i].replace(SPACE, " ") if kind == NORMAL else self.unknown_text if kind == UNKNOWN else "")
-        if raw:
-            out.append(_utf8(raw))
-        return "".join(out)
+        ids = self.encode(text)
+        return ",".join(map(self.names.__getitem__, ids)), self.decode(ids)
+
+    def _piece_bytes(self, i: int) -> bytes:
+        kind = self.kinds[i]
+        if kind == BYTE:
+            return bytes([self.byte_of[i]])
+        return self.pieces[i].replace(SPACE, " ").encode() if kind == NORMAL else self.unknown_text.encode() if kind == UNKNOWN else b""
 
     def decode(self, ids: list[int]) -> str:
-        return self.decoded(ids).removeprefix(" ")
+        """Text of the ids, without the space that encoding puts in front."""
+        try:
+            text = b"".join(map(self.bytes.__getitem__, ids)).decode()
+        except UnicodeDecodeError:  # byte pieces that make no characters
+            text = self._decoded_apart(ids)
+        return text.removeprefix(" ")
+
+    def _decoded_apart(self, ids: list[int]) -> str:
+        out = []
+        for raw, run in groupby(ids, key=self.byte_of.__contains__):
+            joined = b"".join(map(self.bytes.__getitem__, run))
+            out.append(_utf8(joined) if raw else joined.decode())
+        return "".join(out)
 
 
-def _utf8(raw: bytearray) -> str:
+def _utf8(raw: bytes) -> str:
     """Bytes as text; each byte that is part of no character becomes a replacement character."""
     out, at = [], 0
     while at < len(raw):
@@ -245,31 +281,24 @@ def _utf8(raw: bytearray) -> str:
             out.append(raw[at:].decode())
             break
         except UnicodeDecodeError as problem:
-            out.append(raw[at : at + problem.start].decode() + "�")
+            out.append(raw[at : at + problem.start].decode() + "\ufffd")
             at += problem.start + 1
     return "".join(out)
 
 
 class _Words(dict):
-    """Ids by word, in two generations: a full one is set aside and its words come back as they are met again.
-
-    ``changed`` holds the words that their ids don't decode to.
-    """
+    """Ids by word, in two generations: a full one is set aside and its words come back as they are met again."""
 
     def __init__(self, model: PieceModel):
         super().__init__()
         self.model = model
-        self.old: dict[str, str] = {}
-        self.changed: dict[str, str] = {}
+        self.old: dict[str, tuple[int, ...]] = {}
 
-    def __missing__(self, word: str) -> str:
+    def __missing__(self, word: str) -> tuple[int, ...]:
         value = self.old.get(word)
         if value is None:
             unit = word if word[:1] == "\n" and self.model.by_line and self.model.by_word else SPACE + word
-            ids = self.model.encode_marked(unit)
-            value = ",".join(map(str, ids))
-            if (decoded := self.model.decoded(ids)) != unit.replace(SPACE, " "):
-                self.changed[word] = decoded
+            value = tuple(self.model.encode_marked(unit))
         if len(word) <= CACHED_CHARS:
             if len(self) >= CACHED_WORDS:
                 self.old = dict(self)
