@@ -369,9 +369,8 @@ def _typed(values, kind: str) -> pa.Array:
     return pa.array(list(values), _TYPES.get(kind))
 
 
-def repairs(rows: DataFrame) -> DataFrame:
-    """``conv_id, illegal, cost, audit, repaired_sha256`` of every conversation with rows."""
-    found = faults(rows)
+def repairs(found: DataFrame) -> DataFrame:
+    """``conv_id, illegal, cost, audit, repaired_sha256`` of every conversation with rows, from ``faults``."""
     kind = found.schema["conv_id"].dataType.simpleString()
     schema = T.StructType.fromDDL(f"conv_id {kind}, illegal bigint, cost bigint, audit string, repaired_sha256 string")
 
@@ -404,8 +403,9 @@ def _rows_of(out: list, kind: str, names: list[str]) -> pa.RecordBatch:
 
 def repair(rows: DataFrame, conversations: DataFrame | None = None) -> DataFrame:
     """What is wrong with every conversation and how it is repaired; one row for each of ``conversations``, by default those with rows."""
-    found = counts(faults(rows)).withColumnRenamed("conv_id", "_a")
-    fixed = repairs(rows).withColumnRenamed("conv_id", "_b")
+    marked = settle(faults(rows), "faults")
+    found = counts(marked).withColumnRenamed("conv_id", "_a")
+    fixed = repairs(marked).withColumnRenamed("conv_id", "_b")
     ids = (rows if conversations is None else conversations).select("conv_id").distinct()
     out = ids.join(found, F.col("conv_id").eqNullSafe(F.col("_a")), "left").join(fixed, F.col("conv_id").eqNullSafe(F.col("_b")), "left")
     numbers = [F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
