@@ -1,31 +1,19 @@
 """SimHash near-dedup with bit-sliced distances.
 
-A fingerprint has a bit for each hash bit that is set in over half of the hashes of a text's word shingles; beyond 64 bits, the
-further ones come from the same hashes mixed anew. Equal fingerprints are one node, so copies cost nothing after the first grouping.
-Nodes are compared only inside buckets:
-
-* *Exact* (``keys`` 0, 64 bits): nodes that differ in at most ``radius`` bits agree in all but ``radius`` of the blocks their bits are
-  cut into, so a bucket is a choice of equal blocks. The number of blocks follows the number of nodes, so that a bucket of unrelated
-  nodes stays small. For a radius of a few bits.
-* *By shingles* (``keys`` K): a bucket is one of K minimum hashes of a text's shingles. Texts whose shingle sets have similarity s share no
-  bucket with probability (1 - s) ** K. For wide fingerprints and radii that no choice of blocks serves.
-
-A bucket of over ``TILE`` nodes is dealt in tiles, every two of which are compared in one group; an exact bucket of over
-``TILE * MAX_TILES`` nodes is cut again by finer blocks, which leave at most 4,096 different nodes in a bucket.
+A fingerprint has a bit for each hash bit that is set in over half of the hashes of a text's word shingles. Equal fingerprints are one node,
+so copies cost nothing after the first grouping. Nodes are compared only inside buckets: nodes that differ in at most ``radius`` bits agree in
+all but ``radius`` of the blocks their bits are cut into, so a bucket is a choice of equal blocks. The number of blocks follows the number of
+nodes, so that a bucket of unrelated nodes stays small. A bucket of over ``TILE`` nodes is dealt in tiles, every two of which are compared in
+one group; one of over ``TILE * MAX_TILES`` nodes is cut again by finer blocks, which leave at most 4,096 different nodes in a bucket.
 
 Inside a bucket the nodes' bits stand in vertical planes, 64 nodes to a machine word; a probe's distances to a whole word are counted
 by carry-save steps of bitwise operations, plane by plane, and words whose 64 distances all exceed the radius are abandoned. Nodes near
 a bucket's first nodes are united beforehand, and nodes already united are not compared. Links of a bucket shrink to a star before
-they leave the task.
-
-*Decided by similarity* (``similarity`` s, with ``keys``): the distances only gather texts that may be near, and links are pairs whose sets of
-distinct shingles have a Jaccard similarity of s or more, counted on the sets themselves. Equal sets are one node. Nodes that distances connect
-make a group; a group's sets are dealt in tiles and every set of a tile is compared with the others, by two deals that put each set in one
-tile. What is still apart from the group's largest component then meets all others, tile by tile.
+they leave the task, which holds one bucket at a time.
 
 Defined cases: a text of fewer words than a shingle is one shingle; a null, empty or blank text has fingerprint zero and is linked
-like any other. Repeated rows share fingerprint and component. A null doc_id names no component; a component of such rows only
-has a null id. A doc_id is below 2 ** 62. Other columns don't matter.
+like any other. Repeated rows share fingerprint and component; rows that repeat a doc_id with another text are linked by their own text. A null
+doc_id names no component; a component of such rows only has a null id. A doc_id may have any type with an order. Other columns don't matter.
 """
 
 from __future__ import annotations
@@ -38,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from claimtrail.llm.arrow import map_batches
-from claimtrail.llm.columns import named
+from claimtrail.llm.columns import pack, unpack
 from claimtrail.llm.components import components
 from claimtrail.llm.text import U64, chunks, mix
 from claimtrail.sources.scratch import settle
@@ -81,47 +69,22 @@ def majority(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.packbits(2 * counts > sizes[:, None], axis=1, bitorder="little").view("<u8")[:, 0]
 
 
-def _remixed(flat: np.ndarray, n: int) -> np.ndarray:
-    """The hashes themselves for n = 0, else another hash of each."""
-    return mix(flat ^ U64(n * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) if n else flat
-
-
-def set_hash(distinct: np.ndarray) -> np.uint64:
-    """A hash of a set of hashes; zero of the empty set."""
-    return mix(np.array([mix(distinct).sum(dtype=U64) + U64(len(distinct))], U64))[0]
-
-
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, words: int = 1, keys: int = 0) -> DataFrame:
-    """``doc_id``, the fingerprint as ``words`` signed numbers ``fp0``, ``fp1``..., and ``keys`` minimum hashes of the shingles.
-
-    With ``keys``, repeats of a shingle count once, and ``node`` is a hash of the set of shingles.
-    """
-    names = ["doc_id", *(f"fp{i}" for i in range(words)), "keys", *(["node"] if keys else [])]
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """``doc_id``, ``text_hash`` and the fingerprint of every row, as a signed number ``fp0``."""
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    kind = rows.schema["doc_id"].dataType.simpleString()
 
     def compute(batches):
         for batch in batches:
             texts = batch.column("text").cast(pa.large_binary()).fill_null(b"").to_pylist()
             offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
-            prints, least, node = np.zeros((words, len(texts)), U64), np.zeros((len(texts), keys), U64), np.zeros(len(texts), U64)
+            prints = np.zeros(len(texts), U64)
             for first, last in chunks(offsets):
                 hashes = [shingle_hashes(t, shingle) for t in texts[first:last]]
-                if keys:
-                    hashes = [np.unique(h) for h in hashes]
-                    node[first:last] = [set_hash(h) for h in hashes]
-                sizes = np.array([len(h) for h in hashes])
-                flat = np.concatenate([*hashes, np.zeros(0, U64)])
-                for i in range(words):
-                    prints[i, first:last] = majority(_remixed(flat, i), sizes)
-                full = np.flatnonzero(sizes)
-                for k in range(keys if len(full) else 0):
-                    begin = (np.cumsum(sizes) - sizes)[full]
-                    least[first + full, k] = np.minimum.reduceat(_remixed(flat, words + 1 + k), begin)
-            keyed = pa.ListArray.from_arrays(np.arange(len(texts) + 1, dtype=np.int32) * keys, pa.array(least.reshape(-1).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(p.view(np.int64)) for p in prints), keyed, *([pa.array(node.view(np.int64))] if keys else [])], names)
-
-    ids = docs.select("doc_id", "text")
-    kind = ids.schema["doc_id"].dataType.simpleString()
-    return map_batches(ids, compute, f"doc_id {kind}, " + "".join(f"fp{i} bigint, " for i in range(words)) + "keys array<bigint>" + ", node bigint" * (keys > 0))
+                prints[first:last] = majority(np.concatenate([*hashes, np.zeros(0, U64)]), np.array([len(h) for h in hashes]))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(prints.view(np.int64))], ["doc_id", "text_hash", "fp0"])
+
+    return map_batches(rows, compute, f"doc_id {kind}, text_hash bigint, fp0 bigint")
 
 
 def block_masks(blocks: int, radius: int = RADIUS, free: int = -1) -> list[int]:
@@ -214,46 +177,70 @@ def unite(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
             label = next_
 
 
-def _bucket_stars(words: int, radius: int):
+def _star(node: np.ndarray, fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes of one bucket that links connect, each with the smallest of its component."""
+    order = np.argsort(node)
+    node, fps = node[order], fps[order]
+    n, leader = len(node), 0
+    label = np.arange(n)
+    for _ in range(LEADERS):  # the first row, then the first that none before is near to
+        near = np.flatnonzero(np.bitwise_count(fps ^ fps[leader]) <= radius)
+        label = unite(label, np.full(len(near), leader), near)
+        apart = np.flatnonzero(label != label[leader])
+        if not len(apart):
+            break
+        leader = apart[0]
+    order = np.argsort(label, kind="stable")
+    where = np.empty(n, np.int64)
+    where[order] = np.arange(n)
+    fps, node, label = fps[order], node[order], where[label[order]]
+    smallest = np.full(n, n)
+    np.minimum.at(smallest, label, np.arange(n))  # labels are the first row of their component
+    label = smallest[label]
+    for i, j in sliced_links([fps], np.zeros(n, np.int64), label.copy(), radius):
+        label = unite(label, i, j)
+    root = np.full(n, np.iinfo(np.int64).max)
+    np.minimum.at(root, label, node)
+    linked = np.flatnonzero(node != root[label])
+    return node[linked], root[label[linked]]
+
+
+def _bucket_stars(radius: int):
+    """Stars of the buckets of a stream sorted by ``bucket, part``."""
+
+    def buckets(batches):
+        held, last = [], None
+        for batch in batches:
+            columns = [batch.column(c).to_numpy() for c in ("bucket", "part", "node", "fp0")]
+            cuts = np.flatnonzero((columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1])) + 1
+            for first, stop in zip([0, *cuts], [*cuts, batch.num_rows]):
+                if first == stop:
+                    continue
+                key = columns[0][first], columns[1][first]
+                if held and key != last:
+                    yield held
+                    held = []
+                last = key
+                held.append([c[first:stop] for c in columns[2:]])
+        if held:
+            yield held
+
     def stars(batches):
-        table = pa.Table.from_batches(list(batches))
-        n = table.num_rows
-        if not n:
-            return
-        node, g1, g2 = (table.column(c).to_numpy() for c in ("node", "bucket", "part"))
-        order = np.lexsort((node, g2, g1))
-        node, g1, g2 = node[order], g1[order], g2[order]
-        fps = [table.column(f"fp{i}").to_numpy()[order].view(U64) for i in range(words)]
-        group = np.cumsum(np.r_[False, (g1[1:] != g1[:-1]) | (g2[1:] != g2[:-1])])
-        begin = np.searchsorted(group, np.arange(group[-1] + 1))
-        label = np.arange(n)
-        for _ in range(LEADERS):  # the first row of each group, then the first that none before is near to
-            leader = begin[group]
-            near = sum(np.bitwise_count(fp ^ fp[leader]).astype(np.int64) for fp in fps) <= radius
-            label = unite(label, leader[near], np.flatnonzero(near))
-            apart = np.flatnonzero(label != label[leader])
-            begin[group[apart[::-1]]] = apart[::-1]
-        order = np.lexsort((label, group))
-        where = np.empty(n, np.int64)
-        where[order] = np.arange(n)
-        fps, node, group, label = [fp[order] for fp in fps], node[order], group[order], where[label[order]]
-        smallest = np.full(n, n)
-        np.minimum.at(smallest, label, np.arange(n))  # labels are the first row of their component
-        label = smallest[label]
-        for i, j in sliced_links(fps, group, label.copy(), radius):
-            label = unite(label, i, j)
-        root = np.full(n, np.iinfo(np.int64).max)
-        np.minimum.at(root, label, node)
-        linked = np.flatnonzero(node != root[label])
-        yield pa.RecordBatch.from_arrays([pa.array(node[linked]), pa.array(root[label[linked]])], ["u", "v"])
+        out, size = [], 0
+        for held in buckets(batches):
+            node, fps = (np.concatenate(c) for c in zip(*held))
+            if len(node) > 1:
+                out.append(_star(node, fps.view(U64), radius))
+                size += len(out[-1][0])
+            if size > 100_000 or len(out) > 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["u", "v"])
+                out, size = [], 0
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["u", "v"])
 
     return stars
 
 
-def _prints(words: int) -> list[str]:
-    return [f"fp{i}" for i in range(words)]
-
-
 def _keyed(nodes: DataFrame, masks: list[int], level: int) -> DataFrame:
     """A row for each node and mask. ``bucket`` stands for (mask, masked bits); a clash only adds comparisons."""
     listed = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(_signed(m)).alias("m")) for i, m in enumerate(masks)])
@@ -262,26 +249,18 @@ def _keyed(nodes: DataFrame, masks: list[int], level: int) -> DataFrame:
     return rows.select("node", "fp0", bucket.alias("bucket"), F.col("_mask.i").alias("mask"))
 
 
-def links(nodes: DataFrame, radius: int = RADIUS, words: int = 1, keys: int = 0, tile: int = TILE, max_tiles: int = MAX_TILES) -> DataFrame:
-    """Edges ``u, v`` between nodes (``node``, their fingerprint, their ``keys``) that connect the same nodes as all links do."""
-    prints = _prints(words)
-    if keys:
-        masks = []
-        keyed = nodes.select("node", *prints, F.posexplode("keys").alias("mask", "bucket"))
-    else:
-        if words > 1:
-            raise ValueError("fingerprints of over 64 bits are compared by shingles: give keys")
-        masks = block_masks(blocks_for(nodes.count(), radius), radius)
-        keyed = _keyed(nodes, masks, 0)
+def links(nodes: DataFrame, radius: int = RADIUS, tile: int = TILE, max_tiles: int = MAX_TILES) -> DataFrame:
+    """Edges ``u, v`` between nodes (``node``, their fingerprint ``fp0``) that connect the same nodes as all links do."""
+    masks = block_masks(blocks_for(nodes.count(), radius), radius)
+    keyed = _keyed(nodes, masks, 0)
     sizes = settle(keyed.groupBy("bucket", "mask").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
     largest = sizes.agg(F.max("n")).first()[0] or 0
     sized = keyed.join(sizes, ["bucket", "mask"])
     tiles = F.ceil(F.col("n") / tile)
-    own = F.pmod(F.xxhash64("node", *prints), tiles)
+    own = F.pmod(F.xxhash64("node", "fp0"), tiles)
     pairs = F.transform(F.sequence(F.lit(0).cast("bigint"), tiles - 1), lambda other: F.least(own, other) * tiles + F.greatest(own, other))
-    tiled = sized.where(tiles <= max_tiles) if masks else sized
-    dealt = tiled.select("node", *prints, "bucket", F.explode(pairs).alias("part"))
-    if masks and largest > tile * max_tiles:
+    dealt = sized.where(tiles <= max_tiles).select("node", "fp0", "bucket", F.explode(pairs).alias("part"))
+    if largest > tile * max_tiles:
         huge = sized.where(tiles > max_tiles)
         for i, mask in enumerate(masks):
             free = ~mask & ((1 << 64) - 1)
@@ -289,165 +268,32 @@ def links(nodes: DataFrame, radius: int = RADIUS, words: int = 1, keys: int = 0,
             finer = block_masks(max(radius, -(-free.bit_count() // 4)), radius, free)
             rows = _keyed(huge.where(F.col("mask") == i).select("node", "fp0"), finer, i + 1)
             dealt = dealt.unionByName(rows.select("node", "fp0", "bucket", F.lit(-1).cast("bigint").alias("part")))
-    return map_batches(dealt.repartition("bucket", "part"), _bucket_stars(words, radius), "u bigint, v bigint")
+    dealt = dealt.repartition("bucket", "part").sortWithinPartitions("bucket", "part")
+    return map_batches(dealt, _bucket_stars(radius), "u bigint, v bigint")
 
 
-def shingle_sets(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``node``, the hash of a text's set of shingles, and the set: its size ``n`` and its 64-bit ``hashes``. Texts without words have none."""
-
-    def compute(batches):
-        for batch in batches:
-            texts = batch.column("text").cast(pa.large_binary()).fill_null(b"").to_pylist()
-            found = [h for t in texts if len(h := np.unique(shingle_hashes(t, shingle)))]
-            node = pa.array(np.array([set_hash(h) for h in found], U64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([node, pa.array([len(h) for h in found], pa.int64()), pa.array([h.tobytes() for h in found], pa.binary())], ["node", "n", "hashes"])
-
-    return map_batches(docs.select("text"), compute, "node bigint, n bigint, hashes binary")
-
-
-def similar_sets(hashes: list[np.ndarray], similarity: float) -> np.ndarray:
-    """For each set of hashes, the first set of its component by links of Jaccard similarity ``similarity`` or more."""
-    size = np.array([len(h) for h in hashes], np.int64)
-    values, token = np.unique(np.concatenate(hashes), return_inverse=True)
-    begin = np.cumsum(size) - size
-    root = np.full(len(size), -1)
-    left, held, starts = np.arange(len(size)), token, begin  # sets that no component has yet, and their shingles
-    mark = np.zeros(len(values), bool)
-    for first in range(len(size)):
-        if root[first] >= 0:
-            continue
-        root[first] = first
-        queue = [first]
-        while queue:
-            own = queue.pop()
-            if not len(left):
-                continue
-            mine = token[begin[own] : begin[own] + size[own]]
-            mark[mine] = True
-            common = np.add.reduceat(mark[held], starts, dtype=np.int64)
-            mark[mine] = False
-            near = common >= similarity * (size[own] + size[left] - common) - 1e-9
-            new = left[near & (root[left] < 0)]
-            root[new] = first
-            queue.extend(new.tolist())
-            free = root[left] < 0
-            if 2 * free.sum() < len(free):
-                held, left = held[np.repeat(free, size[left])], left[free]
-                starts = np.cumsum(size[left]) - size[left]
-    return root
-
-
-def _set_stars(similarity: float):
-    """Edges of the components of each run of rows of one ``group`` and ``part``."""
-
-    def star(node, hashes):
-        node = np.array(node)
-        order = np.argsort(node, kind="stable")
-        root = similar_sets([np.frombuffer(hashes[i], U64) for i in order], similarity)
-        linked = np.flatnonzero(node[order] != node[order][root])
-        return pa.RecordBatch.from_arrays([pa.array(node[order][linked]), pa.array(node[order][root[linked]])], ["u", "v"])
-
-    def stars(batches):
-        current, node, hashes = None, [], []
-        for batch in batches:
-            for group, part, one, data in zip(*(batch.column(c).to_pylist() for c in ("group", "part", "node", "hashes"))):
-                if (group, part) != current:
-                    if len(node) > 1:
-                        yield star(node, hashes)
-                    current, node, hashes = (group, part), [], []
-                node.append(one)
-                hashes.append(data)
-        if len(node) > 1:
-            yield star(node, hashes)
-
-    return stars
-
-
-def _tiles(nodes: str = "count(*)", hashes: str = "sum(n)", tile: int = SET_TILE) -> Column:
-    return F.expr(f"greatest(1, ceil({nodes} / {tile}), ceil({hashes} / {SET_TILE_HASHES}))").cast("bigint")
-
-
-def _compared(dealt: DataFrame, similarity: float) -> DataFrame:
-    dealt = dealt.select("group", "part", "node", "hashes").repartition("group", "part").sortWithinPartitions("group", "part")
-    return settle(map_batches(dealt, _set_stars(similarity), "u bigint, v bigint"), "similar")
-
-
-def _labelled(open_: DataFrame, edges: DataFrame) -> DataFrame:
-    """``open_`` with each node's ``label``, and only the groups that have several."""
-    labels = components(edges).withColumnRenamed("component", "label")
-    marked = open_.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    several = marked.groupBy("group").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a <> _b").select("group")
-    return marked.join(several, "group", "left_semi")
-
-
-def similar_links(sets: DataFrame, similarity: float, tile: int = SET_TILE) -> DataFrame:
-    """Edges ``u, v`` that connect the same nodes as all pairs of one ``group`` of that similarity do. ``sets``: group, node, n, hashes."""
-    sizes = sets.groupBy("group").agg(_tiles(tile=tile).alias("tiles"))
-    sized = settle(sets.join(sizes, "group"), "sets")
-    edges = _compared(sized.withColumn("part", F.pmod(F.xxhash64("node"), "tiles")), similarity)
-    open_ = sized.where("tiles > 1")
-    if not open_.limit(1).count():
-        return edges
-    open_ = settle(_labelled(open_, edges), "sets")
-    other = _compared(open_.withColumn("part", F.pmod(F.xxhash64("node", F.lit(1)), "tiles")), similarity)
-    edges = edges.unionByName(other)
-    open_ = settle(_labelled(open_, edges), "sets")
-    # sets outside a group's largest component meet each other and that component; its own sets are linked already
-    counts = open_.groupBy("group", "label").agg(F.count("*").alias("k"))
-    main = counts.groupBy("group").agg(F.max(F.struct("k", "label")).alias("_m")).select("group", F.col("_m.label").alias("_main"))
-    apart = open_.join(main, "group").withColumn("_in", F.col("label") == F.col("_main"))
-    deals = apart.groupBy("group").agg(
-        _tiles("count_if(not _in)", "sum(if(_in, 0, n))", tile).alias("_few"), _tiles("count_if(_in)", "sum(if(_in, n, 0))", tile).alias("_many")
-    )
-    apart = apart.join(deals, "group").withColumn("_own", F.pmod(F.xxhash64("node", F.lit(2)), F.when(F.col("_in"), F.col("_many")).otherwise(F.col("_few"))))
-    all_ = "(_few + _many)"
-    parts = f"""if(_in, transform(sequence(0L, _few - 1), i -> i * {all_} + _few + _own),
-        transform(sequence(0L, {all_} - 1), j -> least(_own, j) * {all_} + greatest(_own, j)))"""
-    return edges.unionByName(_compared(apart.withColumn("part", F.explode(F.expr(parts))), similarity))
-
-
-def _similar(docs: DataFrame, nodes: DataFrame, groups: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """``node, component`` by similarity of the shingle sets, of nodes in ``groups`` of nodes that may be near."""
-    members = nodes.join(groups.withColumnRenamed("component", "group"), "node").select("node", "doc_id", "group")
-    members = settle(members, "members")
-    texts = docs.select("doc_id", "text")
-    texts = texts.join(members.where("doc_id is not null").select("doc_id").distinct(), "doc_id", "left_semi").unionByName(texts.where("doc_id is null"))
-    sets = shingle_sets(texts, shingle).join(members, "node").dropDuplicates(["node"])
-    return components(similar_links(sets.select("group", "node", "n", "hashes"), similarity))
-
-
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, words: int = 1, keys: int = 0, similarity: float = 0.0) -> DataFrame:
-    """``doc_id``, the fingerprint, and ``component_id``: the smallest doc_id that links reach.
-
-    Links are of at most ``radius`` differing bits; with ``similarity``, they are pairs of that similarity among those.
-    """
-    prints = _prints(words)
-    found = settle(fingerprints(docs, shingle, words, keys), "fingerprints")
-    if similarity:
-        nodes = settle(found.groupBy("node", *prints).agg(F.min("doc_id").alias("doc_id"), F.min("keys").alias("keys")), "nodes")
-        labels = _similar(docs, nodes, components(links(nodes, radius, words, keys)), shingle, similarity)
-        labels = settle(nodes.select("node", "doc_id").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")), "labels")
-        least = labels.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-        return found.join(labels.join(least, "component").select("node", "component_id"), "node").select("doc_id", *prints, "component_id")
-    nodes = found.groupBy(*prints).agg(F.min("doc_id").alias("node"), F.min("keys").alias("keys"))
-    nameless = F.xxhash64(*prints).bitwiseAND(NAMELESS - 1).bitwiseOR(NAMELESS)  # of a fingerprint that only rows without a doc_id have
-    nodes = settle(nodes.withColumn("node", F.coalesce("node", nameless)), "nodes")
-    labels = components(links(nodes, radius, words, keys))
-    labels = nodes.join(labels, "node", "left").withColumn("component_id", F.coalesce("component", "node"))
-    labels = labels.select(*prints, F.when(F.col("component_id") < NAMELESS, F.col("component_id")).alias("component_id"))
-    return found.join(labels, prints).select("doc_id", *prints, "component_id")
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """``doc_id``, ``text_hash``, the fingerprint ``fp0`` and ``component_id``: the smallest doc_id that links of ``radius`` bits reach."""
+    found = settle(fingerprints(docs, shingle), "fingerprints")
+    nodes = found.groupBy("fp0").agg(F.min("doc_id").alias("least")).withColumn("node", F.monotonically_increasing_id())
+    nodes = settle(nodes, "nodes")
+    labels = nodes.join(components(links(nodes.select("node", "fp0"), radius)), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    labels = settle(labels, "labels")
+    names = labels.groupBy("component").agg(F.min("least").alias("component_id"))
+    return found.join(labels.join(names, "component").select("fp0", "component_id"), "fp0").select("doc_id", "text_hash", "fp0", "component_id")
 
 
 def keep_first(docs: DataFrame, **options) -> DataFrame:
-    """The document of the smallest doc_id of each component, unchanged, once; rows without a doc_id stay."""
-    kept = near_duplicates(docs, **options).where("doc_id = component_id").select("doc_id").distinct()
-    first = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return first.select(*map(named, docs.columns)).unionByName(docs.where(F.col("doc_id").isNull()))
-
+    """The rows of the smallest doc_id of each component, unchanged; rows without a doc_id stay.
 
-#: Near duplicates by sets of five-word shingles of a similarity of 0.8 or more. 256-bit fingerprints of such sets differ in 39 bits on
-#: average (share acos(2 * 0.8 / 1.8) / pi), give or take 6, and in 48 if they have 4 and 5 shingles: a distance of 72 only finds candidates.
-WIDE = {"shingle": 5, "radius": 72, "words": 4, "keys": 8, "similarity": 0.8}
+    Of rows with equal doc_id and text one stays, the least by a hash of all its columns. Rows of one doc_id with different texts all stay
+    if each is its component's first.
+    """
+    kept = near_duplicates(docs, **options).where("doc_id = component_id").groupBy("doc_id", "text_hash").agg(F.lit(1).alias("_one"))
+    packed = pack(docs).withColumn("_hash", F.xxhash64("text"))
+    same = (packed["doc_id"] == kept["doc_id"]) & packed["_hash"].eqNullSafe(kept["text_hash"])
+    first = packed.join(kept, same, "left_semi").groupBy("doc_id", "_hash").agg(F.min_by(F.struct("text", "_row"), F.xxhash64("_row")).alias("_first"))
+    return unpack(first.select("_first.text", "_first._row"), docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def digest(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:

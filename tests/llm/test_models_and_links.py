@@ -174,24 +174,6 @@ def test_sliced_distances(radius):
     assert got == {(a, b) for b in range(n) for a in range(b) if group[a] == group[b] and far(a, b) <= radius} and got
 
 
-def test_near_copies_by_shingles(docs_of):
-    rng = np.random.default_rng(8)
-    pairs = []
-    for i in range(40):
-        w = [f"w{x}" for x in rng.integers(0, 5000, 300)]
-        pairs.append((i, " ".join(w)))
-        w[150] = "changed"
-        w[20] = "other"
-        pairs.append((i + 100, " ".join(w)))
-    kept = simhash_dedup.keep_first(docs_of(pairs), **simhash_dedup.WIDE)
-    assert sorted(r.doc_id for r in kept.collect()) == list(range(40))
-
-
-def _jaccard(a, b):
-    sets = [set(zip(*(t.split()[i:] for i in range(5)))) for t in (a, b)]
-    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
-
-
 def test_samples_hold_one_row_of_each_id(docs_of, labelled):
     docs, labels = labelled
     table = docs_of(docs + [(8, f"another text {k}") for k in range(200)])
@@ -200,41 +182,11 @@ def test_samples_hold_one_row_of_each_id(docs_of, labelled):
     assert len(quality_knn.fit(table, labels, per_label=1_000).labels) == len(quality_knn.fit(docs_of(docs), labels, per_label=1_000).labels)
 
 
-def test_near_duplicates_are_decided_by_similarity(docs_of):
-    rng = np.random.default_rng(11)
-    pairs, near = [], set()
-    for i in range(150):
-        w = [f"w{x}" for x in rng.integers(0, 5000, 204)]
-        n = 20 if i % 2 else 33  # words replaced at the end: similarity just over 0.8, and 0.72
-        other = w[:-n] + [f"v{x}" for x in rng.integers(0, 5000, n)]
-        pairs += [(i, " ".join(w)), (i + 1000, " ".join(other))]
-        if _jaccard(pairs[-2][1], pairs[-1][1]) >= 0.8:
-            near.add(i + 1000)
-    w = [f"u{x}" for x in range(120)]
-    pairs += [(500, " ".join(w)), (1500, " ".join(w[:40] * 30 + w + w[:40]))]  # a passage many times over
-    copies = {1500} if _jaccard(pairs[-2][1], pairs[-1][1]) >= 0.8 else set()
-    assert len(near) == 75 and copies
-    kept = {r.doc_id for r in simhash_dedup.keep_first(docs_of(pairs), **simhash_dedup.WIDE).collect()}
-    assert kept == {i for i, _ in pairs} - near - copies
-
-
-@pytest.mark.parametrize("tile", [256, 4, 1])
-def test_similar_sets_in_tiles(spark, tile):
-    rng = np.random.default_rng(12)
-    sets = []
-    for g in range(3):
-        base = rng.integers(0, 1 << 62, 60)
-        for _ in range(25):
-            s = base.copy()
-            change = rng.choice(60, rng.integers(0, 12), replace=False)
-            s[change] = rng.integers(0, 1 << 62, len(change))
-            sets.append((g, np.unique(s).astype(np.uint64)))
-    table = [(g, n, len(s), bytearray(s.tobytes())) for n, (g, s) in enumerate(sets)]
-    found = simhash_dedup.similar_links(spark.createDataFrame(table, "group bigint, node bigint, n bigint, hashes binary"), 0.8, tile)
-    got = {r.node: r.component for r in components(found).collect()}
-    alike = lambda a, b: len(np.intersect1d(sets[a][1], sets[b][1])) * 5 >= 4 * len(np.union1d(sets[a][1], sets[b][1]))
-    want = brute_components(list(range(len(sets))), alike)
-    assert [got.get(n, n) for n in range(len(sets))] == want and len(set(want)) > 3
+def test_text_ids_and_several_texts_of_one_id(spark, docs_of):
+    docs = docs_of([(5, "one two three four"), (5, "quite another text here"), (5, "one two three four"), (6, "quite another text here"), (None, "x y z")])
+    assert sorted((r.doc_id, r.text) for r in simhash_dedup.keep_first(docs).where("doc_id is not null").collect()) == [(5, "one two three four"), (5, "quite another text here")]
+    named = docs.withColumn("doc_id", F.concat(F.lit("d"), "doc_id"))
+    assert sorted({(r.doc_id, r.component_id) for r in simhash_dedup.digest(named).collect()}, key=repr) == [("d5", "d5"), ("d6", "d5"), (None, None)]
 
 
 def test_components_of_a_path(spark):

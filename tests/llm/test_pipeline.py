@@ -38,7 +38,8 @@ def test_run_and_registration(spark, folder):
     names = set(entry.queries())
     assert "pipeline" in names and {n for n in names if n.startswith("op")} == {
         "op1_quality_classifier", "op2_quality_rules", "op3_substring_dedup", "op4_sentencepiece", "op5_sharding", "op6_chat_format",
-        "op7_line_dedup", "op8_simhash_dedup", "op9_pii_pseudonyms", "op10_benchmark_decontamination",
+        "op7_line_dedup", "op8_simhash_dedup", "op9_pii_pseudonyms", "op10_benchmark_decontamination", "op11_turn_repair",
+        "op12_minhash_dedup", "op13_merkle_manifest",
     }
     out = entry.queries()["pipeline"](spark, folder)
     assert 0 < out.count() <= spark.read.parquet(f"{folder}/documents.parquet").count()
