@@ -4,7 +4,7 @@ Every stage works on all that the stage before it kept. ``run`` writes each stag
 the next, so a lost executor costs one stage at most. Text changed by a stage comes with ``n_chars`` counted anew.
 
 Defined cases: each stage treats nulls, empty and very long texts, repeated rows, empty tables and further columns as its operator
-states. The near-duplicate stage leaves one row of each doc_id. The last stage gives a null or empty text no tokens.
+states. The near-duplicate stage leaves one row of each doc_id and text. The last stage gives a null or empty text no tokens.
 """
 
 from __future__ import annotations
@@ -27,8 +27,8 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates by five-word shingles."""
-    return simhash_dedup.keep_first(docs, **simhash_dedup.WIDE)
+    """One document of each group whose fingerprints of three-word shingles are linked by three bits or fewer."""
+    return simhash_dedup.keep_first(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
