@@ -34,7 +34,7 @@ from claimtrail.llm.arrow import map_batches
 from claimtrail.llm.columns import pack, unpack
 
 SPACE = "▁"
-CACHED_WORDS = 120_000  # of each of two generations
+CACHED_WORDS = 300_000  # of each of two generations
 CACHED_PAIRS = 400_000  # then others are computed each time
 CACHED_CHARS = 48
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
@@ -107,10 +107,12 @@ class PieceModel:
         self.by_word = not any(SPACE in p.lstrip(SPACE) for p in long)
         self.by_line = not any("\n" in p for p in long)
         self._shorter: dict[int, int] = {}
-        self._compatible: dict[int, bool] = {}
+        self._beside: dict[int, dict[int, bool]] = {}
+        self._pairs = 0
         self._words = _Words(self)
         self.bytes = [self._piece_bytes(i) for i in range(len(self.pieces))]
-        self.names = [str(i) for i in range(len(self.pieces))]
+        self.numbers = list(range(len(self.pieces)))
+        self.names = [str(i) for i in self.numbers]
 
     # Numbers from len(pieces) on stand for single characters without a piece.
 
@@ -157,14 +159,21 @@ class PieceModel:
             else:
                 return True
 
-    def _fits(self, first: int, second: int) -> bool:
+    def _row(self, first: int) -> dict[int, bool]:
+        """Which pieces are known to fit after ``first``, kept up to ``CACHED_PAIRS`` in all."""
+        row = self._beside.get(first)
+        if row is None:
+            row = {}
+            if self._pairs < CACHED_PAIRS:
+                self._beside[first] = row
+        return row
+
+    def _fits(self, first: int, second: int, row: dict[int, bool]) -> bool:
         """The pieces are compatible neighbours: merging the text of both ends at these two."""
-        key = first << 32 | second
-        found = self._compatible.get(key)
-        if found is None:
-            found = self._apart(first, second)
-            if len(self._compatible) < CACHED_PAIRS:
-                self._compatible[key] = found
+        found = self._apart(first, second)
+        if self._pairs < CACHED_PAIRS:
+            self._pairs += 1
+            row[second] = found
         return found
 
     def _prefix(self, token: int) -> int:
@@ -184,37 +193,40 @@ class PieceModel:
 
     def tokens(self, text: str) -> list[int]:
         """The pieces of a text with its space marks; a character without a piece has its own number."""
-        n, known, size, compatible = len(text), len(self.pieces), self.size, self._compatible
+        n, known, size, rows, shorter = len(text), len(self.pieces), self.size, self._beside, self._shorter
         longest = [-1] * n
         last = -1
         for end, piece in self.automaton.iter(text[::-1]):
             if end != last:  # the first of the matches that end here is the longest
-                longest[n - 1 - end] = piece
+                longest[-1 - end] = piece
                 last = end
         if -1 in longest:
             longest = [known + ord(c) if p < 0 else p for p, c in zip(longest, text)]
         failed = bytearray(n // 8 + 1)
         tokens: list[int] = []
-        at, token = 0, longest[0] if n else -1
+        at, token, row = 0, longest[0] if n else -1, None
         while at < n:
-            before = tokens[-1] if tokens else -1
             while True:
                 end = at + (size[token] if token < known else 1)
                 if not failed[end >> 3] >> (end & 7) & 1:
-                    fits = before < 0 or compatible.get(before << 32 | token)
+                    fits = row is None or row.get(token)
                     if fits is None:
-                        fits = self._fits(before, token)
+                        fits = self._fits(tokens[-1], token, row)
                     if fits:
                         tokens.append(token)
                         at = end
                         if at < n:
+                            row = rows.get(token)
+                            if row is None:
+                                row = self._row(token)
                             token = longest[at]
                         break
-                token = self._prefix(token)
+                token = shorter[token] if token in shorter else self._prefix(token)
                 if token < 0:
                     failed[at >> 3] |= 1 << (at & 7)
                     token = tokens.pop()
                     at -= size[token] if token < known else 1
+                    row = self._row(tokens[-1]) if tokens else None
                     break
         return tokens
 
@@ -298,7 +310,7 @@ class _Words(dict):
         value = self.old.get(word)
         if value is None:
             unit = word if word[:1] == "\n" and self.model.by_line and self.model.by_word else SPACE + word
-            value = tuple(self.model.encode_marked(unit))
+            value = tuple(map(self.model.numbers.__getitem__, self.model.encode_marked(unit)))  # all words share the numbers
         if len(word) <= CACHED_CHARS:
             if len(self) >= CACHED_WORDS:
                 self.old = dict(self)
