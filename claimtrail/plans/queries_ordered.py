@@ -12,15 +12,15 @@ from claimtrail.operators.supply import dedupe_keep_max_supply, supply_mode
 from claimtrail.operators.treatment import covered_days, est_refill_chain, persistence_chain, sum_same_day_supply
 from claimtrail.operators.utilization import visit_counts
 from claimtrail.plans.registry import query
+from claimtrail.plans.stock_sql import covered_sql, ends_sql, stock_sql
 from claimtrail.plans.views import Views, with_views
 
-DAILY_SQL = """daily AS (SELECT enrolid, svcdate, CAST(sum(daysupp) AS INT) AS d FROM rx WHERE daysupp > 0 GROUP BY ALL),
-num AS (SELECT *, row_number() OVER (PARTITION BY enrolid ORDER BY svcdate) AS k FROM daily),
-"""
+DAILY_SQL = "daily AS (SELECT enrolid, svcdate, CAST(sum(daysupp) AS INT) AS d FROM rx WHERE daysupp > 0 GROUP BY ALL)"
 
 
-def recursive(*views: str) -> str:
-    return with_views(*views).replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + ",\n"
+def daily(*parts: str) -> str:
+    """The daily fills of ``rx`` and further CTEs on them."""
+    return with_views("rx").rstrip() + ",\n" + ",\n".join([DAILY_SQL, *parts]) + "\n"
 
 
 def positive_days(v: Views):
@@ -116,11 +116,9 @@ def row_number_query(v: Views):
     return row_number_global(freq, [F.asc("ndcnum"), F.desc("freq"), F.asc("daysupp")])
 
 
-@query("est_refill_chain", recursive("rx") + DAILY_SQL + """
-rec AS (SELECT enrolid, k, svcdate, d, svcdate AS est, d AS total FROM num WHERE k = 1 UNION ALL
- SELECT n.enrolid, n.k, n.svcdate, n.d, CASE WHEN n.svcdate >= r.est + r.d THEN n.svcdate ELSE r.est + r.d END, r.total + n.d
- FROM rec r JOIN num n ON n.enrolid = r.enrolid AND n.k = r.k + 1)
-SELECT enrolid, svcdate, est AS est_start, CAST(total AS BIGINT) AS total FROM rec""")
+@query("est_refill_chain", daily(stock_sql("daily", "stock")) + """
+SELECT enrolid, day AS svcdate, day + held AS est_start, CAST(sum(got) OVER (PARTITION BY enrolid ORDER BY day) AS BIGINT) AS total
+FROM stock WHERE got > 0""")
 def est_refill_query(v: Views):
     chain = est_refill_chain(positive_days(v), ["enrolid"])
     return chain.select(
@@ -129,25 +127,13 @@ def est_refill_query(v: Views):
     )
 
 
-@query("covered_days", recursive("rx") + DAILY_SQL + """
-rec AS (SELECT enrolid, k, svcdate AS est, greatest(least(d, DATE '1999-12-31' - svcdate), 0) AS pd FROM num WHERE k = 1 UNION ALL
- SELECT n.enrolid, n.k, CASE WHEN n.svcdate >= r.est + r.pd THEN n.svcdate ELSE r.est + r.pd END,
-  greatest(least(CASE WHEN n.svcdate >= r.est + r.pd THEN n.d ELSE greatest(n.svcdate + n.d - (r.est + r.pd), 0) END,
-   DATE '1999-12-31' - CASE WHEN n.svcdate >= r.est + r.pd THEN n.svcdate ELSE r.est + r.pd END), 0)
- FROM rec r JOIN num n ON n.enrolid = r.enrolid AND n.k = r.k + 1)
-SELECT enrolid, CAST(sum(pd) AS BIGINT) AS covered FROM rec GROUP BY 1""".replace(
-    "least(d,", "least(CAST(d AS BIGINT),").replace("AS pd FROM num", "AS pd FROM num").replace("r.est + r.pd", "r.est + CAST(r.pd AS INT)"))
+@query("covered_days", daily(covered_sql("daily", "cover", "DATE '1999-12-31'")) + "SELECT enrolid, covered FROM cover")
 def covered_days_query(v: Views):
     covered = covered_days(positive_days(v), ["enrolid"], F.to_date(F.lit("1999-12-31")))
     return covered.groupBy("enrolid").agg(F.sum("covered").cast("bigint").alias("covered"))
 
 
-@query("persistence_chain", recursive("rx") + """fills AS (SELECT enrolid, svcdate, daysupp AS d,
- row_number() OVER (PARTITION BY enrolid ORDER BY svcdate, l_linenumber, daysupp) AS k FROM rx WHERE daysupp > 0),
-rec AS (SELECT enrolid, k, svcdate + d AS til, false AS off FROM fills WHERE k = 1 UNION ALL
- SELECT n.enrolid, n.k, CASE WHEN r.off OR n.svcdate - r.til > 60 THEN r.til WHEN n.svcdate < r.til THEN r.til + n.d ELSE n.svcdate + n.d END,
-  r.off OR n.svcdate - r.til > 60 FROM rec r JOIN fills n ON n.enrolid = r.enrolid AND n.k = r.k + 1)
-SELECT enrolid, max(til) AS supply_end, bool_or(off) AS stopped FROM rec GROUP BY 1""")
+@query("persistence_chain", daily(stock_sql("daily", "stock"), ends_sql("stock", "ends")) + "SELECT enrolid, supply_end, stopped FROM ends")
 def persistence_chain_query(v: Views):
     chain = persistence_chain(positive_days(v), ["enrolid"], 60)
     ended = chain.groupBy("enrolid").agg(
@@ -192,6 +178,7 @@ def limit(v: Views):
 
 
 # ---- fixed values: the comorbidity rules once more, written out for the checking SQL ----
+# fixed values: weight and ICD-9 codes of each group
 CHARLSON_RULES = {
     1: (1, "left(c, 3) IN ('410', '412')"),
     2: (1, "left(c, 4) BETWEEN '4254' AND '4259' OR left(c, 5) IN ('39891', '40201', '40211', '40291', '40401', '40403', '40411', '40413', '40491', '40493') OR left(c, 3) IN ('428')"),

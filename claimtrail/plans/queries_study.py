@@ -26,6 +26,7 @@ from claimtrail.plans.study import (
     StudyInputs, folder_saver, pull_admissions, pull_dx, pull_enrollment, pull_study, study_claims, study_exposure, study_run,
     variables,
 )
+from claimtrail.plans.stock_sql import covered_sql, ends_sql, stock_sql
 from claimtrail.plans.views import Views, with_views
 
 PROCS = ["proc1", "proc2", "proc3"]
@@ -71,31 +72,25 @@ ALLPT_SQL = """first_day AS (SELECT enrolid, min(svcdate) AS idxdate FROM intere
 allpt AS (SELECT DISTINCT t.enrolid, f.idxdate, sex, dobyr, age, plantyp, region, generic_name AS idxtreatment
  FROM interest_tx t JOIN first_day f ON t.enrolid = f.enrolid AND t.svcdate = f.idxdate)"""
 FILLS_SQL = """multi AS (SELECT enrolid FROM cohort GROUP BY 1 HAVING count(DISTINCT idxtreatment) > 1),
-fills AS (SELECT r.enrolid, c.idxdate, r.generic_name AS idxtreatment, r.svcdate, r.daysupp, r.l_linenumber FROM rx r
+fills AS (SELECT r.enrolid, c.idxdate, r.generic_name AS idxtreatment, r.svcdate, r.daysupp FROM rx r
  JOIN (SELECT DISTINCT enrolid, idxdate, idxtreatment FROM cohort) c ON r.enrolid = c.enrolid AND r.generic_name = c.idxtreatment
  WHERE r.daysupp > 0 AND r.svcdate BETWEEN c.idxdate AND c.idxdate + 364 AND r.enrolid NOT IN (SELECT enrolid FROM multi))"""
-ADHERENCE_SQL = """raw AS (SELECT enrolid, idxdate, idxdate + 364 AS enddt, svcdate, CAST(sum(daysupp) AS INT) AS d FROM fills GROUP BY ALL),
-num AS (SELECT *, row_number() OVER (PARTITION BY enrolid ORDER BY svcdate) AS k, count(*) OVER (PARTITION BY enrolid) AS cnt FROM raw),
-est AS (SELECT *, svcdate AS e, d AS total FROM num WHERE k = 1 UNION ALL
- SELECT n.*, CASE WHEN n.svcdate >= r.e + r.d THEN n.svcdate ELSE r.e + r.d END, r.total + n.d
- FROM est r JOIN num n ON n.enrolid = r.enrolid AND n.k = r.k + 1),
-cov AS (SELECT enrolid, k, svcdate AS e, CAST(greatest(least(d, enddt - svcdate), 0) AS INT) AS pd FROM num WHERE k = 1 UNION ALL
- SELECT n.enrolid, n.k, CASE WHEN n.svcdate >= r.e + r.pd THEN n.svcdate ELSE r.e + r.pd END,
-  CAST(CASE WHEN n.svcdate >= r.e + r.pd THEN greatest(least(n.d, n.enddt - n.svcdate), 0)
-   ELSE greatest(least(greatest(n.svcdate + n.d - (r.e + r.pd), 0), n.enddt - (r.e + r.pd)), 0) END AS INT)
- FROM cov r JOIN num n ON n.enrolid = r.enrolid AND n.k = r.k + 1),
-adhere AS (SELECT l.enrolid, CAST(cnt > 1 AS INT) AS mpr_flag,
- CASE WHEN cnt > 1 THEN least(total / ((svcdate - idxdate) + d), 1.0) END AS mpr_df1,
- CASE WHEN cnt > 1 THEN least((total - d) / (svcdate - idxdate), 1.0) END AS mpr_df2,
- CASE WHEN cnt > 1 THEN (total - d - greatest(0, e - svcdate)) / (svcdate - idxdate) END AS mpr_df3,
- pd_sum / 364 AS pdc_df1, (total - greatest(0, (e + d) - enddt)) / 364 AS pdc_df2, least(total / 364, 1.0) AS pdc_df3
- FROM est l JOIN (SELECT enrolid, sum(pd) AS pd_sum FROM cov GROUP BY 1) c ON l.enrolid = c.enrolid WHERE l.k = l.cnt)"""
-PERSIST_SQL = """pn AS (SELECT enrolid, svcdate, daysupp AS d, row_number() OVER (PARTITION BY enrolid ORDER BY svcdate, l_linenumber, daysupp) AS k FROM fills),
-pr AS (SELECT enrolid, k, svcdate AS st, svcdate + d AS til, false AS off FROM pn WHERE k = 1 UNION ALL
- SELECT n.enrolid, n.k, r.st, CASE WHEN r.off OR n.svcdate - r.til > 60 THEN r.til WHEN n.svcdate < r.til THEN r.til + n.d ELSE n.svcdate + n.d END,
-  r.off OR n.svcdate - r.til > 60 FROM pr r JOIN pn n ON n.enrolid = r.enrolid AND n.k = r.k + 1),
-persist AS (SELECT enrolid, CASE WHEN max(til) >= min(st) + 300 THEN 300 ELSE max(til) - min(st) END AS time,
- CASE WHEN max(til) >= min(st) + 300 THEN 0 ELSE 1 END AS disc_flag FROM pr GROUP BY 1)"""
+ADHERENCE_SQL = ",\n".join([
+    "daily AS (SELECT enrolid, idxdate, svcdate, CAST(sum(daysupp) AS INT) AS d FROM fills GROUP BY ALL)",
+    stock_sql("daily", "stock"), covered_sql("daily", "cover", "idxdate + 364"),
+    """taken AS (SELECT enrolid, any_value(idxdate) AS idxdate, count(*) AS fill_days, sum(d) AS total, max(svcdate) AS last, arg_max(d, svcdate) AS last_d
+ FROM daily GROUP BY 1),
+adhere AS (SELECT t.enrolid, CAST(fill_days > 1 AS INT) AS mpr_flag,
+ CASE WHEN fill_days > 1 THEN least(total / (last - idxdate + last_d), 1.0) END AS mpr_df1,
+ CASE WHEN fill_days > 1 THEN least((total - last_d) / (last - idxdate), 1.0) END AS mpr_df2,
+ CASE WHEN fill_days > 1 THEN (total - last_d - held) / (last - idxdate) END AS mpr_df3,
+ covered / 364 AS pdc_df1, (total - greatest(0, last + held + last_d - (idxdate + 364))) / 364 AS pdc_df2, least(total / 364, 1.0) AS pdc_df3
+ FROM taken t JOIN stock s ON s.enrolid = t.enrolid AND s.day = t.last JOIN cover c ON c.enrolid = t.enrolid)""",
+])
+PERSIST_SQL = ",\n".join([
+    "filled AS (SELECT enrolid, svcdate, CAST(sum(daysupp) AS INT) AS d FROM fills GROUP BY ALL)", stock_sql("filled", "supply"), ends_sql("supply", "ends"),
+    """persist AS (SELECT enrolid, CAST(least(supply_end - first_day, 300) AS BIGINT) AS time, CAST(supply_end - first_day < 300 AS INT) AS disc_flag FROM ends)""",
+])
 BASE_DX_SQL = f"""base AS (SELECT enrolid, dx1, dx2 FROM sddx WHERE idxdate - 365 <= svcdate AND svcdate < idxdate AND NOT {RULEOUT_SQL})"""
 PAIRS_SQL = """pairs AS (SELECT enrolid, coalesce(substr(dx1, 1, 3), '') AS icd9_3 FROM base UNION
  SELECT enrolid, coalesce(substr(dx2, 1, 3), '') FROM base),
@@ -122,7 +117,7 @@ RU_SQL = f"""ru AS (SELECT enrolid, {', '.join(f'coalesce({c}, 0) AS {c}' for c
 
 
 def study_sql(*parts: str, views: tuple[str, ...]) -> str:
-    return with_views(*views).replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + ",\n" + chain(*parts) + "\n"
+    return with_views(*views).rstrip() + ",\n" + chain(*parts) + "\n"
 
 
 # ---- supply, exposure, cohort, pulls ----
@@ -461,12 +456,11 @@ sddx AS (SELECT c.*, i.idxdate FROM alldx c JOIN idx i USING (enrolid)),
 sdadm AS (SELECT a.*, i.idxdate FROM adm a JOIN idx i USING (enrolid)
  WHERE disdate >= DATE '1997-01-01' AND admdate <= DATE '1999-12-31'),
 disease AS (SELECT DISTINCT icd9 FROM icd9 WHERE ta = 'ASIA')"""
-STUDY_FILLS_SQL = FILLS_SQL.replace("FROM rx r", "FROM interest_tx r").replace("r.daysupp, r.l_linenumber", "r.daysupp")
-STUDY_PERSIST_SQL = PERSIST_SQL.replace("svcdate, l_linenumber, daysupp", "svcdate, daysupp")
+STUDY_FILLS_SQL = FILLS_SQL.replace("FROM rx r", "FROM interest_tx r")
 
 
 @query("study_run", study_sql(
-    EXPOSURE_SQL, ALLPT_SQL, STUDY_INPUTS_SQL, STUDY_FILLS_SQL, ADHERENCE_SQL, STUDY_PERSIST_SQL, BASE_DX_SQL, PAIRS_SQL,
+    EXPOSURE_SQL, ALLPT_SQL, STUDY_INPUTS_SQL, STUDY_FILLS_SQL, ADHERENCE_SQL, PERSIST_SQL, BASE_DX_SQL, PAIRS_SQL,
     BASELINE_SQL, HOSPITAL_SQL, VISITS_SQL, RU_SQL, views=("rx", "claims", "ndc", "hcpcs", "adm", "icd9"),
 ) + f"""SELECT {VARIABLES_SELECT}
 FROM cohort JOIN cci USING (enrolid) JOIN common USING (enrolid) JOIN ru USING (enrolid) JOIN adhere USING (enrolid) JOIN persist USING (enrolid)""")
@@ -476,7 +470,7 @@ def study_run_query(v: Views):
 
 
 @query("study_run_tables", study_sql(
-    EXPOSURE_SQL, ALLPT_SQL, STUDY_INPUTS_SQL, STUDY_FILLS_SQL, ADHERENCE_SQL, STUDY_PERSIST_SQL, BASE_DX_SQL, PAIRS_SQL,
+    EXPOSURE_SQL, ALLPT_SQL, STUDY_INPUTS_SQL, STUDY_FILLS_SQL, ADHERENCE_SQL, PERSIST_SQL, BASE_DX_SQL, PAIRS_SQL,
     BASELINE_SQL, HOSPITAL_SQL, VISITS_SQL, RU_SQL, views=("rx", "claims", "ndc", "hcpcs", "adm", "icd9", "spells"),
 ) + """SELECT 'rds.interest_tx' AS name, count(*) AS n FROM interest_tx UNION ALL SELECT 'rds.allpt', count(*) FROM allpt
 UNION ALL SELECT 'sds.sddm', count(*) FROM allpt UNION ALL SELECT 'rds.alldx', count(*) FROM alldx UNION ALL SELECT 'sds.sddx', count(*) FROM sddx

@@ -35,10 +35,10 @@ def loop_adherence(fills, follow_up):
         if 0 <= offset <= follow_up:
             per_day[offset] = per_day.get(offset, 0) + supply
     order = sorted(per_day)
-    next_free, est = None, None
-    for day in order:
-        est = day if next_free is None or day >= next_free else next_free
-        next_free = est + per_day[day]
+    stock = 0
+    for day in range(order[-1]):
+        stock = max(stock + per_day.get(day, 0) - 1, 0)
+    est = order[-1] + stock  # what is in stock is used up first
     total, last = sum(per_day.values()), order[-1]
     last_supply = per_day[last]
     covered = len({d for day in order for d in range(day, min(day + per_day[day], follow_up))})
@@ -55,21 +55,20 @@ def loop_adherence(fills, follow_up):
 
 
 def loop_persistence(fills, gap, follow_up, lookforward):
-    ordered = sorted(fills, key=lambda f: f[1])
-    start = ordered[0][1]
-    end, stopped = None, False
-    for _, day, _, supply in ordered:
-        if end is None:
-            end = day + timedelta(supply)
-        elif not stopped:
-            late = (day - end).days
-            if late < 0:
-                end += timedelta(supply)
-            elif late <= gap:
-                end = day + timedelta(supply)
-            else:
-                stopped = True
-    held = (end - start).days
+    """One patient's stock, a day at a time, until over ``gap`` days without any end with a fill, or the last fill is used up."""
+    start = min(f[1] for f in fills)
+    received = {}
+    for _, day, _, supply in fills:
+        received[(day - start).days] = received.get((day - start).days, 0) + supply
+    today = stock = without = 0
+    while stock or today <= max(received):
+        if today in received and without > gap:
+            break
+        stock += received.get(today, 0)
+        without = 0 if stock else without + 1
+        stock = max(stock - 1, 0)
+        today += 1
+    held = today - without
     if held >= follow_up or (not lookforward and follow_up - held <= gap):
         return follow_up, 0
     return held, 1
