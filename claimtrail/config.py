@@ -28,6 +28,8 @@ class StudyConfig:
 
     at_risk_step: int = 50
     year_col: str = "year"
+    #: Characters of codes that some shards hold as numbers, which have lost their leading zeros.
+    code_widths: tuple[tuple[str, int], ...] = (("ndcnum", 11), ("revcode", 4))
 
     id_col: str = "enrolid"
     demographics: tuple[str, ...] = ("sex", "dobyr", "age", "plantyp", "region")

@@ -12,6 +12,7 @@ from claimtrail.functions.codes import (
 )
 from claimtrail.functions.dates import date_filter, interval_overlap
 from claimtrail.operators.joins import lookup_join, saved
+from claimtrail.sources.intervals import select_years
 from claimtrail.sources.shards import select_shards
 
 Codes = str | Iterable[str] | DataFrame
@@ -142,7 +143,8 @@ def scan_dx(
     if _given(codes) != bool(dx_cols):
         raise ValueError("give both codes and dx_cols, or neither")
     finish = F.col(end_col) if end_col else None
-    found = select_shards(claims, sources, scopes, years, year_col).where(
+    found = select_shards(claims, sources, scopes, years, year_col)
+    found = (select_years(found, start, end) if end_col else found).where(
         interval_overlap(F.col(date_col), finish, start, end, coalesce_end)
     )
     if not dx_cols:
@@ -186,7 +188,7 @@ def scan_enrollment(
     year_col: str = "year",
 ) -> DataFrame:
     """Enrolment spells that touch the window."""
-    return select_shards(enrollment, sources, scopes, years, year_col).where(
+    return select_years(select_shards(enrollment, sources, scopes, years, year_col), start, end).where(
         interval_overlap(F.col(begin_col), F.col(end_col), start, end)
     )
 

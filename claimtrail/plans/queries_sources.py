@@ -83,24 +83,34 @@ def materialize_query(v: Views):
 
 
 @query("select_shards", with_views("claims") + """
-SELECT source, scope, year, count(*) AS n FROM claims
-WHERE source IN ('ccae') AND scope IN ('s', 'o') AND year IN (2009, 2010, 2011) GROUP BY ALL""")
+SELECT source, scope, CASE WHEN enrolid % 7 > 0 THEN year END AS year, count(*) AS n FROM claims
+WHERE source IN ('ccae') AND scope IN ('s', 'o') AND (year IN (2009, 2010, 2011) OR enrolid % 7 = 0) GROUP BY ALL""")
 def select_shards_query(v: Views):
     path = scratch_path(v.spark, "shards")
     shard = ["source", "scope", "year"]
-    write_folder(v.claims.select("enrolid", *shard), path, partition_by=shard)
+    year = F.when(F.col("enrolid") % 7 > 0, F.col("year"))  # some claims have none
+    write_folder(v.claims.select("enrolid", *shard).withColumn("year", year), path, partition_by=shard)
     kept = select_shards(v.spark.read.parquet(path), ["ccae"], ["s", "o"], [2009, 2010, 2011])
     return kept.groupBy(*shard).agg(F.count(F.lit(1)).alias("n")).withColumn("year", F.col("year").cast("int"))
 
 
 @query("union_columns", with_views("claims") + """
-SELECT 'ccaeo101' AS tb_name, enrolid, svcdate, dx1, NULL AS pdx, procgrp, count(*) AS n FROM claims WHERE scope = 'o' GROUP BY ALL
-UNION ALL SELECT 'ccaes101', enrolid, svcdate, dx1, pdx, NULL, count(*) FROM claims WHERE scope = 's' GROUP BY ALL""")
+SELECT 'ccaeo101' AS tb_name, enrolid, svcdate, dx1, NULL AS pdx, procgrp, lpad(CAST(enrolid AS VARCHAR), 11, '0') AS ndcnum,
+ CAST(enrolid % 500 AS VARCHAR) AS revcode, CAST(enrolid AS DOUBLE) AS pay, count(*) AS n FROM claims WHERE scope = 'o' GROUP BY ALL
+UNION ALL SELECT 'ccaes101', enrolid, svcdate, dx1, pdx, NULL, 'N' || CAST(enrolid AS VARCHAR), CAST(enrolid % 500 + 0.5 AS VARCHAR), enrolid + 0.25, count(*)
+ FROM claims WHERE scope = 's' GROUP BY ALL""")
 def union_columns_query(v: Views):
-    outpatient = v.claims.where("scope = 'o'").select("enrolid", "svcdate", "dx1", F.col("procgrp").alias("PROCGRP"))
-    inpatient = v.claims.where("scope = 's'").select(F.col("enrolid").alias("ENROLID"), "pdx", "dx1", F.col("svcdate").alias("SvcDate"))
-    both = union_columns({"ccaeo101": outpatient, "ccaes101": inpatient})
-    return both.groupBy("tb_name", "enrolid", "svcdate", "dx1", "pdx", "procgrp").agg(F.count(F.lit(1)).alias("n"))
+    """Shards that differ in names, columns and types: a code as number and as text, a whole and a broken number, an int and a double."""
+    patient = F.col("enrolid").cast("int")
+    outpatient = v.claims.where("scope = 'o'").select(
+        "enrolid", "svcdate", "dx1", F.col("procgrp").alias("PROCGRP"), patient.alias("ndcnum"), (patient % 500).cast("double").alias("revcode"), patient.alias("pay")
+    )
+    inpatient = v.claims.where("scope = 's'").select(
+        F.col("enrolid").alias("ENROLID"), "pdx", "dx1", F.col("svcdate").alias("SvcDate"), F.concat(F.lit("N"), "enrolid").alias("NDCNUM"),
+        (patient % 500 + F.lit(0.5)).cast("decimal(5,1)").cast("string").alias("revcode"), (patient + F.lit(0.25)).cast("double").alias("pay"),
+    )
+    both = union_columns({"ccaeo101": outpatient, "ccaes101": inpatient}, {"ndcnum": 11})
+    return both.groupBy("tb_name", "enrolid", "svcdate", "dx1", "pdx", "procgrp", "ndcnum", "revcode", "pay").agg(F.count(F.lit(1)).alias("n"))
 
 
 NDC_SHEET = """SELECT p_partkey AS row_no, p_type AS generic_name, CASE p_partkey % 3
@@ -108,7 +118,7 @@ NDC_SHEET = """SELECT p_partkey AS row_no, p_type AS generic_name, CASE p_partke
  WHEN 1 THEN CAST(p_partkey AS STRING) || '-' || CAST(p_size AS STRING)
  ELSE CAST(p_partkey AS STRING) END AS ndc FROM part"""
 HCPCS_SHEET = "SELECT p_partkey AS row_no, p_type AS generic_name, CASE WHEN p_size = 1 THEN '' ELSE p_brand END AS hcpcs FROM part"
-ICD9_SHEET = """SELECT p_partkey AS row_no, CASE WHEN p_size % 5 = 0 THEN p_type END AS ta,
+ICD9_SHEET = """SELECT p_partkey + 1 AS row_no, CASE WHEN p_size % 5 = 0 THEN p_type END AS ta,
  CAST(100 + p_partkey % 900 AS STRING) || '.' || CAST(p_size % 10 AS STRING) || 'x' AS icd9 FROM part"""
 
 
@@ -131,7 +141,10 @@ def import_code_lists(v: Views):
     paths = {}
     for name, sql in sheets.items():
         paths[name] = scratch_path(v.spark, name)
-        _sheet(v, sql).write.option("header", True).csv(paths[name])
+        sheet = _sheet(v, sql)
+        if name == "icd9":  # a plain sheet in several files, whose order is that of its lines
+            sheet = sheet.repartitionByRange(3, "row_no").sortWithinPartitions("row_no").drop("row_no")
+        sheet.write.option("header", True).csv(paths[name])
     home = library(v, "q_code_lists")
     load_code_lists(v.spark, paths, home)
     lists = [

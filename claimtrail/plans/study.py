@@ -20,6 +20,7 @@ from claimtrail.operators.survival import km_at_risk, km_quartiles, km_survival
 from claimtrail.operators.treatment import adherence, cohort_treatment, outcomes_tp, persistence
 from claimtrail.operators.utilization import hospitalization, outcomes_ru, visit_counts, visits
 from claimtrail.sources.code_lists import codes_of, load_code_lists
+from claimtrail.sources.intervals import YEARS
 from claimtrail.sources.scratch import scratch_path
 from claimtrail.sources.shards import shard_columns, union_columns
 from claimtrail.sources.tables import create_libraries, ingest_library, list_tables, materialize, write_folder
@@ -68,12 +69,14 @@ def folder_saver(spark: SparkSession, folder: str | None = None) -> Save:
 
 #: Scopes of a shard: outpatient and inpatient services, drugs, admissions, enrolment.
 SERVICES, DRUGS, ADMISSIONS, ENROLLMENT = ("o", "s"), ("d",), ("i",), ("t",)
+#: Begin and end of the rows in shards of intervals.
+INTERVALS = {"i": ("admdate", "disdate"), "t": ("dtstart", "dtend")}
 
 
-def shards_of(table: DataFrame, cfg: StudyConfig, scopes: Sequence[str], years_before: int | None = 0) -> dict:
-    """Scan arguments that select the study's sources, the scopes, and the years of the study period, by the shard columns there are.
+def shards_of(table: DataFrame, cfg: StudyConfig, scopes: Sequence[str], by_year: bool = True) -> dict:
+    """Scan arguments that select the study's sources, the scopes, and (``by_year``) the years of the study period, by the shard columns there are.
 
-    ``years_before`` is how many earlier years may hold rows that reach into the period; ``None``: any.
+    A shard's year isn't exactly the year of service, so the years beside the period are read too; the window on the date decides.
     """
     have = set(table.columns)
     chosen: dict = {}
@@ -81,8 +84,8 @@ def shards_of(table: DataFrame, cfg: StudyConfig, scopes: Sequence[str], years_b
         chosen["sources"] = list(cfg.sources)
     if "scope" in have:
         chosen["scopes"] = list(scopes)
-    if cfg.year_col in have and years_before is not None:
-        chosen |= {"years": list(range(cfg.study_start.year - years_before, cfg.study_end.year + 1)), "year_col": cfg.year_col}
+    if cfg.year_col in have and by_year:
+        chosen |= {"years": list(range(cfg.study_start.year - 1, cfg.study_end.year + 2)), "year_col": cfg.year_col}
     return chosen
 
 
@@ -103,14 +106,17 @@ def pull_dx(inputs: StudyInputs, cohort: DataFrame, cfg: StudyConfig, dx_cols: S
 
 
 def pull_admissions(inputs: StudyInputs, cohort: DataFrame, cfg: StudyConfig) -> DataFrame:
-    shards = shards_of(inputs.admissions, cfg, ADMISSIONS, years_before=None)  # a stay may begin in any earlier year
+    """Stays of cohort patients that touch the study period. A stay may begin in any earlier year; ``intervals`` prunes by the years of both ends."""
+    shards = shards_of(inputs.admissions, cfg, ADMISSIONS, by_year=False)
     stays = scan_dx(inputs.admissions, start=cfg.study_start, end=cfg.study_end, date_col="admdate", end_col="disdate", **shards)
-    return restrict_to(stays, cohort, cfg.id_col)
+    return restrict_to(stays.drop(*YEARS), cohort, cfg.id_col)
 
 
 def pull_enrollment(inputs: StudyInputs, cohort: DataFrame, cfg: StudyConfig) -> DataFrame:
-    shards = shards_of(inputs.enrollment, cfg, ENROLLMENT, years_before=None)  # a spell may begin in any earlier year
-    return restrict_to(scan_enrollment(inputs.enrollment, cfg.study_start, cfg.study_end, **shards), cohort, cfg.id_col)
+    """Enrolment spells of cohort patients that touch the study period; pruned like stays."""
+    shards = shards_of(inputs.enrollment, cfg, ENROLLMENT, by_year=False)
+    spells = scan_enrollment(inputs.enrollment, cfg.study_start, cfg.study_end, **shards)
+    return restrict_to(spells.drop(*YEARS), cohort, cfg.id_col)
 
 
 def study_claims(claims: DataFrame, cohort: DataFrame, id_col: str = "enrolid") -> DataFrame:
@@ -183,15 +189,15 @@ def study_run(
     return out | analyse_study(cohort, claims, stays, exposures, inputs.icd9, cfg, save=save)
 
 
-def library_inputs(spark: SparkSession, raw: str = "raw", codes: str = "scd") -> StudyInputs:
-    """The study's inputs from its libraries: the shards of each scope as one table, and the code lists."""
+def library_inputs(spark: SparkSession, raw: str = "raw", codes: str = "scd", cfg: StudyConfig = StudyConfig()) -> StudyInputs:
+    """The study's inputs from its libraries: the shards of each scope as one table, whatever their types, and the code lists."""
     names = list_tables(spark, raw)
 
     def scope(letters: str) -> DataFrame:
         shards = {n: shard_columns(spark.table(f"{raw}.{n}"), n) for n in names if n[4:5] in letters}
         if not shards:
             raise ValueError(f"library {raw} has no table of scope {' or '.join(letters)}")
-        return union_columns(shards)
+        return union_columns(shards, dict(cfg.code_widths))
 
     lists = [spark.table(f"{codes}.{name}") for name in ("icd9", "ndc", "hcpcs")]
     return StudyInputs(scope("os"), scope("d"), scope("i"), scope("t"), *lists)
@@ -201,9 +207,12 @@ def study_from_files(
     spark: SparkSession, shards: dict[str, str], sheets: dict[str, str], cfg: StudyConfig = StudyConfig(),
     shard_fmt: str = "parquet", sheet_fmt: str = "csv", folder: str | None = None, **ingest,
 ) -> dict[str, DataFrame]:
-    """The whole study from claims files (shard name -> path) and code sheets: libraries, ingest, code lists, all study tables."""
+    """The whole study from claims files (shard name -> path) and code sheets: libraries, ingest, code lists, all study tables.
+
+    Shards of stays and spells are laid out by the years of both ends.
+    """
     create_libraries(spark, cfg.libraries, folder)
     raw, _, codes, *_ = cfg.libraries
-    ingest_library(spark, shards, raw, shard_fmt, **ingest)
+    ingest_library(spark, shards, raw, shard_fmt, **{"code_widths": dict(cfg.code_widths), "intervals": INTERVALS} | ingest)
     load_code_lists(spark, sheets, codes, sheet_fmt)
-    return study_run(spark, library_inputs(spark, raw, codes), cfg)
+    return study_run(spark, library_inputs(spark, raw, codes, cfg), cfg)

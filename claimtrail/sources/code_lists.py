@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from claimtrail.functions.codes import clean_icd9, ndc_11
 from claimtrail.operators.ordered import forward_fill
+from claimtrail.sources.numbering import numbered_lines
 from claimtrail.sources.tables import materialize, normalize
 
 
@@ -26,7 +27,7 @@ def hcpcs_list(sheet: DataFrame) -> DataFrame:
 def load_code_lists(spark: SparkSession, paths: dict[str, str], library: str = "scd", fmt: str = "csv") -> dict[str, int]:
     """Read the three sheets as text, clean them and replace the code tables. Returns their row counts.
 
-    The ``icd9`` sheet carries its line number in ``row_no``.
+    The ``icd9`` sheet is filled downwards in the order of its lines, or of its column ``row_no`` if it has one.
     """
     clean = {"icd9": icd9_list, "ndc": ndc_list, "hcpcs": hcpcs_list}
     options = {"header": "true", "inferSchema": "false"} if fmt == "csv" else {}
@@ -34,6 +35,8 @@ def load_code_lists(spark: SparkSession, paths: dict[str, str], library: str = "
     for name, path in paths.items():
         sheet = normalize(spark.read.format(fmt).options(**options).load(path))
         if name == "icd9":
+            if "row_no" not in sheet.columns:
+                sheet = normalize(numbered_lines(spark, path, fmt, **options))
             sheet = sheet.withColumn("row_no", F.col("row_no").cast("long"))
         counts[name] = materialize(clean[name](sheet), f"{library}.{name}", "replace")
     return counts

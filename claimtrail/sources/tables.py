@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -10,13 +10,21 @@ from pyspark.sql import types as T
 
 from claimtrail.functions.codes import as_list
 from claimtrail.functions.dates import days_since_1960
+from claimtrail.sources.intervals import YEARS, with_years
+from claimtrail.sources.schemas import as_text
 
 
-def normalize(df: DataFrame, date_cols: Sequence[str] = (), string_cols: Sequence[str] = ()) -> DataFrame:
-    """Lower-case column names, named date columns as DATE, named code columns as text."""
+def normalize(
+    df: DataFrame, date_cols: Sequence[str] = (), string_cols: Sequence[str] = (), code_widths: Mapping[str, int] | None = None
+) -> DataFrame:
+    """Lower-case column names, named date columns as DATE, named code columns as text.
+
+    Numbers in a column of ``code_widths`` get back the leading zeros of a code of that width.
+    """
     out = df.toDF(*[c.lower() for c in df.columns])
     casts = {c: F.col(c).cast("date") for c in date_cols if c in out.columns}
-    casts |= {c: F.col(c).cast("string") for c in string_cols if c in out.columns}
+    widths = dict.fromkeys(string_cols) | dict(code_widths or {})
+    casts |= {c: as_text(F.col(c), out.schema[c].dataType, width) for c, width in widths.items() if c in out.columns}
     return out.withColumns(casts) if casts else out
 
 
@@ -48,11 +56,19 @@ def ingest_table(
     date_cols: Sequence[str] = (),
     string_cols: Sequence[str] = (),
     partition_by: Sequence[str] = (),
+    code_widths: Mapping[str, int] | None = None,
+    interval: tuple[str, str] | None = None,
     **options: str,
 ) -> int:
-    """Load one file (or folder) into a table. ``if_exists`` is ``fail``, ``replace`` or ``append``."""
-    raw = spark.read.format(fmt).options(**options).load(path)
-    return materialize(normalize(raw, date_cols, string_cols), table, if_exists, partition_by)
+    """Load one file (or folder) into a table. ``if_exists`` is ``fail``, ``replace`` or ``append``.
+
+    ``interval`` names the columns of begin and end of a table of intervals, which is then laid out by the years of both.
+    """
+    rows = normalize(spark.read.format(fmt).options(**options).load(path), date_cols, string_cols, code_widths)
+    if interval is None:
+        return materialize(rows, table, if_exists, partition_by)
+    begin, end = interval
+    return materialize(with_years(rows, begin, end), table, if_exists, (*partition_by, *YEARS), (end, begin))
 
 
 def ingest_library(
@@ -61,16 +77,21 @@ def ingest_library(
     library: str,
     fmt: str = "parquet",
     refresh: bool = False,
+    intervals: Mapping[str, tuple[str, str]] | None = None,
     **options,
 ) -> dict[str, int | None]:
-    """Load named files into a library. A table that exists is left alone (``None``) unless ``refresh`` is set."""
+    """Load named files into a library. A table that exists is left alone (``None``) unless ``refresh`` is set.
+
+    ``intervals`` gives, by a shard's scope letter, the columns of begin and end of shards that hold intervals.
+    """
     loaded: dict[str, int | None] = {}
     for name, path in files.items():
         table = f"{library}.{name}"
         if spark.catalog.tableExists(table) and not refresh:
             loaded[name] = None
             continue
-        loaded[name] = ingest_table(spark, path, table, fmt, "replace" if refresh else "fail", **options)
+        interval = (intervals or {}).get(name[4:5].lower())
+        loaded[name] = ingest_table(spark, path, table, fmt, "replace" if refresh else "fail", interval=interval, **options)
     return loaded
 
 
@@ -79,12 +100,14 @@ def library_files(paths: Iterable[str], suffix: str = ".parquet") -> dict[str, s
     return {PurePosixPath(p).name.removesuffix(suffix).lower(): p for p in paths if p.endswith(suffix)}
 
 
-def materialize(df: DataFrame, table: str, if_exists: str = "replace", partition_by: Sequence[str] = ()) -> int:
-    """Write a table and return its row count, counted while writing."""
+def materialize(
+    df: DataFrame, table: str, if_exists: str = "replace", partition_by: Sequence[str] = (), order_by: Sequence[str] = ()
+) -> int:
+    """Write a table and return its row count, counted while writing. With ``order_by``, files hold ranges of these columns, in order."""
     modes = {"replace": "overwrite", "append": "append", "fail": "errorifexists"}
     if if_exists not in modes:
         raise ValueError(f"if_exists must be one of {sorted(modes)}")
-    written, counted = _counted(df, partition_by)
+    written, counted = _counted(df, partition_by, order_by)
     writer = written.write.mode(modes[if_exists])
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -102,8 +125,11 @@ def write_folder(df: DataFrame, path: str, mode: str = "overwrite", partition_by
     return counted.get["rows"]
 
 
-def _counted(df: DataFrame, partition_by: Sequence[str]) -> tuple[DataFrame, Observation]:
+def _counted(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str] = ()) -> tuple[DataFrame, Observation]:
     counted = Observation()
+    if order_by:
+        df = df.repartitionByRange(*partition_by, *order_by).sortWithinPartitions(*partition_by, *order_by)
+        return df.observe(counted, F.count(F.lit(1)).alias("rows")), counted  # above the exchange, whose bounds are sampled first
     out = df.observe(counted, F.count(F.lit(1)).alias("rows"))
     # rebalance gathers each partition value into few files and lets AQE split a value that holds most of the rows
     return (out.hint("rebalance", *partition_by) if partition_by else out), counted

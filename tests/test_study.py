@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from claimtrail.config import StudyConfig
 from claimtrail.operators.conditions import baseline
+from claimtrail.operators.scan import scan_dx
 from claimtrail.plans.study import (
-    StudyInputs, analyse_study, folder_saver, keep_lazy, pull_admissions, pull_dx, pull_enrollment, pull_study, study_exposure, study_from_files,
+    INTERVALS, StudyInputs, analyse_study, folder_saver, keep_lazy, library_inputs, pull_admissions, pull_dx, pull_enrollment, pull_study, study_exposure, study_from_files,
     study_run, table_saver,
 )
-from claimtrail.sources.tables import create_libraries, list_tables
+from claimtrail.sources.code_lists import load_code_lists
+from claimtrail.sources.tables import create_libraries, ingest_library, list_tables
 from tests.conftest import rows
 
 START = date(2007, 3, 1)
@@ -125,7 +127,11 @@ def partitioned(spark, df, tmp_path, name, scopes):
     return spark.read.parquet(path)
 
 
-def test_pulls_prune_source_scope_and_year(spark, tmp_path, plan):
+def partition_filters(text):
+    return "".join(re.findall(r"PartitionFilters: \[(.*?)\]", text))
+
+
+def test_pulls_prune_by_shard_columns(spark, tmp_path, plan):
     inputs = make_inputs(spark)
     inputs = replace(
         inputs, services=partitioned(spark, inputs.services, tmp_path, "services", "os"), drugs=partitioned(spark, inputs.drugs, tmp_path, "drugs", "d"),
@@ -135,14 +141,81 @@ def test_pulls_prune_source_scope_and_year(spark, tmp_path, plan):
     cohort = spark.createDataFrame([(1,)], "enrolid int")
     spark.conf.set("spark.sql.maxMetadataStringLength", 10_000)
     for df, names in (
-        (pull_dx(inputs, cohort, cfg), ("source", "scope", "year")), (pull_admissions(inputs, cohort, cfg), ("source", "scope", "year")),
+        (pull_dx(inputs, cohort, cfg), ("source", "scope", "year")), (pull_admissions(inputs, cohort, cfg), ("source", "scope")),
         (pull_enrollment(inputs, cohort, cfg), ("source", "scope")),
     ):
-        filters = "".join(re.findall(r"PartitionFilters: \[(.*?)\]", plan(df)))
+        filters = partition_filters(plan(df))
         assert all(n in filters for n in names), filters
     exposed = study_exposure(inputs, cfg)
     assert len(re.findall(r"PartitionFilters: \[[^\]]*source[^\]]*scope[^\]]*year", plan(exposed))) >= 2
-    assert pull_dx(inputs, cohort, cfg).select("source", "scope", "year").distinct().count() == 2 * 2 * 1
+    assert pull_dx(inputs, cohort, cfg).select("source", "scope", "year").distinct().count() == 2 * 2 * 3  # the years beside the period too
+
+
+def test_claims_without_a_shard_year_or_in_the_next_years_shard_stay(spark, tmp_path):
+    inputs = make_inputs(spark)
+    cfg = StudyConfig()
+    cohort = inputs.services.select("enrolid").distinct()
+    want = pull_dx(inputs, cohort, cfg).count()
+    years = {None: 1, cfg.study_start.year - 1: 1, cfg.study_end.year + 1: 1, cfg.study_end.year + 2: 0}
+    for year, kept in years.items():
+        path = str(tmp_path / f"services-{year}")
+        inputs.services.withColumn("year", F.lit(year).cast("int")).write.partitionBy("year").parquet(path)
+        claims = replace(inputs, services=spark.read.schema(inputs.services.withColumn("year", F.lit(1)).schema).parquet(path))
+        assert pull_dx(claims, cohort, cfg).count() == want * kept, year
+        path = str(tmp_path / f"drugs-{year}")
+        inputs.drugs.withColumn("year", F.lit(year).cast("int")).write.partitionBy("year").parquet(path)
+        fills = replace(inputs, drugs=spark.read.schema(inputs.drugs.withColumn("year", F.lit(1)).schema).parquet(path))
+        assert study_exposure(fills, cfg).count() == study_exposure(inputs, cfg).count() * kept
+
+
+def test_stays_are_pruned_by_both_years(spark, plan):
+    cfg = StudyConfig()
+    days = [("1996-05-01", "2006-02-01"), ("2006-12-30", "2007-01-02"), ("2008-12-31", "2012-01-01"), ("2001-01-01", "2005-12-31"), ("2009-01-01", "2009-02-01"),
+            ("2007-03-01", None), (None, "2007-03-01"), ("1990-01-01", "2015-01-01")]
+    rows_ = [(1, i, *(date.fromisoformat(d) if d else None for d in pair)) for i, pair in enumerate(days)] + [(2, 99, date(2007, 1, 1), date(2007, 1, 2))]
+    stays = spark.createDataFrame(rows_, "enrolid int, n int, admdate date, disdate date")
+    create_libraries(spark, ["iv"])
+    stays.write.mode("overwrite").saveAsTable("iv.plain")
+    files = spark.sql("describe extended iv.plain").where("col_name = 'Location'").first().data_type
+    assert ingest_library(spark, {"ccaei071": files}, "iv", intervals=INTERVALS, refresh=True) == {"ccaei071": len(rows_)}
+    table = spark.table("iv.ccaei071")
+    cohort = spark.createDataFrame([(1,)], "enrolid int")
+    pulled = pull_admissions(replace(make_inputs(spark), admissions=table), cohort, cfg)
+    assert {r.n for r in pulled.collect()} == {r.n for r in pull_admissions(replace(make_inputs(spark), admissions=stays), cohort, cfg).collect()} == {0, 1, 2, 7}
+    spark.conf.set("spark.sql.maxMetadataStringLength", 10_000)
+    filters = partition_filters(plan(pulled))
+    assert "begin_year" in filters and "end_year" in filters
+    assert set(pulled.columns) == set(stays.columns)
+    open_ended = scan_dx(table, start=cfg.study_start, end=cfg.study_end, date_col="admdate", end_col="disdate", coalesce_end=True)
+    assert {r.n for r in open_ended.collect()} == {0, 1, 2, 5, 7, 99}
+    early = scan_dx(table, end=date(1996, 12, 31), date_col="admdate", end_col="disdate")
+    assert {r.n for r in early.collect()} == {0, 7}
+
+
+def test_study_from_shards_of_other_types(spark, tmp_path):
+    """Drug codes as numbers in one shard and text in another, and a plain code sheet, give the study of uniform ones."""
+    inputs = make_inputs(spark)
+    shards, sheets = {}, {}
+    for name, df in (("ccaeo071", inputs.services), ("ccaei071", inputs.admissions), ("ccaet071", inputs.enrollment)):
+        shards[name] = str(tmp_path / name)
+        df.drop("source", "scope", "year").write.parquet(shards[name])
+    drugs = inputs.drugs.drop("source", "scope", "year")
+    as_number = F.regexp_replace("ndcnum", "[^0-9]", "1").cast("long")
+    for name, df in (("ccaed071", drugs.withColumn("ndcnum", as_number)), ("ccaed081", drugs.limit(0))):
+        shards[name] = str(tmp_path / name)
+        df.write.parquet(shards[name])
+    text = inputs.ndc.withColumn("ndc", F.lpad(F.regexp_replace("ndc", "[^0-9]", "1"), 11, "0"))
+    for name, df in (("icd9", inputs.icd9.drop("row_no")), ("ndc", text), ("hcpcs", inputs.hcpcs)):
+        sheets[name] = str(tmp_path / f"{name}.csv")
+        df.coalesce(1).write.option("header", True).csv(sheets[name])
+    cfg = StudyConfig(libraries=("raw7", "rds", "scd7", "sds", "ads"))
+    create_libraries(spark, cfg.libraries)
+    ingest_library(spark, shards, "raw7", refresh=True, code_widths=dict(cfg.code_widths), intervals=INTERVALS)
+    load_code_lists(spark, sheets, "scd7")
+    found = study_exposure(library_inputs(spark, "raw7", "scd7", cfg), cfg)
+    plain = replace(inputs, drugs=inputs.drugs.withColumn("ndcnum", F.lpad(as_number.cast("string"), 11, "0")), ndc=text)
+    assert rows(found, "enrolid", "svcdate", "generic_name", "daysupp") == rows(study_exposure(plain, cfg), "enrolid", "svcdate", "generic_name", "daysupp")
+    assert found.count() > 0
 
 
 def test_study_from_files(spark, tmp_path):
