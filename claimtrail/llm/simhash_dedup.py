@@ -9,7 +9,7 @@ one group; one of over ``TILE * MAX_TILES`` nodes is cut again by finer blocks,
 Inside a bucket the nodes' bits stand in vertical planes, 64 nodes to a machine word; a probe's distances to a whole word are counted
 by carry-save steps of bitwise operations, plane by plane, and words whose 64 distances all exceed the radius are abandoned. Nodes near
 a bucket's first nodes are united beforehand, and nodes already united are not compared. Links of a bucket shrink to a star before
-they leave the task, which holds one bucket at a time.
+they leave the task, which holds some whole buckets at a time.
 
 Defined cases: a text of fewer words than a shingle is one shingle; a null, empty or blank text has fingerprint zero and is linked
 like any other. Repeated rows share fingerprint and component; rows that repeat a doc_id with another text are linked by their own text. A null
@@ -36,6 +36,7 @@ RADIUS = 3
 SEED = 42
 TILE = 4096
 MAX_TILES = 64
+ROWS = 200_000
 LEADERS = 3
 NAMELESS = 1 << 62
 SET_TILE = 256  # sets of a tile
@@ -177,27 +178,27 @@ def unite(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
             label = next_
 
 
-def _star(node: np.ndarray, fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Nodes of one bucket that links connect, each with the smallest of its component."""
-    order = np.argsort(node)
-    node, fps = node[order], fps[order]
-    n, leader = len(node), 0
+def _stars(node: np.ndarray, fps: np.ndarray, group: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes that links connect within their group, each with the smallest of its component; ``group`` counts up from 0."""
+    n = len(node)
+    order = np.lexsort((node, group))
+    node, fps, group = node[order], fps[order], group[order]
+    begin = np.searchsorted(group, np.arange(group[-1] + 1))
     label = np.arange(n)
-    for _ in range(LEADERS):  # the first row, then the first that none before is near to
-        near = np.flatnonzero(np.bitwise_count(fps ^ fps[leader]) <= radius)
-        label = unite(label, np.full(len(near), leader), near)
+    for _ in range(LEADERS):  # the first row of each group, then the first that none before is near to
+        leader = begin[group]
+        near = np.bitwise_count(fps ^ fps[leader]) <= radius
+        label = unite(label, leader[near], np.flatnonzero(near))
         apart = np.flatnonzero(label != label[leader])
-        if not len(apart):
-            break
-        leader = apart[0]
-    order = np.argsort(label, kind="stable")
+        begin[group[apart[::-1]]] = apart[::-1]
+    order = np.lexsort((label, group))
     where = np.empty(n, np.int64)
     where[order] = np.arange(n)
-    fps, node, label = fps[order], node[order], where[label[order]]
+    fps, node, group, label = fps[order], node[order], group[order], where[label[order]]
     smallest = np.full(n, n)
     np.minimum.at(smallest, label, np.arange(n))  # labels are the first row of their component
     label = smallest[label]
-    for i, j in sliced_links([fps], np.zeros(n, np.int64), label.copy(), radius):
+    for i, j in sliced_links([fps], group, label.copy(), radius):
         label = unite(label, i, j)
     root = np.full(n, np.iinfo(np.int64).max)
     np.minimum.at(root, label, node)
@@ -206,37 +207,30 @@ def _star(node: np.ndarray, fps: np.ndarray, radius: int) -> tuple[np.ndarray, n
 
 
 def _bucket_stars(radius: int):
-    """Stars of the buckets of a stream sorted by ``bucket, part``."""
+    """Stars of the buckets of a stream sorted by ``bucket, part``; whole buckets are worked on, about ``ROWS`` rows at a time."""
 
-    def buckets(batches):
-        held, last = [], None
+    def portions(batches):
+        held, rows = [], 0
         for batch in batches:
             columns = [batch.column(c).to_numpy() for c in ("bucket", "part", "node", "fp0")]
-            cuts = np.flatnonzero((columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1])) + 1
-            for first, stop in zip([0, *cuts], [*cuts, batch.num_rows]):
-                if first == stop:
-                    continue
-                key = columns[0][first], columns[1][first]
-                if held and key != last:
-                    yield held
-                    held = []
-                last = key
-                held.append([c[first:stop] for c in columns[2:]])
+            held.append(columns)
+            rows += len(columns[0])
+            if rows < ROWS:
+                continue
+            joined = [np.concatenate(c) for c in zip(*held)]
+            last = np.flatnonzero((joined[0] != joined[0][-1]) | (joined[1] != joined[1][-1]))  # the last bucket may go on
+            cut = last[-1] + 1 if len(last) else 0
+            if cut:
+                yield [c[:cut] for c in joined]
+            held, rows = [[c[cut:] for c in joined]], 0
         if held:
-            yield held
+            yield [np.concatenate(c) for c in zip(*held)]
 
     def stars(batches):
-        out, size = [], 0
-        for held in buckets(batches):
-            node, fps = (np.concatenate(c) for c in zip(*held))
-            if len(node) > 1:
-                out.append(_star(node, fps.view(U64), radius))
-                size += len(out[-1][0])
-            if size > 100_000 or len(out) > 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["u", "v"])
-                out, size = [], 0
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["u", "v"])
+        for bucket, part, node, fps in portions(batches):
+            if len(node):
+                group = np.cumsum(np.r_[False, (bucket[1:] != bucket[:-1]) | (part[1:] != part[:-1])])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in _stars(node, fps.view(U64), group, radius)], ["u", "v"])
 
     return stars
 
