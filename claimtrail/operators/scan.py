@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -11,6 +12,7 @@ from claimtrail.functions.codes import (
     MAX_INLINE_BYTES, as_list, by_length, distinct_codes, has_prefix, inline_codes, is_listed, prefix_of, starts_with_any,
 )
 from claimtrail.functions.dates import date_filter, interval_overlap
+from claimtrail.operators.index import MAX_INDEX_BYTES, CodeIndex, code_index
 from claimtrail.operators.joins import lookup_join, saved
 from claimtrail.sources.intervals import select_years
 from claimtrail.sources.shards import select_shards
@@ -48,12 +50,14 @@ def prefix_join(
     columns: Names,
     code_col: str = "matched_code",
     max_inline: int = MAX_INLINE_BYTES,
+    max_index: int = MAX_INDEX_BYTES,
 ) -> DataFrame:
     """Inner join on "one of ``columns``, as text, starts with the code": one row per (claim, matching code).
 
     The rows are the same however long the list is. A list of up to ``max_inline`` bytes becomes hashed IN-sets on the column
-    prefixes: no join and no shuffle, and claims without a match are gone before anything is exploded. A larger one is an
-    equi-join on the exploded distinct prefixes. Repeated codes in the list count once. ``code_col`` must be a new column.
+    prefixes: no join and no shuffle, and claims without a match are gone before anything is exploded. A larger one, up to ``max_index``
+    bytes, is a hashed index that every task holds, with the same plan otherwise. Only beyond that it is an equi-join on the exploded
+    distinct prefixes. Repeated codes in the list count once. ``code_col`` must be a new column.
     """
     columns = _present(columns, df)
     _free(df, code_col)
@@ -72,16 +76,29 @@ def prefix_join(
         return _explode_matches(df.where(hit), candidates, code_col)
 
     listed = saved(_code_frame(df, codes, code_col), "codes")
+    index = code_index(listed, max_index)
+    if index is not None:
+        return _indexed_matches(df, _prefixes(columns, index.lengths), index, code_col)
     lengths = _code_lengths(listed, code_col)
     return lookup_join(_explode_matches(df, _prefixes(columns, lengths), code_col), listed, [code_col]).select(*df.columns, code_col)
 
 
+def _any(tests: Iterable[Column]) -> Column:
+    return reduce(lambda a, b: a | b, tests, F.lit(False))
+
+
+def _indexed_matches(df: DataFrame, texts: list[Column], index: CodeIndex, code_col: str) -> DataFrame:
+    """Claims with a listed text, one row per distinct listed text; nothing is exploded for the other claims."""
+    kept = df.where(_any(index.holds(t) for t in texts))
+    return _explode_matches(kept, [F.when(index.holds(t), t) for t in texts] or [F.lit(None).cast("string")], code_col)
+
+
 def _code_lengths(listed: DataFrame, name: str) -> list[int]:
     """The code lengths of a list: a handful of numbers."""
     return sorted(r[0] for r in listed.select(F.length(name)).distinct().collect())
 
 
-def _prefixes(columns: Iterable[str], lengths: list[int]) -> list[Column]:
+def _prefixes(columns: Iterable[str], lengths: Iterable[int]) -> list[Column]:
     return [F.when(F.length(F.col(c).cast("string")) >= n, prefix_of(c, n)) for c in columns for n in lengths]
 
 
@@ -91,6 +108,7 @@ def equal_join(
     columns: Names,
     code_col: str = "matched_code",
     max_inline: int = MAX_INLINE_BYTES,
+    max_index: int = MAX_INDEX_BYTES,
 ) -> DataFrame:
     """Inner join on "one of ``columns``, as text, equals the code": one row per (claim, matching code).
 
@@ -100,8 +118,12 @@ def equal_join(
     _free(df, code_col)
     known = inline_codes(codes, max_inline)
     if known is None:
-        exploded = _explode_matches(df, [F.col(name).cast("string") for name in columns], code_col)
-        return lookup_join(exploded, _code_frame(df, codes, code_col), [code_col]).select(*df.columns, code_col)
+        texts = [F.col(name).cast("string") for name in columns]
+        listed = saved(_code_frame(df, codes, code_col), "codes")
+        index = code_index(listed, max_index)
+        if index is not None:
+            return _indexed_matches(df, texts, index, code_col)
+        return lookup_join(_explode_matches(df, texts, code_col), listed, [code_col]).select(*df.columns, code_col)
     if not known:
         return df.withColumn(code_col, F.lit(None).cast("string")).where(F.lit(False))
     hit = F.lit(False)
@@ -194,12 +216,14 @@ def scan_enrollment(
 
 
 def flag_prefix(
-    df: DataFrame, conditions: dict[str, Column], codes: Codes, flag_col: str, max_inline: int = MAX_INLINE_BYTES
+    df: DataFrame, conditions: dict[str, Column], codes: Codes, flag_col: str, max_inline: int = MAX_INLINE_BYTES,
+    max_index: int = MAX_INDEX_BYTES,
 ) -> DataFrame:
     """Add a boolean: some column of ``conditions``, as text, starts with a code where its condition holds.
 
-    Row count never changes. For a list too large to inline the distinct prefixes of all columns are exploded for one left
-    equi-join with the codes; a row comes together again by two hashes of its columns, copies of a row as often as they were.
+    Row count never changes. A list too large to inline is a hashed index, looked up in the scan. For a list over ``max_index`` bytes
+    the distinct prefixes of all columns are exploded for one left equi-join with the codes; a row comes together again by two hashes
+    of its columns, copies of a row as often as they were.
     """
     known = inline_codes(codes, max_inline)
     if known is not None:
@@ -209,6 +233,10 @@ def flag_prefix(
         return df.withColumn(flag_col, F.coalesce(hit, F.lit(False)))
 
     listed = saved(_code_frame(df, codes, "_listed"), "codes")
+    index = code_index(listed, max_index)
+    if index is not None:
+        hits = [condition & index.holds(p) for name, condition in conditions.items() for p in _prefixes([name], index.lengths)]
+        return df.withColumn(flag_col, F.coalesce(_any(hits), F.lit(False)))
     lengths = _code_lengths(listed, "_listed")
     found = [F.when(conditions[c], p) for c in conditions for p in _prefixes([c], lengths)]
     rows = df.select(

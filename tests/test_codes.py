@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimtrail.functions.codes import clean_icd9, inline_codes, ndc_11, starts_with_any
+from claimtrail.operators.index import code_index
 from claimtrail.operators.scan import (
     attach_generic, code_list_df, equal_join, exclude, flag_prefix, prefix_join, restrict_to, scan_dx, scan_enrollment, scan_rx,
 )
@@ -151,20 +152,47 @@ def test_both_code_paths_agree_around_the_bound(spark, size):
     codes = [str(i) for i in range(size)] + ["007", "7"]
     bound = sum(len(c) + 8 for c in dict.fromkeys(codes[:31]))
     for join in (prefix_join, equal_join):
-        found = [rows(join(df, codes, ["a", "b"], "code", limit)) for limit in (1 << 20, bound, 0)]
-        assert found[0] == found[1] == found[2]
-        assert join(df, codes, ["a", "b"], "code", 0).dtypes == join(df, codes, ["a", "b"], "code", 1 << 20).dtypes
-    flagged = [rows(flag_prefix(df, {"a": F.col("k") > 2, "b": F.col("k") < 5}, codes, "hit", limit)) for limit in (1 << 20, bound, 0)]
-    assert flagged[0] == flagged[1] == flagged[2] and len(flagged[0]) == 122
+        found = [rows(join(df, codes, ["a", "b"], "code", *limits)) for limits in ((1 << 20,), (bound,), (0,), (0, 0))]
+        assert found[0] == found[1] == found[2] == found[3]
+        for limits in ((0,), (0, 0)):
+            assert join(df, codes, ["a", "b"], "code", *limits).dtypes == join(df, codes, ["a", "b"], "code", 1 << 20).dtypes
+    conditions = {"a": F.col("k") > 2, "b": F.col("k") < 5}
+    flagged = [rows(flag_prefix(df, conditions, codes, "hit", *limits)) for limits in ((1 << 20,), (bound,), (0,), (0, 0))]
+    assert flagged[0] == flagged[1] == flagged[2] == flagged[3] and len(flagged[0]) == 122
 
 
 def test_long_list_plan_has_one_join(spark, plan):
     df = spark.createDataFrame([(1, "41", "4")], "k int, a string, b string")
     listed = spark.createDataFrame([("41",), ("4",), ("412",)], "c string")
-    for found in (flag_prefix(df, {"a": F.lit(True), "b": F.lit(True)}, listed, "hit", 0), prefix_join(df, listed, ["a", "b"], "code", 0)):
+    conditions = {"a": F.lit(True), "b": F.lit(True)}
+    for found in (flag_prefix(df, conditions, listed, "hit", 0, 0), prefix_join(df, listed, ["a", "b"], "code", 0, 0)):
         assert plan(found).count("Join ") == 1
 
 
+def test_indexed_list_plan_has_no_join_and_no_exchange(spark, plan):
+    """A list of a quarter of a megabyte: claims stay where they are, and only matching claims are exploded."""
+    df = spark.range(2_000).select(F.col("id").cast("string").alias("a"), (F.col("id") * 3).cast("string").alias("b"))
+    listed = spark.range(7, 40_000, 4).select(F.col("id").cast("string").alias("c"))
+    conditions = {"a": F.lit(True), "b": F.col("a") > "5"}
+    flagged, joined, equal = flag_prefix(df, conditions, listed, "hit"), prefix_join(df, listed, ["a", "b"], "code"), equal_join(df, listed, ["a", "b"], "code")
+    assert "Generate" not in plan(flagged)
+    for found in (flagged, joined, equal):
+        assert "Join" not in plan(found) and "Exchange" not in plan(found)
+    codes = {str(i) for i in range(7, 40_000, 4)}
+    held = lambda text: {text[:n] for n in range(1, len(text) + 1)} & codes
+    claims = [(str(i), str(i * 3)) for i in range(2_000)]
+    assert rows(flagged) == sorted(((a, b, bool(held(a) or (a > "5" and held(b)))) for a, b in claims), key=repr)
+    assert rows(joined) == sorted(((a, b, c) for a, b in claims for c in held(a) | held(b)), key=repr)
+    assert rows(equal) == sorted(((a, b, c) for a, b in claims for c in {a, b} & codes), key=repr)
+
+
+def test_code_index_bounds(spark):
+    listed = spark.createDataFrame([("41",), ("4",)], "c string")
+    assert code_index(listed, 66) is None and code_index(listed, 67).lengths == (1, 2)
+    nothing = code_index(listed.where("c = ''"))
+    assert nothing.lengths == () and not spark.range(1).select(nothing.holds(F.lit("4"))).first()[0]
+
+
 def test_a_clashing_code_column_is_refused(spark):
     df = spark.createDataFrame([("41", "x")], "a string, code string")
     for join in (prefix_join, equal_join):
