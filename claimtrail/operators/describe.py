@@ -18,6 +18,9 @@ from claimtrail.sources.tables import classify_variables
 OVERALL = "Overall"
 PER_OCTAVE = 2_048  # cells per doubling of the magnitude, first step of the quantile search
 FINE_CELLS = 65_535  # equal cells one of those is cut into, second step
+MAX_LEVEL_BYTES = 8 << 20  # of a crosstab's levels, that every task may hold
+LEVEL_OVERHEAD = 32
+LEVELS_PER_TILE = 10_000
 LONG = ("varname", "group", "varlvl", "stat", "value")
 
 
@@ -171,17 +174,26 @@ def summary_rollup(df: DataFrame, column: str, group_col: str = "group") -> Data
     return _stats_long(labelled, F.lit(OVERALL), stats).select(*LONG)
 
 
-def freq_sparse(df: DataFrame, group_col: str, level_col: str) -> DataFrame:
+def freq_sparse(df: DataFrame, group_col: str, level_col: str, max_bytes: int = MAX_LEVEL_BYTES, per_tile: int = LEVELS_PER_TILE) -> DataFrame:
     """Crosstab counts in long form, including the combinations that do not occur. Blank levels are left out.
 
-    Rows are counted once; the groups and the levels that occur are two short lists, every level meets every group in an equi-join
-    on one constant, and the counts are looked up. A missing group is a group.
+    Rows are counted once. Levels of up to ``max_bytes`` are one array, which every task of groups unfolds; more of them are dealt over
+    tiles by their hash and each group goes to every tile. The counts are then looked up by group and level. A missing group is a group.
     """
     kind = df.schema[level_col].dataType
     counts = df.select(F.col(group_col).alias("_g"), F.col(level_col).alias("_l")).groupBy("_g", "_l").agg(F.count(F.lit(1)).alias("_n"))
     counts = settle(counts, "crosstab")
-    levels = counts.where(F.trim(F.col("_l").cast("string")) != "").select("_l").distinct().withColumn("_all", F.lit(1))
-    grid = counts.select("_g").distinct().withColumn("_all", F.lit(1)).join(levels, "_all").drop("_all")
+    levels = settle(counts.where(F.trim(F.col("_l").cast("string")) != "").select("_l").distinct(), "levels")
+    groups = counts.select("_g").distinct()
+    size = F.sum(F.octet_length(F.col("_l").cast("string")) + LEVEL_OVERHEAD)
+    n_levels, taken = levels.agg(F.count("_l"), F.coalesce(size, F.lit(0))).first()
+    if taken <= max_bytes:
+        grid = groups.select("_g", F.explode(levels.agg(F.collect_list("_l").alias("_ls")).scalar()).alias("_l"))
+    else:
+        tiles = -(-n_levels // per_tile) + 1
+        dealt = levels.withColumn("_tile", F.pmod(F.xxhash64("_l"), F.lit(tiles)))
+        spread = groups.withColumn("_tile", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(tiles - 1).cast("bigint"))))
+        grid = spread.join(dealt, "_tile").drop("_tile")
     held = counts.select(F.col("_g").alias("_g2"), F.col("_l").alias("_l2"), "_n")
     found = grid.join(held, F.col("_g").eqNullSafe(F.col("_g2")) & (F.col("_l") == F.col("_l2")), "left")
     return found.select(F.col("_g").alias(group_col), F.col("_l").cast(kind).alias(level_col), F.coalesce("_n", F.lit(0)).cast("long").alias("count"))

@@ -78,7 +78,7 @@ def prefix_join(
     listed = saved(_code_frame(df, codes, code_col), "codes")
     index = code_index(listed, max_index)
     if index is not None:
-        return _indexed_matches(df, _prefixes(columns, index.lengths), index, code_col)
+        return _indexed_matches(df, [prefix_of(c, n) for c in columns for n in index.lengths], index, code_col)
     lengths = _code_lengths(listed, code_col)
     return lookup_join(_explode_matches(df, _prefixes(columns, lengths), code_col), listed, [code_col]).select(*df.columns, code_col)
 
@@ -88,7 +88,10 @@ def _any(tests: Iterable[Column]) -> Column:
 
 
 def _indexed_matches(df: DataFrame, texts: list[Column], index: CodeIndex, code_col: str) -> DataFrame:
-    """Claims with a listed text, one row per distinct listed text; nothing is exploded for the other claims."""
+    """Claims with a listed text, one row per distinct listed text; nothing is exploded for the other claims.
+
+    A prefix longer than its column is the whole column, which the list holds just if a prefix of its own length is held.
+    """
     kept = df.where(_any(index.holds(t) for t in texts))
     return _explode_matches(kept, [F.when(index.holds(t), t) for t in texts] or [F.lit(None).cast("string")], code_col)
 
@@ -98,7 +101,7 @@ def _code_lengths(listed: DataFrame, name: str) -> list[int]:
     return sorted(r[0] for r in listed.select(F.length(name)).distinct().collect())
 
 
-def _prefixes(columns: Iterable[str], lengths: Iterable[int]) -> list[Column]:
+def _prefixes(columns: Iterable[str], lengths: list[int]) -> list[Column]:
     return [F.when(F.length(F.col(c).cast("string")) >= n, prefix_of(c, n)) for c in columns for n in lengths]
 
 
@@ -235,7 +238,7 @@ def flag_prefix(
     listed = saved(_code_frame(df, codes, "_listed"), "codes")
     index = code_index(listed, max_index)
     if index is not None:
-        hits = [condition & index.holds(p) for name, condition in conditions.items() for p in _prefixes([name], index.lengths)]
+        hits = [condition & index.holds(prefix_of(name, n)) for name, condition in conditions.items() for n in index.lengths]
         return df.withColumn(flag_col, F.coalesce(_any(hits), F.lit(False)))
     lengths = _code_lengths(listed, "_listed")
     found = [F.when(conditions[c], p) for c in conditions for p in _prefixes([c], lengths)]

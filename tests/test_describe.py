@@ -121,8 +121,19 @@ def test_sparse_crosstab_of_awkward_levels(spark):
     df = spark.createDataFrame([("g", "1.5"), ("g", None), ("h", "null"), (None, " "), (None, "1.5")], "grp string, lvl string")
     assert rows(freq_sparse(df, "grp", "lvl")) == sorted(
         [("g", "1.5", 1), ("g", "null", 0), ("h", "1.5", 0), ("h", "null", 1), (None, "1.5", 1), (None, "null", 0)], key=repr)
+    tiled = freq_sparse(df, "grp", "lvl", 1, 1)
+    assert rows(tiled) == rows(freq_sparse(df, "grp", "lvl"))
     many = spark.range(20_000).select(F.lit("g").alias("grp"), F.col("id").cast("string").alias("lvl"))
-    assert freq_sparse(many, "grp", "lvl").count() == 20_000
+    assert freq_sparse(many, "grp", "lvl").count() == 20_000 and freq_sparse(many, "grp", "lvl", 1, 500).count() == 20_000
+    assert freq_sparse(df.where("false"), "grp", "lvl").count() == 0
+
+
+def test_sparse_crosstab_meets_levels_without_a_constant_key(spark, plan):
+    df = spark.range(3_000).selectExpr("id % 7 AS grp", "id % 500 AS lvl")
+    for found in (freq_sparse(df, "grp", "lvl"), freq_sparse(df, "grp", "lvl", 1, 100)):
+        text = plan(found)
+        assert "NestedLoop" not in text and "Cartesian" not in text and "_all" not in text
+        assert found.count() == 3_500 and found.where("count = 0").count() == 500
 
 
 def test_flags_of_a_long_dictionary(spark):
