@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -21,11 +22,13 @@ from claimtrail.operators.treatment import adherence, cohort_treatment, outcomes
 from claimtrail.operators.utilization import hospitalization, outcomes_ru, visit_counts, visits
 from claimtrail.sources.code_lists import codes_of, load_code_lists
 from claimtrail.sources.intervals import YEARS
+from claimtrail.sources.manifest import digest, entry_of, recover, state_of
 from claimtrail.sources.scratch import scratch_path
 from claimtrail.sources.shards import shard_columns, union_columns
-from claimtrail.sources.tables import create_libraries, ingest_library, list_tables, materialize, write_folder
+from claimtrail.sources.tables import create_libraries, ingest_folder, ingest_library, list_tables, materialize, write_folder
 
-Save = Callable[[str, DataFrame], DataFrame]
+Build = DataFrame | Callable[[], DataFrame]
+Save = Callable[[str, Build], DataFrame]
 
 
 @dataclass(frozen=True)
@@ -41,26 +44,41 @@ class StudyInputs:
     hcpcs: DataFrame
 
 
-def keep_lazy(name: str, df: DataFrame) -> DataFrame:
-    return df
+def _built(df: Build) -> DataFrame:
+    return df if isinstance(df, DataFrame) else df()
 
 
-def table_saver(spark: SparkSession) -> Save:
-    """Write each reused result as ``library.table`` and go on from the written table."""
+def keep_lazy(name: str, df: Build) -> DataFrame:
+    return _built(df)
 
-    def save(name: str, df: DataFrame) -> DataFrame:
-        materialize(df, name, "replace")
+
+def table_saver(spark: SparkSession, key: str | None = None) -> Save:
+    """Write each reused result as ``library.table`` and go on from the written table.
+
+    With a ``key`` (see ``study_key``) a result that was finished under the same key is neither built nor written again.
+    """
+
+    def save(name: str, df: Build) -> DataFrame:
+        recover(spark, name)
+        if key is None or entry_of(spark, name).get("study") != key:
+            materialize(_built(df), name, "replace", entry={"study": key} if key else None)
         return spark.table(name)
 
     return save
 
 
+def study_key(inputs: StudyInputs, cfg: StudyConfig) -> str:
+    """Stands for a study's parameters and the files of its inputs, all of which must be read from files."""
+    return digest(cfg, *[state_of(getattr(inputs, f.name)) for f in fields(inputs)])
+
+
 def folder_saver(spark: SparkSession, folder: str | None = None) -> Save:
     """Write each reused result as a Parquet folder, by default in the shared scratch folder, and go on from it."""
     folder = folder or scratch_path(spark, "study")
 
-    def save(name: str, df: DataFrame) -> DataFrame:
+    def save(name: str, df: Build) -> DataFrame:
         path = f"{folder}/{name}"
+        df = _built(df)
         write_folder(df, path)
         return spark.read.schema(df.schema).parquet(path)
 
@@ -126,12 +144,16 @@ def study_claims(claims: DataFrame, cohort: DataFrame, id_col: str = "enrolid")
 
 def pull_study(inputs: StudyInputs, cfg: StudyConfig = StudyConfig(), save: Save = keep_lazy) -> dict[str, DataFrame]:
     """Exposure, cohort and the cohort's claims."""
-    out = {"rds.interest_tx": save("rds.interest_tx", study_exposure(inputs, cfg))}
-    out["rds.allpt"] = cohort = save("rds.allpt", index_cohort(out["rds.interest_tx"], cfg))
-    patients = saved(cohort.select(cfg.id_col).distinct(), "patients")  # written once for the three pulls
-    out["rds.alldx"] = save("rds.alldx", pull_dx(inputs, patients, cfg))
-    out["rds.alladm"] = save("rds.alladm", pull_admissions(inputs, patients, cfg))
-    out["rds.allce"] = save("rds.allce", pull_enrollment(inputs, patients, cfg))
+    out = {"rds.interest_tx": save("rds.interest_tx", lambda: study_exposure(inputs, cfg))}
+    out["rds.allpt"] = cohort = save("rds.allpt", lambda: index_cohort(out["rds.interest_tx"], cfg))
+
+    @cache
+    def patients() -> DataFrame:  # written once for the three pulls
+        return saved(cohort.select(cfg.id_col).distinct(), "patients")
+
+    out["rds.alldx"] = save("rds.alldx", lambda: pull_dx(inputs, patients(), cfg))
+    out["rds.alladm"] = save("rds.alladm", lambda: pull_admissions(inputs, patients(), cfg))
+    out["rds.allce"] = save("rds.allce", lambda: pull_enrollment(inputs, patients(), cfg))
     return out
 
 
@@ -156,35 +178,47 @@ def analyse_study(
     inlined = inline_codes(listed)
     disease = listed if inlined is None else inlined
     proc_cols = proc_cols or [c for c in admissions.columns if re.fullmatch(r"proc[0-9]+", c)]
-    out = {"ads.baseline": save("ads.baseline", baseline(claims, disease, cfg))}
-    hospital = hospitalization(admissions, disease, cfg, proc_cols)
-    counts = visit_counts(visits(claims, disease, cfg), cfg.id_col)
-    out["ads.outcomes_ru"] = save("ads.outcomes_ru", outcomes_ru(cohort, hospital, counts, cfg))
-    out["sds.cohort_treatment"] = fills = save("sds.cohort_treatment", cohort_treatment(exposures, cohort, cfg))
-    adhere = adherence(fills, cfg.outcome_days, cfg.id_col)
-    persist = persistence(fills, cfg.refill_gap, cfg.drug_followup_days, True, cfg.id_col)
-    out["ads.km"] = curve = save("ads.km", km_survival(persist))
-    out["ads.km_quartiles"] = save("ads.km_quartiles", km_quartiles(curve))
-    out["ads.km_at_risk"] = save("ads.km_at_risk", km_at_risk(persist, range(0, cfg.drug_followup_days + 1, cfg.at_risk_step)))
-    out["ads.outcomes_tp"] = save("ads.outcomes_tp", outcomes_tp(adhere, persist, cfg.id_col))
-    table = variables(cohort, out["ads.baseline"], out["ads.outcomes_ru"], out["ads.outcomes_tp"], cfg.id_col)
-    out["ads.variables"] = save("ads.variables", table)
+    out = {"ads.baseline": save("ads.baseline", lambda: baseline(claims, disease, cfg))}
+
+    def use() -> DataFrame:
+        counts = visit_counts(visits(claims, disease, cfg), cfg.id_col)
+        return outcomes_ru(cohort, hospitalization(admissions, disease, cfg, proc_cols), counts, cfg)
+
+    out["ads.outcomes_ru"] = save("ads.outcomes_ru", use)
+    out["sds.cohort_treatment"] = fills = save("sds.cohort_treatment", lambda: cohort_treatment(exposures, cohort, cfg))
+
+    @cache
+    def persist() -> DataFrame:
+        return persistence(fills, cfg.refill_gap, cfg.drug_followup_days, True, cfg.id_col)
+
+    times = range(0, cfg.drug_followup_days + 1, cfg.at_risk_step)
+    out["ads.km"] = curve = save("ads.km", lambda: km_survival(persist()))
+    out["ads.km_quartiles"] = save("ads.km_quartiles", lambda: km_quartiles(curve))
+    out["ads.km_at_risk"] = save("ads.km_at_risk", lambda: km_at_risk(persist(), times))
+    pattern = lambda: outcomes_tp(adherence(fills, cfg.outcome_days, cfg.id_col), persist(), cfg.id_col)
+    out["ads.outcomes_tp"] = save("ads.outcomes_tp", pattern)
+    parts = [out[name] for name in ("ads.baseline", "ads.outcomes_ru", "ads.outcomes_tp")]
+    out["ads.variables"] = save("ads.variables", lambda: variables(cohort, *parts, cfg.id_col))
     group_col = group_col or "idxtreatment"
     categorical = [c for c in ("sex", "plantyp", "region", "idxtreatment") if c != group_col]
-    stats = descriptive_stats(out["ads.variables"], categorical, [cfg.id_col, "dobyr", "idxdate"], group_col, "All")
-    out["ads.statistics"] = save("ads.statistics", stats)
+    skipped = [cfg.id_col, "dobyr", "idxdate"]
+    out["ads.statistics"] = save("ads.statistics", lambda: descriptive_stats(out["ads.variables"], categorical, skipped, group_col, "All"))
     return out
 
 
 def study_run(
-    spark: SparkSession, inputs: StudyInputs, cfg: StudyConfig = StudyConfig(), save: Save | None = None
+    spark: SparkSession, inputs: StudyInputs, cfg: StudyConfig = StudyConfig(), save: Save | None = None, resume: bool = False
 ) -> dict[str, DataFrame]:
-    """All tables of a study. Each reused result is written once and read from there on."""
-    save = save or table_saver(spark)
+    """All tables of a study. Each reused result is written once and read from there on.
+
+    With ``resume`` the tables that an earlier run finished from the same files and parameters are taken as they are. The inputs must then be
+    read from files; selections from them are not noticed, so they must be the same.
+    """
+    save = save or table_saver(spark, study_key(inputs, cfg) if resume else None)
     out = pull_study(inputs, cfg, save)
     cohort, exposures = out["rds.allpt"], out["rds.interest_tx"]
-    claims = save("sds.sddx", study_claims(out["rds.alldx"], cohort, cfg.id_col))
-    stays = save("sds.sdadm", study_claims(out["rds.alladm"], cohort, cfg.id_col))
+    claims = save("sds.sddx", lambda: study_claims(out["rds.alldx"], cohort, cfg.id_col))
+    stays = save("sds.sdadm", lambda: study_claims(out["rds.alladm"], cohort, cfg.id_col))
     out |= {"sds.sddm": save("sds.sddm", cohort), "sds.sddx": claims, "sds.sdadm": stays}
     return out | analyse_study(cohort, claims, stays, exposures, inputs.icd9, cfg, save=save)
 
@@ -204,15 +238,20 @@ def library_inputs(spark: SparkSession, raw: str = "raw", codes: str = "scd", cf
 
 
 def study_from_files(
-    spark: SparkSession, shards: dict[str, str], sheets: dict[str, str], cfg: StudyConfig = StudyConfig(),
-    shard_fmt: str = "parquet", sheet_fmt: str = "csv", folder: str | None = None, **ingest,
+    spark: SparkSession, shards: dict[str, str] | str, sheets: dict[str, str], cfg: StudyConfig = StudyConfig(),
+    shard_fmt: str = "parquet", sheet_fmt: str = "csv", folder: str | None = None, resume: bool = False, **ingest,
 ) -> dict[str, DataFrame]:
-    """The whole study from claims files (shard name -> path) and code sheets: libraries, ingest, code lists, all study tables.
+    """The whole study from claims files (shard name -> path, or a folder of them) and code sheets: libraries, ingest, code lists, all study tables.
 
-    Shards of stays and spells are laid out by the years of both ends.
+    Shards of stays and spells are laid out by the years of both ends. Of a folder only new and changed files are loaded; with ``resume``
+    the study goes on from the tables that were finished.
     """
     create_libraries(spark, cfg.libraries, folder)
     raw, _, codes, *_ = cfg.libraries
-    ingest_library(spark, shards, raw, shard_fmt, **{"code_widths": dict(cfg.code_widths), "intervals": INTERVALS} | ingest)
+    options = {"code_widths": dict(cfg.code_widths), "intervals": INTERVALS} | ingest
+    if isinstance(shards, str):
+        ingest_folder(spark, shards, raw, shard_fmt, **options)
+    else:
+        ingest_library(spark, shards, raw, shard_fmt, **options)
     load_code_lists(spark, sheets, codes, sheet_fmt)
-    return study_run(spark, library_inputs(spark, raw, codes, cfg), cfg)
+    return study_run(spark, library_inputs(spark, raw, codes, cfg), cfg, resume=resume)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from claimtrail.functions.codes import clean_icd9, ndc_11
 from claimtrail.operators.ordered import forward_fill
+from claimtrail.sources.manifest import digest, entry_of, state_at
 from claimtrail.sources.numbering import numbered_lines
 from claimtrail.sources.tables import materialize, normalize
 
@@ -25,7 +26,7 @@ def hcpcs_list(sheet: DataFrame) -> DataFrame:
 
 
 def load_code_lists(spark: SparkSession, paths: dict[str, str], library: str = "scd", fmt: str = "csv") -> dict[str, int]:
-    """Read the three sheets as text, clean them and replace the code tables. Returns their row counts.
+    """Read the three sheets as text, clean them and replace the code tables of the sheets that changed. Returns the tables' row counts.
 
     The ``icd9`` sheet is filled downwards in the order of its lines, or of its column ``row_no`` if it has one.
     """
@@ -33,12 +34,17 @@ def load_code_lists(spark: SparkSession, paths: dict[str, str], library: str = "
     options = {"header": "true", "inferSchema": "false"} if fmt == "csv" else {}
     counts = {}
     for name, path in paths.items():
+        table, made_of = f"{library}.{name}", {"inputs": state_at(spark, path), "parameters": digest(path, fmt)}
+        held = entry_of(spark, table)
+        if all(held.get(k) == v for k, v in made_of.items()):
+            counts[name] = int(held["rows"])
+            continue
         sheet = normalize(spark.read.format(fmt).options(**options).load(path))
         if name == "icd9":
             if "row_no" not in sheet.columns:
                 sheet = normalize(numbered_lines(spark, path, fmt, **options))
             sheet = sheet.withColumn("row_no", F.col("row_no").cast("long"))
-        counts[name] = materialize(clean[name](sheet), f"{library}.{name}", "replace")
+        counts[name] = materialize(clean[name](sheet), table, "replace", entry=made_of)
     return counts
 
 

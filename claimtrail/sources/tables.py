@@ -11,8 +11,11 @@ from pyspark.sql import types as T
 from claimtrail.functions.codes import as_list
 from claimtrail.functions.dates import days_since_1960
 from claimtrail.sources.intervals import YEARS, with_years
+from claimtrail.sources.manifest import STAGED, digest, drop_entry, entry_of, list_folder, recover, set_entry, staged, swap_in
 from claimtrail.sources.schemas import as_text
 
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
 
 def normalize(
     df: DataFrame, date_cols: Sequence[str] = (), string_cols: Sequence[str] = (), code_widths: Mapping[str, int] | None = None
@@ -58,6 +61,7 @@ def ingest_table(
     partition_by: Sequence[str] = (),
     code_widths: Mapping[str, int] | None = None,
     interval: tuple[str, str] | None = None,
+    entry: Mapping[str, object] | None = None,
     **options: str,
 ) -> int:
     """Load one file (or folder) into a table. ``if_exists`` is ``fail``, ``replace`` or ``append``.
@@ -66,9 +70,9 @@ def ingest_table(
     """
     rows = normalize(spark.read.format(fmt).options(**options).load(path), date_cols, string_cols, code_widths)
     if interval is None:
-        return materialize(rows, table, if_exists, partition_by)
+        return materialize(rows, table, if_exists, partition_by, entry=entry)
     begin, end = interval
-    return materialize(with_years(rows, begin, end), table, if_exists, (*partition_by, *YEARS), (end, begin))
+    return materialize(with_years(rows, begin, end), table, if_exists, (*partition_by, *YEARS), (end, begin), entry)
 
 
 def ingest_library(
@@ -95,23 +99,73 @@ def ingest_library(
     return loaded
 
 
+def ingest_folder(
+    spark: SparkSession,
+    folder: str,
+    library: str,
+    fmt: str = "parquet",
+    suffix: str | None = None,
+    intervals: Mapping[str, tuple[str, str]] | None = None,
+    **options,
+) -> dict[str, int | None]:
+    """Load the files of a folder that are new or have changed since they were loaded, or are loaded in another way; the others are ``None``.
+
+    A changed file replaces its table, which stays whole until the new one is. Tables of files that are gone stay.
+    """
+    loaded: dict[str, int | None] = {}
+    for name, (path, state) in list_folder(spark, folder, suffix or f".{fmt}").items():
+        table, interval = f"{library}.{name}", (intervals or {}).get(name[4:5].lower())
+        wanted = {"inputs": state, "parameters": digest(path, fmt, interval, sorted(options.items()))}
+        recover(spark, table)
+        held = entry_of(spark, table)
+        if all(held.get(k) == v for k, v in wanted.items()):
+            loaded[name] = None
+            continue
+        loaded[name] = ingest_table(spark, path, table, fmt, "replace", interval=interval, entry=wanted, **options)
+    return loaded
+
+
 def library_files(paths: Iterable[str], suffix: str = ".parquet") -> dict[str, str]:
     """Table name -> path, for the paths with the given suffix."""
     return {PurePosixPath(p).name.removesuffix(suffix).lower(): p for p in paths if p.endswith(suffix)}
 
 
 def materialize(
-    df: DataFrame, table: str, if_exists: str = "replace", partition_by: Sequence[str] = (), order_by: Sequence[str] = ()
+    df: DataFrame, table: str, if_exists: str = "replace", partition_by: Sequence[str] = (), order_by: Sequence[str] = (),
+    entry: Mapping[str, object] | None = None,
 ) -> int:
-    """Write a table and return its row count, counted while writing. With ``order_by``, files hold ranges of these columns, in order."""
-    modes = {"replace": "overwrite", "append": "append", "fail": "errorifexists"}
-    if if_exists not in modes:
-        raise ValueError(f"if_exists must be one of {sorted(modes)}")
+    """Write a table and return its row count, counted while writing. With ``order_by``, files hold ranges of these columns, in order.
+
+    A replaced table is written beside the old one and swapped in when whole: if the job fails the old table stays, and ``df`` may read it.
+    ``partitions`` replaces only the partitions that ``df`` has rows for. ``entry`` is kept with the table (see ``manifest``).
+    """
+    if if_exists not in ("replace", "append", "fail", "partitions"):
+        raise ValueError("if_exists must be replace, append, fail or partitions")
+    spark = df.sparkSession
+    recover(spark, table)
+    exists = spark.catalog.tableExists(table)
+    if exists and if_exists == "fail":
+        raise ValueError(f"table {table} exists")
     written, counted = _counted(df, partition_by, order_by)
-    writer = written.write.mode(modes[if_exists])
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(table)
+    if exists and if_exists != "replace":
+        drop_entry(spark, table)  # what was known of the table no longer holds
+        if if_exists == "append":
+            writer = written.write.mode("append")
+            (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
+        else:
+            columns = [F.col(f"`{c}`") for c in spark.table(table).columns]
+            before = spark.conf.get(OVERWRITE_MODE)  # of inserts into tables only the session's setting counts
+            spark.conf.set(OVERWRITE_MODE, "dynamic")
+            try:
+                written.select(*columns).write.insertInto(table, overwrite=True)
+            finally:
+                spark.conf.set(OVERWRITE_MODE, before)
+        return counted.get["rows"]
+    version = staged(table)
+    writer = written.write
+    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(version)
+    set_entry(spark, version, {"rows": counted.get["rows"], **(entry or {})})
+    swap_in(spark, version, table)
     return counted.get["rows"]
 
 
@@ -136,7 +190,7 @@ def _counted(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str]
 
 
 def list_tables(spark: SparkSession, library: str) -> list[str]:
-    return sorted(t.name for t in spark.catalog.listTables(library) if not t.isTemporary)
+    return sorted(t.name for t in spark.catalog.listTables(library) if not t.isTemporary and STAGED not in t.name)
 
 
 def list_columns(df: DataFrame) -> list[str]:
