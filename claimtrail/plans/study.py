@@ -20,6 +20,7 @@ from claimtrail.operators.supply import clean_supply_days
 from claimtrail.operators.survival import km_at_risk, km_quartiles, km_survival
 from claimtrail.operators.treatment import adherence, cohort_treatment, outcomes_tp, persistence
 from claimtrail.operators.utilization import hospitalization, outcomes_ru, visit_counts, visits
+from claimtrail.sources.buckets import ROWS_PER_BUCKET, bucket_count
 from claimtrail.sources.code_lists import codes_of, load_code_lists
 from claimtrail.sources.intervals import YEARS
 from claimtrail.sources.manifest import digest, entry_of, recover, state_of
@@ -52,16 +53,36 @@ def keep_lazy(name: str, df: Build) -> DataFrame:
     return _built(df)
 
 
-def table_saver(spark: SparkSession, key: str | None = None) -> Save:
+#: Tables that are grouped and joined by patient -> the table written before whose most frequent patient tells whether one has too many rows;
+#: None where a patient has a row, or one per index treatment.
+BY_PATIENT = {
+    "rds.allpt": None, "sds.sddm": None, "ads.baseline": None, "ads.outcomes_ru": None, "ads.outcomes_tp": None, "ads.variables": None,
+    "sds.sddx": "rds.alldx", "sds.sdadm": "rds.alladm", "sds.cohort_treatment": "rds.interest_tx",
+}
+WATCHED = {origin for origin in BY_PATIENT.values() if origin}
+
+
+def table_saver(spark: SparkSession, key: str | None = None, id_col: str | None = None, rows_per_bucket: int = ROWS_PER_BUCKET) -> Save:
     """Write each reused result as ``library.table`` and go on from the written table.
 
-    With a ``key`` (see ``study_key``) a result that was finished under the same key is neither built nor written again.
+    With a ``key`` (see ``study_key``) a result that was finished under the same key is neither built nor written again. With ``id_col`` the
+    tables of ``BY_PATIENT`` are stored by patient (see ``buckets``), in as many buckets as the study's exposures need.
     """
 
+    def buckets(name: str) -> tuple[str, int] | None:
+        exposures = entry_of(spark, "rds.interest_tx")
+        if not id_col or name not in BY_PATIENT or "rows" not in exposures:
+            return None
+        origin = BY_PATIENT[name]
+        if origin and int(entry_of(spark, origin).get("hottest", rows_per_bucket + 1)) > rows_per_bucket:
+            return None
+        return id_col, bucket_count(int(exposures["rows"]), rows_per_bucket)
+
     def save(name: str, df: Build) -> DataFrame:
         recover(spark, name)
         if key is None or entry_of(spark, name).get("study") != key:
-            materialize(_built(df), name, "replace", entry={"study": key} if key else None)
+            watch = id_col if name in WATCHED else None
+            materialize(_built(df), name, "replace", entry={"study": key} if key else None, bucket_by=buckets(name), watch=watch)
         return spark.table(name)
 
     return save
@@ -214,7 +235,7 @@ def study_run(
     With ``resume`` the tables that an earlier run finished from the same files and parameters are taken as they are. The inputs must then be
     read from files; selections from them are not noticed, so they must be the same.
     """
-    save = save or table_saver(spark, study_key(inputs, cfg) if resume else None)
+    save = save or table_saver(spark, study_key(inputs, cfg) if resume else None, cfg.id_col)
     out = pull_study(inputs, cfg, save)
     cohort, exposures = out["rds.allpt"], out["rds.interest_tx"]
     claims = save("sds.sddx", lambda: study_claims(out["rds.alldx"], cohort, cfg.id_col))

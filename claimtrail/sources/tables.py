@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from pathlib import PurePosixPath
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from claimtrail.functions.codes import as_list
 from claimtrail.functions.dates import days_since_1960
+from claimtrail.sources.buckets import buckets_of, hottest, into_buckets
 from claimtrail.sources.intervals import YEARS, with_years
 from claimtrail.sources.manifest import STAGED, digest, drop_entry, entry_of, list_folder, recover, set_entry, staged, swap_in
 from claimtrail.sources.schemas import as_text
@@ -132,26 +133,33 @@ def library_files(paths: Iterable[str], suffix: str = ".parquet") -> dict[str, s
 
 def materialize(
     df: DataFrame, table: str, if_exists: str = "replace", partition_by: Sequence[str] = (), order_by: Sequence[str] = (),
-    entry: Mapping[str, object] | None = None,
+    entry: Mapping[str, object] | None = None, bucket_by: tuple[str, int] | None = None, watch: str | None = None,
 ) -> int:
     """Write a table and return its row count, counted while writing. With ``order_by``, files hold ranges of these columns, in order.
 
     A replaced table is written beside the old one and swapped in when whole: if the job fails the old table stays, and ``df`` may read it.
-    ``partitions`` replaces only the partitions that ``df`` has rows for. ``entry`` is kept with the table (see ``manifest``).
+    ``partitions`` replaces only the partitions that ``df`` has rows for. ``entry`` is kept with the table (see ``manifest``). With
+    ``bucket_by`` (column, number) the table is stored in buckets, sorted by the column; what is appended keeps to them. ``watch`` names a
+    column whose most frequent value is looked for in the written table, by a scan of this column; its number of rows is kept as ``hottest``.
     """
     if if_exists not in ("replace", "append", "fail", "partitions"):
         raise ValueError("if_exists must be replace, append, fail or partitions")
+    if bucket_by and (partition_by or order_by):
+        raise ValueError("a table in buckets has neither partitions nor ranges")
     spark = df.sparkSession
     recover(spark, table)
     exists = spark.catalog.tableExists(table)
     if exists and if_exists == "fail":
         raise ValueError(f"table {table} exists")
-    written, counted = _counted(df, partition_by, order_by)
     if exists and if_exists != "replace":
-        drop_entry(spark, table)  # what was known of the table no longer holds
+        bucket_by = buckets_of(spark, table)
+    written, counted = _counted(df, partition_by, order_by, bucket_by)
+    if exists and if_exists != "replace":
+        drop_entry(spark, table)  # what was known of the table no longer holds, but for its buckets
+        if bucket_by:
+            set_entry(spark, table, _layout(bucket_by))
         if if_exists == "append":
-            writer = written.write.mode("append")
-            (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
+            _arranged(written.write.mode("append"), partition_by, bucket_by).saveAsTable(table)
         else:
             columns = [F.col(f"`{c}`") for c in spark.table(table).columns]
             before = spark.conf.get(OVERWRITE_MODE)  # of inserts into tables only the session's setting counts
@@ -162,13 +170,24 @@ def materialize(
                 spark.conf.set(OVERWRITE_MODE, before)
         return counted.get["rows"]
     version = staged(table)
-    writer = written.write
-    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(version)
-    set_entry(spark, version, {"rows": counted.get["rows"], **(entry or {})})
+    _arranged(written.write, partition_by, bucket_by).saveAsTable(version)
+    seen = {"hottest": spark.table(version).agg(hottest(watch)).first()[0] or 0} if watch else {}
+    set_entry(spark, version, {"rows": counted.get["rows"], **seen, **_layout(bucket_by), **(entry or {})})
     swap_in(spark, version, table)
     return counted.get["rows"]
 
 
+def _layout(bucket_by: tuple[str, int] | None) -> dict[str, str]:
+    return {"buckets": f"{bucket_by[0]}:{bucket_by[1]}"} if bucket_by else {}
+
+
+def _arranged(writer: DataFrameWriter, partition_by: Sequence[str], bucket_by: tuple[str, int] | None) -> DataFrameWriter:
+    if bucket_by:
+        column, count = bucket_by
+        writer = writer.bucketBy(count, column).sortBy(column)
+    return writer.partitionBy(*partition_by) if partition_by else writer
+
+
 def write_folder(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> int:
     """Write a Parquet folder and return its row count, counted while writing."""
     written, counted = _counted(df, partition_by)
@@ -179,12 +198,16 @@ def write_folder(df: DataFrame, path: str, mode: str = "overwrite", partition_by
     return counted.get["rows"]
 
 
-def _counted(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str] = ()) -> tuple[DataFrame, Observation]:
+def _counted(
+    df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str] = (), bucket_by: tuple[str, int] | None = None
+) -> tuple[DataFrame, Observation]:
     counted = Observation()
     if order_by:
         df = df.repartitionByRange(*partition_by, *order_by).sortWithinPartitions(*partition_by, *order_by)
         return df.observe(counted, F.count(F.lit(1)).alias("rows")), counted  # above the exchange, whose bounds are sampled first
     out = df.observe(counted, F.count(F.lit(1)).alias("rows"))
+    if bucket_by:
+        return into_buckets(out, *bucket_by), counted
     # rebalance gathers each partition value into few files and lets AQE split a value that holds most of the rows
     return (out.hint("rebalance", *partition_by) if partition_by else out), counted
 
