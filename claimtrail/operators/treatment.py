@@ -115,7 +115,12 @@ def adherence(
         F.max_by(days_col, date_col).alias("_last_days"),
         F.max("est_start").alias("_est"),
     )
+    return adherence_measures(per_patient, follow_up_days, id_col, idx_col)
 
+
+def adherence_measures(per_patient: DataFrame, follow_up_days: int, id_col: str, idx_col: str) -> DataFrame:
+    """The measures from a patient's fill days (``_n``), supply, covered days, last fill and the day its supply starts to be used (``_est``)."""
+    end_day = F.date_add(idx_col, follow_up_days)
     total, last_days, last, est = (F.col(c) for c in ("_total", "_last_days", "_last", "_est"))
     span = last - F.unix_date(idx_col)
     refilled = F.col("_n") > 1
@@ -172,6 +177,11 @@ def persistence(
         F.min(F.unix_date(date_col)).alias("_start"),
         F.max(F.when(~F.col("stopped"), F.col("supply_end"))).alias("_end"),
     )
+    return persistence_measures(spell, gap, follow_up_days, lookforward, id_col)
+
+
+def persistence_measures(spell: DataFrame, gap: int, follow_up_days: int, lookforward: bool, id_col: str) -> DataFrame:
+    """Time and event from the days a patient's supply begins (``_start``) and runs out or is stopped (``_end``)."""
     held = F.col("_end") - F.col("_start")
     complete = held >= follow_up_days
     if not lookforward:

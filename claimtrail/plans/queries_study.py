@@ -15,12 +15,14 @@ from claimtrail.operators.describe import (
 )
 from claimtrail.operators.enrollment import age_filter, continuous_enrollment
 from claimtrail.operators.exposure import index_cohort
+from claimtrail.operators.histories import adherence_from, adherence_states, period_states, persistence_from, save_states, whole_states
 from claimtrail.operators.supply import clean_supply_days
 from claimtrail.operators.survival import km_at_risk, km_quartiles, km_survival
 from claimtrail.operators.treatment import adherence, cohort_treatment, outcomes_tp, persistence
 from claimtrail.operators.utilization import hospitalization, outcomes_ru, visit_counts, visits
 from claimtrail.plans.queries_ordered import charlson_sql
 from claimtrail.plans.queries_predicates import DISEASE_SQL, RULEOUT_SQL, VISIT_SQL
+from claimtrail.plans.queries_sources import library
 from claimtrail.plans.registry import query
 from claimtrail.plans.study import (
     StudyInputs, folder_saver, pull_admissions, pull_dx, pull_enrollment, pull_study, study_claims, study_exposure, study_run,
@@ -250,6 +252,32 @@ def persistence_no_lookforward(v: Views):
     return persistence(fills(v), v.cfg.refill_gap, v.cfg.drug_followup_days, lookforward=False)
 
 
+def stored_by_year(v: Views, home: str, states_of):
+    """States of all fills, stored in two goes: the years before the last one, then the last one as an extension."""
+    all_fills = fills(v)
+    year = F.year("svcdate")
+    last = all_fills.agg(F.max(year)).first()[0]
+    table = f"{library(v, home)}.states"
+    for part in (year < last, year == last):
+        save_states(v.spark, states_of(all_fills.where(part), year), table)
+    return v.spark.table(table)
+
+
+@query("adherence_by_year", study_sql(FILLS_SQL, ADHERENCE_SQL, views=("rx", "cohort")) + f"""
+SELECT enrolid, mpr_flag, {', '.join(f'round({r}, 9) AS {r}' for r in RATES)} FROM adhere""")
+def adherence_by_year(v: Views):
+    days, gap = v.cfg.outcome_days, v.cfg.refill_gap
+    states = stored_by_year(v, "q_adherence_by_year", lambda df, year: adherence_states(df, days, gap, year))
+    return rounded(adherence_from(whole_states(states, ["enrolid", "idxdate"]), days), *RATES)
+
+
+@query("persistence_by_year", study_sql(FILLS_SQL, PERSIST_SQL, views=("rx", "cohort")) + "SELECT * FROM persist")
+def persistence_by_year(v: Views):
+    gap = v.cfg.refill_gap
+    states = stored_by_year(v, "q_persistence_by_year", lambda df, year: period_states(df, ["enrolid"], gap, year))
+    return persistence_from(whole_states(states, ["enrolid"]), gap, v.cfg.drug_followup_days)
+
+
 KM_SQL = """days AS (SELECT time, count(*) FILTER (WHERE disc_flag = 1) AS d, count(*) AS n FROM persist GROUP BY 1),
 risk AS (SELECT time, d, n, (SELECT sum(b.n) FROM days b WHERE b.time >= a.time) AS r FROM days a),
 curve AS (SELECT time, CAST(r AS BIGINT) AS n_risk, d AS n_event, n - d AS n_censor,
