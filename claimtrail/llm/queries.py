@@ -70,7 +70,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_sharding", sharding.SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.assign(table(spark, sf_dir, "documents"))
+    return sharding.assign(table(spark, sf_dir, "documents"), sharding.QUERY_BYTES)
 
 
 @query("op9_pii_pseudonyms")

@@ -3,7 +3,8 @@
 A document's place is a 60-bit hash of its id and text; a shard is a prefix of its bits. The directory starts with one bucket, and only a
 bucket over the byte limit is split on one more bit, until each fits. The splits are found on cells, sums of bytes by a prefix that is
 a few bits longer than the shards are expected to be, so the directory costs a few rows per shard and no pass over the documents per
-bit; only the documents of cells that are still too large take part in a next round with more bits.
+bit; only the documents of cells that are still too large take part in a next round with more bits. The directory grows with the documents,
+so it is never broadcast: its joins are merged on the hash bits, which are even.
 
 Defined cases: a null text has no bytes. A document over the limit gets a shard of its own. Copies of a row (same id and text) share
 all bits; if they exceed the limit together, they are dealt in pages that fit (``bits.page``). An empty table has no shards. Other
@@ -17,7 +18,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from claimtrail.llm.columns import named
 from claimtrail.sources.scratch import settle
 
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 256 << 20
+QUERY_BYTES = 1 << 20  # of the registered query, so that small tables have many shards
 BITS = 60
 BLOCK = 10_000  # copies that are numbered together
 EXTRA_BITS = 4  # of a cell, beyond those that an average shard needs
@@ -54,18 +56,18 @@ def directory(sizes: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
         levels = cells.withColumn("depth", F.explode(F.sequence(F.lit(low), F.lit(high))))
         levels = levels.withColumn("bucket", F.expr(f"shiftright(cell, {high} - depth)"))
         fits = levels.groupBy("depth", "bucket").agg(F.sum("bytes").alias("shard_bytes")).where(F.col("shard_bytes") <= limit)
-        found = levels.drop("bytes").join(fits, ["depth", "bucket"])
+        found = levels.drop("bytes").join(fits.hint("merge"), ["depth", "bucket"])
         found = found.groupBy("cell").agg(F.min(F.struct("depth", "bucket", "shard_bytes")).alias("s")).select("cell", "s.*")
         found = settle(found, "directory")
         rows = open_.withColumn("cell", prefix("place", high))
-        here = rows.join(found, "cell").withColumn("pages_of", F.lit(None).cast("bigint")).drop("cell")
+        here = rows.join(found.hint("merge"), "cell").withColumn("pages_of", F.lit(None).cast("bigint")).drop("cell")
         done = here if done is None else done.unionByName(here)
-        if cells.join(found, "cell", "left_anti").limit(1).count() == 0:
+        if cells.join(found.hint("merge"), "cell", "left_anti").limit(1).count() == 0:
             break
-        open_, low = settle(rows.join(found.select("cell"), "cell", "left_anti").drop("cell"), "large"), high
+        open_, low = settle(rows.join(found.select("cell").hint("merge"), "cell", "left_anti").drop("cell"), "large"), high
         if low == BITS:
             groups = open_.groupBy(F.col("place").alias("bucket")).agg(F.sum(F.col("n_bytes") * F.col("copies")).alias("shard_bytes"))
-            rest = open_.withColumn("bucket", F.col("place")).join(groups, "bucket").withColumn("depth", F.lit(BITS))
+            rest = open_.withColumn("bucket", F.col("place")).join(groups.hint("merge"), "bucket").withColumn("depth", F.lit(BITS))
             done = done.unionByName(rest.withColumn("pages_of", F.greatest(F.lit(1), F.floor(limit / F.col("n_bytes"))).cast("bigint")))
             break
     name = F.when(F.col("depth") == 0, "").otherwise(F.lpad(F.conv(F.col("bucket").cast("string"), 10, 2), F.col("depth"), F.lit("0")))
@@ -94,7 +96,7 @@ def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES) -> None:
     rows = docs.select(F.struct(*map(named, docs.columns)).alias("_doc"))
     size = F.coalesce(F.octet_length("_doc.text"), F.lit(0)).cast("bigint")
     here = (place(F.col("_doc.doc_id"), F.col("_doc.text")) == F.col("_place")) & F.col("_doc.doc_id").eqNullSafe(F.col("_id")) & (size == F.col("_bytes"))
-    rows = rows.join(found, here)
+    rows = rows.join(found.hint("merge"), here)
     out = rows.where("pages_of is null").select("_doc", "shard")
     if found.where("pages_of is not null").limit(1).count():
         # copies are numbered by blocks of their rows, so that no task holds all copies of a row
@@ -106,7 +108,7 @@ def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES) -> None:
         blocks = blocks.select(*[F.col(c).alias(c + "_b") for c in (*keys, "_block")], "_before")
         number = F.row_number().over(Window.partitionBy(*keys, "_block").orderBy(F.lit(0))) - 1
         copies = copies.withColumn("_number", number)
-        copies = copies.join(blocks, F.expr(" and ".join(f"{c} <=> {c}_b" for c in (*keys, "_block"))))
+        copies = copies.join(blocks.hint("merge"), F.expr(" and ".join(f"{c} <=> {c}_b" for c in (*keys, "_block"))))
         page = F.floor((F.col("_before") + F.col("_number")) / F.col("pages_of")).cast("string")
         out = out.unionByName(copies.select("_doc", F.concat("shard", F.lit("."), page).alias("shard")))
     columns = [F.col("_doc").getField(c).alias(c) for c in docs.columns]
@@ -123,7 +125,7 @@ WITH sizes AS (
          sum(n_bytes) OVER (PARTITION BY d, place >> ({BITS} - d)) AS shard_bytes
   FROM sizes, range(0, {BITS} + 1) AS t(d)
 ), fit AS (
-  SELECT * FROM levels WHERE shard_bytes <= {SHARD_BYTES}
+  SELECT * FROM levels WHERE shard_bytes <= {QUERY_BYTES}
   QUALIFY row_number() OVER (PARTITION BY doc_id, place ORDER BY d) = 1
 )
 SELECT doc_id, CAST(n_bytes AS BIGINT) AS n_bytes,
