@@ -56,7 +56,9 @@ def directory(sizes: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
         levels = cells.withColumn("depth", F.explode(F.sequence(F.lit(low), F.lit(high))))
         levels = levels.withColumn("bucket", F.expr(f"shiftright(cell, {high} - depth)"))
         fits = levels.groupBy("depth", "bucket").agg(F.sum("bytes").alias("shard_bytes")).where(F.col("shard_bytes") <= limit)
-        found = levels.drop("bytes").join(fits.hint("merge"), ["depth", "bucket"])
+        fits = settle(fits, "fits")
+        least = F.lit(fits.agg(F.min("depth")).first()[0]).cast("int")  # the few buckets above hold all cells, and none of them fits
+        found = levels.drop("bytes").where(F.col("depth") >= least).join(fits.hint("merge"), ["depth", "bucket"])
         found = found.groupBy("cell").agg(F.min(F.struct("depth", "bucket", "shard_bytes")).alias("s")).select("cell", "s.*")
         found = settle(found, "directory")
         rows = open_.withColumn("cell", prefix("place", high))
